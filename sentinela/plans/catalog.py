@@ -8,6 +8,7 @@ from sentinela.plans.registry import ORACLE, QUERIES
 
 _MODULES = [
     "sentinela.plans.queries_counts",
+    "sentinela.plans.queries_series",
 ]
 
 for _m in _MODULES:
