@@ -9,6 +9,7 @@ from sentinela.plans.registry import ORACLE, QUERIES
 _MODULES = [
     "sentinela.plans.queries_counts",
     "sentinela.plans.queries_series",
+    "sentinela.plans.queries_stats",
 ]
 
 for _m in _MODULES:
