@@ -17,9 +17,14 @@ def _col(c: str | Column) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def tcast(c: str | Column, to: str) -> Column:
+    """try_cast: NULL instead of an error when the value doesn't convert (S1)."""
+    return _col(c).try_cast(to)
+
+
 def safe_number(c: str | Column, to: str = "double") -> Column:
     """Coerce-to-null cast (CLN1): bad text becomes NULL, never an error."""
-    return F.try_cast(F.trim(_col(c).cast("string")), to) if to != "string" else _col(c).cast("string")
+    return tcast(F.trim(_col(c).cast("string")), to) if to != "string" else _col(c).cast("string")
 
 
 def sentinel_date(c: str | Column, fmt: str = "yyyy-MM-dd") -> Column:
@@ -30,14 +35,14 @@ def sentinel_date(c: str | Column, fmt: str = "yyyy-MM-dd") -> Column:
 
 def strip_thousands(c: str | Column, sep: str = ".", to: str = "double") -> Column:
     """Remove a thousands separator, then cast with null on failure (CLN4)."""
-    return F.try_cast(F.trim(F.replace(_col(c).cast("string"), F.lit(sep), F.lit(""))), to)
+    return tcast(F.trim(F.replace(_col(c).cast("string"), F.lit(sep), F.lit(""))), to)
 
 
 def parse_count(c: str | Column) -> Column:
     """Bulletin cell number (SCL6 + S14): drop NBSP/U+202F/space; a failed
     integer parse (``n.d.``, ``-``, ``1,234``, empty) gives 0, not NULL."""
     cleaned = F.regexp_replace(_col(c).cast("string"), COUNT_SPACE_PATTERN, "")
-    return F.coalesce(F.try_cast(cleaned, "int"), F.lit(0))
+    return F.coalesce(tcast(cleaned, "int"), F.lit(0))
 
 
 def safe_ratio(num: str | Column, den: str | Column, default: float | None = None) -> Column:

@@ -7,6 +7,8 @@ import re
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from sentinela.functions.numeric import tcast
+
 
 def _col(c: str | Column) -> Column:
     return F.col(c) if isinstance(c, str) else c
@@ -29,7 +31,7 @@ def capture_with_fallback(primary: str | Column, fallback: str | Column, pattern
     b = first_capture(fallback, fallback_pattern or pattern)
     out = F.coalesce(a, b)
     if to:
-        out = F.try_cast(out, to)
+        out = tcast(out, to)
     return F.coalesce(out, F.lit(default)) if default is not None else out
 
 

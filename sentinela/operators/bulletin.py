@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from sentinela.functions.calendar import cyclic_week, iso_week_monday, week_label
-from sentinela.functions.numeric import parse_count, safe_ratio
+from sentinela.functions.numeric import tcast, parse_count, safe_ratio
 from sentinela.functions.text import first_capture, longest_first_alternation, nonblank_lines
 from sentinela.operators.joins import cartesian_grid, dedupe_first, reindex_fill
 from sentinela.operators.windows import group_totals, new_from_cumulative
@@ -116,8 +116,8 @@ def issue_year_week(pages: DataFrame, year_pattern: str, week_pattern: str,
     p1 = pages.where(F.col("page") == 1).select("file", "text")
     files = pages.select("file").distinct().join(p1, "file", "left")
     def pick(text_pat, file_pat):
-        return F.coalesce(F.try_cast(first_capture("text", text_pat), "int"),
-                          F.try_cast(first_capture("file", file_pat), "int"), F.lit(0))
+        return F.coalesce(tcast(first_capture("text", text_pat), "int"),
+                          tcast(first_capture("file", file_pat), "int"), F.lit(0))
     return files.select("file", pick(year_pattern, file_year_pattern).alias("anio"),
                         pick(week_pattern, file_week_pattern).alias("semana"))
 

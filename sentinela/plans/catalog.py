@@ -10,6 +10,8 @@ _MODULES = [
     "sentinela.plans.queries_counts",
     "sentinela.plans.queries_series",
     "sentinela.plans.queries_stats",
+    "sentinela.plans.queries_sets",
+    "sentinela.plans.queries_text",
 ]
 
 for _m in _MODULES:
