@@ -12,6 +12,7 @@ _MODULES = [
     "sentinela.plans.queries_stats",
     "sentinela.plans.queries_sets",
     "sentinela.plans.queries_text",
+    "sentinela.plans.queries_anomaly",
 ]
 
 for _m in _MODULES:
