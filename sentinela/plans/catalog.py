@@ -13,6 +13,7 @@ _MODULES = [
     "sentinela.plans.queries_sets",
     "sentinela.plans.queries_text",
     "sentinela.plans.queries_anomaly",
+    "sentinela.plans.queries_quality",
 ]
 
 for _m in _MODULES:
