@@ -14,6 +14,7 @@ _MODULES = [
     "sentinela.plans.queries_text",
     "sentinela.plans.queries_anomaly",
     "sentinela.plans.queries_quality",
+    "sentinela.plans.queries_cluster",
 ]
 
 for _m in _MODULES:
