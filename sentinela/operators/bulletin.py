@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from sentinela.functions.calendar import cyclic_week, iso_week_monday, week_label
 from sentinela.functions.numeric import tcast, parse_count, safe_ratio
 from sentinela.functions.text import first_capture, longest_first_alternation, nonblank_lines
-from sentinela.operators.joins import cartesian_grid, dedupe_first, reindex_fill
+from sentinela.operators.joins import bounded_distinct, dedupe_first, grid_from_values, reindex_fill
 from sentinela.operators.windows import group_totals, new_from_cumulative
 
 KEY = ["anio", "semana", "entidad_federativa", "enfermedad", "sexo"]
@@ -42,21 +42,42 @@ def recode_sex(df: DataFrame, cutoff_year: int = 2020, guard: bool = True) -> Da
     return df.withColumn("sexo", F.when(old & (s == "M"), "H").when(old & (s == "F"), "M").otherwise(s))
 
 
-def densify(df: DataFrame, entities: DataFrame, diseases: DataFrame, sexes: DataFrame,
-            min_year: int = 2000, order=None) -> DataFrame:
+def densify(df: DataFrame, entities, diseases=None, sexes=None, min_year: int = 2000, order=None) -> DataFrame:
     """Year x week x entity x disease x sex grid with zeros (TRF2, JN5, JN7, SET4).
 
-    Years (> ``min_year``) and weeks (1..53) are the observed ones (Q15);
-    entity / disease / sex catalogues are passed in. Duplicated keys keep the
-    first row under ``order``. The grid is built from size-checked broadcast
-    dimensions, the fact side is joined once on the full key."""
+    Years (> ``min_year``) and weeks (1..53) are the observed ones (Q15).
+    ``entities`` / ``diseases`` / ``sexes`` are catalogues (a one-column
+    DataFrame or a list); None takes the observed values. Duplicated keys
+    keep the first row under ``order``.
+
+    Observed dimension values are small bounded sets (calendar and
+    catalogues): one aggregate pass over the input collects all of them, and
+    the grid is then a product of tiny local tables expanded on the executors
+    (broadcast nested-loop joins). The fact is joined once on the full key."""
     order = order if order is not None else [F.col(c) for c in MEASURES]
-    fact = dedupe_first(df, KEY, order)
-    years = fact.select("anio").where(F.col("anio") > min_year).distinct()
-    weeks = fact.select("semana").where(F.col("semana").between(1, 53)).distinct()
-    grid = cartesian_grid([years, weeks, entities.toDF("entidad_federativa"), diseases.toDF("enfermedad"),
-                           sexes.toDF("sexo")])
-    return reindex_fill(grid, fact.select(*KEY, *MEASURES), KEY, {m: 0 for m in MEASURES})
+    spark = df.sparkSession
+    aggs = [F.collect_set(F.when(F.col("anio") > min_year, F.col("anio").cast("int"))).alias("anio"),
+            F.collect_set(F.when(F.col("semana").between(1, 53), F.col("semana").cast("int"))).alias("semana")]
+    if diseases is None:
+        aggs.append(F.collect_set("enfermedad").alias("enfermedad"))
+    if sexes is None:
+        aggs.append(F.collect_set("sexo").alias("sexo"))
+    obs = df.agg(*aggs).first()
+
+    def values(val, col):
+        if val is None:
+            return sorted(obs[col])
+        if isinstance(val, DataFrame):
+            return bounded_distinct(val.toDF(col), col, 100_000)
+        return sorted(set(val))
+
+    grid = grid_from_values(spark, [("anio", values(None, "anio"), "int"), ("semana", values(None, "semana"), "int"),
+                                    ("entidad_federativa", values(entities, "entidad_federativa"), "string"),
+                                    ("enfermedad", values(diseases, "enfermedad"), "string"),
+                                    ("sexo", values(sexes, "sexo"), "string")])
+    fact = dedupe_first(df, KEY, order).select(*KEY, *MEASURES).withColumns(
+        {"anio": F.col("anio").cast("int"), "semana": F.col("semana").cast("int")})
+    return reindex_fill(grid, fact, KEY, {m: 0 for m in MEASURES})
 
 
 def derive_columns(df: DataFrame, first_period: str = "half", halve_totals: bool = False) -> DataFrame:

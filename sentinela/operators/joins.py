@@ -70,16 +70,45 @@ def duplicate_count(df: DataFrame, keys: list[str]) -> DataFrame:
     return df.agg((F.count(F.lit(1)) - F.count_distinct(*[F.col(k) for k in keys])).alias("n_duplicados"))
 
 
-def cartesian_grid(dims: list[DataFrame], max_rows_each: int = 100_000) -> DataFrame:
-    """Cartesian product of small dimension tables (JN5). Each dimension is
-    size-checked and broadcast, so the product is built map-side."""
+def cartesian_grid(dims: list[DataFrame], max_rows_each: int | None = None) -> DataFrame:
+    """Cartesian product of small dimension tables (JN5), built on executors
+    (broadcast nested-loop joins). Dimensions are catalogues or collected
+    bounded sets; with ``max_rows_each`` each one is size-checked and
+    broadcast explicitly."""
     def step(acc: DataFrame, d: DataFrame) -> DataFrame:
-        if not has_at_most(d, max_rows_each):
-            raise ValueError("grid dimension exceeds the broadcast bound")
-        return acc.crossJoin(F.broadcast(d))
+        if max_rows_each is not None:
+            if not has_at_most(d, max_rows_each):
+                raise ValueError("grid dimension exceeds the broadcast bound")
+            d = F.broadcast(d)
+        return acc.crossJoin(d)
     return reduce(step, dims[1:], dims[0])
 
 
+def grid_from_values(spark, dims: list[tuple[str, list, str]], rows_per_partition: int = 1_000_000) -> DataFrame:
+    """Cartesian product of small value lists, generated without joins (JN5).
+
+    Row i of ``spark.range(total)`` is decoded in mixed radix into one value
+    per dimension (``element_at`` on a literal array), so the grid is spread
+    over ``ceil(total / rows_per_partition)`` (at least the default
+    parallelism) partitions and no task builds the whole product."""
+    sizes = [len(v) for _, v, _ in dims]
+    total = 1
+    for n in sizes:
+        total *= n
+    if total == 0:
+        return spark.createDataFrame([], ", ".join(f"`{c}` {t}" for c, _, t in dims))
+    parts = max(spark.sparkContext.defaultParallelism, -(-total // rows_per_partition))
+    parts = min(parts, total)
+    rng = spark.range(0, total, 1, parts)
+    cols, stride = [], total
+    for (name, values, typ), n in zip(dims, sizes):
+        stride //= n
+        arr = F.array(*[F.lit(v) for v in values]).cast(f"array<{typ}>")
+        idx = (F.floor(F.col("id") / F.lit(stride)) % F.lit(n) + 1).cast("int")
+        cols.append(F.element_at(arr, idx).alias(name))
+    return rng.select(*cols)
+
+
 def reindex_fill(grid: DataFrame, fact: DataFrame, keys: list[str], fill: dict[str, object]) -> DataFrame:
     """grid LEFT JOIN fact on keys, NULL measures -> fill (JN7). Fact rows
     outside the grid are dropped, as a reindex does."""

@@ -7,8 +7,8 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from sentinela.functions.text import prefix_and_rest
-from sentinela.operators.joins import (bounded_distinct, checked_broadcast, dedupe_first, duplicate_count,
-                                       exclude_values, top_per_group, unpivot_sides)
+from sentinela.operators.joins import (bounded_distinct, dedupe_first, duplicate_count, exclude_values,
+                                       top_per_group, unpivot_sides)
 from sentinela.plans.registry import query
 from sentinela.sources.testdata import Tables
 
@@ -19,10 +19,10 @@ PLACEHOLDER_REGION = "MIDDLE EAST"
 def _matches(t: Tables):
     """Each line item is a match: home = customer nation, away = supplier
     nation, city = order priority."""
-    nat = checked_broadcast(t.nation.select("n_nationkey", "n_name"), 100_000)
+    nat = t.nation.select("n_nationkey", "n_name")
     o = t.orders.select("o_orderkey", "o_custkey", F.col("o_orderpriority").alias("ciudad"))
     c = t.customer.select("c_custkey", "c_nationkey")
-    s = checked_broadcast(t.supplier.select("s_suppkey", "s_nationkey"), 1_000_000)
+    s = t.supplier.select("s_suppkey", "s_nationkey")
     li = t.lineitem.select("l_orderkey", "l_suppkey")
     m = (li.join(o, F.col("l_orderkey") == F.col("o_orderkey"))
          .join(c, F.col("o_custkey") == F.col("c_custkey"))
@@ -49,7 +49,7 @@ def _team_city(spark, sf_dir):
     long = unpivot_sides(_matches(t), ["ciudad"], ["home", "away"], "lado", "team")
     ph = (t.nation.join(t.region.where(F.col("r_name") == PLACEHOLDER_REGION), F.col("n_regionkey") == F.col("r_regionkey"))
           .select("n_name"))
-    kept = exclude_values(long, "team", checked_broadcast(ph, 100_000))
+    kept = exclude_values(long, "team", ph)
     return kept.groupBy("team", "ciudad").agg(F.count(F.lit(1)).alias("partidos"))
 
 
@@ -103,7 +103,7 @@ def longest_prefix(spark, sf_dir):
     bounded dimension: its names are read once (size-checked) into a regex."""
     t = Tables(spark, sf_dir)
     names = bounded_distinct(t.nation, "n_name", 10_000)
-    lines = t.customer.join(checked_broadcast(t.nation.select("n_nationkey", "n_name"), 100_000),
+    lines = t.customer.join(t.nation.select("n_nationkey", "n_name"),
                             F.col("c_nationkey") == F.col("n_nationkey")).select(
         "c_custkey", F.concat_ws(" ", "n_name", F.col("c_custkey").cast("string"),
                                  F.col("c_nationkey").cast("string")).alias("linea"))
