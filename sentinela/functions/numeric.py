@@ -41,7 +41,7 @@ def strip_thousands(c: str | Column, sep: str = ".", to: str = "double") -> Colu
 def parse_count(c: str | Column) -> Column:
     """Bulletin cell number (SCL6 + S14): drop NBSP/U+202F/space; a failed
     integer parse (``n.d.``, ``-``, ``1,234``, empty) gives 0, not NULL."""
-    cleaned = F.regexp_replace(_col(c).cast("string"), COUNT_SPACE_PATTERN, "")
+    cleaned = F.regexp_replace(F.trim(_col(c).cast("string")), COUNT_SPACE_PATTERN, "")
     return F.coalesce(tcast(cleaned, "int"), F.lit(0))
 
 

@@ -14,6 +14,22 @@ def _col(c: str | Column) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+# The characters Python's str.strip() / str.split() treat as
+# whitespace (ASCII controls and spaces, NEL, NBSP, Ogham, en/em spaces,
+# line/paragraph separators, narrow NBSP, math space, ideographic space).
+PY_WHITESPACE = "[\\s\\x1c-\\x1f\\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000]"
+
+
+def py_strip(c: str | Column) -> Column:
+    """str.strip() semantics (Spark's trim removes only ' ')."""
+    return F.regexp_replace(_col(c), f"^{PY_WHITESPACE}+|{PY_WHITESPACE}+$", "")
+
+
+def py_split(c: str | Column) -> Column:
+    """str.split() with no separator: runs of whitespace, no empty tokens."""
+    return F.filter(F.split(py_strip(c), f"{PY_WHITESPACE}+"), lambda x: x != F.lit(""))
+
+
 def clean_header(name: str) -> str:
     """Header repair (SRC3): strip, newline -> space, double space -> one."""
     return str(name).strip().replace("\n", " ").replace("  ", " ")
@@ -37,7 +53,7 @@ def capture_with_fallback(primary: str | Column, fallback: str | Column, pattern
 
 def nonblank_lines(c: str | Column) -> Column:
     """split on newline, trim, drop blanks -> array<string> (SCL5)."""
-    return F.filter(F.transform(F.split(_col(c), "\n"), lambda x: F.trim(x)), lambda x: x != F.lit(""))
+    return F.filter(F.transform(F.split(_col(c), "\n"), lambda x: py_strip(x)), lambda x: x != F.lit(""))
 
 
 def whitespace_tokens(c: str | Column) -> Column:
@@ -55,5 +71,5 @@ def prefix_and_rest(c: str | Column, names: list[str]) -> tuple[Column, Column]:
     """(matched catalogue prefix or NULL, trimmed remainder of the line)."""
     line = _col(c)
     match = first_capture(line, longest_first_alternation(names))
-    rest = F.when(match.isNotNull(), F.trim(F.substring(line, F.length(match) + 1, 1 << 30)))
+    rest = F.when(match.isNotNull(), py_strip(F.substring(line, F.length(match) + 1, 1 << 30)))
     return match, rest

@@ -13,13 +13,19 @@ from pyspark.sql import functions as F
 
 from sentinela.functions.calendar import cyclic_week, iso_week_monday, week_label
 from sentinela.functions.numeric import tcast, parse_count, safe_ratio
-from sentinela.functions.text import first_capture, longest_first_alternation, nonblank_lines
+from sentinela.functions.text import first_capture, nonblank_lines, prefix_and_rest, py_split
 from sentinela.operators.joins import bounded_distinct, dedupe_first, grid_from_values, reindex_fill
 from sentinela.operators.windows import group_totals, new_from_cumulative
 
 KEY = ["anio", "semana", "entidad_federativa", "enfermedad", "sexo"]
 MEASURES = ["casos_semana", "casos_acumulado", "casos_acum_anterior"]
 
+# Issue year / week patterns (first page text, then file name).
+YEAR_TEXT = r"\b(20\d{2})\b"
+WEEK_TEXT = r"[Ss]emana\s+(\d{1,2})\b"
+YEAR_FILE = r"\b(20\d{2})\b"
+WEEK_FILE = r"(?i)sem[_\-]?(\d{1,2})"
+
 # Output schema of the raw bulletin table.
 OUTPUT_COLUMNS = ["anio", "semana", "entidad_federativa", "enfermedad", "cie10", "sexo",
                   "casos_semana", "casos_acumulado", "casos_acum_anterior"]
@@ -131,62 +137,76 @@ def transform(raw: DataFrame, entities: DataFrame, diseases: DataFrame, sexes: D
 
 # ----------------------------------------------------------------- extraction
 
-def issue_year_week(pages: DataFrame, year_pattern: str, week_pattern: str,
-                    file_year_pattern: str, file_week_pattern: str) -> DataFrame:
-    """Per file: year and week from page-1 text, else from the file name, else 0 (EXT1)."""
+def issue_year_week(pages: DataFrame, year_pattern: str = YEAR_TEXT, week_pattern: str = WEEK_TEXT,
+                    file_year_pattern: str = YEAR_FILE, file_week_pattern: str = WEEK_FILE) -> DataFrame:
+    """Per file: year and week from the first page's text, else from the file
+    name, else 0 (EXT1)."""
     p1 = pages.where(F.col("page") == 1).select("file", "text")
     files = pages.select("file").distinct().join(p1, "file", "left")
+
     def pick(text_pat, file_pat):
-        return F.coalesce(tcast(first_capture("text", text_pat), "int"),
+        return F.coalesce(tcast(first_capture(F.coalesce(F.col("text"), F.lit("")), text_pat), "int"),
                           tcast(first_capture("file", file_pat), "int"), F.lit(0))
     return files.select("file", pick(year_pattern, file_year_pattern).alias("anio"),
                         pick(week_pattern, file_week_pattern).alias("semana"))
 
 
 def matching_pages(pages: DataFrame, config: DataFrame) -> DataFrame:
-    """(page, disease) pairs whose text has any ``page_kw`` and all ``require_kw`` (EXT2).
-    The disease config is a handful of rows: broadcast."""
+    """(page, disease) pairs whose text contains any ``page_kw`` and all
+    ``require_kw`` (case-sensitive) (EXT2). The disease config is a handful of
+    rows: broadcast nested-loop join."""
     cfg = F.broadcast(config)
-    text = F.lower(F.col("text"))
-    cond = (F.exists("page_kw", lambda k: F.contains(text, F.lower(k)))
-            & F.forall("require_kw", lambda k: F.contains(text, F.lower(k))))
+    text = F.coalesce(F.col("text"), F.lit(""))
+    cond = (F.exists("page_kw", lambda k: F.contains(text, k))
+            & F.forall("require_kw", lambda k: F.contains(text, k)))
     return pages.crossJoin(cfg).where(cond)
 
 
+def _norm_code(c):
+    return F.upper(F.replace(F.coalesce(c, F.lit("")), F.lit("ª"), F.lit("A")))
+
+
 def block_rows(matched: DataFrame, entity_names: list[str]) -> DataFrame:
     """Parse the disease's column block of each matched page (EXT3-5).
 
-    Block = first header cell (row 0) containing the disease code (with 'ª'
-    read as 'A'); row 3 decides the sex labels ([M, F] when it holds 'F',
-    else [H, M]); row 4 holds the data, each cell a newline-separated column.
-    Lines of the first column are matched to the state catalogue by longest
-    prefix; the numbers after the name and in the block's cells pair up by
-    line index. Each state gives two rows (one per sex)."""
-    hdr = F.transform(F.col("grid")[0], lambda c: F.contains(F.replace(F.coalesce(c, F.lit("")), F.lit("ª"), F.lit("A")),
-                                                              F.col("cie10")))
-    start = F.array_position(hdr, F.lit(True)) - 1
-    row3 = F.get(F.col("grid"), 3)
-    sexes = F.when(F.array_contains(F.transform(F.coalesce(row3, F.array()), lambda c: F.trim(c)), "F"),
+    * block start h = first header cell (row 0) containing the code, 'ª' read as 'A';
+    * sexes = [M, F] when row 3 has a cell 'F', else [H, M];
+    * data row 4; its cells are newline-separated columns: column 0 holds
+      'State [weekly]' lines, h+1 the two cumulative values by sex, h+3 the
+      prior-year cumulative, and h the weekly count unless h = 1 (then the
+      weekly count follows the state name);
+    * state = longest catalogue prefix of the line; lines pair up by index;
+      missing numbers are 0; each state yields one row per sex.
+    Grids that are too short or narrow produce no rows (``get`` is NULL-safe)."""
+    g = F.col("grid")
+    h = F.array_position(F.transform(F.get(g, 0), lambda c: F.contains(_norm_code(c), _norm_code(F.col("cie10")))),
+                         True) - 1
+    sexes = F.when(F.coalesce(F.array_contains(F.get(g, 3), "F"), F.lit(False)),
                    F.array(F.lit("M"), F.lit("F"))).otherwise(F.array(F.lit("H"), F.lit("M")))
-    data = F.get(F.col("grid"), 4)
-    names_pat = longest_first_alternation(entity_names)
-    m = matched.select("file", "page", "enfermedad", "cie10", start.alias("c0"), sexes.alias("sx"),
-                       data.alias("row")).where("c0 >= 0 AND row IS NOT NULL")
-    lines = m.select("file", "page", "enfermedad", "cie10", "c0", "sx",
-                     nonblank_lines(F.get(F.col("row"), 0)).alias("states"),
-                     *[nonblank_lines(F.get(F.col("row"), F.col("c0") + i)).alias(f"v{i}") for i in range(4)])
-    ex = lines.select("*", F.posexplode("states").alias("i", "line"))
-    ent = first_capture("line", names_pat)
-    vals = {f"v{i}": F.get(F.col(f"v{i}"), F.col("i")) for i in range(4)}
-    parsed = ex.withColumns({"entidad_federativa": ent, **vals}).where(F.col("entidad_federativa").isNotNull())
-    # columns in a block: weekly both-sex, cumulative sex-1, cumulative sex-2, prior-year cumulative
-    rows = parsed.select(
+    row = F.get(g, 4)
+    m = matched.select("file", "page", "enfermedad", "cie10", h.cast("int").alias("h"), sexes.alias("sx"),
+                       row.alias("row"))
+    m = m.where((F.col("h") >= 0) & F.col("row").isNotNull() & (F.col("h") + 3 < F.size("row")))
+    cell = lambda i: F.coalesce(F.get(F.col("row"), i), F.lit(""))
+    lines = m.select(
+        "file", "page", "enfermedad", "cie10", "h", "sx",
+        nonblank_lines(cell(F.lit(0))).alias("l0"),
+        nonblank_lines(cell(F.col("h") + 1)).alias("lhm"),
+        nonblank_lines(cell(F.col("h") + 3)).alias("lant"),
+        F.when(F.col("h") != 1, nonblank_lines(cell(F.col("h")))).alias("lsem"))
+    ex = lines.select("*", F.posexplode("l0").alias("i", "line"))
+    ent, rest = prefix_and_rest("line", entity_names)
+    ex = ex.withColumns({"entidad_federativa": ent, "_rest": rest}).where(F.col("entidad_federativa").isNotNull())
+    parts = py_split(F.get(F.col("lhm"), F.col("i")))
+    rows = ex.select(
         "file", "page", "enfermedad", "cie10", "entidad_federativa",
+        F.when(F.col("h") == 1, parse_count("_rest"))
+         .otherwise(parse_count(F.get(F.col("lsem"), F.col("i")))).alias("casos_semana"),
+        parse_count(F.get(F.col("lant"), F.col("i"))).alias("casos_acum_anterior"),
         F.explode(F.array(
-            F.struct(F.col("sx")[0].alias("sexo"), parse_count("v1").alias("casos_acumulado")),
-            F.struct(F.col("sx")[1].alias("sexo"), parse_count("v2").alias("casos_acumulado")),
-        )).alias("s"),
-        parse_count("v0").alias("casos_semana"), parse_count("v3").alias("casos_acum_anterior"))
+            F.struct(F.col("sx")[0].alias("sexo"), parse_count(F.get(parts, 0)).alias("casos_acumulado")),
+            F.struct(F.col("sx")[1].alias("sexo"), parse_count(F.get(parts, 1)).alias("casos_acumulado")),
+        )).alias("s"))
     return rows.select("file", "page", "enfermedad", "cie10", "entidad_federativa", "s.sexo", "casos_semana",
                        "s.casos_acumulado", "casos_acum_anterior")
 
@@ -205,8 +225,9 @@ def missing_diseases(files: DataFrame, config: DataFrame, extracted: DataFrame)
     return want.join(got, ["file", "enfermedad"], "left_anti")
 
 
-def extract(pages: DataFrame, config: DataFrame, entity_names: list[str], year_pattern: str, week_pattern: str,
-            file_year_pattern: str, file_week_pattern: str) -> DataFrame:
+def extract(pages: DataFrame, config: DataFrame, entity_names: list[str], year_pattern: str = YEAR_TEXT,
+            week_pattern: str = WEEK_TEXT, file_year_pattern: str = YEAR_FILE,
+            file_week_pattern: str = WEEK_FILE) -> DataFrame:
     """Pages -> raw long bulletin rows in ``OUTPUT_COLUMNS`` (EXT1-8)."""
     cfg = config.select(F.col("name").alias("enfermedad"), "cie10", "page_kw", "require_kw")
     matched = matching_pages(pages, cfg)

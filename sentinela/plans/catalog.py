@@ -15,6 +15,7 @@ _MODULES = [
     "sentinela.plans.queries_anomaly",
     "sentinela.plans.queries_quality",
     "sentinela.plans.queries_cluster",
+    "sentinela.plans.queries_bulletin",
 ]
 
 for _m in _MODULES:
