@@ -30,7 +30,7 @@ def safe_number(c: str | Column, to: str = "double") -> Column:
 def sentinel_date(c: str | Column, fmt: str = "yyyy-MM-dd") -> Column:
     """Date parse where sentinels and impossible dates become NULL (CLN2)."""
     s = F.trim(_col(c).cast("string"))
-    return F.when(~s.isin(DATE_SENTINELS), F.try_to_date(s, F.lit(fmt)))
+    return F.when(~s.isin(DATE_SENTINELS), F.try_to_date(s, fmt))
 
 
 def strip_thousands(c: str | Column, sep: str = ".", to: str = "double") -> Column:

@@ -16,9 +16,11 @@ def slug(value) -> str:
 
 
 def pivot_metrics(df: DataFrame, index: list[str], pivot_col: str, metrics: list[str],
-                  values: list | None = None, agg: str = "first") -> DataFrame:
+                  values: list | None = None, agg: str = "first", name=None) -> DataFrame:
     """One row per ``index``, columns ``{metric}_{value}`` (pandas pivot_table naming).
 
+    ``name(metric, value)`` spells the output column (default: metric and
+    a column-safe slug of the value).
     ``values`` should be passed (it saves a job and fixes the column set);
     when omitted they are read with a bound check. ``agg='first'`` skips
     NULLs (S10); ``'max'`` is the AGG12 variant.
@@ -31,7 +33,7 @@ def pivot_metrics(df: DataFrame, index: list[str], pivot_col: str, metrics: list
     for v in values:
         for m in metrics:
             spark_name = f"{v}_{m}" if len(metrics) > 1 else str(v)
-            renames[spark_name] = f"{m}_{slug(v)}"
+            renames[spark_name] = name(m, v) if name else f"{m}_{slug(v)}"
     return wide.withColumnsRenamed(renames)
 
 
