@@ -157,8 +157,13 @@ def matching_pages(pages: DataFrame, config: DataFrame) -> DataFrame:
     rows: broadcast nested-loop join."""
     cfg = F.broadcast(config)
     text = F.coalesce(F.col("text"), F.lit(""))
-    cond = (F.exists("page_kw", lambda k: F.contains(text, k))
-            & F.forall("require_kw", lambda k: F.contains(text, k)))
+
+    # lambdas see only their own arguments: the page text is zipped into the
+    # keyword arrays instead of being referenced from inside the lambda
+    def with_text(arr):
+        return F.arrays_zip(F.col(arr).alias("kw"), F.array_repeat(text, F.size(arr)).alias("t"))
+    cond = (F.exists(with_text("page_kw"), lambda z: F.contains(z["t"], z["kw"]))
+            & F.forall(with_text("require_kw"), lambda z: F.contains(z["t"], z["kw"])))
     return pages.crossJoin(cfg).where(cond)
 
 
@@ -179,8 +184,9 @@ def block_rows(matched: DataFrame, entity_names: list[str]) -> DataFrame:
       missing numbers are 0; each state yields one row per sex.
     Grids that are too short or narrow produce no rows (``get`` is NULL-safe)."""
     g = F.col("grid")
-    h = F.array_position(F.transform(F.get(g, 0), lambda c: F.contains(_norm_code(c), _norm_code(F.col("cie10")))),
-                         True) - 1
+    hdr = F.coalesce(F.get(g, 0), F.array().cast("array<string>"))
+    zipped = F.arrays_zip(hdr.alias("c"), F.array_repeat(_norm_code(F.col("cie10")), F.size(hdr)).alias("k"))
+    h = F.array_position(F.transform(zipped, lambda z: F.contains(_norm_code(z["c"]), z["k"])), True) - 1
     sexes = F.when(F.coalesce(F.array_contains(F.get(g, 3), "F"), F.lit(False)),
                    F.array(F.lit("M"), F.lit("F"))).otherwise(F.array(F.lit("H"), F.lit("M")))
     row = F.get(g, 4)
