@@ -63,3 +63,13 @@ def clip(c: str | Column, lower: float | None = None, upper: float | None = None
     if upper is not None:
         out = F.least(out, F.lit(upper))
     return out
+
+
+def band_label(c: str | Column, bands: list[tuple[float, str]], otherwise: str) -> Column:
+    """Threshold bands (SCL15): first (lower bound, label) with value >= bound,
+    bounds given from high to low; NULL stays NULL."""
+    x = _col(c)
+    out = None
+    for bound, label in bands:
+        out = F.when(x >= bound, F.lit(label)) if out is None else out.when(x >= bound, F.lit(label))
+    return F.when(x.isNull(), F.lit(None)).otherwise(out.otherwise(F.lit(otherwise)))

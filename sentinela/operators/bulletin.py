@@ -231,6 +231,14 @@ def missing_diseases(files: DataFrame, config: DataFrame, extracted: DataFrame)
     return want.join(got, ["file", "enfermedad"], "left_anti")
 
 
+def quarantine(pages: DataFrame, config: DataFrame, rows: DataFrame) -> DataFrame:
+    """Matched (file, page, disease) whose grid produced no row: malformed or
+    short grids end up here instead of failing the job (EXT8)."""
+    cfg = config.select(F.col("name").alias("enfermedad"), "cie10", "page_kw", "require_kw")
+    m = matching_pages(pages, cfg).select("file", "page", "enfermedad")
+    return m.join(rows.select("file", "page", "enfermedad").distinct(), ["file", "page", "enfermedad"], "left_anti")
+
+
 def extract(pages: DataFrame, config: DataFrame, entity_names: list[str], year_pattern: str = YEAR_TEXT,
             week_pattern: str = WEEK_TEXT, file_year_pattern: str = YEAR_FILE,
             file_week_pattern: str = WEEK_FILE) -> DataFrame:

@@ -185,3 +185,9 @@ def label_clusters(pred: DataFrame, cluster: str, labels: dict[int, str], out: s
     """Cluster id -> text label through a small broadcast map (CLU9)."""
     m = F.create_map(*[x for kv in labels.items() for x in (F.lit(kv[0]), F.lit(kv[1]))])
     return pred.withColumn(out, m[F.col(cluster)])
+
+
+def label_comparison(a: DataFrame, b: DataFrame, key: str, la: str, lb: str) -> DataFrame:
+    """Side-by-side labels of two clusterings with an agreement count table (CLU8)."""
+    j = a.select(key, la).join(b.select(key, lb), key)
+    return j.groupBy(la, lb).agg(F.count(F.lit(1)).alias("n"))

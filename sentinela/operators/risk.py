@@ -69,3 +69,10 @@ def scenario_projection(series: DataFrame, date: str, value: str, months: list[i
 def ranked(df: DataFrame, score: str, k: int, tie: str) -> DataFrame:
     """Top-k by score (RSK6/SRT2): orderBy + limit plans as TakeOrderedAndProject."""
     return df.orderBy(F.col(score).desc(), F.col(tie).asc()).limit(k)
+
+
+def city_team_features(team_features: DataFrame, team_city: DataFrame, city: str, cols: list[str]) -> DataFrame:
+    """Mean team features per host city (TS11), e.g. mean vaccination of the
+    teams that play there."""
+    j = team_features.join(team_city, "Country")
+    return j.groupBy(city).agg(*[F.avg(c).alias(f"{c}_media_equipos") for c in cols])

@@ -95,3 +95,17 @@ def isolation_forest_q(spark, sf_dir):
     zf = [c + "_z" for c in IF_FEATURES]
     out = isolation_forest(z, ["event_type"], zf, "_rid", n_trees=100, max_samples=256, contamination=0.10, seed=42)
     return out.select("event_type", "dia", *IF_FEATURES, "if_score", "anomalia_if")
+
+
+@query("outbreak_join", LABELS_SQL + """,
+v AS (SELECT CAST(ts AS DATE) AS dia, event_type, sum(value) AS valor_total FROM events GROUP BY 1, 2)
+SELECT lab.event_type, lab.dia, lab.n_eventos, v.valor_total FROM lab JOIN v USING (event_type, dia)
+WHERE lab.brote = 1
+""")
+def outbreak_join(spark, sf_dir):
+    """Outbreak days joined to another daily series (JN4): inner join on the
+    flagged (type, day) rows only."""
+    lab = _labels(spark, sf_dir).where("brote = 1").select("event_type", "dia", "n_eventos")
+    ev = Tables(spark, sf_dir).events
+    v = ev.groupBy("event_type", F.to_date("ts").alias("dia")).agg(F.sum("value").alias("valor_total"))
+    return lab.join(v, ["event_type", "dia"], "inner")
