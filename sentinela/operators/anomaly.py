@@ -187,7 +187,8 @@ TREE_SCHEMA = T.StructType([
 
 def isolation_forest(df: DataFrame, group: list[str], features: list[str], row_id: str, n_trees: int = 100,
                      max_samples: int = 256, contamination: float = 0.10, seed: int = 42,
-                     exact_threshold: bool = True, broadcast_trees_max_groups: int = 10_000) -> DataFrame:
+                     exact_threshold: bool | None = None, exact_max_group: int = 5_000_000,
+                     broadcast_trees_max_groups: int = 10_000) -> DataFrame:
     """Isolation forest fitted and applied per group (ANO1).
 
     1. Each row joins tree t of its group with probability p = min(1, 4 psi / n_g)
@@ -200,7 +201,9 @@ def isolation_forest(df: DataFrame, group: list[str], features: list[str], row_i
        a hot group over many tasks; an Arrow-batched UDF averages path lengths.
     4. score = -2^(-E[h]/c(psi)) (higher = more normal); the threshold is the
        ``contamination`` quantile of the group's scores; if_score = score -
-       threshold, anomalia_if = if_score < 0.
+       threshold, anomalia_if = if_score < 0. The quantile is exact (linear
+       interpolation, as NumPy) while the largest group has at most
+       ``exact_max_group`` rows, else a 1e-5-accurate sketch.
     Features are used as given (standardise first, e.g. with ``standardize``).
     """
     gcol = F.concat_ws("\u0001", *[F.col(c).cast("string") for c in group])
@@ -281,8 +284,12 @@ def isolation_forest(df: DataFrame, group: list[str], features: list[str], row_i
 
         scored = rows_s.groupBy("_g", "_salt").cogroup(trees_s.groupBy("_g", "_salt")).applyInPandas(
             score_group, score_schema)
+    if exact_threshold is None:
+        # the exact percentile keeps a group's distinct scores in one task's
+        # buffer: fine for bounded groups; beyond that use the sketch
+        exact_threshold = sizes.agg(F.max("_n")).first()[0] <= exact_max_group
     q = (F.percentile("_s", F.lit(contamination)) if exact_threshold
-         else F.percentile_approx("_s", F.lit(contamination), F.lit(10_000)))
+         else F.percentile_approx("_s", F.lit(contamination), F.lit(100_000)))
     thr = scored.groupBy("_g").agg(q.alias("_thr"))
     out = scored.join(thr, "_g").withColumn("if_score", F.col("_s") - F.col("_thr"))
     return out.withColumn("anomalia_if", F.col("if_score") < 0).drop("_g", "_n", "_s", "_thr")
