@@ -175,3 +175,40 @@ def replace_partition(spark, sf_dir):
         F.col("anio") == REPLACED_YEAR)
     replace_partitions(redo, path, ["anio"])
     return spark.read.parquet(path)
+
+
+@query("weeks_with_data", f"""
+WITH wk AS ({WEEKLY_SQL})
+SELECT anio, semana, sum(casos_acumulado) AS total, sum(casos_acumulado) > 0 AS con_datos FROM wk GROUP BY 1, 2
+""")
+def weeks_with_data(spark, sf_dir):
+    """Per (year, week): total cumulative cases and the has-data flag (AGG22)."""
+    from sentinela.operators.quality import grouped_flag
+    wk = weekly_bulletin(spark, sf_dir).withColumn("_k", F.struct("anio", "semana"))
+    return grouped_flag(wk, "_k", "casos_acumulado").select("_k.anio", "_k.semana", "total", "con_datos")
+
+
+@query("basic_checks", f"""
+WITH wk AS ({WEEKLY_SQL})
+SELECT count(*) AS n_filas, count_if(casos_semana < 0) AS neg_casos_semana,
+       count_if(casos_semana IS NULL) AS null_casos_semana, count_if(casos_acumulado < 0) AS neg_casos_acumulado,
+       count_if(casos_acumulado IS NULL) AS null_casos_acumulado FROM wk
+""")
+def basic_checks_q(spark, sf_dir):
+    """Row count, negatives and NULLs of the weekly bulletin measures (DQ3)."""
+    from sentinela.operators.quality import basic_checks
+    return basic_checks(weekly_bulletin(spark, sf_dir), ["casos_semana", "casos_acumulado"])
+
+
+@query("round_trip", f"""
+SELECT count(*) AS n_filas, true AS iguales FROM ({CASE_COUNTS_SQL})
+""")
+def round_trip(spark, sf_dir):
+    """Write the monthly counts to the shared checkpoint folder, read them back
+    and compare count, column names and an order-free content hash (SNK5)."""
+    from sentinela.sinks.writers import round_trip_ok
+    counts = monthly_counts(spark, sf_dir)
+    path = scratch_path(spark, "round_trip")
+    counts.write.mode("overwrite").parquet(path)
+    ok = round_trip_ok(spark, counts, path)
+    return spark.read.parquet(path).agg(F.count(F.lit(1)).alias("n_filas")).withColumn("iguales", F.lit(ok))

@@ -274,3 +274,36 @@ def zscore_check(spark, sf_dir):
     ok = (F.abs("m") <= 1e-6) & (F.abs(F.col("s") - 1) <= 1e-6) & (F.col("nulos") == 0)
     return out.select("event_type", (F.bround("m", 6) + F.lit(0.0)).alias("media"), F.bround("s", 6).alias("std"),
                       "nulos", ok.alias("ok"))
+
+
+@query("city_team_features", NATION_RISK_SQL + """
+SELECT n.n_regionkey, round_even(avg(r.cobertura), 6) AS cobertura_media_equipos,
+       round_even(avg(r.score_riesgo_norm), 6) AS score_riesgo_norm_media_equipos
+FROM r JOIN nation n USING (n_nationkey) GROUP BY 1
+""")
+def city_team_features_q(spark, sf_dir):
+    """Mean features of the teams (nations) of each host city (region) (TS11)."""
+    from sentinela.operators.risk import city_team_features
+    t = Tables(spark, sf_dir)
+    feats = _nation_risk(spark, sf_dir).withColumnRenamed("n_nationkey", "Country")
+    team_city = t.nation.select(F.col("n_nationkey").alias("Country"), "n_regionkey")
+    out = city_team_features(feats, team_city, "n_regionkey", ["cobertura", "score_riesgo_norm"])
+    return out.select("n_regionkey", *[F.bround(c, 6).alias(c) for c in out.columns if c != "n_regionkey"])
+
+
+# Coverage bands (target 95 %, acceptable from 90 %).
+COVERAGE_BANDS = [(95.0, "meta"), (90.0, "aceptable")]
+
+
+@query("coverage_bands", NATION_RISK_SQL + """
+SELECT n_nationkey, round_even(cobertura, 6) AS cobertura,
+       CASE WHEN cobertura IS NULL THEN NULL WHEN cobertura >= 95.0 THEN 'meta'
+            WHEN cobertura >= 90.0 THEN 'aceptable' ELSE 'bajo' END AS banda
+FROM r
+""")
+def coverage_bands(spark, sf_dir):
+    """Coverage threshold bands per nation (SCL15)."""
+    from sentinela.functions.numeric import band_label
+    r = _nation_risk(spark, sf_dir)
+    return r.select("n_nationkey", F.bround("cobertura", 6).alias("cobertura"),
+                    band_label("cobertura", COVERAGE_BANDS, "bajo").alias("banda"))
