@@ -17,9 +17,20 @@ def _col(c: str | Column) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+INTEGRAL = {"int", "integer", "long", "bigint", "short", "smallint", "tinyint", "byte"}
+
+
 def tcast(c: str | Column, to: str) -> Column:
-    """try_cast: NULL instead of an error when the value doesn't convert (S1)."""
-    return _col(c).try_cast(to)
+    """try_cast: NULL instead of an error when the value doesn't convert (S1).
+
+    Strings headed for an integral type are first matched against a digits
+    pattern: a failed cast costs an exception per row, so values that cannot
+    convert are turned to NULL without attempting it (same result)."""
+    x = _col(c)
+    if to.lower() in INTEGRAL:
+        # Spark trims characters <= U+0020 before an integral cast: same here
+        return F.when(x.cast("string").rlike(r"^[\x00-\x20]*[+-]?[0-9]+[\x00-\x20]*$"), x.try_cast(to))
+    return x.try_cast(to)
 
 
 def safe_number(c: str | Column, to: str = "double") -> Column:
