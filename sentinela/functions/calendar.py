@@ -81,3 +81,10 @@ def in_calendar_window(d: str | Column, year: int, months: list[int]) -> Column:
     """year(d) == year and month(d) in months, as int 0/1 (TS6)."""
     dc = _col(d)
     return ((F.year(dc) == year) & F.month(dc).isin(months)).cast("int")
+
+
+def year_between(d: str | Column, first_year: int, last_year: int) -> Column:
+    """first_year <= year(d) <= last_year written as a range on the raw column,
+    so Parquet scans get it as pushed filters (``year(d) BETWEEN`` is not)."""
+    dc = _col(d)
+    return (dc >= F.lit(f"{int(first_year):04d}-01-01")) & (dc < F.lit(f"{int(last_year) + 1:04d}-01-01"))

@@ -6,7 +6,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from sentinela.functions.calendar import month_start
+from sentinela.functions.calendar import month_start, year_between
 from sentinela.operators.risk import (city_mean_score, composite_index, country_risk, scenario_projection,
                                       seasonal_split, seasonal_weights)
 from sentinela.operators.scaling import median_impute, standardize
@@ -58,7 +58,7 @@ SELECT i.*, v.saldo_mean, v.saldo_min, v.saldo_std FROM i LEFT JOIN v USING (c_n
 """)
 def group_stats(spark, sf_dir):
     t = Tables(spark, sf_dir)
-    m = (_orders_by_nation(t).where(F.year("o_orderdate").between(*WINDOW_YEARS))
+    m = (_orders_by_nation(t).where(year_between("o_orderdate", *WINDOW_YEARS))
          .groupBy("c_nationkey", month_start("o_orderdate").alias("mes")).agg(F.count(F.lit(1)).alias("n")))
     inc = incidence_stats(m, ["c_nationkey"], "n")
     cov = coverage_stats(t.customer, ["c_nationkey"], "c_acctbal", "saldo")
