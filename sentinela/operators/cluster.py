@@ -33,7 +33,7 @@ def array_features(df: DataFrame, col: str, out: str = "features") -> DataFrame:
 
 
 def kmeans_best(df: DataFrame, k: int, features: str = "features", n_init: int = 30, max_iter: int = 1000,
-                seed: int = 42, order_by: str | None = None, parallelism: int = 4):
+                seed: int = 42, order_by: str | None = None, parallelism: int | None = None):
     """Best of ``n_init`` seeded K-Means fits by training cost (CLU2).
 
     Cluster ids are then renumbered deterministically: by the mean of
@@ -47,6 +47,7 @@ def kmeans_best(df: DataFrame, k: int, features: str = "features", n_init: int =
 
     # Restarts are independent Spark jobs: submit them concurrently (as
     # CrossValidator's ``parallelism`` does); each fit is distributed itself.
+    parallelism = parallelism or df.sparkSession.sparkContext.defaultParallelism
     with ThreadPoolExecutor(max_workers=max(1, min(n_init, parallelism))) as pool:
         fits = list(pool.map(fit, range(n_init)))
     _, model, cost = min(fits, key=lambda t: (t[2], t[0]))

@@ -98,7 +98,7 @@ def isolation_forest_q(spark, sf_dir):
 
 
 @query("outbreak_join", LABELS_SQL + """,
-v AS (SELECT CAST(ts AS DATE) AS dia, event_type, sum(value) AS valor_total FROM events GROUP BY 1, 2)
+v AS (SELECT CAST(ts AS DATE) AS dia, event_type, round_even(sum(value), 6) AS valor_total FROM events GROUP BY 1, 2)
 SELECT lab.event_type, lab.dia, lab.n_eventos, v.valor_total FROM lab JOIN v USING (event_type, dia)
 WHERE lab.brote = 1
 """)
@@ -107,5 +107,5 @@ def outbreak_join(spark, sf_dir):
     flagged (type, day) rows only."""
     lab = _labels(spark, sf_dir).where("brote = 1").select("event_type", "dia", "n_eventos")
     ev = Tables(spark, sf_dir).events
-    v = ev.groupBy("event_type", F.to_date("ts").alias("dia")).agg(F.sum("value").alias("valor_total"))
+    v = ev.groupBy("event_type", F.to_date("ts").alias("dia")).agg(F.bround(F.sum("value"), 6).alias("valor_total"))
     return lab.join(v, ["event_type", "dia"], "inner")
