@@ -4,14 +4,17 @@ proven size bound); per-group statistics use a window partitioned by group."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def median_impute(df: DataFrame, cols: list[str], group: list[str] | None = None) -> DataFrame:
+def median_impute(df: DataFrame, cols: list[str], group: list[str] | None = None, exact: bool = True) -> DataFrame:
     """Fill NULLs with the exact interpolated median (S8) of each column,
-    globally or per group."""
-    meds = [F.median(c).alias(f"_med_{c}") for c in cols]
+    globally or per group. The exact median keeps each group's distinct
+    values in one aggregation buffer; ``exact=False`` uses a bounded-memory
+    quantile sketch for unbounded columns."""
+    med = F.median if exact else (lambda c: F.percentile_approx(c, 0.5, 100_000))
+    meds = [med(c).alias(f"_med_{c}") for c in cols]
     if group:
         stats = df.groupBy(*group).agg(*meds)
         out = df.join(stats, group, "left")
@@ -24,39 +27,39 @@ def median_impute(df: DataFrame, cols: list[str], group: list[str] | None = None
 def standardize(df: DataFrame, cols: list[str], group: list[str] | None = None, suffix: str = "_z",
                 fill_null: float = 0.0) -> DataFrame:
     """(x - mean) / population std (S7: sklearn StandardScaler), zero-variance
-    scale = 1 so the column becomes 0. NULL inputs -> ``fill_null`` first."""
-    w = Window.partitionBy(*group) if group else None
-    out = df
-    for c in cols:
-        x = F.coalesce(F.col(c).cast("double"), F.lit(fill_null))
-        if w is not None:
-            mu, sd = F.avg(x).over(w), F.stddev_pop(x).over(w)
-        else:
-            mu, sd = F.col(f"_mu_{c}"), F.col(f"_sd_{c}")
-            out = out.crossJoin(F.broadcast(df.agg(F.avg(x).alias(f"_mu_{c}"), F.stddev_pop(x).alias(f"_sd_{c}"))))
-        scale = F.when(sd > 0, sd).otherwise(F.lit(1.0))
-        out = out.withColumn(c + suffix, (x - mu) / scale)
-        if w is None:
-            out = out.drop(f"_mu_{c}", f"_sd_{c}")
-    return out
+    scale = 1 so the column becomes 0. NULL inputs -> ``fill_null`` first.
+
+    Statistics come from one partially-aggregated ``groupBy`` (a one-row
+    ``agg`` without groups) joined back on the group keys, never from an
+    unbounded window, so a group holding a third of the rows is summed
+    map-side instead of being buffered by one task; the small statistics
+    table is broadcast by the planner / AQE when it fits."""
+    xs = {c: F.coalesce(F.col(c).cast("double"), F.lit(fill_null)) for c in cols}
+    aggs = [a for c, x in xs.items() for a in (F.avg(x).alias(f"_mu_{c}"), F.stddev_pop(x).alias(f"_sd_{c}"))]
+    if group:
+        out = df.join(df.groupBy(*group).agg(*aggs), list(group), "left")
+    else:
+        out = df.crossJoin(F.broadcast(df.agg(*aggs)))
+    for c, x in xs.items():
+        sd = F.col(f"_sd_{c}")
+        out = out.withColumn(c + suffix, (x - F.col(f"_mu_{c}")) / F.when(sd > 0, sd).otherwise(F.lit(1.0)))
+    return out.drop(*[f"_{k}_{c}" for c in cols for k in ("mu", "sd")])
 
 
 def minmax_scale(df: DataFrame, col: str, out: str, top: float = 10.0, digits: int | None = 2,
                  group: list[str] | None = None) -> DataFrame:
     """(x - min) / (max - min) * top, half-even rounded; zero range -> 0.0 (RSK2, Q13)."""
     x = F.col(col).cast("double")
+    stats = [F.min(x).alias("_lo"), F.max(x).alias("_hi")]
     if group:
-        w = Window.partitionBy(*group)
-        lo, hi = F.min(x).over(w), F.max(x).over(w)
-        base = df
+        base = df.join(df.groupBy(*group).agg(*stats), list(group), "left")
     else:
-        base = df.crossJoin(F.broadcast(df.agg(F.min(x).alias("_lo"), F.max(x).alias("_hi"))))
-        lo, hi = F.col("_lo"), F.col("_hi")
+        base = df.crossJoin(F.broadcast(df.agg(*stats)))
+    lo, hi = F.col("_lo"), F.col("_hi")
     val = F.when(hi > lo, (x - lo) / (hi - lo) * F.lit(top)).otherwise(F.when(x.isNotNull(), F.lit(0.0)))
     if digits is not None:
         val = F.bround(val, digits)
-    res = base.withColumn(out, val)
-    return res if group else res.drop("_lo", "_hi")
+    return base.withColumn(out, val).drop("_lo", "_hi")
 
 
 def share_of_max(df: DataFrame, cols: list[str], top: float = 10.0, suffix: str = "_rel") -> DataFrame:

@@ -48,9 +48,12 @@ def trend_slope(df: DataFrame, group: list[str], y: str, x: str, min_points: int
         F.when(F.regr_count(F.col(y), F.col(x)) >= min_points, F.regr_slope(F.col(y), F.col(x))).alias(out))
 
 
-def percentiles(df: DataFrame, group: list[str], value: str, qs: list[float]) -> DataFrame:
-    """Exact interpolated percentiles (AGG19, S8); columns p75, p90, ..."""
-    arr = F.percentile(F.col(value), [float(q) for q in qs])
+def percentiles(df: DataFrame, group: list[str], value: str, qs: list[float], exact: bool = True) -> DataFrame:
+    """Exact interpolated percentiles (AGG19, S8); columns p75, p90, ...
+    ``exact=False`` switches to the bounded-memory sketch for groups whose
+    distinct values don't fit one task's buffer."""
+    arr = (F.percentile(F.col(value), [float(q) for q in qs]) if exact
+           else F.percentile_approx(F.col(value), [float(q) for q in qs], 100_000))
     out = df.groupBy(*group).agg(arr.alias("_p"))
     return out.select(*group, *[F.col("_p")[i].alias(f"p{round(q * 100):d}") for i, q in enumerate(qs)])
 
