@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -17,10 +19,10 @@ def violations(df: DataFrame, rules: dict[str, Column], table: str) -> DataFrame
 def assert_rules(df: DataFrame, rules: dict[str, Column]) -> DataFrame:
     """Raise mode of DQ1: the returned DataFrame fails at execution on the first
     violating row (``assert_true``), otherwise passes rows through."""
-    checks = [F.assert_true(~F.coalesce(cond, F.lit(False)), F.lit(f"rule violated: {name}"))
+    checks = [F.assert_true(~F.coalesce(cond, F.lit(False)), F.lit(f"rule violated: {name}")).isNull()
               for name, cond in rules.items()]
-    return df.select("*", *[c.alias(f"_chk{i}") for i, c in enumerate(checks)]).drop(
-        *[f"_chk{i}" for i in range(len(checks))])
+    # a filter (not a dropped column) so column pruning cannot remove the checks
+    return df.where(reduce(lambda a, b: a & b, checks))
 
 
 def basic_checks(df: DataFrame, numeric: list[str], expected_rows: int | None = None) -> DataFrame:
