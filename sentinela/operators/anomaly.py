@@ -207,7 +207,9 @@ def isolation_forest(df: DataFrame, group: list[str], features: list[str], row_i
     Features are used as given (standardise first, e.g. with ``standardize``).
     """
     gcol = F.concat_ws("\u0001", *[F.col(c).cast("string") for c in group])
-    base = df.withColumn("_g", gcol)
+    # fit, size check and scoring all read the input: persist it (it is the
+    # per-group feature table, typically an aggregate) so upstream work runs once
+    base = df.withColumn("_g", gcol).persist()
     sizes = base.groupBy("_g").agg(F.count(F.lit(1)).alias("_n"))
     base = base.join(sizes, "_g")
     psi = F.least(F.col("_n"), F.lit(max_samples))

@@ -62,6 +62,10 @@ def densify(df: DataFrame, entities, diseases=None, sexes=None, min_year: int =
     (broadcast nested-loop joins). The fact is joined once on the full key."""
     order = order if order is not None else [F.col(c) for c in MEASURES]
     spark = df.sparkSession
+    # The input (an extracted / aggregated weekly table) feeds two jobs: the
+    # bounded set collection and the grid join. Persisting it keeps the
+    # upstream scan (e.g. a raw fact of any size) to a single pass.
+    df = df.persist()
     aggs = [F.collect_set(F.when(F.col("anio") > min_year, F.col("anio").cast("int"))).alias("anio"),
             F.collect_set(F.when(F.col("semana").between(1, 53), F.col("semana").cast("int"))).alias("semana")]
     if diseases is None:

@@ -39,7 +39,7 @@ def case_labels(linelist: DataFrame, hosts: DataFrame, eps: float = 1.2, min_sam
     ll = linelist.join(F.broadcast(hosts), "ENTIDAD_RES")  # hosts: a few literal rows
     counts = case_counts(ll.withColumnRenamed("sede", "_sede"), "ENTIDAD_RES", "anio_mes_dt", "DIAGNOSTICO",
                          "VACUNACION", "COMPLICACIONES", entity_label=F.col("_sede"))
-    counts = counts.withColumn("_rid", F.xxhash64("ENTIDAD_RES", "anio_mes_dt"))
+    counts = counts.withColumn("_rid", F.xxhash64("ENTIDAD_RES", "anio_mes_dt")).persist()  # scanned once
     z = standardize(counts, IF_FEATURES, ["ENTIDAD_RES"])
     forest = isolation_forest(z, ["ENTIDAD_RES"], [c + "_z" for c in IF_FEATURES], "_rid", n_trees=n_trees,
                               contamination=contamination, seed=seed)
@@ -127,6 +127,7 @@ def monthly_panel(target: DataFrame, risk: DataFrame, series: list[DataFrame], p
     on the long (sede, fecha) form, partitioned by sede. Its result has one
     row per sede (bounded) and names the lag columns. The lag columns shift
     over the panel's month rows, one row per month (bounded by the calendar)."""
+    target = target.persist()  # read by the sede list, the pivot and the lag search
     sedes = sorted(r["sede"] for r in target.select("sede").distinct().collect())
     wide = pivot_metrics(target.withColumnRenamed("anio_mes_dt", "fecha"), ["fecha"], "sede", PANEL_METRICS, sedes,
                          name=lambda m, v: f"{m}_{v}")
