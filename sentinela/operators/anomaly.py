@@ -18,7 +18,25 @@ from sentinela.operators.joins import has_at_most
 
 
 def dbscan_1d(df: DataFrame, group: list[str], x: str, order: str, eps: float = 1.2, min_samples: int = 2,
-              label: str = "db_label") -> DataFrame:
+              label: str = "db_label", method: str = "auto", window_max_points: int = 1_000_000) -> DataFrame:
+    """Exact DBSCAN on one numeric feature per group (ANO2), no UDF.
+
+    ``method='window'`` runs the window recipe below over each group's
+    distinct values; ``'bucketed'`` (see ``_dbscan_1d_bucketed``) never puts
+    a whole group in one window partition; ``'auto'`` measures the largest
+    group (distinct values, one small aggregate) and picks the window recipe
+    up to ``window_max_points``. Both give identical labels."""
+    if method == "auto":
+        pts = df.groupBy(*group, F.col(x).cast("double").alias("_x")).agg(F.count(F.lit(1)).alias("_m"))
+        biggest = pts.groupBy(*group).agg(F.count(F.lit(1)).alias("_n")).agg(F.max("_n")).first()[0] or 0
+        method = "window" if biggest <= window_max_points else "bucketed"
+    if method == "bucketed":
+        return _dbscan_1d_bucketed(df, group, x, order, eps, min_samples, label)
+    return _dbscan_1d_window(df, group, x, order, eps, min_samples, label)
+
+
+def _dbscan_1d_window(df: DataFrame, group: list[str], x: str, order: str, eps: float = 1.2,
+                      min_samples: int = 2, label: str = "db_label") -> DataFrame:
     """Exact DBSCAN on one numeric feature per group, as window SQL (no UDF).
 
     * Points are collapsed to distinct (group, x) with their multiplicity and
@@ -61,6 +79,61 @@ def dbscan_1d(df: DataFrame, group: list[str], x: str, order: str, eps: float =
             .withColumn("anomalia_db", F.col(label) == -1))
 
 
+def _dbscan_1d_bucketed(df: DataFrame, group: list[str], x: str, order: str, eps: float = 1.2,
+                        min_samples: int = 2, label: str = "db_label") -> DataFrame:
+    """Exact 1-D DBSCAN whose windows are partitioned by (group, bucket).
+
+    Buckets have width eps (b = floor(x / eps)), so two values in one bucket
+    are closer than eps, and all neighbours of x lie in buckets b-1..b+1.
+    * Each distinct point is copied to its two neighbour buckets (a bounded
+      3x halo); a RANGE frame per (group, bucket) gives neighbour counts and,
+      in a second halo pass, the nearest core point below and above within eps.
+    * Core points of one bucket always share an island, so islands are runs
+      over the per-group table of core buckets (one row per occupied bucket,
+      not per point); islands are numbered by their earliest input position.
+    * Border points take the lower-numbered of the (at most two) adjacent
+      islands, the rest is noise (-1)."""
+    g = list(group)
+    part = ", ".join(f"`{c}`" for c in g)
+    e = float(eps)
+    pts = df.groupBy(*g, F.col(x).cast("double").alias("_x")).agg(
+        F.count(F.lit(1)).alias("_m"), F.min(order).alias("_first"))
+    pts = pts.withColumn("_b", F.floor(F.col("_x") / F.lit(e)).cast("long"))
+
+    def halo(frame: DataFrame) -> DataFrame:
+        return frame.withColumn("_tb", F.explode(F.array(F.col("_b") - 1, F.col("_b"), F.col("_b") + 1)))
+
+    nb = F.expr(f"sum(_m) OVER (PARTITION BY {part}, _tb ORDER BY _x "
+                f"RANGE BETWEEN {e!r}D PRECEDING AND {e!r}D FOLLOWING)")
+    counted = halo(pts).withColumn("_n", nb).where(F.col("_tb") == F.col("_b"))
+    pts = counted.select(*g, "_x", "_m", "_first", "_b", (F.col("_n") >= min_samples).alias("_core"))
+
+    core = pts.where("_core")
+    cb = core.groupBy(*g, "_b").agg(F.min("_x").alias("_cmin"), F.max("_x").alias("_cmax"))
+    wb = Window.partitionBy(*g).orderBy("_b")
+    new_isl = F.coalesce((F.col("_cmin") - F.lag("_cmax").over(wb)) > e, F.lit(True)).cast("int")
+    cb = cb.withColumn("_new", new_isl).withColumn(
+        "_isl", F.sum("_new").over(wb.rowsBetween(Window.unboundedPreceding, 0)))
+    core_isl = core.join(cb.select(*g, "_b", "_isl"), [*g, "_b"])
+    isl = core_isl.groupBy(*g, "_isl").agg(F.min("_first").alias("_f"))
+    isl = isl.withColumn("_lab", F.row_number().over(Window.partitionBy(*g).orderBy("_f", "_isl")) - 1)
+    core_lab = core_isl.join(isl.select(*g, "_isl", "_lab"), [*g, "_isl"]).select(*g, "_x", "_lab")
+
+    below = F.expr(f"max(CASE WHEN _core THEN _x END) OVER (PARTITION BY {part}, _tb ORDER BY _x "
+                   f"RANGE BETWEEN {e!r}D PRECEDING AND CURRENT ROW)")
+    above = F.expr(f"min(CASE WHEN _core THEN _x END) OVER (PARTITION BY {part}, _tb ORDER BY _x "
+                   f"RANGE BETWEEN CURRENT ROW AND {e!r}D FOLLOWING)")
+    near = halo(pts).withColumns({"_lo": below, "_hi": above}).where(
+        (F.col("_tb") == F.col("_b")) & ~F.col("_core")).select(*g, "_x", "_lo", "_hi")
+    lo_lab = core_lab.select(*g, F.col("_x").alias("_lo"), F.col("_lab").alias("_llo"))
+    hi_lab = core_lab.select(*g, F.col("_x").alias("_hi"), F.col("_lab").alias("_lhi"))
+    border = (near.join(lo_lab, [*g, "_lo"], "left").join(hi_lab, [*g, "_hi"], "left")
+              .select(*g, "_x", F.coalesce(F.least("_llo", "_lhi"), F.lit(-1)).alias("_lab")))
+    labels = core_lab.unionByName(border).select(*g, "_x", F.col("_lab").cast("int").alias(label))
+    return (df.withColumn("_x", F.col(x).cast("double")).join(labels, [*g, "_x"], "left").drop("_x")
+            .withColumn("anomalia_db", F.col(label) == -1))
+
+
 def dbscan_1d_sql(table: str, group: str, x: str, order: str, eps: float = 1.2, min_samples: int = 2) -> str:
     """The same recipe as DuckDB SQL (used as the oracle)."""
     return f"""

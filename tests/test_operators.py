@@ -143,19 +143,21 @@ def _dbscan_reference(xs, eps, min_samples):
     return labels
 
 
+@pytest.mark.parametrize("method", ["window", "bucketed"])
 @pytest.mark.parametrize("min_samples", [2, 3])
-def test_dbscan_matches_bruteforce(spark, min_samples):
+def test_dbscan_matches_bruteforce(spark, min_samples, method):
     rnd = random.Random(7 + min_samples)
     rows, expected = [], {}
     for g in range(25):
         n = rnd.randint(1, 30)
-        xs = [rnd.choice([rnd.randint(0, 12), rnd.randint(0, 40)]) for _ in range(n)]
+        xs = [rnd.choice([rnd.randint(0, 12), rnd.randint(0, 40), rnd.uniform(0, 9)]) for _ in range(n)]
         labs = _dbscan_reference(xs, 1.2, min_samples)
         for i, (x, lab) in enumerate(zip(xs, labs)):
-            rows.append((g, i, x))
+            rows.append((g, i, float(x)))
             expected[(g, i)] = lab
-    df = spark.createDataFrame(rows, "g int, pos int, x int")
-    got = {(r.g, r.pos): r.db_label for r in dbscan_1d(df, ["g"], "x", "pos", 1.2, min_samples).collect()}
+    df = spark.createDataFrame(rows, "g int, pos int, x double")
+    out = dbscan_1d(df, ["g"], "x", "pos", 1.2, min_samples, method=method)
+    got = {(r.g, r.pos): r.db_label for r in out.collect()}
     assert got == expected
 
 
