@@ -38,7 +38,10 @@ FROM events GROUP BY 1 HAVING count(DISTINCT event_type) < {REQUIRED_TYPES}
 """)
 def incomplete_weeks(spark, sf_dir):
     """Time slots (hours here, weeks in the bulletin) missing some required type (AGG10)."""
-    ev = Tables(spark, sf_dir).events.withColumn("franja", F.date_trunc("hour", "ts").cast("timestamp_ntz"))
+    ts = F.col("ts")
+    # hour floor built from the wall-clock fields: independent of the session time zone
+    hour = F.make_timestamp_ntz(F.year(ts), F.month(ts), F.dayofmonth(ts), F.hour(ts), F.lit(0), F.lit(0))
+    ev = Tables(spark, sf_dir).events.withColumn("franja", hour)
     cov = distinct_coverage(ev, ["franja"], "event_type", REQUIRED_TYPES)
     return cov.where("incompleto").drop("incompleto")
 
