@@ -192,3 +192,15 @@ def label_comparison(a: DataFrame, b: DataFrame, key: str, la: str, lb: str) ->
     """Side-by-side labels of two clusterings with an agreement count table (CLU8)."""
     j = a.select(key, la).join(b.select(key, lb), key)
     return j.groupBy(la, lb).agg(F.count(F.lit(1)).alias("n"))
+
+
+def best_k(df: DataFrame, ks: list[int], features: str = "features", n_init: int = 10, seed: int = 42) -> DataFrame:
+    """Silhouette (squared Euclidean) and inertia for each k; the row with the
+    best silhouette is flagged, first k on ties (CLU4, Q8)."""
+    rows = []
+    for k in ks:
+        _, pred, cost = kmeans_best(df, k, features, n_init=n_init, seed=seed)
+        rows.append((int(k), silhouette(pred, features), float(cost)))
+    best = max(rows, key=lambda r: (r[1], -r[0]))[0]
+    return df.sparkSession.createDataFrame([(k, s, c, k == best) for k, s, c in rows],
+                                           "k int, silhouette double, inercia double, mejor boolean")

@@ -188,3 +188,32 @@ def coverage_tables(fact: DataFrame, required: int) -> dict[str, DataFrame]:
     flag = fact.groupBy("anio", "semana").agg(F.sum("casos_acumulado").alias("total")).withColumn(
         "con_datos", F.col("total") > 0)
     return {"cobertura": cov, "semanas_incompletas": weeks.where("incompleto"), "pico": peak, "semanas": flag}
+
+
+# --------------------------------------------------------------- entry C
+
+def city_risk_projection(target: DataFrame, risk: DataFrame, passengers: DataFrame, sedes: DataFrame,
+                         months: list[int] = (6, 7), years: tuple[int, int] = (2022, 2025),
+                         growth: float = 1.35) -> tuple[DataFrame, DataFrame]:
+    """Scenario projection and composite city index (TS8, RSK3-5, AGG16).
+
+    Returns (projection, index): the historic mean of monthly international
+    passengers over the calendar window times ``growth``; and per host
+    entity the matches, the mean team score (overall mean where a city has
+    no team, Q14), the window's mean confirmed cases (1 decimal), the
+    weighted index normalised to 0-10 and share-of-max components."""
+    from sentinela.operators.risk import composite_index, scenario_projection
+
+    proj = scenario_projection(passengers, "fecha", "pasajeros_internacionales", list(months), years, growth)
+    proj = proj.withColumn("pax_proyectado_M", F.bround(F.col("proyectado") / 1e6, 2))
+    scores = risk.select("ciudad_sede", "score_riesgo_norm")
+    per_city = scores.where(F.col("ciudad_sede").isNotNull()).groupBy("ciudad_sede").agg(
+        F.avg("score_riesgo_norm").alias("_m"))
+    overall = scores.agg(F.avg("score_riesgo_norm").alias("_g"))
+    d = F.col("anio_mes_dt")
+    base = (target.where(F.month(d).isin(list(months)) & F.year(d).between(*years)).groupBy("sede")
+            .agg(F.bround(F.avg("casos_confirmados"), 1).alias("baseline_casos_jun_jul")))
+    t = (sedes.join(per_city, "ciudad_sede", "left").crossJoin(F.broadcast(overall))
+         .withColumn("score_riesgo_equipos", F.coalesce("_m", "_g")).drop("_m", "_g")
+         .join(base, "sede", "left").fillna(0.0, subset=["baseline_casos_jun_jul"]))
+    return proj, composite_index(t, "partidos_en_sede", "score_riesgo_equipos", "baseline_casos_jun_jul")

@@ -77,3 +77,14 @@ def country_alias(spark: SparkSession) -> DataFrame:
 def fixtures(spark: SparkSession) -> DataFrame:
     df = spark.createDataFrame(FIXTURES, "fecha string, ciudad string, home string, away string").coalesce(1)
     return df.selectExpr("to_date(fecha) AS fecha", "ciudad", "home", "away")
+
+
+# Host city name in the match table -> entity label of the case
+# table, and matches per host entity (group stage plus knockout rounds).
+CITY_SEDE = [("CDMX", "CDMX"), ("Guadalajara", "Jalisco (Gdl)"), ("Monterrey", "Nuevo León (Mty)")]
+MATCHES_PER_SEDE = {"CDMX": 4, "Jalisco (Gdl)": 4, "Nuevo León (Mty)": 3}
+
+
+def sede_table(spark: SparkSession) -> DataFrame:
+    rows = [(c, s, MATCHES_PER_SEDE[s]) for c, s in CITY_SEDE]
+    return spark.createDataFrame(rows, "ciudad_sede string, sede string, partidos_en_sede int").coalesce(1)

@@ -137,3 +137,28 @@ def test_replace_partition_and_round_trip(spark, tmp_dir):
     assert back.where("anio = 2019 AND v < 100").count() == 5
     df.write.mode("overwrite").parquet(f"{tmp_dir}/rt")
     assert round_trip_ok(spark, df, f"{tmp_dir}/rt")
+
+
+def test_city_risk_projection(spark):
+    rows = [(dt.date(y, m, 1), 1_430_000) for y in range(2022, 2026) for m in (6, 7)]
+    pax = spark.createDataFrame(rows, "fecha date, pasajeros_internacionales long")
+    risk = spark.createDataFrame([("CDMX", 10.0), ("Guadalajara", 4.0), ("Guadalajara", 6.0), (None, 1.0)],
+                                 "ciudad_sede string, score_riesgo_norm double")
+    target = spark.createDataFrame([("CDMX", dt.date(2023, 6, 1), 4), ("CDMX", dt.date(2023, 7, 1), 6),
+                                    ("Jalisco (Gdl)", dt.date(2024, 6, 1), 1), ("CDMX", dt.date(2021, 6, 1), 99)],
+                                   "sede string, anio_mes_dt date, casos_confirmados int")
+    proj, idx = P.city_risk_projection(target, risk, pax, L.sede_table(spark))
+    assert proj.first().pax_proyectado_M == 1.93
+    got = {r.sede: r for r in idx.collect()}
+    assert got["CDMX"].score_riesgo_equipos == 10.0 and got["Jalisco (Gdl)"].score_riesgo_equipos == 5.0
+    assert got["Nuevo León (Mty)"].score_riesgo_equipos == pytest.approx(21.0 / 4)  # overall mean fallback
+    assert got["CDMX"].baseline_casos_jun_jul == 5.0
+    assert {r.indice_riesgo_norm for r in got.values()} >= {0.0, 10.0}
+
+
+def test_best_k(spark):
+    from pyspark.ml.linalg import Vectors
+    from sentinela.operators.cluster import best_k
+    pts = [(Vectors.dense([c * 10.0 + i * 0.01, 0.0]),) for c in range(3) for i in range(10)]
+    out = {r.k: r for r in best_k(spark.createDataFrame(pts, ["features"]), [2, 3, 4], n_init=2).collect()}
+    assert out[3].mejor and out[3].silhouette > out[2].silhouette
