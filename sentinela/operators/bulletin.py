@@ -48,10 +48,12 @@ def recode_sex(df: DataFrame, cutoff_year: int = 2020, guard: bool = True) -> Da
     return df.withColumn("sexo", F.when(old & (s == "M"), "H").when(old & (s == "F"), "M").otherwise(s))
 
 
-def densify(df: DataFrame, entities, diseases=None, sexes=None, min_year: int = 2000, order=None) -> DataFrame:
+def densify(df: DataFrame, entities, diseases=None, sexes=None, min_year: int = 2000, order=None,
+            only_observed_weeks: bool = True) -> DataFrame:
     """Year x week x entity x disease x sex grid with zeros (TRF2, JN5, JN7, SET4).
 
-    Years (> ``min_year``) and weeks (1..53) are the observed ones (Q15).
+    Years (> ``min_year``) and weeks (1..53) are the observed ones (Q15);
+    ``only_observed_weeks=False`` uses every week 1..53.
     ``entities`` / ``diseases`` / ``sexes`` are catalogues (a one-column
     DataFrame or a list); None takes the observed values. Duplicated keys
     keep the first row under ``order``.
@@ -81,7 +83,8 @@ def densify(df: DataFrame, entities, diseases=None, sexes=None, min_year: int =
             return bounded_distinct(val.toDF(col), col, 100_000)
         return sorted(set(val))
 
-    grid = grid_from_values(spark, [("anio", values(None, "anio"), "int"), ("semana", values(None, "semana"), "int"),
+    weeks = values(None, "semana") if only_observed_weeks else list(range(1, 54))
+    grid = grid_from_values(spark, [("anio", values(None, "anio"), "int"), ("semana", weeks, "int"),
                                     ("entidad_federativa", values(entities, "entidad_federativa"), "string"),
                                     ("enfermedad", values(diseases, "enfermedad"), "string"),
                                     ("sexo", values(sexes, "sexo"), "string")])

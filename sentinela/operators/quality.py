@@ -54,3 +54,11 @@ def standardization_check(df: DataFrame, cols: list[str], tol: float = 1e-6) ->
 def grouped_flag(df: DataFrame, group: str, value: str) -> DataFrame:
     """Per group: sum and has-data flag (AGG22), e.g. weeks with any case."""
     return df.groupBy(group).agg(F.sum(value).alias("total")).withColumn("con_datos", F.col("total") > 0)
+
+
+def assert_unique(df: DataFrame, keys: list[str]) -> None:
+    """Fail when ``keys`` repeat (S5): a left join against such a table would
+    fan out rows. One aggregate; raises ValueError with the duplicate count."""
+    r = df.agg(F.count(F.lit(1)).alias("n"), F.count_distinct(*[F.col(k) for k in keys]).alias("d")).first()
+    if r["n"] != r["d"]:
+        raise ValueError(f"{r['n'] - r['d']} duplicated key rows on {keys}")

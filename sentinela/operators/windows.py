@@ -35,11 +35,27 @@ def group_totals(df: DataFrame, keys: list[str], sums: dict[str, str]) -> DataFr
 
 
 def lag_features(df: DataFrame, entity: list[str], order: str, cols: list[str], lags: list[int],
-                 name: str = "{col}_lag{k}") -> DataFrame:
-    """Positional lags per entity (WIN4/5). Partitioned by entity, so no
-    window ever collects the whole table into one task."""
-    w = Window.partitionBy(*entity).orderBy(order)
-    return df.withColumns({name.format(col=c, k=k): F.lag(c, k).over(w) for c in cols for k in lags})
+                 name: str = "{col}_lag{k}", mode: str = "row") -> DataFrame:
+    """Lags per entity (WIN4/5).
+
+    ``mode='row'`` shifts by position (the previous k rows, gaps ignored,
+    the reference's behaviour, Q3/S15): a window partitioned by entity.
+    ``mode='calendar'`` takes the value of exactly k months earlier (NULL
+    when that month is missing): every row is re-dated k months later for
+    each k and joined back once on (entity, month)."""
+    if mode == "row":
+        w = Window.partitionBy(*entity).orderBy(order)
+        return df.withColumns({name.format(col=c, k=k): F.lag(c, k).over(w) for c in cols for k in lags})
+    if mode != "calendar":
+        raise ValueError("mode must be 'row' or 'calendar'")
+    shifted = df.select(*entity, F.col(order).alias("_o"), *cols).withColumn(
+        "_k", F.explode(F.array(*[F.lit(int(k)) for k in lags])))
+    shifted = shifted.withColumn("_o", F.add_months("_o", F.col("_k")))
+    wide = shifted.groupBy(*entity, "_o").pivot("_k", [int(k) for k in lags]).agg(
+        *[F.first(c).alias(c) for c in cols])
+    ren = {(f"{k}_{c}" if len(cols) > 1 else str(k)): name.format(col=c, k=k) for c in cols for k in lags}
+    wide = wide.withColumnsRenamed(ren).withColumnRenamed("_o", order)
+    return df.join(wide, [*entity, order], "left")
 
 
 def lead_columns(df: DataFrame, entity: list[str], order: str, col: str, leads: list[int]) -> tuple[DataFrame, list[str]]:

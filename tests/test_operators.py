@@ -237,3 +237,25 @@ def test_auc_and_cumsum_match_bruteforce(spark):
     for k, v in vals:
         run += v
         assert got[k] == pytest.approx(run)
+
+
+def test_lag_modes(spark):
+    import datetime as dt
+    from sentinela.operators.windows import lag_features
+    rows = [("a", dt.date(2020, 1, 1), 1), ("a", dt.date(2020, 2, 1), 2), ("a", dt.date(2020, 4, 1), 4)]
+    df = spark.createDataFrame(rows, "e string, m date, v int")
+    row = {r.m.month: r.v_lag1 for r in lag_features(df, ["e"], "m", ["v"], [1], mode="row").collect()}
+    cal = {r.m.month: r.v_lag1 for r in lag_features(df, ["e"], "m", ["v"], [1, 2], mode="calendar").collect()}
+    assert row == {1: None, 2: 1, 4: 2}      # positional: April's previous row is February
+    assert cal == {1: None, 2: 1, 4: None}   # calendar: March is missing
+
+
+def test_densify_all_weeks_and_unique(spark):
+    from sentinela.operators.quality import assert_unique
+    rows = [(2021, 5, "E", "D", "H", 1, 1, 1)]
+    df = spark.createDataFrame(rows, "anio int, semana int, entidad_federativa string, enfermedad string, "
+                                     "sexo string, casos_semana int, casos_acumulado int, casos_acum_anterior int")
+    assert B.densify(df, ["E"], ["D"], ["H"], only_observed_weeks=False).count() == 53
+    assert_unique(df, ["anio", "semana"])
+    with pytest.raises(ValueError):
+        assert_unique(df.unionByName(df), ["anio", "semana"])
