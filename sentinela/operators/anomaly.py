@@ -12,7 +12,6 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from sentinela.operators.joins import has_at_most
 
 # ----------------------------------------------------------------- DBSCAN 1-D
 

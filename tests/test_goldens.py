@@ -2,7 +2,6 @@
 
 import datetime as dt
 
-import pytest
 
 from sentinela.operators import bulletin as B
 from sentinela.operators.risk import scenario_projection

@@ -1,7 +1,6 @@
 """Operator properties and quirks on small fixtures (§5.3 items 2-4)."""
 
 import itertools
-import math
 import random
 
 import numpy as np
