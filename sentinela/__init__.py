@@ -5,7 +5,7 @@ Subpackages
 functions   column expressions (calendar, numeric parsing, text)
 sources     typed readers for the surveillance inputs and the test tables
 operators   DataFrame -> DataFrame operators (counts, windows, joins, anomaly, ...)
-plans       end-to-end pipelines and the registered test-table queries
+plans       end-to-end entries (A, B, C) and the registered test-table queries
 streaming   incremental (file-stream) versions of the counting pipeline
 sinks       writers: CSV/Parquet, partition replace, round-trip check
 """

@@ -1,4 +1,4 @@
-"""End-to-end pipelines over the surveillance inputs (entries A, B, C).
+"""End-to-end flows over the surveillance inputs (entries A, B, C).
 
 Each function takes DataFrames and returns a lazy DataFrame (model fits and
 bounded summaries excepted), so the whole chain can be one Spark plan or be

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-
 from sentinela.operators.counts import case_counts
 from sentinela.plans.bindings import ORDERS_LINELIST_SQL, orders_linelist
 from sentinela.plans.registry import query

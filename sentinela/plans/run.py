@@ -17,7 +17,7 @@ import argparse
 from pyspark.sql import DataFrame, SparkSession
 
 from sentinela.operators.risk import seasonal_split, seasonal_weights
-from sentinela.plans import pipelines as P
+from sentinela.plans import entries as P
 from sentinela.sinks.writers import save_table
 from sentinela.sources import literal as L
 from sentinela.sources import surveillance as S

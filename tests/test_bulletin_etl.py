@@ -3,7 +3,7 @@ then the coverage report and the correction pass."""
 
 from pyspark.sql import functions as F
 
-from sentinela.plans import pipelines as P
+from sentinela.plans import entries as P
 from sentinela.sources.literal import disease_config
 
 KW = " ENTIDAD FEDERATIVA Varicela B01"

@@ -1,4 +1,4 @@
-"""End-to-end pipelines, readers, streaming and sinks on small CSV fixtures."""
+"""Entries A-C, readers, streaming and sinks on small CSV fixtures."""
 
 import datetime as dt
 import os
@@ -7,7 +7,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from sentinela.plans import pipelines as P
+from sentinela.plans import entries as P
 from sentinela.sinks.writers import replace_partitions, round_trip_ok
 from sentinela.sources import literal as L
 from sentinela.sources import surveillance as S

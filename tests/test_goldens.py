@@ -5,7 +5,7 @@ import datetime as dt
 
 from sentinela.operators import bulletin as B
 from sentinela.operators.risk import scenario_projection
-from sentinela.plans.pipelines import team_matches
+from sentinela.plans.entries import team_matches
 from sentinela.sources import literal as L
 
 
