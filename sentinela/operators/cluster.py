@@ -8,6 +8,7 @@ from __future__ import annotations
 from concurrent.futures import ThreadPoolExecutor
 
 import numpy as np
+import pandas as pd
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.feature import PCA, VectorAssembler
@@ -16,6 +17,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from sentinela.operators.joins import has_at_most
 from sentinela.operators.scaling import median_impute, standardize
 
 
@@ -33,13 +35,29 @@ def array_features(df: DataFrame, col: str, out: str = "features") -> DataFrame:
 
 
 def kmeans_best(df: DataFrame, k: int, features: str = "features", n_init: int = 30, max_iter: int = 1000,
-                seed: int = 42, order_by: str | None = None, parallelism: int | None = None):
+                seed: int = 42, order_by: str | None = None, parallelism: int | None = None,
+                engine: str = "auto", multistart_min_rows: int = 5_000_000):
     """Best of ``n_init`` seeded K-Means fits by training cost (CLU2).
 
-    Cluster ids are then renumbered deterministically: by the mean of
-    ``order_by`` (descending) when given, else by the first centroid
-    coordinate. Returns (model, predictions with ``cluster``, cost)."""
+    ``engine='spark_ml'`` runs ``pyspark.ml`` fits concurrently (fast on
+    small inputs: per-iteration cost is job overhead); ``'multistart'``
+    (``kmeans_multistart``) advances all restarts in one pass per iteration,
+    n_init times fewer scans, which wins once the data is large; ``'auto'``
+    picks by row count. Cluster ids are renumbered deterministically: by the
+    mean of ``order_by`` (descending) when given, else by the first centroid
+    coordinate. Returns (model or centres, predictions with ``cluster``, cost)."""
     data = df.persist()
+    if engine == "auto":
+        engine = "multistart" if not has_at_most(data, multistart_min_rows) else "spark_ml"
+    if engine == "multistart":
+        cen, pred, cost = kmeans_multistart(data, k, features, n_init, min(max_iter, 300), seed=seed)
+        if order_by:
+            keyed = pred.groupBy("cluster").agg(F.avg(order_by).alias("_key"))
+            remap = keyed.select(F.col("cluster").alias("_raw"),
+                                 (F.row_number().over(Window.orderBy(F.desc("_key"), "cluster")) - 1).alias("_c"))
+            pred = pred.withColumnRenamed("cluster", "_raw").join(F.broadcast(remap), "_raw").drop("_raw") \
+                .withColumnRenamed("_c", "cluster")
+        return cen, pred, cost
 
     def fit(i: int):
         m = KMeans(k=k, maxIter=max_iter, seed=seed + i, featuresCol=features, predictionCol="_raw").fit(data)
@@ -204,3 +222,106 @@ def best_k(df: DataFrame, ks: list[int], features: str = "features", n_init: int
     best = max(rows, key=lambda r: (r[1], -r[0]))[0]
     return df.sparkSession.createDataFrame([(k, s, c, k == best) for k, s, c in rows],
                                            "k int, silhouette double, inercia double, mejor boolean")
+
+
+# ------------------------------------------------------------------------
+# Multi-start K-Means: all restarts advance in the same pass over the data.
+
+def _kmeanspp(points: np.ndarray, k: int, rng: np.random.Generator) -> np.ndarray:
+    """k-means++ seeding on a bounded candidate sample."""
+    centers = [points[rng.integers(len(points))]]
+    d2 = ((points - centers[0]) ** 2).sum(1)
+    for _ in range(1, k):
+        tot = d2.sum()
+        idx = rng.integers(len(points)) if tot <= 0 else rng.choice(len(points), p=d2 / tot)
+        centers.append(points[idx])
+        d2 = np.minimum(d2, ((points - points[idx]) ** 2).sum(1))
+    return np.array(centers)
+
+
+def kmeans_multistart(df: DataFrame, k: int, features: str = "features", n_init: int = 30, max_iter: int = 300,
+                      tol: float = 1e-4, seed: int = 42, sample_per_center: int = 20):
+    """Best of ``n_init`` K-Means restarts, run together (CLU2).
+
+    Seeding: one seeded Bernoulli sample of about ``sample_per_center * k *
+    n_init`` rows (bounded) is collected and each restart is seeded by
+    k-means++ on it. Lloyd iterations: the n_init x k centres are broadcast;
+    ``mapInPandas`` assigns every row to its nearest centre for every
+    restart and emits per-partition sums; a ``groupBy`` merges them; the
+    driver updates the (bounded) centre table. One job per iteration serves
+    all restarts, so the data is scanned max_iter times at most, not
+    n_init x max_iter times. A restart stops when no centre moves more than
+    ``tol`` (squared shift). Returns (centres of the best restart,
+    predictions with ``cluster``, cost)."""
+    spark = df.sparkSession
+    data = df.select(vector_to_array(F.col(features)).alias("_v"), "*").persist()
+    n = data.count()
+    frac = min(1.0, sample_per_center * k * n_init / max(n, 1))
+    sample = np.array([r["_v"] for r in data.sample(False, frac, seed).select("_v").collect()], dtype=float)
+    if len(sample) < k:
+        sample = np.array([r["_v"] for r in data.select("_v").limit(max(k, 1000)).collect()], dtype=float)
+    rng = np.random.default_rng(seed)
+    centers = np.stack([_kmeanspp(sample, k, rng) for _ in range(n_init)])  # (R, k, d)
+    active = np.ones(n_init, dtype=bool)
+    schema = T.StructType([T.StructField("r", T.IntegerType()), T.StructField("c", T.IntegerType()),
+                           T.StructField("n", T.LongType()), T.StructField("s", T.ArrayType(T.DoubleType())),
+                           T.StructField("cost", T.DoubleType())])
+
+    def step(bc):
+        def fn(it):
+            cen = bc.value
+            R, K, _ = cen.shape
+            for pdf in it:
+                if len(pdf) == 0:
+                    continue
+                X = np.stack(pdf["_v"].to_numpy()).astype(float)
+                rows = []
+                for r in range(R):
+                    d2 = ((X[:, None, :] - cen[r][None, :, :]) ** 2).sum(-1)
+                    a = d2.argmin(1)
+                    best = d2[np.arange(len(X)), a]
+                    for c in range(K):
+                        m = a == c
+                        rows.append((r, c, int(m.sum()), X[m].sum(0).tolist(), float(best[m].sum())))
+                yield pd.DataFrame(rows, columns=["r", "c", "n", "s", "cost"])
+        return fn
+
+    costs = np.full(n_init, np.inf)
+    for _ in range(max_iter):
+        bc = spark.sparkContext.broadcast(centers)
+        parts = data.select("_v").mapInPandas(step(bc), schema)
+        dim = centers.shape[2]
+        agg = parts.groupBy("r", "c").agg(F.sum("n").alias("n"), F.sum("cost").alias("cost"),
+                                          F.array(*[F.sum(F.col("s")[i]) for i in range(dim)]).alias("s")).collect()
+        bc.unpersist()
+        new = centers.copy()
+        cost = np.zeros(n_init)
+        for row in agg:
+            r, c = row["r"], row["c"]
+            cost[r] += row["cost"]
+            if row["n"] > 0 and active[r]:
+                new[r, c] = np.asarray(row["s"], dtype=float) / row["n"]
+        costs = cost
+        shift = ((new - centers) ** 2).sum(-1).max(-1)
+        centers = new
+        active &= shift > tol
+        if not active.any():
+            break
+    best = int(np.argmin(costs))
+    final = centers[best]
+    bfinal = spark.sparkContext.broadcast(final)
+
+    def assign(it):
+        cen = bfinal.value
+        for pdf in it:
+            X = np.stack(pdf["_v"].to_numpy()).astype(float) if len(pdf) else np.zeros((0, cen.shape[1]))
+            lab = ((X[:, None, :] - cen[None, :, :]) ** 2).sum(-1).argmin(1) if len(pdf) else np.zeros(0, int)
+            yield pdf.drop(columns=["_v"]).assign(_raw=lab.astype("int32"))
+
+    out_schema = T.StructType([f for f in data.schema.fields if f.name != "_v"]
+                              + [T.StructField("_raw", T.IntegerType())])
+    pred = data.mapInPandas(assign, out_schema)
+    order = sorted(range(k), key=lambda i: (float(final[i][0]), i))
+    remap = spark.createDataFrame([(r, j) for j, r in enumerate(order)], "_raw int, cluster int")
+    pred = pred.join(F.broadcast(remap), "_raw").drop("_raw")
+    return final[order], pred, float(costs[best])

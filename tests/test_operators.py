@@ -258,3 +258,19 @@ def test_densify_all_weeks_and_unique(spark):
     assert_unique(df, ["anio", "semana"])
     with pytest.raises(ValueError):
         assert_unique(df.unionByName(df), ["anio", "semana"])
+
+
+def test_kmeans_multistart_recovers_blobs(spark):
+    from pyspark.ml.linalg import Vectors
+    from sentinela.operators.cluster import kmeans_best
+    rnd = np.random.default_rng(2)
+    centers = [(0, 0), (8, 0), (0, 8), (8, 8)]
+    rows = [(i, Vectors.dense(centers[i % 4][0] + rnd.normal(0, .5), centers[i % 4][1] + rnd.normal(0, .5)))
+            for i in range(200)]
+    df = spark.createDataFrame(rows, ["id", "features"])
+    _, pred, cost = kmeans_best(df, 4, n_init=5, engine="multistart")
+    got = {r.id: r.cluster for r in pred.collect()}
+    for c in range(4):
+        assert len({got[i] for i in range(200) if i % 4 == c}) == 1
+    _, _, cost_ml = kmeans_best(df, 4, n_init=5, engine="spark_ml")
+    assert cost <= cost_ml * 1.001
