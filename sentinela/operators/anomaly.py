@@ -193,6 +193,12 @@ def label_summary(df: DataFrame, group: list[str], labels: list[str]) -> DataFra
                                   F.count(F.lit(1)).alias("n"))
 
 
+def outbreak_months(df: DataFrame, group: list[str], order: str, flag: str = "brote",
+                    keep: list[str] = ()) -> DataFrame:
+    """The flagged rows listed per group in time order (ANO5)."""
+    return df.where(F.col(flag) == 1).select(*group, order, *keep).orderBy(*group, order)
+
+
 # ------------------------------------------------------- isolation forest
 
 

@@ -15,6 +15,7 @@ from __future__ import annotations
 import argparse
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from sentinela.operators.risk import seasonal_split, seasonal_weights
 from sentinela.plans import entries as P
@@ -72,6 +73,9 @@ def make_data(spark: SparkSession, raw: str, out: str, n_init: int = 30) -> dict
     target = P.case_labels(linelist, L.host_entities(spark))
     risk = P.country_risk_table(measles, vax, attendance, history, L.fixtures(spark), L.country_alias(spark),
                                 L.PLACEHOLDER_TEAMS, n_init=n_init)
+    # output order as published (sorted only at the sink: a range shuffle of small tables)
+    target = target.orderBy("ENTIDAD_RES", "anio_mes_dt")
+    risk = risk.orderBy(F.desc("score_riesgo_norm"), F.asc("Country"))
     written = {"efes_mensual_sedes_target": save_table(target, "efes_mensual_sedes_target", out)}
     written["paises_cluster_riesgo"] = save_table(risk, "paises_cluster_riesgo", out)
     # later stages read the written tables back: lineage is cut at the sink
@@ -79,7 +83,7 @@ def make_data(spark: SparkSession, raw: str, out: str, n_init: int = 30) -> dict
     risk_back = spark.read.parquet(written["paises_cluster_riesgo"]["parquet"])
     panel = P.monthly_panel(target_back, risk_back, [terminal, national, city, proxy], passengers, flights,
                             crop=PANEL_CROP)
-    written["panel_mensual_completo"] = save_table(panel, "panel_mensual_completo", out)
+    written["panel_mensual_completo"] = save_table(panel.orderBy("fecha"), "panel_mensual_completo", out)
     return written
 
 

@@ -274,3 +274,12 @@ def test_kmeans_multistart_recovers_blobs(spark):
         assert len({got[i] for i in range(200) if i % 4 == c}) == 1
     _, _, cost_ml = kmeans_best(df, 4, n_init=5, engine="spark_ml")
     assert cost <= cost_ml * 1.001
+
+
+def test_outbreak_months(spark):
+    import datetime as dt
+    from sentinela.operators.anomaly import outbreak_months
+    rows = [("a", dt.date(2020, m, 1), int(m in (3, 1))) for m in (3, 2, 1)]
+    got = [(r.g, r.m.month) for r in outbreak_months(spark.createDataFrame(rows, "g string, m date, brote int"),
+                                                      ["g"], "m").collect()]
+    assert got == [("a", 1), ("a", 3)]
