@@ -238,12 +238,14 @@ def missing_diseases(files: DataFrame, config: DataFrame, extracted: DataFrame)
     return want.join(got, ["file", "enfermedad"], "left_anti")
 
 
-def quarantine(pages: DataFrame, config: DataFrame, rows: DataFrame) -> DataFrame:
+def quarantine(pages: DataFrame, config: DataFrame, entity_names: list[str]) -> DataFrame:
     """Matched (file, page, disease) whose grid produced no row: malformed or
     short grids end up here instead of failing the job (EXT8)."""
     cfg = config.select(F.col("name").alias("enfermedad"), "cie10", "page_kw", "require_kw")
-    m = matching_pages(pages, cfg).select("file", "page", "enfermedad")
-    return m.join(rows.select("file", "page", "enfermedad").distinct(), ["file", "page", "enfermedad"], "left_anti")
+    matched = matching_pages(pages, cfg)
+    parsed = block_rows(matched, entity_names).select("file", "page", "enfermedad").distinct()
+    keys = ["file", "page", "enfermedad"]
+    return matched.select(*keys).join(parsed, keys, "left_anti")
 
 
 def extract(pages: DataFrame, config: DataFrame, entity_names: list[str], year_pattern: str = YEAR_TEXT,
@@ -254,4 +256,4 @@ def extract(pages: DataFrame, config: DataFrame, entity_names: list[str], year_p
     matched = matching_pages(pages, cfg)
     rows = first_good_page(block_rows(matched, entity_names))
     issue = issue_year_week(pages, year_pattern, week_pattern, file_year_pattern, file_week_pattern)
-    return rows.join(issue, "file", "left").select(*OUTPUT_COLUMNS, "file")
+    return rows.join(issue, "file", "left").select(*OUTPUT_COLUMNS, "file", "page")

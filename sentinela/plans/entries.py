@@ -161,7 +161,7 @@ def bulletin_etl(pages: DataFrame, config: DataFrame, entities: list[str], cutof
     if checkpoint:
         raw = checkpoint_parquet(raw, "bulletin_raw")
     diseases = [r["name"] for r in config.select("name").collect()]  # a handful of config rows
-    fact = B.transform(raw.drop("file", "cie10"), entities, diseases, ["H", "M"], cutoff_year, min_year,
+    fact = B.transform(raw.drop("file", "page", "cie10"), entities, diseases, ["H", "M"], cutoff_year, min_year,
                        first_period)
     codes = F.broadcast(config.select(F.col("name").alias("enfermedad"), "cie10"))
     return raw, fact.join(codes, "enfermedad", "left")

@@ -64,3 +64,13 @@ def test_issue_and_missing(spark):
     miss = missing_diseases(pages, cfg, out).collect()
     f2 = {(r.enfermedad, r.optional) for r in miss if r.file == "bol-2025-sem07.pdf"}
     assert f2 == {("Sarampion", True), ("Rubeola", False), ("Erisipela", False)}
+
+
+def test_quarantine_lists_unparsable_pages(spark):
+    from sentinela.operators.bulletin import quarantine
+    pages = _pages(spark)
+    cfg = disease_config(spark).where(F.col("name").isin("Varicela", "Escarlatina"))
+    q = {(r.file, r.page, r.enfermedad) for r in quarantine(pages, cfg, ENTITIES).collect()}
+    # the cover page matched the keywords but its grid had no data row
+    assert ("bol-2025-sem07.pdf", 1, "Varicela") in q
+    assert not any(f == "boletin_sem23_2020.pdf" for f, _, _ in q)
