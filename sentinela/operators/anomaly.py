@@ -343,7 +343,16 @@ def isolation_forest(df: DataFrame, group: list[str], features: list[str], row_i
         model = {r["_g"]: (r["_psi"], [(t["feat"], t["thr"], t["left"], t["right"], t["size"]) for t in r["_trees"]])
                  for r in fitted}
         bmodel = spark.sparkContext.broadcast(model)
-        scored = base.mapInPandas(lambda it: score_batches(bmodel.value, it), score_schema)
+
+        # scalar Arrow UDF: only the group key and the features travel to
+        # Python; every other column stays in the JVM
+        @F.pandas_udf(T.DoubleType())
+        def score_udf(g: pd.Series, feats: pd.DataFrame) -> pd.Series:
+            pdf = feats.copy()
+            pdf["_g"] = g.to_numpy()
+            return next(score_batches(bmodel.value, iter([pdf])))["_s"]
+
+        scored = base.withColumn("_s", score_udf(F.col("_g"), F.struct(*[F.col(c) for c in feats])))
     else:
         # many groups: salt each group into ceil(n_g / chunk) pieces and cogroup with its trees
         chunk = 200_000
