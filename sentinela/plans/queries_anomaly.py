@@ -73,7 +73,8 @@ def kappa(spark, sf_dir):
 
 
 @query("label_distribution", LABELS_SQL + """
-SELECT event_type, sum(brote) AS n_brote, sum(brote_estricto) AS n_brote_estricto, count(*) AS n
+SELECT event_type, CAST(sum(brote) AS BIGINT) AS n_brote, CAST(sum(brote_estricto) AS BIGINT) AS n_brote_estricto,
+       count(*) AS n
 FROM lab GROUP BY 1
 """)
 def label_distribution(spark, sf_dir):

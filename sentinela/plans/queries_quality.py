@@ -166,7 +166,7 @@ REPLACED_YEAR = 1999
 
 
 @query("replace_partition", f"""
-SELECT *, year(anio_mes_dt) AS anio FROM ({CASE_COUNTS_SQL})
+SELECT *, CAST(year(anio_mes_dt) AS INTEGER) AS anio FROM ({CASE_COUNTS_SQL})
 """)
 def replace_partition(spark, sf_dir):
     """Write the monthly counts partitioned by year, recompute one year and
@@ -182,7 +182,8 @@ def replace_partition(spark, sf_dir):
 
 @query("weeks_with_data", f"""
 WITH wk AS ({WEEKLY_SQL})
-SELECT anio, semana, sum(casos_acumulado) AS total, sum(casos_acumulado) > 0 AS con_datos FROM wk GROUP BY 1, 2
+SELECT anio, semana, CAST(sum(casos_acumulado) AS BIGINT) AS total, sum(casos_acumulado) > 0 AS con_datos
+FROM wk GROUP BY 1, 2
 """)
 def weeks_with_data(spark, sf_dir):
     """Per (year, week): total cumulative cases and the has-data flag (AGG22)."""

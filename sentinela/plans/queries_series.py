@@ -45,7 +45,7 @@ w AS (SELECT anio_mes_dt AS fecha,
   {cols}
   FROM c GROUP BY 1),
 q AS ({MONTHLY_QUANTITY_SQL})
-SELECT w.*, q.pasajeros, month(w.fecha) AS mes_num,
+SELECT w.*, q.pasajeros, CAST(month(w.fecha) AS INTEGER) AS mes_num,
        CAST(year(w.fecha) = {EVENT_YEAR} AND month(w.fecha) IN ({', '.join(map(str, EVENT_MONTHS))}) AS INTEGER) AS es_ventana
 FROM w LEFT JOIN q ON w.fecha = q.fecha
 """
@@ -88,7 +88,8 @@ SELECT anio, semana, entidad_federativa, enfermedad, sexo, casos_semana,
        CAST(sum(_delta) OVER w AS INTEGER) AS casos_acumulado,
        CAST(sum(casos_semana) OVER w AS INTEGER) AS casos_acum_anterior
 FROM (
-  SELECT year(l.l_shipdate) AS anio, weekofyear(l.l_shipdate) AS semana, r.r_name AS entidad_federativa,
+  SELECT CAST(year(l.l_shipdate) AS INTEGER) AS anio, CAST(weekofyear(l.l_shipdate) AS INTEGER) AS semana,
+         r.r_name AS entidad_federativa,
          l.l_returnflag AS enfermedad, l.l_linestatus AS sexo, CAST(count(*) AS INTEGER) AS casos_semana,
          sum(CASE WHEN l.l_tax < 0.04 THEN 1 WHEN l.l_tax >= 0.06 THEN -1 ELSE 0 END) AS _delta
   FROM lineitem l JOIN supplier s ON l.l_suppkey = s.s_suppkey
@@ -118,8 +119,9 @@ def new_from_cumulative_q(spark, sf_dir):
 BOTH_SQL = f"""
 WITH wk AS ({WEEKLY_SQL}),
 t AS (
-  SELECT *, sum(casos_acumulado) OVER c AS casos_ambos_sexos, sum(casos_semana) OVER c AS casos_sem_total,
-         sum(casos_acum_anterior) OVER c AS casos_ant_total
+  SELECT *, CAST(sum(casos_acumulado) OVER c AS BIGINT) AS casos_ambos_sexos,
+         CAST(sum(casos_semana) OVER c AS BIGINT) AS casos_sem_total,
+         CAST(sum(casos_acum_anterior) OVER c AS BIGINT) AS casos_ant_total
   FROM wk WINDOW c AS (PARTITION BY anio, semana, entidad_federativa, enfermedad))
 SELECT *, CASE WHEN casos_ant_total > 0 THEN CAST(casos_ambos_sexos AS DOUBLE) / casos_ant_total END AS tasa_crecimiento,
        casos_ambos_sexos - casos_ant_total AS incr_semanal

@@ -60,7 +60,7 @@ def unpivot_pairs(spark, sf_dir):
 
 @query("main_group", "WITH " + MATCHES_SQL + """,
 r AS (SELECT team, ciudad, partidos, row_number() OVER (PARTITION BY team ORDER BY partidos DESC, ciudad) AS rn,
-             sum(partidos) OVER (PARTITION BY team) AS partidos_total FROM pc)
+             CAST(sum(partidos) OVER (PARTITION BY team) AS BIGINT) AS partidos_total FROM pc)
 SELECT team, ciudad AS ciudad_sede, partidos AS partidos_sede, partidos_total FROM r WHERE rn = 1
 """)
 def main_group(spark, sf_dir):

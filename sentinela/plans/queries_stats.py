@@ -50,7 +50,7 @@ def trend_slope_q(spark, sf_dir):
 WITH m AS (SELECT c.c_nationkey, date_trunc('month', o.o_orderdate) AS mes, count(*) AS n
            FROM {ORDERS_NATION_SQL} WHERE year(o.o_orderdate) BETWEEN {WINDOW_YEARS[0]} AND {WINDOW_YEARS[1]}
            GROUP BY ALL),
-i AS (SELECT c_nationkey, coalesce(sum(n), 0) AS total_cases, round_even(avg(n), 6) AS avg_monthly_cases,
+i AS (SELECT c_nationkey, CAST(coalesce(sum(n), 0) AS BIGINT) AS total_cases, round_even(avg(n), 6) AS avg_monthly_cases,
              count_if(n > 0) AS months_with_cases, max(n) AS peak_month FROM m GROUP BY 1),
 v AS (SELECT c_nationkey, round_even(avg(c_acctbal), 6) AS saldo_mean, min(c_acctbal) AS saldo_min,
              round_even(stddev_samp(c_acctbal), 6) AS saldo_std FROM customer GROUP BY 1)
@@ -125,7 +125,7 @@ def seasonal_split_q(spark, sf_dir):
 
 @query("scenario_projection", f"""
 WITH q AS ({MONTHLY_QUANTITY_SQL})
-SELECT round_even(avg(pasajeros), 4) AS base_mensual, {GROWTH} AS factor,
+SELECT round_even(avg(pasajeros), 4) AS base_mensual, CAST({GROWTH} AS DOUBLE) AS factor,
        round_even(avg(pasajeros) * {GROWTH}, 4) AS proyectado
 FROM q WHERE month(fecha) IN ({', '.join(map(str, SEASON_MONTHS))})
   AND year(fecha) BETWEEN {WINDOW_YEARS[0]} AND {WINDOW_YEARS[1]}

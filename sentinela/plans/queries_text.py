@@ -60,7 +60,8 @@ def num_parse(spark, sf_dir):
                     strip_thousands("s_coma", ",").alias("miles_coma"))
 
 
-WEEKS_SQL = "SELECT DISTINCT year(o_orderdate) AS anio, weekofyear(o_orderdate) AS semana FROM orders"
+WEEKS_SQL = ("SELECT DISTINCT CAST(year(o_orderdate) AS INTEGER) AS anio, "
+             "CAST(weekofyear(o_orderdate) AS INTEGER) AS semana FROM orders")
 
 
 @query("iso_week_start", f"""

@@ -16,6 +16,29 @@ QUERIES: dict[str, QueryFn] = {}
 ORACLE: dict[str, str] = {}
 
 
+def bigint_count_if(sql: str) -> str:
+    """Wrap every ``count_if(...)`` in ``CAST(... AS BIGINT)``: DuckDB returns
+    HUGEINT there, Spark returns bigint; the oracle must give the same types."""
+    out, i, low = [], 0, sql.lower()
+    while True:
+        j = low.find("count_if(", i)
+        if j < 0:
+            out.append(sql[i:])
+            return "".join(out)
+        depth, k = 0, j + len("count_if")
+        while True:
+            if sql[k] == "(":
+                depth += 1
+            elif sql[k] == ")":
+                depth -= 1
+                if depth == 0:
+                    break
+            k += 1
+        out.append(sql[i:j])
+        out.append("CAST(" + sql[j:k + 1] + " AS BIGINT)")
+        i = k + 1
+
+
 def query(name: str, sql: str | None = None):
     """Register ``fn`` under ``name`` with its oracle SQL (None = rows-only check)."""
 
@@ -24,7 +47,7 @@ def query(name: str, sql: str | None = None):
             raise ValueError(f"duplicate query {name}")
         QUERIES[name] = fn
         if sql is not None:
-            ORACLE[name] = sql.strip()
+            ORACLE[name] = bigint_count_if(sql.strip())
         return fn
 
     return deco
