@@ -39,3 +39,16 @@ def test_rows_only_query_runs(spark, name):
 def test_entry_smoke(spark):
     df = entry.entry(spark)
     assert df.columns[:2] == ["anio_mes", "entidad"] and df.count() > 0
+
+
+SPARK_TO_DUCK = {"int": "INTEGER", "bigint": "BIGINT", "double": "DOUBLE", "string": "VARCHAR", "date": "DATE",
+                 "boolean": "BOOLEAN", "timestamp_ntz": "TIMESTAMP", "float": "FLOAT"}
+
+
+@pytest.mark.parametrize("name", sorted(ORACLE))
+def test_oracle_types_match(spark, duck, name):
+    st = {f.name: f.dataType.simpleString() for f in entry.queries()[name](spark, SF).schema.fields}
+    rel = duck.sql(ORACLE[name])
+    dt = dict(zip(rel.columns, [str(t) for t in rel.types]))
+    bad = [(c, t, dt.get(c)) for c, t in st.items() if SPARK_TO_DUCK.get(t, t) != dt.get(c)]
+    assert not bad, bad
