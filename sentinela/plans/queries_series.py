@@ -187,7 +187,7 @@ SELECT anio, semana, entidad_federativa, enfermedad, sexo, casos_semana, casos_a
   CAST(casos_ant_total AS INTEGER) AS casos_ant_total,
   CASE WHEN casos_ant_total > 0 THEN CAST(casos_ambos_sexos AS DOUBLE) / casos_ant_total END AS tasa_crecimiento,
   CAST(casos_ambos_sexos - casos_ant_total AS INTEGER) AS incr_semanal,
-  round(sin(2 * pi() * semana / 52), 9) AS semana_sin, round(cos(2 * pi() * semana / 52), 9) AS semana_cos,
+  round_even(sin(2 * pi() * semana / 52), 9) AS semana_sin, round_even(cos(2 * pi() * semana / 52), 9) AS semana_cos,
   casos_acumulado > 0 AS es_brote, casos_nuevos,
   CAST(sum(casos_nuevos) OVER c AS INTEGER) AS casos_nuevos_total
 FROM t

@@ -16,16 +16,16 @@ QUERIES: dict[str, QueryFn] = {}
 ORACLE: dict[str, str] = {}
 
 
-def bigint_count_if(sql: str) -> str:
-    """Wrap every ``count_if(...)`` in ``CAST(... AS BIGINT)``: DuckDB returns
-    HUGEINT there, Spark returns bigint; the oracle must give the same types."""
+def _wrap_calls(sql: str, fname: str, before: str, after: str) -> str:
+    """Wrap every ``fname(...)`` call (balanced parentheses) in before/after."""
     out, i, low = [], 0, sql.lower()
+    key = fname.lower() + "("
     while True:
-        j = low.find("count_if(", i)
+        j = low.find(key, i)
         if j < 0:
             out.append(sql[i:])
             return "".join(out)
-        depth, k = 0, j + len("count_if")
+        depth, k = 0, j + len(fname)
         while True:
             if sql[k] == "(":
                 depth += 1
@@ -34,11 +34,18 @@ def bigint_count_if(sql: str) -> str:
                 if depth == 0:
                     break
             k += 1
-        out.append(sql[i:j])
-        out.append("CAST(" + sql[j:k + 1] + " AS BIGINT)")
+        out.append(sql[i:j] + before + sql[j:k + 1] + after)
         i = k + 1
 
 
+def oracle_types(sql: str) -> str:
+    """Make DuckDB return what Spark returns: ``count_if`` as BIGINT (DuckDB
+    gives HUGEINT) and rounded doubles without a negative zero (``bround``
+    never yields -0.0; ``round_even`` of a tiny negative does)."""
+    sql = _wrap_calls(sql, "count_if", "CAST(", " AS BIGINT)")
+    return _wrap_calls(sql, "round_even", "(", " + 0.0)")
+
+
 def query(name: str, sql: str | None = None):
     """Register ``fn`` under ``name`` with its oracle SQL (None = rows-only check)."""
 
@@ -47,7 +54,7 @@ def query(name: str, sql: str | None = None):
             raise ValueError(f"duplicate query {name}")
         QUERIES[name] = fn
         if sql is not None:
-            ORACLE[name] = bigint_count_if(sql.strip())
+            ORACLE[name] = oracle_types(sql.strip())
         return fn
 
     return deco

@@ -58,6 +58,14 @@ def close(a, b, rel=1e-9):
 
 
 
+def _printed(r):
+    """Printed form of a row; integral floats print as ints (a nullable bigint
+    column arrives as float64 from Spark and Int64 from DuckDB), so only
+    real differences such as -0.0 vs 0.0 remain."""
+    return tuple(repr(int(v)) if isinstance(v, float) and v.is_integer() and str(v) != "-0.0" else repr(v)
+                 for v in r)
+
+
 def compare(sp: pd.DataFrame, dd: pd.DataFrame, rel: float = 1e-9) -> tuple[bool, bool, str]:
     """(match, exact, message) for two pandas frames with the same column names."""
     sc, dc = sorted(sp.columns), sorted(dd.columns)
@@ -67,7 +75,9 @@ def compare(sp: pd.DataFrame, dd: pd.DataFrame, rel: float = 1e-9) -> tuple[bool
         return False, False, f"rows differ: {len(sp)} vs {len(dd)}"
     rs, rd = rows(sp, sc), rows(dd, sc)
     if rs == rd:
-        return True, True, ""
+        # exact also means the same printed form (catches -0.0 vs 0.0, 1 vs 1.0)
+        same_repr = [_printed(r) for r in rs] == [_printed(r) for r in rd]
+        return True, same_repr, "" if same_repr else "values equal but printed forms differ"
     for ra, rb in zip(rs, rd):
         if not all(close(a, b, rel) for a, b in zip(ra, rb)):
             return False, False, f"first differing row: {sc}\n  {ra}\n  {rb}"
