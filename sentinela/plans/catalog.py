@@ -16,6 +16,7 @@ _MODULES = [
     "sentinela.plans.queries_quality",
     "sentinela.plans.queries_cluster",
     "sentinela.plans.queries_bulletin",
+    "sentinela.plans.queries_streaming",
 ]
 
 for _m in _MODULES:
