@@ -63,11 +63,12 @@ def safe_ratio(num: str | Column, den: str | Column, default: float | None = Non
 
 
 def round_half_even(c: str | Column, digits: int = 0) -> Column:
-    """pandas/Python rounding (S9)."""
+    """pandas/Python rounding (S9, SCL10)."""
     return F.bround(_col(c), digits)
 
 
 def clip(c: str | Column, lower: float | None = None, upper: float | None = None) -> Column:
+    """SCL9: clip to a lower and/or upper bound (``abs`` is ``F.abs``)."""
     out = _col(c)
     if lower is not None:
         out = F.greatest(out, F.lit(lower))

@@ -31,7 +31,7 @@ def py_split(c: str | Column) -> Column:
 
 
 def clean_header(name: str) -> str:
-    """Header repair (SRC3): strip, newline -> space, double space -> one."""
+    """Header repair (SRC3, SCL1): strip, newline -> space, double space -> one."""
     return str(name).strip().replace("\n", " ").replace("  ", " ")
 
 
@@ -68,7 +68,7 @@ def longest_first_alternation(names: list[str]) -> str:
 
 
 def prefix_and_rest(c: str | Column, names: list[str]) -> tuple[Column, Column]:
-    """(matched catalogue prefix or NULL, trimmed remainder of the line)."""
+    """(matched catalogue prefix or NULL, trimmed remainder of the line) (SCL4)."""
     line = _col(c)
     match = first_capture(line, longest_first_alternation(names))
     rest = F.when(match.isNotNull(), py_strip(F.substring(line, F.length(match) + 1, 1 << 30)))

@@ -167,7 +167,7 @@ FROM {table} t JOIN lb ON t.{group} = lb.{group} AND CAST(t.{x} AS DOUBLE) = lb.
 
 
 def combine_labels(df: DataFrame, a: str, b: str) -> DataFrame:
-    """lax = a OR b, strict = a AND b, as 0/1 ints (ANO3)."""
+    """lax = a OR b, strict = a AND b, as 0/1 ints (ANO3, SCL12; SCL11 ``when`` chains are used throughout)."""
     return df.withColumns({"brote": (F.col(a) | F.col(b)).cast("int"),
                            "brote_estricto": (F.col(a) & F.col(b)).cast("int")})
 

@@ -127,7 +127,10 @@ def derive_columns(df: DataFrame, first_period: str = "half", halve_totals: bool
 
 
 def finalize(df: DataFrame) -> DataFrame:
-    """Type enforcement (CLN10): ints, doubles, boolean, date."""
+    """Type enforcement (CLN10): ints, doubles, boolean, date. Projection,
+    renames, derived/constant and dropped columns (PRJ1-5) are plain
+    ``select`` / ``withColumn(s)`` / ``withColumnsRenamed`` / ``drop`` calls;
+    equality, compound and null filters (FLT1, FLT5, FLT6) plain ``where``."""
     ints = ["anio", "semana", "casos_semana", "casos_acumulado", "casos_acum_anterior", "casos_ambos_sexos",
             "casos_sem_total", "casos_ant_total", "incr_semanal", "casos_nuevos", "casos_nuevos_total"]
     dbl = ["tasa_crecimiento", "semana_sin", "semana_cos"]

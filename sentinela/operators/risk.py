@@ -12,7 +12,7 @@ COMPOSITE_WEIGHTS = {"partidos": 0.30, "score": 0.40, "baseline": 0.30}
 
 
 def risk_score(cases: str | Column, coverage: str | Column) -> Column:
-    """log1p(cases) * (100 - coverage) / 100 (RSK1)."""
+    """log1p(cases) * (100 - coverage) / 100 (RSK1, SCL7)."""
     c = F.col(cases) if isinstance(cases, str) else cases
     v = F.col(coverage) if isinstance(coverage, str) else coverage
     return F.log1p(c.cast("double")) * (F.lit(100.0) - v) / F.lit(100.0)

@@ -36,6 +36,7 @@ def case_labels(linelist: DataFrame, hosts: DataFrame, eps: float = 1.2, min_sam
     """Entity x month counts of the host entities with outbreak labels
     (AGG1-2, ANO0-3): isolation forest on four standardised features per
     entity, 1-D DBSCAN on confirmed cases per entity, lax / strict union."""
+    # CLN7 code -> label through a broadcast literal table; FLT2 membership (inner join keeps hosts)
     ll = linelist.join(F.broadcast(hosts), "ENTIDAD_RES")  # hosts: a few literal rows
     counts = case_counts(ll.withColumnRenamed("sede", "_sede"), "ENTIDAD_RES", "anio_mes_dt", "DIAGNOSTICO",
                          "VACUNACION", "COMPLICACIONES", entity_label=F.col("_sede"))
@@ -56,7 +57,7 @@ def team_matches(fixtures: DataFrame, placeholders: list[str]) -> tuple[DataFram
     per_city = exclude_values(long, "Country", placeholders).groupBy("Country", "ciudad").agg(
         F.count(F.lit(1)).alias("partidos_en_mexico"))
     main = top_per_group(per_city, ["Country"], [F.desc("partidos_en_mexico"), F.asc("ciudad")])
-    totals = per_city.groupBy("Country").agg(F.sum("partidos_en_mexico").alias("partidos_en_mexico"))
+    totals = per_city.groupBy("Country").agg(F.sum("partidos_en_mexico").alias("partidos_en_mexico"))  # AGG8
     return per_city, main.select("Country", F.col("ciudad").alias("ciudad_sede")).join(totals, "Country")
 
 
@@ -74,6 +75,7 @@ def country_risk_table(measles: DataFrame, vax: DataFrame, attendance: DataFrame
                              "lado", "Country")
     hist_long = unpivot_sides(history.select("home_team", "away_team"), [], ["home_team", "away_team"],
                               "lado", "Country")
+    # AGG7 mean per group; AGG6 count per group
     att = att_long.groupBy("Country").agg(F.avg("Attendance").alias("asistencia_promedio"))
     hist = hist_long.groupBy("Country").agg(F.count(F.lit(1)).cast("int").alias("partidos_historicos"))
     if compat:
@@ -82,6 +84,7 @@ def country_risk_table(measles: DataFrame, vax: DataFrame, attendance: DataFrame
     else:
         att = att.join(teams, "Country").drop("Country")
         hist = hist.join(teams, "Country").drop("Country")
+    # FLT3 inclusive ranges on plain columns (pushed to the scan)
     meas = incidence_stats(measles.where(F.col("Year").between(2018, 2024)), ["Country"], "measles_total")
     meas = meas.withColumnRenamed("Country", "Country_who")
     v = vax.where(F.col("Year").between(2018, 2023))
@@ -134,6 +137,7 @@ def monthly_panel(target: DataFrame, risk: DataFrame, series: list[DataFrame], p
     panel = wide.join(passengers, "fecha", "left").join(flights, "fecha", "left")
     for s in series:
         panel = panel.join(s, "fecha", "left")
+    # AGG13: a one-row global mean attached to every month
     panel = panel.crossJoin(F.broadcast(risk.agg(F.avg("score_riesgo_norm").alias("score_riesgo_equipos"))))
     panel = panel.withColumns({"mes_num": F.month("fecha"),
                                "es_ventana_mundial": in_calendar_window("fecha", event_year, list(event_months))})
@@ -146,7 +150,7 @@ def monthly_panel(target: DataFrame, risk: DataFrame, series: list[DataFrame], p
         k = int(best.get(s, 1))
         panel = panel.withColumns({f"pax_intl_lag{k}_{s}": F.lag(x_col, k).over(w),
                                    f"vuelos_intl_lag{k}_{s}": F.lag(flights_col, k).over(w)})
-    if crop:
+    if crop:  # FLT4 date-range crop
         panel = panel.where(F.col("fecha").between(F.to_date(F.lit(crop[0])), F.to_date(F.lit(crop[1]))))
     return panel
 
@@ -205,7 +209,7 @@ def city_risk_projection(target: DataFrame, risk: DataFrame, passengers: DataFra
     from sentinela.operators.risk import composite_index, scenario_projection
 
     proj = scenario_projection(passengers, "fecha", "pasajeros_internacionales", list(months), years, growth)
-    proj = proj.withColumn("pax_proyectado_M", F.bround(F.col("proyectado") / 1e6, 2))
+    proj = proj.withColumn("pax_proyectado_M", F.bround(F.col("proyectado") / 1e6, 2))  # SCL16, SCL10
     scores = risk.select("ciudad_sede", "score_riesgo_norm")
     per_city = scores.where(F.col("ciudad_sede").isNotNull()).groupBy("ciudad_sede").agg(
         F.avg("score_riesgo_norm").alias("_m"))
@@ -215,5 +219,5 @@ def city_risk_projection(target: DataFrame, risk: DataFrame, passengers: DataFra
             .agg(F.bround(F.avg("casos_confirmados"), 1).alias("baseline_casos_jun_jul")))
     t = (sedes.join(per_city, "ciudad_sede", "left").crossJoin(F.broadcast(overall))
          .withColumn("score_riesgo_equipos", F.coalesce("_m", "_g")).drop("_m", "_g")
-         .join(base, "sede", "left").fillna(0.0, subset=["baseline_casos_jun_jul"]))
+         .join(base, "sede", "left").fillna(0.0, subset=["baseline_casos_jun_jul"]))  # CLN8
     return proj, composite_index(t, "partidos_en_sede", "score_riesgo_equipos", "baseline_casos_jun_jul")

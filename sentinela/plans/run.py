@@ -73,7 +73,7 @@ def make_data(spark: SparkSession, raw: str, out: str, n_init: int = 30) -> dict
     target = P.case_labels(linelist, L.host_entities(spark))
     risk = P.country_risk_table(measles, vax, attendance, history, L.fixtures(spark), L.country_alias(spark),
                                 L.PLACEHOLDER_TEAMS, n_init=n_init)
-    # output order as published (sorted only at the sink: a range shuffle of small tables)
+    # SRT1: output order as published (sorted only at the sink: a range shuffle of small tables)
     target = target.orderBy("ENTIDAD_RES", "anio_mes_dt")
     risk = risk.orderBy(F.desc("score_riesgo_norm"), F.asc("Country"))
     written = {"efes_mensual_sedes_target": save_table(target, "efes_mensual_sedes_target", out)}
