@@ -71,3 +71,25 @@ def checkpoint_root(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique path under the shared checkpoint folder."""
     return f"{checkpoint_root(spark)}/sentinela/{name}-{uuid.uuid4().hex[:12]}"
+
+
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``sentinela`` importable by the Python workers (UDFs, pandas
+    functions) of this SparkContext: the package is zipped once and added with
+    ``addPyFile`` (what ``spark-submit --py-files`` does). Needed when the
+    driver imported the package from a path the workers don't have."""
+    sc = spark.sparkContext
+    key = sc.applicationId
+    if key in _SHIPPED:
+        return
+    import shutil
+
+    pkg_dir = os.path.dirname(os.path.abspath(__file__))
+    out_dir = tempfile.mkdtemp(prefix="sentinela-pyfiles-")
+    archive = shutil.make_archive(os.path.join(out_dir, "sentinela"), "zip", root_dir=os.path.dirname(pkg_dir),
+                                  base_dir=os.path.basename(pkg_dir))
+    sc.addPyFile(archive)
+    _SHIPPED.add(key)
