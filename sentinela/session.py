@@ -81,15 +81,24 @@ def ship_package(spark: SparkSession) -> None:
     functions) of this SparkContext: the package is zipped once and added with
     ``addPyFile`` (what ``spark-submit --py-files`` does). Needed when the
     driver imported the package from a path the workers don't have."""
-    sc = spark.sparkContext
-    key = sc.applicationId
-    if key in _SHIPPED:
-        return
     import shutil
 
+    try:
+        sc = spark.sparkContext
+        key = sc.applicationId
+    except Exception:  # noqa: BLE001  (Spark Connect sessions have no SparkContext)
+        sc, key = None, f"connect-{id(spark)}"
+    if key in _SHIPPED:
+        return
     pkg_dir = os.path.dirname(os.path.abspath(__file__))
     out_dir = tempfile.mkdtemp(prefix="sentinela-pyfiles-")
     archive = shutil.make_archive(os.path.join(out_dir, "sentinela"), "zip", root_dir=os.path.dirname(pkg_dir),
                                   base_dir=os.path.basename(pkg_dir))
-    sc.addPyFile(archive)
+    if sc is not None:
+        sc.addPyFile(archive)
+    else:
+        try:
+            spark.addArtifacts(archive, pyfile=True)
+        except Exception:  # noqa: BLE001  (nothing to ship to: queries run without Python workers)
+            pass
     _SHIPPED.add(key)
