@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from sentinela.llm import sharding
+from sentinela.llm import packing, sharding, token_files
 from sentinela.sources.testdata import table
 
 QUERIES = {}
@@ -18,3 +18,15 @@ def _query(fn):
 def op2_sharding(spark, sf_dir):
     """All documents in 24 shards of near equal bytes."""
     return sharding.shard(table(spark, sf_dir, "documents"))
+
+
+@_query
+def op4_packing(spark, sf_dir):
+    """All documents in sequences of at most 2048 ids."""
+    return packing.pack(table(spark, sf_dir, "documents"))
+
+
+@_query
+def op6_token_files(spark, sf_dir):
+    """The ids of all documents, written and read back."""
+    return token_files.token_files(table(spark, sf_dir, "documents"))
