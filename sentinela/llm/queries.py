@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from sentinela.llm import packing, sharding, token_files
+from sentinela.llm import packing, quality, sharding, token_files, toxicity
 from sentinela.sources.testdata import table
 
 QUERIES = {}
@@ -30,3 +30,15 @@ def op4_packing(spark, sf_dir):
 def op6_token_files(spark, sf_dir):
     """The ids of all documents, written and read back."""
     return token_files.token_files(table(spark, sf_dir, "documents"))
+
+
+@_query
+def op5_quality(spark, sf_dir):
+    """A quality score for every document."""
+    return quality.score_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@_query
+def op9_toxicity(spark, sf_dir):
+    """A toxicity score for every document."""
+    return toxicity.score_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
