@@ -2,7 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import pickle
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 FOLDS = 5
@@ -19,7 +24,6 @@ def training_rows(docs: DataFrame, labels: DataFrame, label: str, most: int) ->
     are passed over; a null text is empty; an id labelled twice counts once,
     with its smallest label. The bound is a parameter of the model: it limits
     what is learnt from, never what is scored."""
-    from pyspark.sql import Window
     known = (labels.where(F.col(label).isin(0, 1) & F.col("doc_id").isNotNull() & ~held_out())
              .groupBy("doc_id").agg(F.min(label).cast("int").alias("y"))
              .withColumn("draw", F.xxhash64(F.lit("draw"), "doc_id")))
@@ -27,3 +31,18 @@ def training_rows(docs: DataFrame, labels: DataFrame, label: str, most: int) ->
     known = known.withColumn("n", F.row_number().over(Window.partitionBy("y").orderBy("draw", "doc_id"))).where(F.col("n") <= most)
     texts = docs.select("doc_id", F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
     return (known.join(texts, "doc_id").select("draw", "text", "y").dropDuplicates(["draw"]))
+
+
+def fit_in_one_task(rows: DataFrame, fit) -> dict:
+    """``fit(texts, y)`` over the bounded ``training_rows`` in one task, in the
+    order of their draws; a model of rows that don't exist is fitted here."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        columns = list(zip(*([batch.column(i) for i in range(3)] for batch in batches)))
+        if columns:
+            draw, text, y = (pa.chunked_array(list(c)) for c in columns)
+            order = pa.array(np.argsort(draw.to_numpy(), kind="stable"))
+            model = fit(text.combine_chunks().take(order), y.to_numpy()[order].astype(np.float32))
+            yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(model)], pa.binary())], names=["model"])
+
+    found = rows.repartition(1).mapInArrow(run, "model binary").first()
+    return pickle.loads(found["model"]) if found else fit(pa.array([], pa.string()), np.zeros(0, np.float32))

@@ -13,7 +13,6 @@ bounded sample (``rows_per_class``); scoring is an Arrow UDF over all rows.
 
 from __future__ import annotations
 
-import pickle
 from collections.abc import Iterator
 
 import numpy as np
@@ -21,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sentinela.llm.labelled import held_out, training_rows
+from sentinela.llm.labelled import fit_in_one_task, held_out, training_rows
 from sentinela.llm.textops import batches_of, column_bytes, hash_spans, is_space, lower_ascii, word_spans
 
 #: Hashed words, bins of a statistic, rank of the interactions.
@@ -144,12 +143,8 @@ def fit(texts: pa.Array, y: np.ndarray) -> dict:
 def train(docs: DataFrame, labels: DataFrame, label: str = "quality", rows_per_class: int = ROWS_PER_CLASS) -> dict:
     """The model of ``label``, fitted in one task on a bounded sample. Classes
     are weighted by their shares in that sample; without rows it scores 1/2."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rows = pa.Table.from_batches(list(batches), pa.schema([("draw", pa.int64()), ("text", pa.string()), ("y", pa.int32())])).sort_by("draw")
-        yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(fit(rows["text"].combine_chunks(), rows["y"].to_numpy().astype(np.float32)))], pa.binary())], names=["model"])
-
     rows = training_rows(docs, labels, label, rows_per_class)
-    return pickle.loads(rows.repartition(1).mapInArrow(run, "model binary").first()["model"])
+    return fit_in_one_task(rows, fit)
 
 
 def scorer(spark, model: dict):
