@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from sentinela.llm import packing, quality, sharding, token_files, toxicity
+from sentinela.llm import ann, ego, packing, quality, sharding, token_files, toxicity
 from sentinela.sources.testdata import table
 
 QUERIES = {}
@@ -42,3 +42,16 @@ def op5_quality(spark, sf_dir):
 def op9_toxicity(spark, sf_dir):
     """A toxicity score for every document."""
     return toxicity.score_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@_query
+def op7_graph_search(spark, sf_dir):
+    """The 10 nearest vectors of every hundredth one."""
+    vectors = table(spark, sf_dir, "embeddings")
+    return ann.search(vectors, vectors.where("vec_id % 100 = 0"), 10)
+
+
+@_query
+def op8_embedding_dedup(spark, sf_dir):
+    """Near-duplicate embeddings of one label."""
+    return ego.near_duplicates(table(spark, sf_dir, "embeddings"))
