@@ -27,10 +27,15 @@ def training_rows(docs: DataFrame, labels: DataFrame, label: str, most: int) ->
     known = (labels.where(F.col(label).isin(0, 1) & F.col("doc_id").isNotNull() & ~held_out())
              .groupBy("doc_id").agg(F.min(label).cast("int").alias("y"))
              .withColumn("draw", F.xxhash64(F.lit("draw"), "doc_id")))
-    # row_number() <= most cuts each task's rows before the shuffle; a class never gathers in one task
-    known = known.withColumn("n", F.row_number().over(Window.partitionBy("y").orderBy("draw", "doc_id"))).where(F.col("n") <= most)
+    # about 2 * most rows of a class by the size of their hash, then exactly the lowest ones: no class gathers in one task
+    counts = {r["y"]: r["n"] for r in known.groupBy("y").agg(F.count(F.lit(1)).alias("n")).collect()}
+    unit = F.shiftrightunsigned("draw", 11).cast("double") / F.lit(2.0**53)
+    rate = F.when(F.col("y") == 1, 2 * most / max(counts.get(1, 0), 1)).otherwise(2 * most / max(counts.get(0, 0), 1))
+    known = known.where(unit <= rate)
+    known = known.withColumn("n", F.row_number().over(Window.partitionBy("y").orderBy(F.shiftrightunsigned("draw", 11), "doc_id"))).where(F.col("n") <= most)
     texts = docs.select("doc_id", F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
-    return (known.join(texts, "doc_id").select("draw", "text", "y").dropDuplicates(["draw"]))
+    # at most 2 * most rows are sent to every task, so that no text is shuffled to find them
+    return texts.join(F.broadcast(known), "doc_id").select("draw", "text", "y").dropDuplicates(["draw"])
 
 
 def fit_in_one_task(rows: DataFrame, fit) -> dict:
