@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from sentinela.llm import ann, ego, packing, quality, sharding, token_files, toxicity
+from sentinela.llm import ann, ego, jaccard_join, line_dedup, packing, quality, sharding, token_files, toxicity
 from sentinela.sources.testdata import table
 
 QUERIES = {}
@@ -55,3 +55,16 @@ def op7_graph_search(spark, sf_dir):
 def op8_embedding_dedup(spark, sf_dir):
     """Near-duplicate embeddings of one label."""
     return ego.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
+@_query
+def op10_line_dedup(spark, sf_dir):
+    """All documents without lines that occur before, or nearly."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return line_dedup.drop_duplicate_lines(docs)
+
+
+@_query
+def op1_jaccard_join(spark, sf_dir):
+    """Groups of documents whose 4-word shingles are near equal."""
+    return jaccard_join.jaccard_components(table(spark, sf_dir, "documents"))
