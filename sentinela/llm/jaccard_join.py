@@ -254,17 +254,18 @@ def links(nodes: DataFrame, docs: DataFrame) -> DataFrame:
     return found.union(checkpoint_parquet(both.mapInArrow(_verify, "a bigint, b bigint"), "jaccard-links"))
 
 
-def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, n_shingles, component_id) for every row of ``docs``.
-
-    The component of a document without words (null, empty or blank text) is
-    its own id. Rows with a null id take no part: their n_shingles and
-    component_id are null. Repeated rows are equal texts and share a component;
-    texts of any length are compared whole. Other columns are ignored; an empty
-    table gives no rows.
-    """
+def _identity(id_col: str, text_col: str) -> list:
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
-    docs = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.xxhash64(text).alias("h1"), F.xxhash64(F.lit("text"), text).alias("h2"), text.alias("text"))
+    return [F.col(id_col).cast("bigint"), F.xxhash64(text), F.xxhash64(F.lit("text"), text), text]
+
+
+def _identified(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    return docs.select(*[c.alias(n) for n, c in zip(("doc_id", "h1", "h2", "text"), _identity(id_col, text_col))])
+
+
+def _grouped(docs: DataFrame) -> DataFrame:
+    """(h1, h2, n, doc_id, component): the distinct texts of rows with an id, the
+    smallest id of each, and the node that stands for its group."""
     known = docs.where("doc_id IS NOT NULL")
     classes = docs.sparkSession.sparkContext.broadcast(ranks(shingle_counts(known)))  # COUNTERS bytes
     schema = f"doc_id bigint, h1 bigint, h2 bigint, {_NODE}, " + ", ".join(f"m{k} bigint" for k in range(HASHES)) + ", prefix array<bigint>"
@@ -273,8 +274,41 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     nodes = described.groupBy("h1", "h2").agg(F.min("doc_id").alias("doc_id"), F.first(F.struct(*payload)).alias("p"))
     nodes = checkpoint_parquet(nodes.select(F.monotonically_increasing_id().alias("node"), "doc_id", "h1", "h2", "p.*"), "jaccard-nodes")
     member = components(links(nodes, known), "jaccard-components")
-    named = nodes.select("node", "h1", "h2", "n", F.col("doc_id").alias("least")).join(member, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    named = named.join(named.groupBy("component").agg(F.min("least").alias("component_id")), "component").select("h1", "h2", "n", "component_id")
+    return nodes.select("node", "h1", "h2", "n", "doc_id").join(member, "node", "left").withColumn("component", F.coalesce("component", "node"))
+
+
+def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(doc_id, n_shingles, component_id) for every row of ``docs``.
+
+    The component of a document without words (null, empty or blank text) is
+    its own id. Rows with a null id take no part: their n_shingles and
+    component_id are null. Repeated rows are equal texts and share a component;
+    texts of any length are compared whole. Other columns are ignored; an empty
+    table gives no rows.
+    """
+    docs = _identified(docs, id_col, text_col)
+    named = _grouped(docs)
+    least = named.groupBy("component").agg(F.min("doc_id").alias("component_id"))
+    named = named.drop("doc_id").join(least, "component").select("h1", "h2", "n", "component_id")
     found = docs.select("doc_id", "h1", "h2").join(named, ["h1", "h2"], "left")
     return found.select("doc_id", F.when(F.col("doc_id").isNotNull(), F.col("n")).alias("n_shingles"),
                         F.when(F.col("n") == 0, F.col("doc_id")).when(F.col("doc_id").isNotNull(), F.col("component_id")).alias("component_id"))
+
+
+def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``docs`` with one document of each group: the smallest id, of its texts
+    the one of the smallest hash. Documents without words, and rows with a null
+    id, all stay; of rows that repeat an id and a text one stays."""
+    rows = _identified(docs, id_col, text_col)
+    named = _grouped(rows)
+    first = F.min(F.struct("doc_id", "h1", "h2"))
+    kept = named.where("n > 0").groupBy("component").agg(first.alias("k")).select("k.*").union(
+        rows.where("doc_id IS NOT NULL").join(named.where("n = 0").select("h1", "h2"), ["h1", "h2"], "left_semi").select("doc_id", "h1", "h2").distinct())
+    often = rows.where("doc_id IS NOT NULL").groupBy("doc_id", "h1", "h2").agg(F.count(F.lit(1)).alias("times"))
+    kept = small(checkpoint_parquet(kept.join(often, ["doc_id", "h1", "h2"]), "jaccard-kept"))
+    columns = [F.col(f"`{c}`") for c in docs.columns]
+    keyed = docs.select(F.struct(*columns).alias("_row"), *[c.alias(f"_{n}") for n, c in zip(("id", "h1", "h2"), _identity(id_col, text_col))])
+    found = keyed.join(kept, (F.col("_id") == F.col("doc_id")) & (F.col("_h1") == F.col("h1")) & (F.col("_h2") == F.col("h2")))
+    once = found.where("times = 1").select("_row.*")
+    repeated = found.where("times > 1").dropDuplicates(["doc_id", "h1", "h2"]).select("_row.*")
+    return once.union(repeated).union(keyed.where("_id IS NULL").select("_row.*"))

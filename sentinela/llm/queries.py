@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from sentinela.llm import ann, ego, jaccard_join, line_dedup, packing, quality, sharding, token_files, toxicity
+from sentinela.llm import ann, ego, jaccard_join, line_dedup, mixing, packing, quality, sharding, token_files, toxicity
 from sentinela.sources.testdata import table
 
 QUERIES = {}
@@ -68,3 +68,10 @@ def op10_line_dedup(spark, sf_dir):
 def op1_jaccard_join(spark, sf_dir):
     """Groups of documents whose 4-word shingles are near equal."""
     return jaccard_join.jaccard_components(table(spark, sf_dir, "documents"))
+
+
+@_query
+def op3_mixing(spark, sf_dir):
+    """Every document's place in the mixture of the sources."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "source", "text")
+    return mixing.mix(docs).drop("text")
