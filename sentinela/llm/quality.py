@@ -27,7 +27,7 @@ from sentinela.llm.textops import batches_of, column_bytes, hash_spans, is_space
 WORD_DIM, BINS, RANK = 1 << 15, 16, 8
 #: Words of a stretch, and training rows of each class at most.
 STRETCH, ROWS_PER_CLASS = 32, 4000
-EPOCHS, BATCH, RATE, DECAY = 8, 128, 0.03, 1e-4
+EPOCHS, STEPS, BATCH, RATE, DECAY = 8, 400, 64, 0.03, 1e-4  # at least so many passes and steps
 THRESHOLD = 0.3
 
 _MARKS = np.isin(np.arange(256), np.frombuffer(b"#%&$*|<>{}[]\\^~=+_@", np.uint8))
@@ -107,7 +107,8 @@ def logits(model: dict, ids: np.ndarray, values: np.ndarray, of: np.ndarray):
 
 
 def fit(texts: pa.Array, y: np.ndarray) -> dict:
-    """Adagrad on the logistic loss; the same rows in the same order give the same model."""
+    """Adagrad on the logistic loss, both classes of equal weight; the same rows
+    in the same order give the same model."""
     rng = np.random.default_rng(11)
     model = {"w0": np.float32(0), "w": np.zeros(n_features(), np.float32),
              "v": rng.normal(0, 0.05, (n_features(), RANK)).astype(np.float32)}
@@ -118,14 +119,16 @@ def fit(texts: pa.Array, y: np.ndarray) -> dict:
     lengths = np.concatenate([np.diff(p[2]) for p in parts])
     of = np.concatenate([[0], np.cumsum(lengths)])
     seen_w, seen_v, seen_0 = np.full(n_features(), 1e-3, np.float32), np.full((n_features(), RANK), 1e-3, np.float32), 1e-3
-    for _ in range(EPOCHS):
+    share = np.bincount(y.astype(np.int64), minlength=2) / len(y)
+    weight = (0.5 / np.maximum(share, 1 / len(y)))[y.astype(np.int64)]
+    for _ in range(max(EPOCHS, -(-STEPS * BATCH // len(y)))):
         order = rng.permutation(len(y))
         for rows in (order[i:i + BATCH] for i in range(0, len(order), BATCH)):
             own = np.concatenate([[0], np.cumsum(lengths[rows])])
             take = np.repeat(of[rows] - own[:-1], lengths[rows]) + np.arange(own[-1])
             j, x = ids[take], values[take]
             z, vx, total = logits(model, j, x, own)
-            error = ((1 / (1 + np.exp(-z)) - y[rows]) / len(rows)).astype(np.float32)
+            error = ((1 / (1 + np.exp(-z)) - y[rows]) * weight[rows] / len(rows)).astype(np.float32)
             each = np.repeat(error, lengths[rows])
             sort = np.argsort(j, kind="stable")
             keys, at = np.unique(j[sort], return_index=True)
@@ -141,8 +144,8 @@ def fit(texts: pa.Array, y: np.ndarray) -> dict:
 
 
 def train(docs: DataFrame, labels: DataFrame, label: str = "quality", rows_per_class: int = ROWS_PER_CLASS) -> dict:
-    """The model of ``label``, fitted in one task on a bounded sample. Classes
-    are weighted by their shares in that sample; without rows it scores 1/2."""
+    """The model of ``label``, fitted in one task on a bounded sample; without
+    rows it scores 1/2."""
     rows = training_rows(docs, labels, label, rows_per_class)
     return fit_in_one_task(rows, fit)
 

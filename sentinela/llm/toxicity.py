@@ -27,7 +27,7 @@ from sentinela.llm.textops import batches_of, column_bytes, hash_spans, lower_as
 WORD_DIM, GRAM_DIM, IN, HIDDEN, ATTEND = 1 << 12, 1 << 14, 8, 8, 8
 #: Words of a window and from one window to the next.
 WINDOW, STEP = 32, 16
-ROWS_PER_CLASS, EPOCHS, BATCH, RATE = 2500, 14, 64, 0.01
+ROWS_PER_CLASS, EPOCHS, MOST_EPOCHS, STEPS, BATCH, RATE = 2500, 14, 50, 800, 64, 0.01
 #: Windows stepped together.
 TOGETHER = 4096
 THRESHOLD = 0.5
@@ -231,7 +231,8 @@ def fit(texts: pa.Array, y: np.ndarray) -> dict:
         return model
     rng, adam = np.random.default_rng(3), _Adam(model)
     which, of, buckets, grams, gram_of = distinct_words(texts)
-    for epoch in range(EPOCHS):
+    # few rows are gone through more often, for about STEPS steps
+    for epoch in range(max(EPOCHS, min(MOST_EPOCHS, -(-STEPS * BATCH // len(y))))):
         text, first, n_words, z = window_logits(model, which, of, buckets, grams, gram_of)
         # the worst windows of each text, early on with some chance
         order = np.lexsort((-(z + rng.gumbel(0, max(0.0, 1.0 - epoch / 4) + 1e-3, len(z))), text))
