@@ -12,75 +12,17 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from sentinela.operators.scaling import attach, quantile
+from sentinela.sinks.writers import checkpoint_parquet
+
 
 # ----------------------------------------------------------------- DBSCAN 1-D
 
 
 def dbscan_1d(df: DataFrame, group: list[str], x: str, order: str, eps: float = 1.2, min_samples: int = 2,
-              label: str = "db_label", method: str = "auto", window_max_points: int = 1_000_000) -> DataFrame:
-    """Exact DBSCAN on one numeric feature per group (ANO2), no UDF.
-
-    ``method='window'`` runs the window recipe below over each group's
-    distinct values; ``'bucketed'`` (see ``_dbscan_1d_bucketed``) never puts
-    a whole group in one window partition; ``'auto'`` measures the largest
-    group (distinct values, one small aggregate) and picks the window recipe
-    up to ``window_max_points``. Both give identical labels."""
-    if method == "auto":
-        pts = df.groupBy(*group, F.col(x).cast("double").alias("_x")).agg(F.count(F.lit(1)).alias("_m"))
-        biggest = pts.groupBy(*group).agg(F.count(F.lit(1)).alias("_n")).agg(F.max("_n")).first()[0] or 0
-        method = "window" if biggest <= window_max_points else "bucketed"
-    if method == "bucketed":
-        return _dbscan_1d_bucketed(df, group, x, order, eps, min_samples, label)
-    return _dbscan_1d_window(df, group, x, order, eps, min_samples, label)
-
-
-def _dbscan_1d_window(df: DataFrame, group: list[str], x: str, order: str, eps: float = 1.2,
-                      min_samples: int = 2, label: str = "db_label") -> DataFrame:
-    """Exact DBSCAN on one numeric feature per group, as window SQL (no UDF).
-
-    * Points are collapsed to distinct (group, x) with their multiplicity and
-      first input position, so a value repeated many times is one row.
-    * Neighbour count = multiplicity sum in a RANGE frame [x - eps, x + eps];
-      core = count >= min_samples.
-    * Core points form islands: a new island starts where the gap to the
-      previous core value exceeds eps. Islands are numbered from 0 in order of
-      their earliest input position (the visiting order of the classic
-      algorithm).
-    * A non-core point within eps of a core point is a border point and takes
-      the lower-numbered adjacent island; anything else is noise (-1).
-    All windows are partitioned by ``group``."""
-    g = list(group)
-    part = ", ".join(f"`{c}`" for c in g)
-    pts = df.groupBy(*g, F.col(x).cast("double").alias("_x")).agg(
-        F.count(F.lit(1)).alias("_m"), F.min(order).alias("_first"))
-    nb = F.expr(f"sum(_m) OVER (PARTITION BY {part} ORDER BY _x "
-                f"RANGE BETWEEN {float(eps)!r}D PRECEDING AND {float(eps)!r}D FOLLOWING)")
-    pts = pts.withColumn("_core", nb >= min_samples)
-
-    by_x = Window.partitionBy(*g).orderBy("_x")
-    core = pts.where("_core").withColumn(
-        "_new", F.coalesce((F.col("_x") - F.lag("_x").over(by_x)) > eps, F.lit(True)).cast("int"))
-    core = core.withColumn("_isl", F.sum("_new").over(by_x.rowsBetween(Window.unboundedPreceding, 0)))
-    islands = core.groupBy(*g, "_isl").agg(F.min("_first").alias("_f"))
-    islands = islands.withColumn("_lab", F.row_number().over(Window.partitionBy(*g).orderBy("_f", "_isl")) - 1)
-    core_lab = core.join(islands.select(*g, "_isl", "_lab"), [*g, "_isl"]).select(*g, "_x", "_lab")
-
-    allp = pts.join(core_lab, [*g, "_x"], "left")
-    cstruct = F.when(F.col("_lab").isNotNull(), F.struct(F.col("_x").alias("x"), F.col("_lab").alias("l")))
-    prev = F.last(cstruct, ignorenulls=True).over(by_x.rowsBetween(Window.unboundedPreceding, 0))
-    nxt = F.first(cstruct, ignorenulls=True).over(by_x.rowsBetween(0, Window.unboundedFollowing))
-    allp = allp.withColumns({"_p": prev, "_n": nxt})
-    from_prev = F.when(F.col("_x") - F.col("_p.x") <= eps, F.col("_p.l"))
-    from_next = F.when(F.col("_n.x") - F.col("_x") <= eps, F.col("_n.l"))
-    lab = F.coalesce(F.col("_lab"), F.least(from_prev, from_next), F.lit(-1))
-    labels = allp.select(*g, "_x", lab.cast("int").alias(label))
-    return (df.withColumn("_x", F.col(x).cast("double")).join(labels, [*g, "_x"], "left").drop("_x")
-            .withColumn("anomalia_db", F.col(label) == -1))
-
-
-def _dbscan_1d_bucketed(df: DataFrame, group: list[str], x: str, order: str, eps: float = 1.2,
-                        min_samples: int = 2, label: str = "db_label") -> DataFrame:
-    """Exact 1-D DBSCAN whose windows are partitioned by (group, bucket).
+              label: str = "db_label") -> DataFrame:
+    """Exact DBSCAN on one numeric feature per group (ANO2), no UDF, one recipe
+    at any size; its windows over points are partitioned by (group, bucket).
 
     Buckets have width eps (b = floor(x / eps)), so two values in one bucket
     are closer than eps, and all neighbours of x lie in buckets b-1..b+1.
@@ -133,36 +75,6 @@ def _dbscan_1d_bucketed(df: DataFrame, group: list[str], x: str, order: str, eps
             .withColumn("anomalia_db", F.col(label) == -1))
 
 
-def dbscan_1d_sql(table: str, group: str, x: str, order: str, eps: float = 1.2, min_samples: int = 2) -> str:
-    """The same recipe as DuckDB SQL (used as the oracle)."""
-    return f"""
-WITH pts AS (SELECT {group}, CAST({x} AS DOUBLE) AS _x, count(*) AS _m, min({order}) AS _first
-             FROM {table} GROUP BY 1, 2),
-nb AS (SELECT *, sum(_m) OVER (PARTITION BY {group} ORDER BY _x
-                 RANGE BETWEEN {eps} PRECEDING AND {eps} FOLLOWING) >= {min_samples} AS _core FROM pts),
-c1 AS (SELECT *, CAST(coalesce(_x - lag(_x) OVER (PARTITION BY {group} ORDER BY _x) > {eps}, true) AS INTEGER) AS _new
-       FROM nb WHERE _core),
-c2 AS (SELECT *, sum(_new) OVER (PARTITION BY {group} ORDER BY _x ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS _isl
-       FROM c1),
-isl AS (SELECT {group}, _isl, row_number() OVER (PARTITION BY {group} ORDER BY min(_first), _isl) - 1 AS _lab
-        FROM c2 GROUP BY {group}, _isl),
-cl AS (SELECT c2.{group}, c2._x, isl._lab FROM c2 JOIN isl ON c2.{group} = isl.{group} AND c2._isl = isl._isl),
-ap AS (SELECT nb.{group}, nb._x, cl._lab,
-         max(CASE WHEN cl._lab IS NOT NULL THEN nb._x END) OVER (PARTITION BY nb.{group} ORDER BY nb._x
-             ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS _px,
-         min(CASE WHEN cl._lab IS NOT NULL THEN nb._x END) OVER (PARTITION BY nb.{group} ORDER BY nb._x
-             ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS _nx
-       FROM nb LEFT JOIN cl ON nb.{group} = cl.{group} AND nb._x = cl._x),
-lb AS (SELECT ap.{group}, ap._x,
-         CAST(coalesce(ap._lab, least(CASE WHEN ap._x - ap._px <= {eps} THEN pl._lab END,
-                                      CASE WHEN ap._nx - ap._x <= {eps} THEN nl._lab END), -1) AS INTEGER) AS db_label
-       FROM ap LEFT JOIN cl pl ON ap.{group} = pl.{group} AND ap._px = pl._x
-               LEFT JOIN cl nl ON ap.{group} = nl.{group} AND ap._nx = nl._x)
-SELECT t.*, lb.db_label, lb.db_label = -1 AS anomalia_db
-FROM {table} t JOIN lb ON t.{group} = lb.{group} AND CAST(t.{x} AS DOUBLE) = lb._x
-"""
-
-
 # ------------------------------------------------------- label combination
 
 
@@ -179,7 +91,7 @@ def cohen_kappa(df: DataFrame, group: list[str], a: str, b: str) -> DataFrame:
     agg = df.groupBy(*group).agg(
         F.count(F.lit(1)).cast("double").alias("_n"),
         F.sum(F.when(ai == bi, 1).otherwise(0)).alias("_agree"),
-        F.sum(ai).alias("_a1"), F.sum(bi).alias("_b1"))
+        F.sum(ai).cast("double").alias("_a1"), F.sum(bi).cast("double").alias("_b1"))
     n = F.col("_n")
     po = F.col("_agree") / n
     pe = (F.col("_a1") * F.col("_b1") + (n - F.col("_a1")) * (n - F.col("_b1"))) / (n * n)
@@ -265,7 +177,6 @@ TREE_SCHEMA = T.StructType([
 
 def isolation_forest(df: DataFrame, group: list[str], features: list[str], row_id: str, n_trees: int = 100,
                      max_samples: int = 256, contamination: float = 0.10, seed: int = 42,
-                     exact_threshold: bool | None = None, exact_max_group: int = 5_000_000,
                      broadcast_trees_max_groups: int = 10_000) -> DataFrame:
     """Isolation forest fitted and applied per group (ANO1).
 
@@ -280,16 +191,15 @@ def isolation_forest(df: DataFrame, group: list[str], features: list[str], row_i
     4. score = -2^(-E[h]/c(psi)) (higher = more normal); the threshold is the
        ``contamination`` quantile of the group's scores; if_score = score -
        threshold, anomalia_if = if_score < 0. The quantile is exact (linear
-       interpolation, as NumPy) while the largest group has at most
-       ``exact_max_group`` rows, else a 1e-5-accurate sketch.
+       interpolation, as NumPy) and distributed (``scaling.quantile``).
     Features are used as given (standardise first, e.g. with ``standardize``).
     """
-    gcol = F.concat_ws("\u0001", *[F.col(c).cast("string") for c in group])
+    gcol = F.to_json(F.struct(*group), {"ignoreNullFields": "false"})  # (NULL, a) and (a, NULL) are two groups
     # fit, size check and scoring all read the input: persist it (it is the
     # per-group feature table, typically an aggregate) so upstream work runs once
     base = df.withColumn("_g", gcol).persist()
     sizes = base.groupBy("_g").agg(F.count(F.lit(1)).alias("_n"))
-    base = base.join(sizes, "_g")
+    base = attach(base, sizes, ["_g"])
     psi = F.least(F.col("_n"), F.lit(max_samples))
     p = F.least(F.lit(1.0), F.lit(4.0) * psi / F.col("_n"))
     h = lambda t: (F.abs(F.xxhash64(F.lit(seed), t, F.col(row_id))) % 1_000_003) / F.lit(1_000_003.0)
@@ -373,17 +283,7 @@ def isolation_forest(df: DataFrame, group: list[str], features: list[str], row_i
 
         scored = rows_s.groupBy("_g", "_salt").cogroup(trees_s.groupBy("_g", "_salt")).applyInPandas(
             score_group, score_schema)
-    if exact_threshold is None:
-        # the exact percentile keeps a group's distinct scores in one task's
-        # buffer: fine for bounded groups; beyond that use the sketch
-        exact_threshold = sizes.agg(F.max("_n")).first()[0] <= exact_max_group
-    q = (F.percentile("_s", F.lit(contamination)) if exact_threshold
-         else F.percentile_approx("_s", F.lit(contamination), F.lit(100_000)))
-    thr = scored.groupBy("_g").agg(q.alias("_thr"))
-    out = scored.join(thr, "_g").withColumn("if_score", F.col("_s") - F.col("_thr"))
+    scored = checkpoint_parquet(scored, "forest-scores")  # scored once, for the threshold and the result
+    thr = quantile(scored, "_s", contamination, ["_g"], "_thr")
+    out = attach(scored, thr, ["_g"]).withColumn("if_score", F.col("_s") - F.col("_thr"))
     return out.withColumn("anomalia_if", F.col("if_score") < 0).drop("_g", "_n", "_s", "_thr")
-
-
-def flag_expr(score: str | Column, threshold: float = 0.0) -> Column:
-    c = F.col(score) if isinstance(score, str) else score
-    return c < threshold

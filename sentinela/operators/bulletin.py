@@ -127,14 +127,15 @@ def derive_columns(df: DataFrame, first_period: str = "half", halve_totals: bool
 
 
 def finalize(df: DataFrame) -> DataFrame:
-    """Type enforcement (CLN10): ints, doubles, boolean, date. Projection,
+    """Type enforcement (CLN10): year and week int, counts bigint, doubles, boolean, date. Projection,
     renames, derived/constant and dropped columns (PRJ1-5) are plain
     ``select`` / ``withColumn(s)`` / ``withColumnsRenamed`` / ``drop`` calls;
     equality, compound and null filters (FLT1, FLT5, FLT6) plain ``where``."""
-    ints = ["anio", "semana", "casos_semana", "casos_acumulado", "casos_acum_anterior", "casos_ambos_sexos",
+    counts = ["casos_semana", "casos_acumulado", "casos_acum_anterior", "casos_ambos_sexos",
             "casos_sem_total", "casos_ant_total", "incr_semanal", "casos_nuevos", "casos_nuevos_total"]
     dbl = ["tasa_crecimiento", "semana_sin", "semana_cos"]
-    return df.withColumns({**{c: F.col(c).cast("int") for c in ints if c in df.columns},
+    return df.withColumns({**{c: F.col(c).cast("int") for c in ("anio", "semana") if c in df.columns},
+                           **{c: F.col(c).cast("bigint") for c in counts if c in df.columns},
                            **{c: F.col(c).cast("double") for c in dbl if c in df.columns}})
 
 

@@ -12,82 +12,48 @@ import pandas as pd
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.feature import PCA, VectorAssembler
-from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from sentinela.operators.joins import has_at_most
 from sentinela.operators.scaling import median_impute, standardize
 
 
 def preprocess(df: DataFrame, cols: list[str], log_cols: list[str] = (), out: str = "features") -> DataFrame:
     """log1p selected columns, median-impute, standardise with population std,
-    assemble a vector (CLU1). Global stats are one-row aggregates."""
-    x = df.withColumns({c: F.log1p(F.col(c).cast("double")) for c in log_cols})
-    x = median_impute(x, list(cols))
-    x = standardize(x, list(cols), suffix="_z")
-    return VectorAssembler(inputCols=[c + "_z" for c in cols], outputCol=out).transform(x)
-
-
-def array_features(df: DataFrame, col: str, out: str = "features") -> DataFrame:
-    return df.withColumn(out, array_to_vector(F.col(col)))
+    assemble a vector (CLU1). The input columns stay as they are; the
+    standardised values are added as ``{col}_z``."""
+    own = {c: f"_prep_{c}" for c in cols}
+    x = df.withColumns({own[c]: F.log1p(F.col(c).cast("double")) if c in log_cols else F.col(c).cast("double") for c in cols})
+    x = median_impute(x, list(own.values()))
+    x = standardize(x, list(own.values()), suffix="_z").drop(*own.values())
+    x = x.withColumnsRenamed({f"{own[c]}_z": f"{c}_z" for c in cols})
+    return VectorAssembler(inputCols=[f"{c}_z" for c in cols], outputCol=out).transform(x)
 
 
 def kmeans_best(df: DataFrame, k: int, features: str = "features", n_init: int = 30, max_iter: int = 1000,
-                seed: int = 42, order_by: str | None = None, parallelism: int | None = None,
-                engine: str = "auto", multistart_min_rows: int = 5_000_000):
-    """Best of ``n_init`` seeded K-Means fits by training cost (CLU2).
-
-    ``engine='spark_ml'`` runs ``pyspark.ml`` fits concurrently (fast on
-    small inputs: per-iteration cost is job overhead); ``'multistart'``
-    (``kmeans_multistart``) advances all restarts in one pass per iteration,
-    n_init times fewer scans, which wins once the data is large; ``'auto'``
-    picks by row count. Cluster ids are renumbered deterministically: by the
-    mean of ``order_by`` (descending) when given, else by the first centroid
-    coordinate. Returns (model or centres, predictions with ``cluster``, cost)."""
-    data = df.persist()
-    if engine == "auto":
-        engine = "multistart" if not has_at_most(data, multistart_min_rows) else "spark_ml"
-    if engine == "multistart":
-        cen, pred, cost = kmeans_multistart(data, k, features, n_init, min(max_iter, 300), seed=seed)
-        if order_by:
-            keyed = pred.groupBy("cluster").agg(F.avg(order_by).alias("_key"))
-            remap = keyed.select(F.col("cluster").alias("_raw"),
-                                 (F.row_number().over(Window.orderBy(F.desc("_key"), "cluster")) - 1).alias("_c"))
-            pred = pred.withColumnRenamed("cluster", "_raw").join(F.broadcast(remap), "_raw").drop("_raw") \
-                .withColumnRenamed("_c", "cluster")
-        return cen, pred, cost
-
-    def fit(i: int):
-        m = KMeans(k=k, maxIter=max_iter, seed=seed + i, featuresCol=features, predictionCol="_raw").fit(data)
-        return i, m, m.summary.trainingCost
-
-    # Restarts are independent Spark jobs: submit them concurrently (as
-    # CrossValidator's ``parallelism`` does); each fit is distributed itself.
-    parallelism = parallelism or df.sparkSession.sparkContext.defaultParallelism
-    with ThreadPoolExecutor(max_workers=max(1, min(n_init, parallelism))) as pool:
-        fits = list(pool.map(fit, range(n_init)))
-    _, model, cost = min(fits, key=lambda t: (t[2], t[0]))
-    pred = model.transform(data)
+                seed: int = 42, order_by: str | None = None):
+    """Best of ``n_init`` seeded K-Means restarts by cost (CLU2): all restarts
+    advance in the same pass over the data (``kmeans_multistart``), at any
+    size. Cluster ids are renumbered by the mean of ``order_by`` (descending)
+    when given, else by the first centroid coordinate. Returns (centres,
+    predictions with ``cluster``, cost)."""
+    cen, pred, cost = kmeans_multistart(df, k, features, n_init, max_iter, seed=seed)
     if order_by:
-        keyed = pred.groupBy("_raw").agg(F.avg(order_by).alias("_key"))
-        remap = keyed.withColumn("cluster", F.row_number().over(Window.orderBy(F.desc("_key"), "_raw")) - 1)
-    else:
-        centers = model.clusterCenters()
-        rows = sorted(range(len(centers)), key=lambda i: (float(centers[i][0]), i))
-        remap = df.sparkSession.createDataFrame([(r, j) for j, r in enumerate(rows)], "_raw int, cluster int")
-    pred = pred.join(F.broadcast(remap.select("_raw", "cluster")), "_raw").drop("_raw")
-    return model, pred, cost
-
+        keyed = pred.groupBy("cluster").agg(F.avg(order_by).alias("_key"))
+        remap = keyed.select(F.col("cluster").alias("_raw"),
+                             (F.row_number().over(Window.orderBy(F.desc("_key"), "cluster")) - 1).alias("_c"))
+        pred = pred.withColumnRenamed("cluster", "_raw").join(F.broadcast(remap), "_raw").drop("_raw") \
+            .withColumnRenamed("_c", "cluster")  # k rows
+    return cen, pred, cost
 
-def elbow(df: DataFrame, ks: list[int], features: str = "features", seed: int = 42, max_iter: int = 100) -> DataFrame:
-    """Inertia (training cost) for each k (CLU3); one distributed fit per k."""
-    data = df.persist()
 
+def elbow(df: DataFrame, ks: list[int], features: str = "features", seed: int = 42, n_init: int = 20,
+          max_iter: int = 500) -> DataFrame:
+    """Inertia (cost of the best of ``n_init`` restarts) for each k (CLU3)."""
     def fit(k: int):
-        return int(k), float(KMeans(k=k, seed=seed, maxIter=max_iter, featuresCol=features).fit(data)
-                             .summary.trainingCost)
+        return int(k), float(kmeans_multistart(df, k, features, n_init, max_iter, seed=seed)[2])
 
     with ThreadPoolExecutor(max_workers=4) as pool:
         rows = list(pool.map(fit, ks))
@@ -182,7 +148,7 @@ def ward_clusters(df: DataFrame, k: int, features: str = "features", id_col: str
 def adjusted_rand(df: DataFrame, a: str, b: str) -> DataFrame:
     """Adjusted Rand index of two labellings from contingency counts (CLU7)."""
     cont = df.groupBy(a, b).agg(F.count(F.lit(1)).alias("nij"))
-    c2 = lambda c: c * (c - 1) / 2.0
+    c2 = lambda c: c.cast("double") * (c.cast("double") - 1) / 2.0
     rows_a = df.groupBy(a).agg(F.count(F.lit(1)).alias("n")).agg(F.sum(c2(F.col("n"))).alias("sa"), F.sum("n").alias("n"))
     rows_b = df.groupBy(b).agg(F.count(F.lit(1)).alias("n")).agg(F.sum(c2(F.col("n"))).alias("sb"))
     sij = cont.agg(F.sum(c2(F.col("nij"))).alias("sij"))
@@ -212,7 +178,7 @@ def label_comparison(a: DataFrame, b: DataFrame, key: str, la: str, lb: str) ->
     return j.groupBy(la, lb).agg(F.count(F.lit(1)).alias("n"))
 
 
-def best_k(df: DataFrame, ks: list[int], features: str = "features", n_init: int = 10, seed: int = 42) -> DataFrame:
+def best_k(df: DataFrame, ks: list[int], features: str = "features", n_init: int = 30, seed: int = 42) -> DataFrame:
     """Silhouette (squared Euclidean) and inertia for each k; the row with the
     best silhouette is flagged, first k on ties (CLU4, Q8)."""
     rows = []
@@ -243,9 +209,9 @@ def kmeans_multistart(df: DataFrame, k: int, features: str = "features", n_init:
                       tol: float = 1e-4, seed: int = 42, sample_per_center: int = 20):
     """Best of ``n_init`` K-Means restarts, run together (CLU2).
 
-    Seeding: one seeded Bernoulli sample of about ``sample_per_center * k *
-    n_init`` rows (bounded) is collected and each restart is seeded by
-    k-means++ on it. Lloyd iterations: the n_init x k centres are broadcast;
+    Seeding: the ``sample_per_center * k * n_init`` rows of the lowest seeded
+    hashes (bounded; all rows, if fewer) are collected and each restart is
+    seeded by k-means++ on them. Lloyd iterations: the n_init x k centres are broadcast;
     ``mapInPandas`` assigns every row to its nearest centre for every
     restart and emits per-partition sums; a ``groupBy`` merges them; the
     driver updates the (bounded) centre table. One job per iteration serves
@@ -255,11 +221,8 @@ def kmeans_multistart(df: DataFrame, k: int, features: str = "features", n_init:
     predictions with ``cluster``, cost)."""
     spark = df.sparkSession
     data = df.select(vector_to_array(F.col(features)).alias("_v"), "*").persist()
-    n = data.count()
-    frac = min(1.0, sample_per_center * k * n_init / max(n, 1))
-    sample = np.array([r["_v"] for r in data.sample(False, frac, seed).select("_v").collect()], dtype=float)
-    if len(sample) < k:
-        sample = np.array([r["_v"] for r in data.select("_v").limit(max(k, 1000)).collect()], dtype=float)
+    draw = F.xxhash64(F.lit(seed), "_v")
+    sample = np.array([r["_v"] for r in data.select("_v").orderBy(draw, "_v").limit(sample_per_center * k * n_init).collect()], dtype=float)
     rng = np.random.default_rng(seed)
     centers = np.stack([_kmeanspp(sample, k, rng) for _ in range(n_init)])  # (R, k, d)
     active = np.ones(n_init, dtype=bool)

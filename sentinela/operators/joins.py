@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -12,8 +10,9 @@ DEFAULT_BROADCAST_ROWS = 1_000_000
 
 
 def has_at_most(df: DataFrame, max_rows: int) -> bool:
-    """True when ``df`` has <= max_rows rows. Reads at most max_rows + 1 rows."""
-    return df.limit(max_rows + 1).count() <= max_rows
+    """True when ``df`` has <= max_rows rows: one count with a partial sum per
+    task, so no rows gather in one task."""
+    return df.count() <= max_rows
 
 
 def checked_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
@@ -30,13 +29,6 @@ def bounded_distinct(df: DataFrame, col: str, max_values: int = 10_000) -> list:
     return sorted(r[0] for r in rows)
 
 
-def left_join(left: DataFrame, right: DataFrame, on, small_right_rows: int | None = None) -> DataFrame:
-    """Left equi join (JN1/JN2); the right side is broadcast when a row bound is given and holds."""
-    if small_right_rows is not None:
-        right = checked_broadcast(right, small_right_rows)
-    return left.join(right, on=on, how="left")
-
-
 def join_via_alias(left: DataFrame, alias: DataFrame, key: str, alias_key: str) -> DataFrame:
     """Add ``alias_key`` to ``left`` through a (small, bounded) alias table (JN2);
     unmatched keys keep their own name."""
@@ -70,20 +62,6 @@ def duplicate_count(df: DataFrame, keys: list[str]) -> DataFrame:
     return df.agg((F.count(F.lit(1)) - F.count_distinct(*[F.col(k) for k in keys])).alias("n_duplicados"))
 
 
-def cartesian_grid(dims: list[DataFrame], max_rows_each: int | None = None) -> DataFrame:
-    """Cartesian product of small dimension tables (JN5), built on executors
-    (broadcast nested-loop joins). Dimensions are catalogues or collected
-    bounded sets; with ``max_rows_each`` each one is size-checked and
-    broadcast explicitly."""
-    def step(acc: DataFrame, d: DataFrame) -> DataFrame:
-        if max_rows_each is not None:
-            if not has_at_most(d, max_rows_each):
-                raise ValueError("grid dimension exceeds the broadcast bound")
-            d = F.broadcast(d)
-        return acc.crossJoin(d)
-    return reduce(step, dims[1:], dims[0])
-
-
 def grid_from_values(spark, dims: list[tuple[str, list, str]], rows_per_partition: int = 1_000_000) -> DataFrame:
     """Cartesian product of small value lists, generated without joins (JN5).
 

@@ -8,11 +8,10 @@ is partitioned by entity, and the pair table never leaves the executors.
 
 from __future__ import annotations
 
-import numpy as np
-import pandas as pd
-from pyspark.sql import DataFrame, Window
+import math
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from sentinela.operators.stats import guarded_corr
 
@@ -59,90 +58,33 @@ def best_lag(df: DataFrame, entity: str, order: str, x: str, y: str, lags: list[
     )
 
 
-# ---- p-value of r (TS2): Student t tail via the regularised incomplete beta ----
-
-def _betacf(a: np.ndarray, b: np.ndarray, x: np.ndarray, iters: int = 300) -> np.ndarray:
-    """Continued fraction for the incomplete beta (modified Lentz), vectorised."""
-    tiny = 1e-300
-    qab, qap, qam = a + b, a + 1.0, a - 1.0
-    c = np.ones_like(x)
-    d = 1.0 - qab * x / qap
-    d = np.where(np.abs(d) < tiny, tiny, d)
-    d = 1.0 / d
-    h = d.copy()
-    for m in range(1, iters + 1):
-        m2 = 2 * m
-        aa = m * (b - m) * x / ((qam + m2) * (a + m2))
-        d = 1.0 + aa * d
-        d = np.where(np.abs(d) < tiny, tiny, d)
-        c = 1.0 + aa / c
-        c = np.where(np.abs(c) < tiny, tiny, c)
-        d = 1.0 / d
-        h = h * d * c
-        aa = -(a + m) * (qab + m) * x / ((a + m2) * (qap + m2))
-        d = 1.0 + aa * d
-        d = np.where(np.abs(d) < tiny, tiny, d)
-        c = 1.0 + aa / c
-        c = np.where(np.abs(c) < tiny, tiny, c)
-        d = 1.0 / d
-        delta = d * c
-        h = h * delta
-        if np.all(np.abs(delta - 1.0) < 1e-15):
-            break
-    return h
-
-
-def _lgamma(v: np.ndarray) -> np.ndarray:
-    from math import lgamma
-    return np.vectorize(lgamma, otypes=[float])(v)
-
-
-def betainc_reg(a: np.ndarray, b: np.ndarray, x: np.ndarray) -> np.ndarray:
-    """I_x(a, b) for arrays (no SciPy in the image)."""
-    a, b, x = (np.asarray(v, dtype=float) for v in (a, b, x))
-    out = np.full(np.broadcast(a, b, x).shape, np.nan)
-    a, b, x = np.broadcast_arrays(a, b, x)
-    ok = (x >= 0) & (x <= 1) & (a > 0) & (b > 0)
-    out[ok & (x == 0)] = 0.0
-    out[ok & (x == 1)] = 1.0
-    mid = ok & (x > 0) & (x < 1)
-    if mid.any():
-        am, bm, xm = a[mid], b[mid], x[mid]
-        lbt = _lgamma(am + bm) - _lgamma(am) - _lgamma(bm) + am * np.log(xm) + bm * np.log1p(-xm)
-        bt = np.exp(lbt)
-        direct = xm < (am + 1.0) / (am + bm + 2.0)
-        res = np.empty_like(xm)
-        res[direct] = bt[direct] * _betacf(am[direct], bm[direct], xm[direct]) / am[direct]
-        inv = ~direct
-        res[inv] = 1.0 - bt[inv] * _betacf(bm[inv], am[inv], 1.0 - xm[inv]) / bm[inv]
-        out[mid] = res
-    return out
-
-
-def pearson_pvalue_np(r: np.ndarray, n: np.ndarray) -> np.ndarray:
-    """Two-sided p of Pearson r with n pairs: I_{df/(df+t^2)}(df/2, 1/2), df = n - 2."""
-    r = np.asarray(r, dtype=float)
-    n = np.asarray(n, dtype=float)
-    df = n - 2.0
-    r2 = np.clip(r * r, 0.0, 1.0)
-    # df / (df + t^2) with t^2 = df r^2 / (1 - r^2) simplifies to 1 - r^2
-    x = np.where(df > 0, 1.0 - r2, np.nan)
-    p = betainc_reg(df / 2.0, np.full_like(df, 0.5), x)
-    p[np.isnan(r) | (df <= 0)] = np.nan
-    return p
-
-
-@F.pandas_udf(T.DoubleType())
-def pearson_pvalue(r: pd.Series, n: pd.Series) -> pd.Series:
-    """Arrow-batched p-value; runs on (entity x lag) summary rows only."""
-    return pd.Series(pearson_pvalue_np(r.to_numpy(dtype=float, na_value=np.nan),
-                                       n.to_numpy(dtype=float, na_value=np.nan)))
+# ---- p-value of r (TS2) ----
+
+def pearson_pvalue(r: Column, n: Column) -> Column:
+    """Two-sided p of a Pearson r over n pairs: the Student t tail with n - 2
+    degrees of freedom, which for whole degrees is a finite series in
+    cos^2 = 1 - r^2. NULL without r or degrees of freedom."""
+    df = (n - 2).cast("int")
+    sine = F.abs(r)
+    cos2 = F.lit(1.0) - r * r
+    even = df % 2 == 0
+    last = F.greatest(F.when(even, (df - 2) / 2).otherwise((df - 3) / 2).cast("int"), F.lit(0))
+
+    def step(acc, j):
+        ratio = F.when(even, (2 * j - 1) / (2 * j)).otherwise((2 * j) / (2 * j + 1))
+        term = F.when(j == 0, F.lit(1.0)).otherwise(acc["term"] * ratio * cos2)
+        return F.struct(term.alias("term"), (acc["sum"] + term).alias("sum"))
+
+    series = F.aggregate(F.sequence(F.lit(0), last), F.struct(F.lit(0.0).alias("term"), F.lit(0.0).alias("sum")), step, lambda acc: acc["sum"])
+    odd = F.lit(2 / math.pi) * (F.asin(sine) + F.when(df > 1, sine * F.sqrt(cos2) * series).otherwise(0.0))
+    inside = F.when(cos2 <= 0, 1.0).otherwise(F.when(even, sine * series).otherwise(odd))
+    return F.when(df >= 1, F.lit(1.0) - inside)
 
 
 def lag_pvalues(corr: DataFrame, alpha: float = 0.05) -> DataFrame:
     """Add t statistic, p-value and significance flag to a lag_correlations result (TS2)."""
     t = F.col("r") * F.sqrt(F.try_divide(F.col("n_pares") - 2, 1 - F.col("r") * F.col("r")))
-    p = pearson_pvalue(F.col("r"), F.col("n_pares").cast("double"))
+    p = pearson_pvalue(F.col("r"), F.col("n_pares"))
     return corr.withColumns({"t": t, "p_valor": p}).withColumn("significativo", F.col("p_valor") < alpha)
 
 

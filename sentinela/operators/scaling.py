@@ -1,25 +1,63 @@
-"""Imputation and scaling (CLN9, ANO0, RSK2). Global statistics are computed
-as one-row aggregates and attached with a broadcast cross join (1 row: a
-proven size bound); per-group statistics use a window partitioned by group."""
+"""Imputation, exact quantiles and scaling (CLN9, ANO0, RSK2). Global statistics
+are one-row aggregates attached with a broadcast cross join (1 row: a proven
+size bound). Per-group statistics are partial aggregates written as a table: its
+file size lets the planner broadcast them (or not, beyond its threshold), so
+the fact itself is not shuffled on the group."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from sentinela.sinks.writers import checkpoint_parquet
 
-def median_impute(df: DataFrame, cols: list[str], group: list[str] | None = None, exact: bool = True) -> DataFrame:
+
+def attach(df: DataFrame, stats: DataFrame, group: list[str]) -> DataFrame:
+    """``df`` with the statistics of its group; null keys are a group."""
+    known = checkpoint_parquet(stats, "group-statistics")
+    keys = {c: f"_key_{c}" for c in group}
+    known = known.withColumnsRenamed(keys)
+    same = [F.col(c).eqNullSafe(F.col(k)) for c, k in keys.items()]
+    return df.join(known, same, "left").drop(*keys.values())
+
+
+def quantile(df: DataFrame, col: str, q: float, group: list[str] | None = None, out: str = "_q") -> DataFrame:
+    """The exact interpolated ``q``-quantile (S8) of the values that are not
+    null, per group or of all rows, at any size by the same way: distinct
+    values with their counts are range-partitioned; partition sums give each
+    value its ranks; only the one or two values at the wanted rank are kept.
+    No task holds more than its range of distinct values."""
+    g = list(group or [])
+    counts = checkpoint_parquet(df.where(F.col(col).isNotNull()).groupBy(*g, F.col(col).cast("double").alias("_v")).agg(F.count(F.lit(1)).alias("_m")), "quantile-counts")
+    placed = checkpoint_parquet(counts.repartitionByRange(*g, "_v").withColumn("_p", F.spark_partition_id()), "quantile-ranges")
+    over = Window.partitionBy(*g) if g else Window.partitionBy(F.lit(0))  # one row per partition (and group)
+    sums = placed.groupBy(*g, "_p").agg(F.sum("_m").alias("_s")).select(
+        *[F.col(c).alias(f"_key_{c}") for c in g], F.col("_p").alias("_part"), F.sum("_s").over(over).alias("_n"),
+        F.coalesce(F.sum("_s").over(over.orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_off"))
+    ranked = placed.join(sums, [F.col(c).eqNullSafe(F.col(f"_key_{c}")) for c in g] + [F.col("_p") == F.col("_part")])
+    inside = Window.partitionBy(*g, "_p").orderBy("_v").rowsBetween(Window.unboundedPreceding, -1)
+    first = F.col("_off") + F.coalesce(F.sum("_m").over(inside), F.lit(0))
+    at = F.lit(float(q)) * (F.col("_n") - 1)
+    ranked = ranked.withColumns({"_first": first, "_at": at})
+    holds = lambda k: (F.col("_first") <= k) & (k < F.col("_first") + F.col("_m"))
+    low, high = F.floor("_at"), F.ceil("_at")
+    found = ranked.where(holds(low) | holds(high)).groupBy(*g).agg(
+        F.max(F.when(holds(low), F.col("_v"))).alias("_lo"), F.max(F.when(holds(high), F.col("_v"))).alias("_hi"), F.max("_at").alias("_at"))
+    value = F.when(F.col("_lo") == F.col("_hi"), F.col("_lo")).otherwise((F.ceil("_at") - F.col("_at")) * F.col("_lo") + (F.col("_at") - F.floor("_at")) * F.col("_hi"))
+    return found.select(*g, value.alias(out))
+
+
+def median_impute(df: DataFrame, cols: list[str], group: list[str] | None = None) -> DataFrame:
     """Fill NULLs with the exact interpolated median (S8) of each column,
-    globally or per group. The exact median keeps each group's distinct
-    values in one aggregation buffer; ``exact=False`` uses a bounded-memory
-    quantile sketch for unbounded columns."""
-    med = F.median if exact else (lambda c: F.percentile_approx(c, 0.5, 100_000))
-    meds = [med(c).alias(f"_med_{c}") for c in cols]
-    if group:
-        stats = df.groupBy(*group).agg(*meds)
-        out = df.join(stats, group, "left")
-    else:
-        out = df.crossJoin(F.broadcast(df.agg(*meds)))
+    globally or per group."""
+    out = df
+    for c in cols:
+        med = quantile(df, c, 0.5, group, f"_med_{c}")
+        if group:
+            out = attach(out, med, group)
+        else:  # one row at most; none for a column without values
+            med = med.agg(F.max(f"_med_{c}").alias(f"_med_{c}"))
+            out = out.crossJoin(F.broadcast(med))
     return out.withColumns({c: F.coalesce(F.col(c), F.col(f"_med_{c}")) for c in cols}).drop(
         *[f"_med_{c}" for c in cols])
 
@@ -27,19 +65,10 @@ def median_impute(df: DataFrame, cols: list[str], group: list[str] | None = None
 def standardize(df: DataFrame, cols: list[str], group: list[str] | None = None, suffix: str = "_z",
                 fill_null: float = 0.0) -> DataFrame:
     """(x - mean) / population std (S7: sklearn StandardScaler), zero-variance
-    scale = 1 so the column becomes 0. NULL inputs -> ``fill_null`` first.
-
-    Statistics come from one partially-aggregated ``groupBy`` (a one-row
-    ``agg`` without groups) joined back on the group keys, never from an
-    unbounded window, so a group holding a third of the rows is summed
-    map-side instead of being buffered by one task; the small statistics
-    table is broadcast by the planner / AQE when it fits."""
+    scale = 1 so the column becomes 0. NULL inputs -> ``fill_null`` first."""
     xs = {c: F.coalesce(F.col(c).cast("double"), F.lit(fill_null)) for c in cols}
     aggs = [a for c, x in xs.items() for a in (F.avg(x).alias(f"_mu_{c}"), F.stddev_pop(x).alias(f"_sd_{c}"))]
-    if group:
-        out = df.join(df.groupBy(*group).agg(*aggs), list(group), "left")
-    else:
-        out = df.crossJoin(F.broadcast(df.agg(*aggs)))
+    out = attach(df, df.groupBy(*group).agg(*aggs), list(group)) if group else df.crossJoin(F.broadcast(df.agg(*aggs)))
     for c, x in xs.items():
         sd = F.col(f"_sd_{c}")
         out = out.withColumn(c + suffix, (x - F.col(f"_mu_{c}")) / F.when(sd > 0, sd).otherwise(F.lit(1.0)))
@@ -51,10 +80,7 @@ def minmax_scale(df: DataFrame, col: str, out: str, top: float = 10.0, digits: i
     """(x - min) / (max - min) * top, half-even rounded; zero range -> 0.0 (RSK2, Q13)."""
     x = F.col(col).cast("double")
     stats = [F.min(x).alias("_lo"), F.max(x).alias("_hi")]
-    if group:
-        base = df.join(df.groupBy(*group).agg(*stats), list(group), "left")
-    else:
-        base = df.crossJoin(F.broadcast(df.agg(*stats)))
+    base = attach(df, df.groupBy(*group).agg(*stats), list(group)) if group else df.crossJoin(F.broadcast(df.agg(*stats)))
     lo, hi = F.col("_lo"), F.col("_hi")
     val = F.when(hi > lo, (x - lo) / (hi - lo) * F.lit(top)).otherwise(F.when(x.isNotNull(), F.lit(0.0)))
     if digits is not None:

@@ -24,7 +24,7 @@ def new_from_cumulative(df: DataFrame, partition: list[str], order: str, cumulat
     else:
         raise ValueError("first_period must be 'half' or 'full'")
     diff = F.when(prev.isNull(), first).otherwise(F.col(cumulative) - prev)
-    return df.withColumn(out, F.greatest(diff, F.lit(0)).cast("int"))
+    return df.withColumn(out, F.greatest(diff, F.lit(0)).cast("bigint"))
 
 
 def group_totals(df: DataFrame, keys: list[str], sums: dict[str, str]) -> DataFrame:
@@ -56,13 +56,3 @@ def lag_features(df: DataFrame, entity: list[str], order: str, cols: list[str],
     ren = {(f"{k}_{c}" if len(cols) > 1 else str(k)): name.format(col=c, k=k) for c in cols for k in lags}
     wide = wide.withColumnsRenamed(ren).withColumnRenamed("_o", order)
     return df.join(wide, [*entity, order], "left")
-
-
-def lead_columns(df: DataFrame, entity: list[str], order: str, col: str, leads: list[int]) -> tuple[DataFrame, list[str]]:
-    names = [f"_{col}_lead{k}" for k in leads]
-    w = Window.partitionBy(*entity).orderBy(order)
-    return df.withColumns({n: F.lead(col, k).over(w) for n, k in zip(names, leads)}), names
-
-
-def rank_first(order: list[Column], partition: list[str]) -> Column:
-    return F.row_number().over(Window.partitionBy(*partition).orderBy(*order))

@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from sentinela.operators.anomaly import cohen_kappa, combine_labels, dbscan_1d, dbscan_1d_sql, isolation_forest, label_summary
+from sentinela.operators.anomaly import cohen_kappa, combine_labels, dbscan_1d, isolation_forest, label_summary
 from sentinela.operators.scaling import standardize
 from sentinela.plans.registry import query
 from sentinela.sources.testdata import Tables
@@ -16,13 +16,33 @@ Z_LIMIT = 2.0
 DAILY_SQL = """SELECT event_type, CAST(ts AS DATE) AS dia, count(*) AS n_eventos FROM events GROUP BY 1, 2"""
 
 
+# DBSCAN by its definition, with self-joins instead of the operator's windows: neighbours are
+# counted, a core point without a core point just below it starts a cluster, a border point
+# takes the lowest number of the clusters within reach.
+DBSCAN_SQL = f"""WITH daily AS ({DAILY_SQL}),
+cores AS (SELECT a.event_type, a.dia, a.n_eventos AS x FROM daily a JOIN daily b
+          ON a.event_type = b.event_type AND abs(a.n_eventos - b.n_eventos) <= {EPS}
+          GROUP BY ALL HAVING count(*) >= {MIN_SAMPLES}),
+starts AS (SELECT DISTINCT event_type, x FROM cores c WHERE NOT EXISTS (
+             SELECT 1 FROM cores d WHERE d.event_type = c.event_type AND d.x < c.x AND c.x - d.x <= {EPS})),
+member AS (SELECT c.event_type, c.dia, c.x, max(s.x) AS start FROM cores c JOIN starts s
+           ON s.event_type = c.event_type AND s.x <= c.x GROUP BY ALL),
+numbered AS (SELECT event_type, start, row_number() OVER (PARTITION BY event_type ORDER BY min(dia)) - 1 AS num
+             FROM member GROUP BY event_type, start),
+reach AS (SELECT t.event_type, t.dia, min(CASE WHEN m.x = t.n_eventos THEN n.num END) AS own, min(n.num) AS num
+          FROM daily t JOIN member m ON m.event_type = t.event_type AND abs(m.x - t.n_eventos) <= {EPS}
+          JOIN numbered n ON n.event_type = m.event_type AND n.start = m.start GROUP BY ALL),
+db AS (SELECT t.*, CAST(coalesce(r.own, r.num, -1) AS INTEGER) AS db_label, coalesce(r.own, r.num, -1) = -1 AS anomalia_db
+       FROM daily t LEFT JOIN reach r USING (event_type, dia))
+"""
+
+
 def daily_counts(spark, sf_dir):
     ev = Tables(spark, sf_dir).events
     return ev.groupBy("event_type", F.to_date("ts").alias("dia")).agg(F.count(F.lit(1)).alias("n_eventos"))
 
 
-@query("dbscan_1d", "WITH daily AS (" + DAILY_SQL + ")" + dbscan_1d_sql("daily", "event_type", "n_eventos", "dia",
-                                                                       EPS, MIN_SAMPLES).replace("WITH pts", ", pts", 1))
+@query("dbscan_1d", DBSCAN_SQL + "SELECT * FROM db")
 def dbscan_1d_q(spark, sf_dir):
     return dbscan_1d(daily_counts(spark, sf_dir), ["event_type"], "n_eventos", "dia", EPS, MIN_SAMPLES)
 
@@ -34,18 +54,14 @@ def _labels(spark, sf_dir):
     return combine_labels(z, "anomalia_z", "anomalia_db").drop("n_eventos_z")
 
 
-LABELS_SQL = ("WITH daily AS (" + DAILY_SQL + ")"
-              + dbscan_1d_sql("daily", "event_type", "n_eventos", "dia", EPS, MIN_SAMPLES)
-              .replace("WITH pts", ", pts", 1)
-              .replace("SELECT t.*, lb.db_label", ", db AS (SELECT t.*, lb.db_label", 1)
-              + f"""),
+LABELS_SQL = DBSCAN_SQL + f""",
 z AS (SELECT *, abs((n_eventos - avg(n_eventos) OVER g) /
                     CASE WHEN stddev_pop(n_eventos) OVER g > 0 THEN stddev_pop(n_eventos) OVER g ELSE 1.0 END) > {Z_LIMIT}
                 AS anomalia_z
       FROM db WINDOW g AS (PARTITION BY event_type)),
 lab AS (SELECT *, CAST(anomalia_z OR anomalia_db AS INTEGER) AS brote,
                CAST(anomalia_z AND anomalia_db AS INTEGER) AS brote_estricto FROM z)
-""")
+"""
 
 
 @query("outbreak_labels", LABELS_SQL + "SELECT * FROM lab")

@@ -18,7 +18,7 @@ from sentinela.plans.registry import query
 from sentinela.sources.testdata import Tables
 
 K = 4
-N_INIT = 10
+N_INIT = 30
 
 
 def _embedding_features(spark, sf_dir, standardised: bool = True):
@@ -92,25 +92,47 @@ def adjusted_rand_q(spark, sf_dir):
     return adjusted_rand(t, "a", "b").select(F.bround("ari", 9).alias("ari"))
 
 
-@query("country_clusters")
-def country_clusters(spark, sf_dir):
-    """Country feature table end to end (FTR4): per nation incidence and
-    coverage features, log1p + median impute + standardise, K-Means (k=4),
-    risk score normalised to 0-10."""
+def _country_features(spark, sf_dir):
+    """Per nation: order counts by month and coverage by year (FTR4)."""
     t = Tables(spark, sf_dir)
-    o = t.orders.join(t.customer.select("c_custkey", "c_nationkey"), F.col("o_custkey") == F.col("c_custkey"))
+    o = t.orders.join(t.customer.select("c_custkey", "c_nationkey", "c_acctbal"), F.col("o_custkey") == F.col("c_custkey"))
     monthly = o.groupBy("c_nationkey", F.trunc(F.col("o_orderdate").cast("date"), "MM").alias("mes")).agg(
         F.count(F.lit(1)).alias("n"))
     inc = monthly.groupBy("c_nationkey").agg(F.sum("n").alias("total_cases"),
                                              F.count_if(F.col("n") > 0).alias("months_with_cases"))
-    cov_y = t.customer.join(o.select("c_custkey", F.year("o_orderdate").alias("anio")), "c_custkey").groupBy(
-        "c_nationkey", "anio").agg((F.avg((F.col("c_acctbal") > 0).cast("double")) * 100).alias("cov"))
+    cov_y = o.groupBy("c_nationkey", F.year("o_orderdate").alias("anio")).agg(
+        (F.avg((F.col("c_acctbal") > 0).cast("double")) * 100).alias("cov"))
     cov = cov_y.groupBy("c_nationkey").agg(F.avg("cov").alias("cov_mean"), F.min("cov").alias("cov_min"))
     slope = trend_slope(cov_y, ["c_nationkey"], "cov", "anio", out="cov_tendencia")
-    feats = inc.join(cov, "c_nationkey", "left").join(slope, "c_nationkey", "left")
+    return inc.join(cov, "c_nationkey", "left").join(slope, "c_nationkey", "left")
+
+
+@query("country_features", """
+WITH o AS (SELECT c_nationkey, o_orderdate, c_acctbal FROM orders JOIN customer ON o_custkey = c_custkey),
+inc AS (SELECT c_nationkey, CAST(sum(n) AS BIGINT) AS total_cases, count(*) AS months_with_cases
+        FROM (SELECT c_nationkey, date_trunc('month', o_orderdate) AS mes, count(*) AS n FROM o GROUP BY 1, 2) GROUP BY 1),
+y AS (SELECT c_nationkey, year(o_orderdate) AS anio, avg(CASE WHEN c_acctbal > 0 THEN 1.0 ELSE 0.0 END) * 100 AS cov FROM o GROUP BY 1, 2),
+cov AS (SELECT c_nationkey, avg(cov) AS cov_mean, min(cov) AS cov_min, regr_slope(cov, anio) AS cov_tendencia FROM y GROUP BY 1),
+s AS (SELECT *, ln(1 + total_cases) * (100 - cov_mean) / 100 AS score FROM inc JOIN cov USING (c_nationkey))
+SELECT c_nationkey AS n_nationkey, total_cases, months_with_cases, round_even(cov_mean, 9) AS cov_mean, round_even(cov_min, 9) AS cov_min,
+       round_even(cov_tendencia, 9) AS cov_tendencia,
+       round_even(CASE WHEN max(score) OVER () > min(score) OVER ()
+                       THEN (score - min(score) OVER ()) / (max(score) OVER () - min(score) OVER ()) * 10 ELSE 0.0 END, 2) AS score_riesgo_norm
+FROM s
+""")
+def country_features(spark, sf_dir):
+    """Country feature table and 0-10 risk score (FTR4, RSK1-2)."""
+    scored = country_risk(_country_features(spark, sf_dir), "total_cases", "cov_mean")
+    return scored.select(F.col("c_nationkey").alias("n_nationkey"), "total_cases", "months_with_cases",
+                         *[F.bround(c, 9).alias(c) for c in ("cov_mean", "cov_min", "cov_tendencia")], "score_riesgo_norm")
+
+
+@query("country_clusters")
+def country_clusters(spark, sf_dir):
+    """Country feature table end to end (FTR4): log1p + median impute +
+    standardise on copies, K-Means (k=4), risk score of the plain features."""
     cols = ["total_cases", "months_with_cases", "cov_mean", "cov_min", "cov_tendencia"]
-    x = preprocess(feats, cols, log_cols=["total_cases", "months_with_cases"])
+    x = preprocess(_country_features(spark, sf_dir), cols, log_cols=["total_cases", "months_with_cases"])
     _, pred, _ = kmeans_best(x, K, n_init=N_INIT, seed=42)
     scored = country_risk(pred.select("c_nationkey", "cluster", "total_cases", "cov_mean"), "total_cases", "cov_mean")
-    # total_cases was log1p-transformed in place for clustering; undo for the score input
     return scored.select(F.col("c_nationkey").alias("n_nationkey"), "cluster", "score_riesgo_norm")

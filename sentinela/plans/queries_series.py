@@ -59,7 +59,7 @@ def panel_wide(spark, sf_dir):
 # ------------------------------------------------- weekly bulletin binding
 
 def weekly_bulletin(spark, sf_dir):
-    """lineitem as weekly bulletin rows: disease = return flag, state = supplier
+    """lineitem as weekly bulletin rows (ISO year and week): disease = return flag, state = supplier
     region, sex = line status; cumulative counts are running sums within the
     year (with corrections that can go down)."""
     t = Tables(spark, sf_dir)
@@ -71,26 +71,26 @@ def weekly_bulletin(spark, sf_dir):
            .join(t.region.select("r_regionkey", "r_name"), F.col("n_regionkey") == F.col("r_regionkey"))
            .select("s_suppkey", F.col("r_name").alias("entidad_federativa")))
     li = t.lineitem.join(geo, F.col("l_suppkey") == F.col("s_suppkey"))
-    wk = li.groupBy(F.year("l_shipdate").alias("anio"), F.weekofyear("l_shipdate").alias("semana"),
+    wk = li.groupBy(F.extract(F.lit("YEAROFWEEK"), F.col("l_shipdate")).cast("int").alias("anio"), F.weekofyear("l_shipdate").alias("semana"),
                     "entidad_federativa", F.col("l_returnflag").alias("enfermedad"),
                     F.col("l_linestatus").alias("sexo")).agg(
-        F.count(F.lit(1)).cast("int").alias("casos_semana"),
+        F.count(F.lit(1)).alias("casos_semana"),
         F.sum(F.when(F.col("l_tax") < 0.04, 1).when(F.col("l_tax") >= 0.06, -1).otherwise(0)).alias("_delta"))
     w = (Window.partitionBy("enfermedad", "entidad_federativa", "sexo", "anio").orderBy("semana")
          .rowsBetween(Window.unboundedPreceding, Window.currentRow))
     return wk.select("anio", "semana", "entidad_federativa", "enfermedad", "sexo", "casos_semana",
-                     F.sum("_delta").over(w).cast("int").alias("casos_acumulado"),
-                     F.sum("casos_semana").over(w).cast("int").alias("casos_acum_anterior"))
+                     F.sum("_delta").over(w).cast("bigint").alias("casos_acumulado"),
+                     F.sum("casos_semana").over(w).cast("bigint").alias("casos_acum_anterior"))
 
 
 WEEKLY_SQL = """
 SELECT anio, semana, entidad_federativa, enfermedad, sexo, casos_semana,
-       CAST(sum(_delta) OVER w AS INTEGER) AS casos_acumulado,
-       CAST(sum(casos_semana) OVER w AS INTEGER) AS casos_acum_anterior
+       CAST(sum(_delta) OVER w AS BIGINT) AS casos_acumulado,
+       CAST(sum(casos_semana) OVER w AS BIGINT) AS casos_acum_anterior
 FROM (
-  SELECT CAST(year(l.l_shipdate) AS INTEGER) AS anio, CAST(weekofyear(l.l_shipdate) AS INTEGER) AS semana,
+  SELECT CAST(isoyear(l.l_shipdate) AS INTEGER) AS anio, CAST(weekofyear(l.l_shipdate) AS INTEGER) AS semana,
          r.r_name AS entidad_federativa,
-         l.l_returnflag AS enfermedad, l.l_linestatus AS sexo, CAST(count(*) AS INTEGER) AS casos_semana,
+         l.l_returnflag AS enfermedad, l.l_linestatus AS sexo, CAST(count(*) AS BIGINT) AS casos_semana,
          sum(CASE WHEN l.l_tax < 0.04 THEN 1 WHEN l.l_tax >= 0.06 THEN -1 ELSE 0 END) AS _delta
   FROM lineitem l JOIN supplier s ON l.l_suppkey = s.s_suppkey
        JOIN nation n ON s.s_nationkey = n.n_nationkey JOIN region r ON n.n_regionkey = r.r_regionkey
@@ -103,7 +103,7 @@ NEW_CASES_SQL = f"""
 WITH wk AS ({WEEKLY_SQL})
 SELECT anio, semana, entidad_federativa, enfermedad, sexo, casos_semana, casos_acumulado,
   CAST(greatest(CASE WHEN lag(casos_acumulado) OVER s IS NULL THEN round_even(casos_semana / 2.0, 0)
-                     ELSE casos_acumulado - lag(casos_acumulado) OVER s END, 0) AS INTEGER) AS casos_nuevos
+                     ELSE casos_acumulado - lag(casos_acumulado) OVER s END, 0) AS BIGINT) AS casos_nuevos
 FROM wk
 WINDOW s AS (PARTITION BY enfermedad, entidad_federativa, sexo, anio ORDER BY semana)
 """
@@ -174,7 +174,7 @@ t AS (
   SELECT *, sum(casos_acumulado) OVER c AS casos_ambos_sexos, sum(casos_semana) OVER c AS casos_sem_total,
          sum(casos_acum_anterior) OVER c AS casos_ant_total,
          CAST(greatest(CASE WHEN lag(casos_acumulado) OVER s IS NULL THEN round_even(casos_semana / 2.0, 0)
-                            ELSE casos_acumulado - lag(casos_acumulado) OVER s END, 0) AS INTEGER) AS casos_nuevos
+                            ELSE casos_acumulado - lag(casos_acumulado) OVER s END, 0) AS BIGINT) AS casos_nuevos
   FROM g
   WINDOW c AS (PARTITION BY anio, semana, entidad_federativa, enfermedad),
          s AS (PARTITION BY enfermedad, entidad_federativa, sexo, anio ORDER BY semana))
@@ -183,13 +183,13 @@ SELECT anio, semana, entidad_federativa, enfermedad, sexo, casos_semana, casos_a
     + CAST(7 * ((CASE WHEN semana = 53 AND weekofyear(make_date(anio, 12, 28)) < 53 THEN 52 ELSE semana END) - 1)
            AS INTEGER) AS fecha_inicio,
   CAST(anio AS VARCHAR) || '-W' || lpad(CAST(semana AS VARCHAR), 2, '0') AS "semana_año",
-  CAST(casos_ambos_sexos AS INTEGER) AS casos_ambos_sexos, CAST(casos_sem_total AS INTEGER) AS casos_sem_total,
-  CAST(casos_ant_total AS INTEGER) AS casos_ant_total,
+  CAST(casos_ambos_sexos AS BIGINT) AS casos_ambos_sexos, CAST(casos_sem_total AS BIGINT) AS casos_sem_total,
+  CAST(casos_ant_total AS BIGINT) AS casos_ant_total,
   CASE WHEN casos_ant_total > 0 THEN CAST(casos_ambos_sexos AS DOUBLE) / casos_ant_total END AS tasa_crecimiento,
-  CAST(casos_ambos_sexos - casos_ant_total AS INTEGER) AS incr_semanal,
+  CAST(casos_ambos_sexos - casos_ant_total AS BIGINT) AS incr_semanal,
   round_even(sin(2 * pi() * semana / 52), 9) AS semana_sin, round_even(cos(2 * pi() * semana / 52), 9) AS semana_cos,
   casos_acumulado > 0 AS es_brote, casos_nuevos,
-  CAST(sum(casos_nuevos) OVER c AS INTEGER) AS casos_nuevos_total
+  CAST(sum(casos_nuevos) OVER c AS BIGINT) AS casos_nuevos_total
 FROM t
 WINDOW c AS (PARTITION BY anio, semana, entidad_federativa, enfermedad)
 """
@@ -265,10 +265,27 @@ def lag_correlation_best(spark, sf_dir):
     return _best(spark, sf_dir).withColumn("mejor_r", F.bround("mejor_r", 9))
 
 
-@query("lag_pvalue")
+# The Student t tail for whole degrees of freedom, with the products of the series written as gamma functions.
+PVALUE_SQL = CORR_SQL + """,
+v AS (SELECT *, n_pares - 2 AS df, 1 - r * r AS c2 FROM r),
+a AS (SELECT *, CASE
+        WHEN r IS NULL OR df < 1 THEN NULL
+        WHEN c2 <= 0 THEN 1.0
+        WHEN df % 2 = 0 THEN abs(r) * list_sum(list_transform(range(0, df // 2),
+             lambda j: exp(lgamma(j + 0.5) - lgamma(0.5) - lgamma(j + 1)) * pow(c2, j)))
+        WHEN df = 1 THEN 2 / pi() * asin(abs(r))
+        ELSE 2 / pi() * (asin(abs(r)) + abs(r) * sqrt(c2) * list_sum(list_transform(range(0, (df - 1) // 2),
+             lambda j: exp(lgamma(j + 1) + lgamma(1.5) - lgamma(j + 1.5)) * pow(c2, j)))) END AS inside FROM v)
+SELECT entidad, lag, round_even(r, 9) AS r, n_pares, n_puntos,
+       round_even(r * sqrt(CASE WHEN c2 <> 0 THEN df / c2 END), 6) AS t, round_even(1 - inside, 9) AS p_valor, 1 - inside < 0.05 AS significativo
+FROM a
+"""
+
+
+@query("lag_pvalue", PVALUE_SQL)
 def lag_pvalue(spark, sf_dir):
     corr = lag_correlations(_lag_input(spark, sf_dir), "entidad", "fecha", "pasajeros", "casos_confirmados", LAGS)
-    return lag_pvalues(corr)
+    return lag_pvalues(corr).withColumns({"r": F.bround("r", 9), "t": F.bround("t", 6), "p_valor": F.bround("p_valor", 9)})
 
 
 OLS_SQL = LAG_PAIRS_SQL + """,

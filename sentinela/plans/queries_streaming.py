@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from sentinela.plans.registry import query
 from sentinela.session import scratch_path
 from sentinela.sources.testdata import Tables
-from sentinela.streaming.incremental import start_counts
+from sentinela.streaming.incremental import read_counts, start_counts
 
 # Binding: orders below this price carry a pending diagnosis date (the
 # sentinel), so their month comes from the update date (end of the same month).
@@ -50,4 +50,4 @@ def streaming_counts(spark, sf_dir):
     # several files land in the folder; the stream picks up each exactly once
     files.write.option("header", True).csv(landing)
     start_counts(spark, landing, out, ckpt).awaitTermination()
-    return spark.read.parquet(out)
+    return read_counts(spark, out)

@@ -60,7 +60,7 @@ def num_parse(spark, sf_dir):
                     strip_thousands("s_coma", ",").alias("miles_coma"))
 
 
-WEEKS_SQL = ("SELECT DISTINCT CAST(year(o_orderdate) AS INTEGER) AS anio, "
+WEEKS_SQL = ("SELECT DISTINCT CAST(isoyear(o_orderdate) AS INTEGER) AS anio, "
              "CAST(weekofyear(o_orderdate) AS INTEGER) AS semana FROM orders")
 
 
@@ -80,7 +80,7 @@ def iso_week_start(spark, sf_dir):
 
 def _weeks(spark, sf_dir):
     o = Tables(spark, sf_dir).orders
-    return o.select(F.year("o_orderdate").alias("anio"), F.weekofyear("o_orderdate").alias("semana")).distinct()
+    return o.select(F.extract(F.lit("YEAROFWEEK"), F.col("o_orderdate")).cast("int").alias("anio"), F.weekofyear("o_orderdate").alias("semana")).distinct()
 
 
 @query("cyclic_week", f"""
@@ -121,5 +121,5 @@ def month_name_date(spark, sf_dir):
     d = F.dayofmonth("o_orderdate")
     txt = (F.when(d == 31, F.lit("desconocido")).when(d % 3 == 0, F.upper(name))
            .when(d % 3 == 1, F.concat(F.lit("  "), name, F.lit(" "))).otherwise(name))
-    t = o.select("o_orderkey", F.year("o_orderdate").alias("anio"), txt.alias("mes_texto"))
+    t = o.select("o_orderkey", F.extract(F.lit("YEAROFWEEK"), F.col("o_orderdate")).cast("int").alias("anio"), txt.alias("mes_texto"))
     return t.select("o_orderkey", "mes_texto", month_name_to_date("anio", "mes_texto").alias("fecha"))

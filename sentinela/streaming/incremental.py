@@ -59,14 +59,24 @@ def _finish(df: DataFrame) -> DataFrame:
 
 def start_counts(spark: SparkSession, landing_dir: str, out_path: str, checkpoint_dir: str,
                  available_now: bool = True, processing_time: str | None = None) -> StreamingQuery:
-    """Run the counting stream; every micro-batch rewrites ``out_path``
-    (complete output: the full, bounded count table) as Parquet."""
+    """Run the counting stream; every micro-batch writes the complete (bounded)
+    count table to a folder of its own, ``out_path/batch=<id>``. A batch that
+    is run again overwrites only its own folder, and one that fails leaves the
+    tables of earlier batches whole; ``read_counts`` reads the last whole one."""
     counts = streaming_case_counts(linelist_stream(spark, landing_dir))
 
     def write_batch(batch: DataFrame, epoch: int) -> None:
-        _finish(batch).write.mode("overwrite").parquet(out_path)
+        _finish(batch).write.mode("overwrite").parquet(f"{out_path}/batch={epoch}")
 
     w = counts.writeStream.outputMode("complete").option("checkpointLocation", checkpoint_dir).foreachBatch(
         write_batch)
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime=processing_time or "1 minute")
     return w.start()
+
+
+def read_counts(spark: SparkSession, out_path: str) -> DataFrame:
+    """The table of the last batch that ``start_counts`` has written whole. Each
+    batch holds the complete table, so rows of older ones are passed over."""
+    batches = spark.read.parquet(out_path)
+    last = batches.agg(F.max("batch")).first()[0]
+    return batches.where(F.col("batch") == last).drop("batch")

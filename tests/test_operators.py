@@ -11,7 +11,7 @@ from sentinela.operators import bulletin as B
 from sentinela.operators.anomaly import cohen_kappa, combine_labels, dbscan_1d, isolation_forest
 from sentinela.operators.cluster import _ward_merges, adjusted_rand, ward_clusters
 from sentinela.operators.joins import dedupe_first, grid_from_values
-from sentinela.operators.lagcorr import best_lag, pearson_pvalue_np
+from sentinela.operators.lagcorr import best_lag, pearson_pvalue
 from sentinela.operators.risk import seasonal_weights
 from sentinela.operators.scaling import minmax_scale, standardize
 from sentinela.operators.stats import guarded_corr
@@ -92,9 +92,13 @@ def test_best_lag_ties_and_short_series(spark):
     assert got["short"] == (1, None)
 
 
-def test_pearson_pvalue_known_values():
-    p = pearson_pvalue_np(np.array([0.5, 0.0, 0.9, -0.264]), np.array([10, 10, 5, 68]))
+def test_pearson_pvalue_known_values(spark):
+    rows = [(0, 0.5, 10), (1, 0.0, 10), (2, 0.9, 5), (3, -0.264, 68), (4, 1.0, 9), (5, 0.3, 2), (6, None, 9), (7, 0.5, 3), (8, 0.5, 4)]
+    df = spark.createDataFrame(rows, "i int, r double, n bigint").withColumn("p", pearson_pvalue(F.col("r"), F.col("n")))
+    p = {r.i: r.p for r in df.collect()}
     assert p[0] == pytest.approx(0.14112, abs=1e-4)
+    assert p[4] == 0.0 and p[5] is None and p[6] is None
+    assert p[7] == pytest.approx(2 / 3) and p[8] == pytest.approx(0.5)
     assert p[1] == pytest.approx(1.0)
     assert p[2] == pytest.approx(0.037386, abs=1e-4)
     assert p[3] == pytest.approx(0.0296, abs=2e-3)
@@ -142,9 +146,8 @@ def _dbscan_reference(xs, eps, min_samples):
     return labels
 
 
-@pytest.mark.parametrize("method", ["window", "bucketed"])
 @pytest.mark.parametrize("min_samples", [2, 3])
-def test_dbscan_matches_bruteforce(spark, min_samples, method):
+def test_dbscan_matches_bruteforce(spark, min_samples):
     rnd = random.Random(7 + min_samples)
     rows, expected = [], {}
     for g in range(25):
@@ -155,7 +158,7 @@ def test_dbscan_matches_bruteforce(spark, min_samples, method):
             rows.append((g, i, float(x)))
             expected[(g, i)] = lab
     df = spark.createDataFrame(rows, "g int, pos int, x double")
-    out = dbscan_1d(df, ["g"], "x", "pos", 1.2, min_samples, method=method)
+    out = dbscan_1d(df, ["g"], "x", "pos", 1.2, min_samples)
     got = {(r.g, r.pos): r.db_label for r in out.collect()}
     assert got == expected
 
@@ -268,11 +271,12 @@ def test_kmeans_multistart_recovers_blobs(spark):
     rows = [(i, Vectors.dense(centers[i % 4][0] + rnd.normal(0, .5), centers[i % 4][1] + rnd.normal(0, .5)))
             for i in range(200)]
     df = spark.createDataFrame(rows, ["id", "features"])
-    _, pred, cost = kmeans_best(df, 4, n_init=5, engine="multistart")
+    _, pred, cost = kmeans_best(df, 4, n_init=5)
     got = {r.id: r.cluster for r in pred.collect()}
     for c in range(4):
         assert len({got[i] for i in range(200) if i % 4 == c}) == 1
-    _, _, cost_ml = kmeans_best(df, 4, n_init=5, engine="spark_ml")
+    from pyspark.ml.clustering import KMeans
+    cost_ml = min(KMeans(k=4, seed=i).fit(df).summary.trainingCost for i in range(5))
     assert cost <= cost_ml * 1.001
 
 
@@ -283,3 +287,24 @@ def test_outbreak_months(spark):
     got = [(r.g, r.m.month) for r in outbreak_months(spark.createDataFrame(rows, "g string, m date, brote int"),
                                                       ["g"], "m").collect()]
     assert got == [("a", 1), ("a", 3)]
+
+
+def test_quantile_equals_numpy(spark):
+    from sentinela.operators.scaling import median_impute, quantile
+    rnd = np.random.default_rng(4)
+    rows = [(g, float(v)) for g in ("a", "b", None) for v in rnd.integers(0, 40, 101 if g == "a" else 7) / 4] + [("a", None), ("c", None)]
+    df = spark.createDataFrame(rows, "g string, x double")
+    values = lambda g: [x for k, x in rows if k == g and x is not None]
+    for q in (0.0, 0.1, 0.5, 0.77, 1.0):
+        got = {r.g: r.v for r in quantile(df, "x", q, ["g"], "v").collect()}
+        assert got == {g: pytest.approx(np.quantile(values(g), q)) for g in ("a", "b", None)}
+        assert quantile(df, "x", q, out="v").first().v == pytest.approx(np.quantile([x for _, x in rows if x is not None], q))
+    filled = median_impute(df, ["x"], ["g"])
+    assert filled.count() == len(rows) and [r.x for r in filled.where("g = 'c'").collect()] == [None]
+
+
+def test_counts_beyond_32_bits(spark):
+    big = 2**32
+    df = spark.createDataFrame([("A", 1, big, big), ("A", 2, 3 * big, 0)], "g string, w int, cum bigint, weekly bigint")
+    got = sorted((r.w, r.casos_nuevos) for r in new_from_cumulative(df, ["g"], "w", "cum", "weekly", "full").collect())
+    assert got == [(1, big), (2, 2 * big)]
