@@ -17,6 +17,7 @@ _MODULES = [
     "sentinela.plans.queries_cluster",
     "sentinela.plans.queries_bulletin",
     "sentinela.plans.queries_streaming",
+    "sentinela.plans.queries_files",
 ]
 
 for _m in _MODULES:
