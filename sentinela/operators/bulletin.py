@@ -14,7 +14,8 @@ from pyspark.sql import functions as F
 from sentinela.functions.calendar import cyclic_week, iso_week_monday, week_label
 from sentinela.functions.numeric import tcast, parse_count, safe_ratio
 from sentinela.functions.text import first_capture, nonblank_lines, prefix_and_rest, py_split
-from sentinela.operators.joins import bounded_distinct, dedupe_first, grid_from_values, reindex_fill
+from sentinela.operators.joins import dedupe_first, reindex_fill
+from sentinela.sinks.writers import checkpoint_parquet
 from sentinela.operators.windows import group_totals, new_from_cumulative
 
 KEY = ["anio", "semana", "entidad_federativa", "enfermedad", "sexo"]
@@ -58,36 +59,31 @@ def densify(df: DataFrame, entities, diseases=None, sexes=None, min_year: int =
     DataFrame or a list); None takes the observed values. Duplicated keys
     keep the first row under ``order``.
 
-    Observed dimension values are small bounded sets (calendar and
-    catalogues): one aggregate pass over the input collects all of them, and
-    the grid is then a product of tiny local tables expanded on the executors
-    (broadcast nested-loop joins). The fact is joined once on the full key."""
+    The input (an extracted or aggregated weekly table) is written once, so
+    that what is upstream runs once. Its observed values are distinct rows of
+    that table; they and the catalogues are DataFrames of any size, and the
+    grid is their product, made on the executors: a grid is as large as its
+    result. The fact is joined once on the full key."""
     order = order if order is not None else [F.col(c) for c in MEASURES]
     spark = df.sparkSession
-    # The input (an extracted / aggregated weekly table) feeds two jobs: the
-    # bounded set collection and the grid join. Persisting it keeps the
-    # upstream scan (e.g. a raw fact of any size) to a single pass.
-    df = df.persist()
-    aggs = [F.collect_set(F.when(F.col("anio") > min_year, F.col("anio").cast("int"))).alias("anio"),
-            F.collect_set(F.when(F.col("semana").between(1, 53), F.col("semana").cast("int"))).alias("semana")]
-    if diseases is None:
-        aggs.append(F.collect_set("enfermedad").alias("enfermedad"))
-    if sexes is None:
-        aggs.append(F.collect_set("sexo").alias("sexo"))
-    obs = df.agg(*aggs).first()
-
-    def values(val, col):
-        if val is None:
-            return sorted(obs[col])
-        if isinstance(val, DataFrame):
-            return bounded_distinct(val.toDF(col), col, 100_000)
-        return sorted(set(val))
-
-    weeks = values(None, "semana") if only_observed_weeks else list(range(1, 54))
-    grid = grid_from_values(spark, [("anio", values(None, "anio"), "int"), ("semana", weeks, "int"),
-                                    ("entidad_federativa", values(entities, "entidad_federativa"), "string"),
-                                    ("enfermedad", values(diseases, "enfermedad"), "string"),
-                                    ("sexo", values(sexes, "sexo"), "string")])
+    df = checkpoint_parquet(df, "dense-input")
+
+    def dimension(values, col, observed):
+        if values is None:
+            return observed
+        if isinstance(values, DataFrame):
+            values = values.toDF(col).where(F.col(col).isNotNull()).distinct()
+        else:
+            values = spark.createDataFrame([(v,) for v in sorted(set(values))], f"`{col}` {dict(observed.dtypes)[col]}")
+        return values
+
+    seen = lambda c: df.select(c).where(F.col(c).isNotNull()).distinct()
+    years = seen("anio").where(F.col("anio") > min_year).select(F.col("anio").cast("int"))
+    weeks = (seen("semana").where(F.col("semana").between(1, 53)).select(F.col("semana").cast("int")) if only_observed_weeks
+             else spark.range(1, 54).select(F.col("id").cast("int").alias("semana")))
+    grid = years.crossJoin(weeks)
+    for values, col in ((entities, "entidad_federativa"), (diseases, "enfermedad"), (sexes, "sexo")):
+        grid = grid.crossJoin(dimension(values, col, seen(col)))
     fact = dedupe_first(df, KEY, order).select(*KEY, *MEASURES).withColumns(
         {"anio": F.col("anio").cast("int"), "semana": F.col("semana").cast("int")})
     return reindex_fill(grid, fact, KEY, {m: 0 for m in MEASURES})
@@ -152,8 +148,7 @@ def issue_year_week(pages: DataFrame, year_pattern: str = YEAR_TEXT, week_patter
                     file_year_pattern: str = YEAR_FILE, file_week_pattern: str = WEEK_FILE) -> DataFrame:
     """Per file: year and week from the first page's text, else from the file
     name, else 0 (EXT1)."""
-    p1 = pages.where(F.col("page") == 1).select("file", "text")
-    files = pages.select("file").distinct().join(p1, "file", "left")
+    files = pages.groupBy("file").agg(F.max(F.when(F.col("page") == 1, F.col("text"))).alias("text"))
 
     def pick(text_pat, file_pat):
         return F.coalesce(tcast(first_capture(F.coalesce(F.col("text"), F.lit("")), text_pat), "int"),

@@ -95,6 +95,21 @@ def reindex_fill(grid: DataFrame, fact: DataFrame, keys: list[str], fill: dict[s
                                for c in fact.columns if c not in keys])
 
 
+def longest_prefix(df: DataFrame, line: str, catalogue: DataFrame, name: str, keys: list[str],
+                   match: str = "entidad", rest: str = "resto") -> DataFrame:
+    """``keys``, the longest catalogue name that ``line`` starts with (NULL if
+    none) and the trimmed remainder (JN8). A line is tried once per name length
+    that occurs: an equi join on its prefix, for a catalogue of any size."""
+    names = catalogue.select(F.col(name).alias("_name")).where("length(_name) > 0").distinct()
+    lengths = names.agg(F.collect_set(F.length("_name")).alias("_lengths"))  # one row, as many values as lengths
+    tried = df.crossJoin(F.broadcast(lengths)).select(*keys, F.col(line).alias("_line"), F.explode_outer("_lengths").alias("_n"))
+    tried = tried.withColumn("_name", F.when(F.length("_line") >= F.col("_n"), F.col("_line").substr(F.lit(1), F.col("_n"))))
+    found = tried.join(names.withColumn("_hit", F.lit(True)), "_name", "left").groupBy(*keys).agg(
+        F.max(F.struct(F.coalesce("_hit", F.lit(False)).alias("hit"), F.when(F.col("_hit"), F.col("_n")).alias("n"), F.col("_line").alias("line"))).alias("b"))
+    ent = F.when(F.col("b.hit"), F.col("b.line").substr(F.lit(1), F.col("b.n")))
+    return found.select(*keys, ent.alias(match), F.when(F.col("b.hit"), F.trim(F.substr(F.col("b.line"), F.col("b.n") + 1))).alias(rest))
+
+
 def top_per_group(df: DataFrame, group: list[str], order: list[Column]) -> DataFrame:
     """First row per group under ``order`` (WIN7): row_number() = 1."""
     return dedupe_first(df, group, order)

@@ -117,5 +117,4 @@ UNION ALL SELECT 2000 + n_regionkey, 10 + n_regionkey, n_name, 'Escarlatina', 'A
 def block_parse(spark, sf_dir):
     pages = bulletin_pages_from_tables(spark, sf_dir)
     states = bounded_distinct(Tables(spark, sf_dir).nation, "n_name", 10_000)
-    cfg = disease_config(spark).where(F.col("name").isin("Varicela", "Escarlatina"))
-    return extract(pages, cfg, states).select(*OUTPUT_COLUMNS)
+    return extract(pages, disease_config(spark), states).select(*OUTPUT_COLUMNS)

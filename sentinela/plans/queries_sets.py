@@ -6,8 +6,8 @@ from __future__ import annotations
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from sentinela.functions.text import prefix_and_rest
-from sentinela.operators.joins import (bounded_distinct, dedupe_first, duplicate_count, exclude_values,
+from sentinela.operators.joins import longest_prefix as join_longest_prefix
+from sentinela.operators.joins import (dedupe_first, duplicate_count, exclude_values,
                                        top_per_group, unpivot_sides)
 from sentinela.plans.registry import query
 from sentinela.sources.testdata import Tables
@@ -99,13 +99,10 @@ SELECT c_custkey, entidad, trim(substr(linea, length(entidad) + 1)) AS resto FRO
 """)
 def longest_prefix(spark, sf_dir):
     """Lines 'NATION_12 …' are matched to the nation catalogue by longest
-    prefix, so NATION_12 is not read as NATION_1 (JN8). The catalogue is a
-    bounded dimension: its names are read once (size-checked) into a regex."""
+    prefix, so NATION_12 is not read as NATION_1 (JN8)."""
     t = Tables(spark, sf_dir)
-    names = bounded_distinct(t.nation, "n_name", 10_000)
     lines = t.customer.join(t.nation.select("n_nationkey", "n_name"),
                             F.col("c_nationkey") == F.col("n_nationkey")).select(
         "c_custkey", F.concat_ws(" ", "n_name", F.col("c_custkey").cast("string"),
                                  F.col("c_nationkey").cast("string")).alias("linea"))
-    ent, rest = prefix_and_rest("linea", names)
-    return lines.select("c_custkey", ent.alias("entidad"), rest.alias("resto"))
+    return join_longest_prefix(lines, "linea", t.nation, "n_name", ["c_custkey"])

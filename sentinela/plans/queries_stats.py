@@ -15,6 +15,7 @@ from sentinela.operators.stats import (correlation_pairs, coverage_stats, incide
 from sentinela.plans.bindings import MONTHLY_QUANTITY_SQL, monthly_quantity
 from sentinela.plans.queries_counts import CASE_COUNTS_SQL, monthly_counts
 from sentinela.plans.registry import query
+from sentinela.sinks.writers import checkpoint_parquet
 from sentinela.sources.testdata import Tables
 
 WINDOW_YEARS = (1996, 2000)
@@ -138,13 +139,23 @@ def scenario_projection_q(spark, sf_dir):
 
 # ------------------------------------------------------------- risk scores
 
-def _nation_risk(spark, sf_dir):
-    t = Tables(spark, sf_dir)
-    cases = _orders_by_nation(t).groupBy(F.col("c_nationkey").alias("n_nationkey")).agg(
-        F.count(F.lit(1)).alias("total_cases"))
-    cov = t.customer.groupBy(F.col("c_nationkey").alias("n_nationkey")).agg(
+def _nation_months(spark, sf_dir):
+    """Orders per nation and month, from one pass over the orders; what comes
+    after reads this small written table."""
+    return checkpoint_parquet(_orders_by_nation(Tables(spark, sf_dir)).groupBy(
+        F.col("c_nationkey").alias("n_nationkey"), month_start("o_orderdate").alias("mes")).agg(F.count(F.lit(1)).alias("n")), "nation-months")
+
+
+def _nation_coverage(spark, sf_dir):
+    return Tables(spark, sf_dir).customer.groupBy(F.col("c_nationkey").alias("n_nationkey")).agg(
         (F.avg((F.col("c_acctbal") > 0).cast("double")) * 100).alias("cobertura"))
-    return country_risk(cases.join(cov, "n_nationkey", "left"), "total_cases", "cobertura")
+
+
+def _nation_risk(spark, sf_dir, months=None):
+    months = months if months is not None else _nation_months(spark, sf_dir)
+    cases = months.groupBy("n_nationkey").agg(F.sum("n").alias("total_cases"))
+    base = checkpoint_parquet(cases.join(_nation_coverage(spark, sf_dir), "n_nationkey", "left"), "nation-risk")
+    return country_risk(base, "total_cases", "cobertura")
 
 
 NATION_RISK_SQL = f"""
@@ -195,14 +206,14 @@ FROM ix CROSS JOIN ixm
 def composite_index_q(spark, sf_dir):
     t = Tables(spark, sf_dir)
     nation = t.nation.select("n_nationkey", "n_regionkey")
-    scores = _nation_risk(spark, sf_dir).join(nation, "n_nationkey")
+    months = _nation_months(spark, sf_dir)
+    scores = checkpoint_parquet(_nation_risk(spark, sf_dir, months), "nation-scores").join(nation, "n_nationkey")
     cities = nation.groupBy("n_regionkey").agg(F.count(F.lit(1)).alias("partidos"))
     with_score = city_mean_score(scores, cities, "n_regionkey", "score_riesgo_norm")
-    mo = (_orders_by_nation(t).join(nation, F.col("c_nationkey") == F.col("n_nationkey"))
-          .groupBy("n_regionkey", month_start("o_orderdate").alias("mes")).agg(F.count(F.lit(1)).alias("n")))
+    mo = months.join(nation, "n_nationkey").groupBy("n_regionkey", "mes").agg(F.sum("n").alias("n"))
     bl = (mo.where(F.month("mes").isin(SEASON_MONTHS) & F.year("mes").between(1998, 2000))
           .groupBy("n_regionkey").agg(F.bround(F.avg("n"), 1).alias("baseline")))
-    base = with_score.join(bl, "n_regionkey", "left")
+    base = checkpoint_parquet(with_score.join(bl, "n_regionkey", "left"), "city-base")  # one row per city
     out = composite_index(base, "partidos", "score_equipos", "baseline")
     return out.withColumns({c: F.bround(c, 6) for c in ["score_equipos", "indice_riesgo", "partidos_rel",
                                                          "score_equipos_rel", "baseline_rel"]})
@@ -302,8 +313,10 @@ SELECT n_nationkey, round_even(cobertura, 6) AS cobertura,
 FROM r
 """)
 def coverage_bands(spark, sf_dir):
-    """Coverage threshold bands per nation (SCL15)."""
+    """Coverage threshold bands of the nations that have orders (SCL15)."""
     from sentinela.functions.numeric import band_label
-    r = _nation_risk(spark, sf_dir)
+    t = Tables(spark, sf_dir)
+    ordering = _orders_by_nation(t).select(F.col("c_nationkey").alias("n_nationkey")).distinct()
+    r = _nation_coverage(spark, sf_dir).join(ordering, "n_nationkey", "left_semi")
     return r.select("n_nationkey", F.bround("cobertura", 6).alias("cobertura"),
                     band_label("cobertura", COVERAGE_BANDS, "bajo").alias("banda"))
