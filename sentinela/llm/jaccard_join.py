@@ -8,7 +8,8 @@ link when 100 * intersection >= 85 * union. The join is exact:
    fixed array of counters over all documents). Linked sets share one of their
    first n - ceil(0.85 n) + 1 shingles in that order, so the shingles of these
    prefixes are the children of the forest's root: only nodes under one child
-   can have the overlap that is needed.
+   can have the overlap that is needed. Sets of like sizes must share many of
+   these first shingles, as the rest is too short to make up for them.
 3. Families first: documents that agree in a minimum hash are compared in blocks
    of bounded size, and connected. Where all of a child's documents are in one
    component there is nothing left to find under it.
@@ -22,7 +23,9 @@ link when 100 * intersection >= 85 * union. The join is exact:
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -37,7 +40,7 @@ from sentinela.sinks.writers import checkpoint_parquet
 
 WIDTH, PERCENT = 4, 85
 #: Counters of shingles (a power of two) and parts they are summed in; words of 64 bits in a bitmap.
-COUNTERS, SLICES, WORDS = 1 << 18, 16, 16
+COUNTERS, SLICES, WORDS = 1 << 21, 16, 16
 #: Documents of a block, of families and of trees; minimum hashes.
 BLOCK, HASHES = 256, 2
 
@@ -45,20 +48,24 @@ _SIGNATURE = [f"s{i}" for i in range(WORDS)]
 _NODE = "n bigint, bits bigint, " + ", ".join(f"{s} bigint" for s in _SIGNATURE)
 
 
+def _sort_within(values: np.ndarray, of: np.ndarray) -> None:
+    for a, b in zip(of[:-1].tolist(), of[1:].tolist()):
+        if b - a > 1:
+            values[a:b].sort()
+
+
 def sets_of(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """The distinct shingles of each text, ascending, and n + 1 offsets."""
-    flat, sizes = [np.zeros(0, np.uint64)], []
+    flat, sizes = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)]
     for i, j in batches_of(column):
         shingles, of = shingle_hashes(*word_hashes(column.slice(i, j - i)), WIDTH)
-        text = np.repeat(np.arange(j - i), np.diff(of))
-        order = np.lexsort((shingles, text))
-        shingles, text = shingles[order], text[order]
+        _sort_within(shingles, of)
         first = np.ones(len(shingles), dtype=bool)
-        first[1:] = (shingles[1:] != shingles[:-1]) | (text[1:] != text[:-1])
+        first[1:] = shingles[1:] != shingles[:-1]
+        first[of[:-1][np.diff(of) > 0]] = True
         flat.append(shingles[first])
-        sizes.append(np.bincount(text[first], minlength=j - i))
-    sizes = np.concatenate(sizes) if sizes else np.zeros(0, np.int64)
-    return np.concatenate(flat), np.concatenate([[0], np.cumsum(sizes)])
+        sizes.append(np.diff(np.concatenate([[0], np.cumsum(first)])[of]))
+    return np.concatenate(flat), np.concatenate([[0], np.cumsum(np.concatenate(sizes))])
 
 
 def _counter(shingles: np.ndarray) -> np.ndarray:
@@ -66,7 +73,7 @@ def _counter(shingles: np.ndarray) -> np.ndarray:
 
 
 def shingle_counts(docs: DataFrame) -> np.ndarray:
-    """How many sets of ``docs`` (text) have a shingle of each counter: a fixed
+    """How many shingles of all ``docs`` (text) fall on each counter: a fixed
     array per task, summed part by part."""
     width = COUNTERS // SLICES
 
@@ -74,27 +81,30 @@ def shingle_counts(docs: DataFrame) -> np.ndarray:
         total = np.zeros(COUNTERS, np.int64)
         for batch in batches:
             for i, j in batches_of(batch.column(0)):
-                total += np.bincount(_counter(sets_of(batch.column(0).slice(i, j - i))[0]), minlength=COUNTERS)
-        yield pa.RecordBatch.from_arrays([pa.array(np.arange(SLICES)), pa.array([total[i * width:(i + 1) * width].tobytes() for i in range(SLICES)], pa.binary())], names=["part", "counts"])
+                total += np.bincount(_counter(shingle_hashes(*word_hashes(batch.column(0).slice(i, j - i)), WIDTH)[0]), minlength=COUNTERS)
+        yield pa.RecordBatch.from_arrays([pa.array(np.arange(SLICES)), pa.array([zlib.compress(total[i * width:(i + 1) * width].tobytes(), 1) for i in range(SLICES)], pa.binary())], names=["part", "counts"])
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums: dict[int, np.ndarray] = {}
         for batch in batches:
             for part, counts in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                sums[part] = sums.get(part, 0) + np.frombuffer(counts, np.int64)
+                sums[part] = sums.get(part, 0) + np.frombuffer(zlib.decompress(counts), np.int64)
         if sums:
-            yield pa.RecordBatch.from_arrays([pa.array(list(sums)), pa.array([x.tobytes() for x in sums.values()], pa.binary())], names=["part", "counts"])
+            yield pa.RecordBatch.from_arrays([pa.array(list(sums)), pa.array([zlib.compress(x.tobytes(), 1) for x in sums.values()], pa.binary())], names=["part", "counts"])
 
     schema = "part bigint, counts binary"
     total = np.zeros(COUNTERS, np.int64)
     for r in docs.select("text").mapInArrow(count, schema).repartition(SLICES, "part").mapInArrow(add, schema).collect():
-        total[r["part"] * width:(r["part"] + 1) * width] = np.frombuffer(r["counts"], np.int64)
+        total[r["part"] * width:(r["part"] + 1) * width] = np.frombuffer(zlib.decompress(r["counts"]), np.int64)
     return total
 
 
 def ranks(counts: np.ndarray) -> np.ndarray:
-    """The class of each counter: 0 up to twice the mean, one more for each doubling."""
-    return np.maximum(0, np.floor(np.log2(np.maximum(counts, 1) / max(counts.mean(), 1)))).astype(np.uint8)
+    """The class of each counter: 0 up to four deviations above the mean load, then
+    one more for each doubling of what is above it."""
+    mean = max(counts.mean(), 1.0)
+    above = np.maximum(counts - mean, 0) / (4 * np.sqrt(mean))
+    return np.where(above < 1, 0, 1 + np.floor(np.log2(np.maximum(above, 1)))).astype(np.uint8)
 
 
 def _describe(classes):
@@ -110,18 +120,20 @@ def _describe(classes):
                 flags = np.zeros((j - i, 64 * WORDS), dtype=np.uint8)
                 flags[text, bit] = 1
                 bitmaps = np.packbits(flags, axis=1, bitorder="little").view("<i8")
-                low = rank[_counter(tokens)]
+                low = rank[_counter(tokens)].astype(np.uint64) << np.uint64(56)
+                full = np.flatnonzero(n)
                 least = []
                 for k in range(HASHES):
-                    h = mix(tokens, 30 + k)
-                    order = np.lexsort((h, low, text))
-                    at = np.minimum(of[:-1], max(len(tokens) - 1, 0))
-                    least.append(np.where(n > 0, h[order][at], np.uint64(0)).view(np.int64) if len(tokens) else np.zeros(j - i, np.int64))
-                    if k == 0:
-                        length = np.where(n > 0, n - -(-n * PERCENT // 100) + 1, 0)
-                        prefix_of = np.concatenate([[0], np.cumsum(length)])
-                        take = order[np.repeat(of[:-1] - prefix_of[:-1], length) + np.arange(prefix_of[-1])]
-                        prefix = pa.ListArray.from_arrays(pa.array(prefix_of.astype(np.int32)), pa.array(tokens[take].view(np.int64)))
+                    first = np.zeros(j - i, np.uint64)
+                    if len(full):
+                        first[full] = np.minimum.reduceat(mix(tokens, 31 + k), of[:-1][full])
+                    least.append(first.view(np.int64))
+                place = low | (mix(tokens, 30) >> np.uint64(8))  # in the global order: the class, then a hash
+                _sort_within(place, of)
+                length = np.where(n > 0, n - -(-n * PERCENT // 100) + 1, 0)
+                prefix_of = np.concatenate([[0], np.cumsum(length)])
+                take = np.repeat(of[:-1] - prefix_of[:-1], length) + np.arange(prefix_of[-1])
+                prefix = pa.ListArray.from_arrays(pa.array(prefix_of.astype(np.int32)), pa.array(place[take].view(np.int64)))
                 yield pa.RecordBatch.from_arrays(
                     [*(batch.column(c).slice(i, j - i) for c in range(3)), pa.array(n), pa.array(flags.sum(axis=1).astype(np.int64)),
                      *(pa.array(np.ascontiguousarray(bitmaps[:, k])) for k in range(WORDS)), *(pa.array(x) for x in least), prefix],
@@ -170,7 +182,7 @@ def _families(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _candidates(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Pairs of documents of two leaves that their bitmaps do not rule out."""
+    """Pairs of documents of two leaves, with their sizes, that their bitmaps do not rule out."""
     for _, rows in runs(batches):
         ids, n, comp, side = (rows[c].to_numpy() for c in ("node", "n", "component", "side"))
         bits = np.stack([rows[s].to_numpy().view(np.uint64) for s in _SIGNATURE], axis=1)
@@ -188,7 +200,9 @@ def _candidates(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         i, j = np.nonzero(good)
         if len(i):
             a, b = ids[x[i]], ids[y[j]]
-            yield pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], names=["a", "b"])
+            swap = a > b
+            a, b, m, n_ = np.where(swap, b, a), np.where(swap, a, b), n[x[i]], n[y[j]]
+            yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b), pa.array(np.maximum(m, n_)), pa.array(m + n_)], names=["a", "b", "larger", "both"])
 
 
 def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -213,7 +227,7 @@ def links(nodes: DataFrame, docs: DataFrame) -> DataFrame:
     nodes = nodes.where("n > 0")
     # families: blocks of documents that agree in a minimum hash
     agreed = [nodes.select("node", F.lit(k).alias("k"), F.col(f"m{k}").alias("hash")) for k in range(HASHES)]
-    agreed = agreed[0].union(agreed[1]) if HASHES == 2 else agreed[0]
+    agreed = reduce(DataFrame.union, agreed)
     sizes = agreed.groupBy("k", "hash").agg(F.count(F.lit(1)).alias("size")).where("size > 1")
     agreed = agreed.join(sizes, ["k", "hash"])
     block = F.xxhash64("k", "hash", F.pmod(F.xxhash64("node", "k"), F.ceil(F.col("size") / F.lit(BLOCK))))
@@ -246,8 +260,13 @@ def links(nodes: DataFrame, docs: DataFrame) -> DataFrame:
 
     pairs = block_pairs(leaves, merged, may_link, "jaccard-tree").where("left <= right")
     open_ = pair_rows(pairs.select("left", "right"), rows.select("block", "node", "component", "n", *_SIGNATURE))
-    maybe = checkpoint_parquet(open_.select("key", "side", "node", "component", "n", *_SIGNATURE)
-                               .mapInArrow(_candidates, "a bigint, b bigint").distinct(), "jaccard-candidates")
+    met = (open_.select("key", "side", "node", "component", "n", *_SIGNATURE)
+           .mapInArrow(_candidates, "a bigint, b bigint, larger bigint, both bigint")
+           .groupBy("a", "b", "larger", "both").agg(F.count(F.lit(1)).alias("children")))
+    # of the overlap that is needed, at most ceil(0.85 n) - 1 shingles lie behind a prefix
+    behind = F.ceil(F.col("larger") * PERCENT / F.lit(100)) - 1
+    needed = F.ceil(F.col("both") * PERCENT / F.lit(100 + PERCENT)) - behind
+    maybe = checkpoint_parquet(met.where(F.col("children") >= needed).select("a", "b"), "jaccard-candidates")
     texts = _texts(nodes, maybe.select(F.col("a").alias("node")).union(maybe.select("b")), docs)
     both = (maybe.join(texts.select(F.col("node").alias("a"), F.col("text").alias("x")), "a")
             .join(texts.select(F.col("node").alias("b"), F.col("text").alias("y")), "b").select("a", "b", "x", "y"))
