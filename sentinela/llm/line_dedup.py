@@ -2,7 +2,7 @@
 
 Lines are normalised (lower case, runs of anything but letters and digits
 become one space). Equal lines are one node each. A node's 64-bit SimHash over
-its words is cut into five blocks; two hashes that differ in at most three bits
+its distinct words is cut into five blocks; two hashes that differ in at most three bits
 agree in two blocks at least, so nodes meet on the ten pairs of blocks. In each
 meeting every node is compared with the first one; meetings of three or more
 that still span several components are then compared across the components, so
@@ -37,15 +37,14 @@ def normalised(line: Column) -> Column:
     return F.trim(F.regexp_replace(F.lower(line), r"[^\p{L}\p{N}]+", " "))
 
 
-def _lanes(words: Column) -> Column:
-    """Counts of the 64 bits over at most CHUNK words: byte j of l{i} counts bit i + 8 j."""
+def _lanes(hashes: Column) -> Column:
+    """Counts of the 64 bits over at most CHUNK hashes: byte j of l{i} counts bit i + 8 j."""
     zero = F.struct(*[F.lit(0).cast("bigint").alias(f"l{i}") for i in range(8)])
 
-    def add(sums, word):
-        h = F.xxhash64(word)
+    def add(sums, h):
         return F.struct(*[(sums[f"l{i}"] + F.shiftrightunsigned(h, i).bitwiseAND(F.lit(_BYTES))).alias(f"l{i}") for i in range(8)])
 
-    return F.aggregate(words, zero, add)
+    return F.aggregate(hashes, zero, add)
 
 
 def _wide(chunks: Column) -> Column:
@@ -60,10 +59,12 @@ def _wide(chunks: Column) -> Column:
 
 
 def with_simhash(lines: DataFrame) -> DataFrame:
-    """``lines`` (words array<string> not empty) with ``n_words`` and ``sim``."""
-    lines = lines.withColumn("n_words", F.size("words"))
+    """``lines`` (words array<string> not empty) with ``n_words``, the number of
+    distinct words, and ``sim``."""
+    lines = lines.withColumn("_hashes", F.transform(F.array_distinct("words"), lambda w: F.xxhash64(w)))
+    lines = lines.withColumn("n_words", F.size("_hashes"))
     parts = F.sequence(F.lit(0), F.floor((F.col("n_words") - 1) / CHUNK).cast("int"))
-    lines = lines.withColumn("_chunks", F.transform(parts, lambda c: _lanes(F.slice(F.col("words"), c * CHUNK + 1, CHUNK))))
+    lines = lines.withColumn("_chunks", F.transform(parts, lambda c: _lanes(F.slice(F.col("_hashes"), c * CHUNK + 1, CHUNK))))
     short = F.size("_chunks") <= WIDE_CHUNKS
     lines = lines.withColumn("_wide", F.when(short, _wide(F.col("_chunks"))))
 
@@ -76,7 +77,7 @@ def with_simhash(lines: DataFrame) -> DataFrame:
     sim = F.lit(0).cast("bigint")
     for bit in range(64):
         sim = sim.bitwiseOR(F.when(count(bit) * 2 > F.col("n_words"), F.lit(1 << bit if bit < 63 else -(1 << 63)).cast("bigint")).otherwise(F.lit(0).cast("bigint")))
-    return lines.withColumn("sim", sim).drop("_chunks", "_wide")
+    return lines.withColumn("sim", sim).drop("_chunks", "_wide", "_hashes")
 
 
 def occurrences(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -107,6 +108,11 @@ def small(df: DataFrame) -> DataFrame:
     return F.broadcast(df) if df.count() <= BROADCAST_ROWS else df
 
 
+def _agreeing(x: str, y: str) -> str:
+    """SQL for the number of words that two arrays begin with alike."""
+    return f"(array_position(zip_with({x}, {y}, (v, w) -> v <=> w), false) - 1 + if(array_position(zip_with({x}, {y}, (v, w) -> v <=> w), false) = 0, 1 + least(size({x}), size({y})), 0))"
+
+
 def verified(pairs: DataFrame, nodes: DataFrame, lines: DataFrame) -> DataFrame:
     """The pairs (a, b) of nodes whose lines are similar in edits."""
     wanted = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct().join(nodes, "node").select("node", "h1", "h2", "doc_id", "text_hash", "pos")
@@ -118,8 +124,17 @@ def verified(pairs: DataFrame, nodes: DataFrame, lines: DataFrame) -> DataFrame:
     texts = checkpoint_parquet(texts.select("node", "norm").dropDuplicates(["node"]), "line-texts")
     x, y = texts.select(F.col("node").alias("a"), F.col("norm").alias("x")), texts.select(F.col("node").alias("b"), F.col("norm").alias("y"))
     most = F.floor(F.greatest(F.length("x"), F.length("y")) * F.lit(1 - SIMILARITY)).cast("int")
-    both = pairs.join(x, "a").join(y, "b").withColumn("most", most)
-    return checkpoint_parquet(both.where(F.expr("levenshtein(x, y, most) >= 0")).select("a", "b"), "line-links")
+    both = pairs.join(x, "a").join(y, "b").withColumns({"most": most, "x": F.split("x", " "), "y": F.split("y", " ")})
+    # words that both begin or end with don't count: the edits are those of what is between
+    first = _agreeing("x", "y")
+    both = both.withColumns({"x": F.expr(f"slice(x, {first} + 1, size(x))"), "y": F.expr(f"slice(y, {first} + 1, size(y))")})
+    both = both.withColumns({"x": F.reverse("x"), "y": F.reverse("y")})
+    last = _agreeing("x", "y")
+    both = both.withColumns({"x": F.expr(f"array_join(reverse(slice(x, {last} + 1, size(x))), ' ')"), "y": F.expr(f"array_join(reverse(slice(y, {last} + 1, size(y))), ' ')")})
+    longer = F.greatest(F.length("x"), F.length("y"))
+    one_empty = (F.col("x") == "") != (F.col("y") == "")  # then a space goes as well
+    near = F.when(one_empty, longer + 1 <= F.col("most")).otherwise((longer <= F.col("most")) | F.expr("levenshtein(x, y, most) >= 0"))
+    return checkpoint_parquet(both.where(near).select("a", "b"), "line-links")
 
 
 def duplicate_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
