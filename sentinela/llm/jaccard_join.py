@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 from sentinela.llm.graph import components
 from sentinela.llm.line_dedup import small
 from sentinela.llm.textops import batches_of, mix, shingle_hashes, word_hashes
-from sentinela.llm.trees import block_pairs, cut, pair_rows, runs
+from sentinela.llm.trees import block_pairs, cut, pair_rows, runs, whole_runs
 from sentinela.sinks.writers import checkpoint_parquet
 
 WIDTH, PERCENT = 4, 85
@@ -181,28 +181,36 @@ def _families(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([pa.array(np.array(a)), pa.array(np.array(b))], names=["a", "b"])
 
 
+def _pairs_of_runs(bounds: np.ndarray, side: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """(rows, rows) of the pairs within each run, in pieces: across the sides
+    where a run has two, else all; runs of one size are treated together."""
+    sizes = np.diff(bounds)
+    for m in np.unique(sizes[sizes > 1]):
+        starts = bounds[:-1][sizes == m]
+        a, b = np.triu_indices(int(m), 1)
+        for k in range(0, len(starts), max(1, 200_000 // len(a))):
+            own = starts[k:k + max(1, 200_000 // len(a)), None]
+            i, j = (own + a[None, :]).ravel(), (own + b[None, :]).ravel()
+            two = np.repeat(side[own[:, 0] + m - 1] == 1, len(a))
+            ok = ~two | (side[i] != side[j])
+            yield i[ok], j[ok]
+
+
 def _candidates(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Pairs of documents of two leaves, with their sizes, that their bitmaps do not rule out."""
-    for _, rows in runs(batches):
+    for rows, bounds in whole_runs(batches):
         ids, n, comp, side = (rows[c].to_numpy() for c in ("node", "n", "component", "side"))
         bits = np.stack([rows[s].to_numpy().view(np.uint64) for s in _SIGNATURE], axis=1)
-        own = np.bitwise_count(bits).sum(axis=1).astype(np.int64)
-        x = np.flatnonzero(side == 0)
-        y = np.flatnonzero(side == 1) if side.any() else x
-        shared = np.zeros((len(x), len(y)), np.int64)
-        for k in range(WORDS):
-            shared += np.bitwise_count(bits[x, k][:, None] & bits[y, k][None, :])
-        most = np.minimum((n - own)[x][:, None], (n - own)[y][None, :]) + shared
-        most = np.minimum(most, np.minimum(n[x][:, None], n[y][None, :]))
-        good = (100 * most >= PERCENT * (n[x][:, None] + n[y][None, :] - most)) & (comp[x][:, None] != comp[y][None, :])
-        if y is x:
-            good &= np.triu(np.ones_like(good), 1)
-        i, j = np.nonzero(good)
-        if len(i):
-            a, b = ids[x[i]], ids[y[j]]
-            swap = a > b
-            a, b, m, n_ = np.where(swap, b, a), np.where(swap, a, b), n[x[i]], n[y[j]]
-            yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b), pa.array(np.maximum(m, n_)), pa.array(m + n_)], names=["a", "b", "larger", "both"])
+        surplus = n - np.bitwise_count(bits).sum(axis=1).astype(np.int64)
+        for x, y in _pairs_of_runs(bounds, side):
+            apart = (comp[x] != comp[y]) & (100 * n[x] >= PERCENT * n[y]) & (100 * n[y] >= PERCENT * n[x])
+            x, y = x[apart], y[apart]
+            most = np.bitwise_count(bits[x] & bits[y]).sum(axis=1).astype(np.int64) + np.minimum(surplus[x], surplus[y])
+            most = np.minimum(most, np.minimum(n[x], n[y]))
+            good = 100 * most >= PERCENT * (n[x] + n[y] - most)
+            if good.any():
+                a, b, m, k = ids[x[good]], ids[y[good]], n[x[good]], n[y[good]]
+                yield pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b)), pa.array(np.maximum(m, k)), pa.array(m + k)], names=["a", "b", "larger", "both"])
 
 
 def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

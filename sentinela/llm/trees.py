@@ -44,6 +44,22 @@ def runs(batches: Iterator[pa.RecordBatch], key: str = "key") -> Iterator[tuple[
         yield last, pa.Table.from_batches(held)
 
 
+def whole_runs(batches: Iterator[pa.RecordBatch], key: str = "key") -> Iterator[tuple[pa.Table, np.ndarray]]:
+    """(rows, bounds of its runs) of pieces of such a stream that hold whole runs,
+    for work that treats many short runs at once; a batch and a run are held."""
+    held = None
+    for batch in batches:
+        rows = pa.Table.from_batches([batch])
+        rows = rows if held is None else pa.concat_tables([held, rows])
+        keys = rows[key].to_numpy()
+        cuts = np.concatenate([[0], np.flatnonzero(keys[1:] != keys[:-1]) + 1])
+        if len(cuts) > 1:
+            yield rows.slice(0, cuts[-1]).combine_chunks(), cuts
+        held = rows.slice(cuts[-1])
+    if held is not None and held.num_rows:
+        yield held.combine_chunks(), np.array([0, held.num_rows])
+
+
 def cut(rows: DataFrame, order: list, size: int) -> DataFrame:
     """``rows`` with a bigint ``block``: sorted by the bigint ``bucket`` and
     ``order``, at most ``size`` rows of one bucket each. Rows of a bucket that
