@@ -156,9 +156,9 @@ def duplicate_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     member = components(links, "line-components")
     # what the first comparison left apart: meetings of three and more with several components
     left = met.where("n > 2").select("key", "node", "sim", "len").join(member, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    left = checkpoint_parquet(left, "line-left")
-    mixed = left.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo < hi").select("key")
-    left = left.join(mixed, "key")
+    meeting = Window.partitionBy("key")
+    left = left.withColumns({"lo": F.min("component").over(meeting), "hi": F.max("component").over(meeting)})
+    left = checkpoint_parquet(left.where("lo < hi").drop("lo", "hi"), "line-left")
     across = (left.alias("p").join(left.alias("q"), "key").where((F.col("p.component") < F.col("q.component")) & _close("p", "q"))
               .select(F.least("p.node", "q.node").alias("a"), F.greatest("p.node", "q.node").alias("b")).distinct()
               .join(star.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")), ["a", "b"], "left_anti"))
