@@ -110,7 +110,7 @@ def word_hashes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return hash_spans(data, starts, ends), of
 
 
-def batches_of(column: pa.Array, most: int = 4 * CHUNK_BYTES):
+def batches_of(column: pa.Array, most: int = CHUNK_BYTES):
     """(first, last) row ranges of at most ``most`` bytes, or one text each."""
     _, offsets = column_bytes(column)
     i, n = 0, len(offsets) - 1

@@ -20,7 +20,7 @@ import pyarrow as pa
 from sentinela.llm.textops import batches_of, column_bytes, hash_spans
 
 #: Distinct pieces remembered by one Python worker.
-REMEMBERED = 1_500_000
+REMEMBERED = 500_000
 #: Distinct pieces given to the library in one string, a line break between them.
 JOINED = 500
 
@@ -58,8 +58,8 @@ class Encoder:
 
     def _forget(self):
         self._keys = np.zeros(0, np.uint64)
-        self._at = np.zeros(0, np.int64)
-        self._len = np.zeros(0, np.int64)
+        self._at = np.zeros(0, np.int32)
+        self._len = np.zeros(0, np.int32)
         self._ids = np.zeros(0, np.int32)
 
     def _learn(self, keys: np.ndarray, texts: list[bytes]) -> None:
@@ -72,8 +72,8 @@ class Encoder:
         flat = np.concatenate([x for ids in found[:n_lines] for x in (ids, [self._break])] or [np.zeros(0, np.int32)])
         is_id = flat != self._break
         done = np.concatenate([[0], np.cumsum(is_id)[~is_id]])
-        lengths = np.concatenate([np.diff(done), [len(x) for x in found[n_lines:]]]).astype(np.int64)
-        at = len(self._ids) + np.concatenate([[0], np.cumsum(lengths)[:-1]])
+        lengths = np.concatenate([np.diff(done), [len(x) for x in found[n_lines:]]]).astype(np.int32)
+        at = (len(self._ids) + np.concatenate([[0], np.cumsum(lengths)[:-1]])).astype(np.int32)
         self._ids = np.concatenate([self._ids, flat[is_id], *found[n_lines:]]).astype(np.int32)
         order = np.argsort(all_keys := np.concatenate([self._keys, keys]))
         self._keys = all_keys[order]
@@ -96,7 +96,7 @@ class Encoder:
         if len(new):
             self._learn(keys[new], [data[starts[i]:ends[i]].tobytes() for i in first[new]])
         place = np.searchsorted(self._keys, keys)[which]
-        lengths = self._len[place]
+        lengths = self._len[place].astype(np.int64)
         done = np.concatenate([[0], np.cumsum(lengths)])
         ids = self._ids[np.repeat(self._at[place] - done[:-1], lengths) + np.arange(done[-1])]
         return ids, done[np.searchsorted(starts, offsets)]

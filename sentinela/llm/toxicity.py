@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sentinela.llm.labelled import fit_in_one_task, held_out, training_rows
-from sentinela.llm.textops import batches_of, column_bytes, hash_spans, lower_ascii, mix, word_spans
+from sentinela.llm.textops import CHUNK_BYTES, batches_of, column_bytes, hash_spans, lower_ascii, mix, word_spans
 
 #: Hashed words and character n-grams, their vectors' length, states of a direction, attention units.
 WORD_DIM, GRAM_DIM, IN, HIDDEN, ATTEND = 1 << 12, 1 << 14, 8, 8, 8
@@ -260,7 +260,7 @@ def toxicity_score(docs: DataFrame, model: dict, text_col: str = "text") -> Colu
     def score(columns: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for column in columns:
             out = [np.zeros(0)]
-            for i, j in batches_of(column):
+            for i, j in batches_of(column, 4 * CHUNK_BYTES):  # many texts share their words
                 out.append(1 / (1 + np.exp(-text_logits(shared.value, column.slice(i, j - i)).astype(np.float64))))
             yield pa.array(np.concatenate(out), pa.float64())
 
