@@ -28,7 +28,7 @@ def checkpoint_parquet(df: DataFrame, name: str) -> DataFrame:
     so an executor loss later re-reads the files instead of recomputing."""
     spark = df.sparkSession
     path = scratch_path(spark, name)
-    df.write.mode("overwrite").parquet(path)
+    df.write.mode("overwrite").option("compression", "zstd").parquet(path)
     return spark.read.parquet(path)
 
 
