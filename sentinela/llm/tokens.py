@@ -20,7 +20,7 @@ import pyarrow as pa
 from sentinela.llm.textops import batches_of, column_bytes, hash_spans
 
 #: Distinct pieces remembered by one Python worker.
-REMEMBERED = 500_000
+REMEMBERED = 800_000
 #: Distinct pieces given to the library in one string, a line break between them.
 JOINED = 500
 
