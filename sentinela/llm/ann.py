@@ -1,7 +1,9 @@
 """Approximate nearest neighbours by robust-pruned directed graphs (operator 7).
 
-Vectors are dealt by id hash over shards of bounded size. In each shard a graph
-is grown in batches: a greedy search from the central vector proposes
+Vectors are dealt by their hash over shards of bounded size, equal ones to the
+same shard with as many of their smallest ids as a result can hold. In each
+shard equal vectors are one node, as edges between them would be pruned, and a
+node that is found stands for all its ids. A graph is grown in batches: a greedy search from the central vector proposes
 neighbours for a new vector; pruning with a relaxed distance keeps a candidate
 only if no kept one is nearer to it by the factor ALPHA, so that edges point in
 different directions; edges are made in both ways and pruned again. Queries, in
@@ -92,8 +94,16 @@ def robust_prune(x: np.ndarray, own: np.ndarray, candidates: np.ndarray, degree:
     return out
 
 
+def distinct_nodes(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(order, offsets): the rows of ``x`` sorted so that rows equal in single
+    precision, in which graphs are built and searched, are one after the other,
+    and where those of each node begin."""
+    _, node, counts = np.unique(x.astype(np.float32) + np.float32(0), axis=0, return_inverse=True, return_counts=True)
+    return np.argsort(node.ravel(), kind="stable"), np.concatenate([[0], np.cumsum(counts)])
+
+
 def build(x: np.ndarray) -> tuple[np.ndarray, int]:
-    """(edges, start) of the rows of ``x``; every row is inserted."""
+    """(edges, start) of the rows of ``x``, no two of them equal; every row is inserted."""
     x = x.astype(np.float32)
     n = len(x)
     start = int(((x - x.mean(axis=0)) ** 2).sum(axis=1).argmin())
@@ -122,25 +132,38 @@ def build(x: np.ndarray) -> tuple[np.ndarray, int]:
 def _build_shards(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for key, rows in runs(batches, "shard"):
         x, ids = matrix(rows["embedding"]), rows["vec_id"].to_numpy()
-        graph, start = build(x)
+        order, of = distinct_nodes(x)
+        x, ids = x[order], ids[order]
+        graph, start = build(x[of[:-1]])
         yield pa.RecordBatch.from_arrays(
             [pa.array([key]), pa.array([x.shape[1]], pa.int32()), pa.array([start]), pa.array([ids.astype("<i8").tobytes()], pa.binary()),
-             pa.array([x.astype("<f8").tobytes()], pa.binary()), pa.array([graph.astype("<i4").tobytes()], pa.binary())],
-            names=["shard", "dim", "start", "ids", "vectors", "edges"])
+             pa.array([x.astype("<f8").tobytes()], pa.binary()), pa.array([of.astype("<i4").tobytes()], pa.binary()),
+             pa.array([graph.astype("<i4").tobytes()], pa.binary())],
+            names=["shard", "dim", "start", "ids", "vectors", "offsets", "edges"])
+
+
+def least_ids(vectors: DataFrame, copies: int) -> DataFrame:
+    """``vectors`` with the ``copies`` smallest ids of each group of equal ones;
+    Spark cuts a large group down before it is shuffled."""
+    key = F.xxhash64("embedding").alias("_hash")
+    rank = F.row_number().over(Window.partitionBy("_hash", "embedding").orderBy("vec_id"))
+    return vectors.select("vec_id", "embedding", key).withColumn("_rank", rank).where(F.col("_rank") <= copies).select("vec_id", "embedding")
 
 
-def index(vectors: DataFrame, shard_rows: int = SHARD_ROWS) -> DataFrame:
+def index(vectors: DataFrame, copies: int, shard_rows: int = SHARD_ROWS) -> DataFrame:
     """One row per shard of (vec_id, embedding) rows that are ``comparable``:
-    its ids, vectors and edges, written to the shared folder. Vectors of
-    different lengths are in different shards."""
+    its ids, vectors, edges and where the rows of each node begin, written to
+    the shared folder. Vectors of different lengths are in different shards; of
+    equal vectors the ``copies`` smallest ids take part."""
+    vectors = checkpoint_parquet(least_ids(vectors, copies), "graph-vectors")
     counts = vectors.groupBy(F.size("embedding").alias("dim")).agg(F.count(F.lit(1)).alias("n")).select(
         "dim", F.ceil(F.col("n") / F.lit(shard_rows)).alias("shards"))
     dealt = vectors.withColumn("dim", F.size("embedding")).join(F.broadcast(counts), "dim")  # a row per vector length
-    part = F.pmod(F.xxhash64("vec_id", "embedding"), F.col("shards"))
+    part = F.pmod(F.xxhash64(F.transform("embedding", lambda v: v.cast("float") + F.lit(0).cast("float"))), F.col("shards"))
     dealt = dealt.withColumn("shard", F.col("dim").cast("bigint") * F.lit(1 << 40) + part)
     return checkpoint_parquet(
         dealt.select("shard", "vec_id", "embedding").repartition("shard").sortWithinPartitions("shard", "vec_id", "embedding")
-        .mapInArrow(_build_shards, "shard bigint, dim int, start bigint, ids binary, vectors binary, edges binary"), "graph-index")
+        .mapInArrow(_build_shards, "shard bigint, dim int, start bigint, ids binary, vectors binary, offsets binary, edges binary"), "graph-index")
 
 
 def _search(k: int, beam: int):
@@ -149,13 +172,17 @@ def _search(k: int, beam: int):
             for row in batch.to_pylist():
                 ids = np.frombuffer(row["ids"], "<i8")
                 x = np.frombuffer(row["vectors"], "<f8").reshape(len(ids), row["dim"])
-                graph = np.frombuffer(row["edges"], "<i4").reshape(len(ids), -1)
+                of = np.frombuffer(row["offsets"], "<i4").astype(np.int64)
+                nodes = len(of) - 1
+                graph = np.frombuffer(row["edges"], "<i4").reshape(nodes, -1)
                 queries = np.array([q["embedding"] for q in row["queries"]], np.float64)
                 query_ids = np.array([q["vec_id"] for q in row["queries"]], np.int64)
-                found, _ = beam_search(x.astype(np.float32), graph, row["start"], queries.astype(np.float32), min(beam, max(len(ids), EXPAND)))
+                found, _ = beam_search(x[of[:-1]].astype(np.float32), graph, row["start"], queries.astype(np.float32), min(beam, max(nodes, EXPAND)))
                 out: tuple[list, list, list] = ([], [], [])
                 for own, q, hits in zip(query_ids, queries, found):
                     hits = hits[hits >= 0]
+                    n = of[hits + 1] - of[hits]
+                    hits = np.repeat(of[hits + 1] - np.cumsum(n), n) + np.arange(n.sum())  # the rows of the nodes
                     hits = hits[ids[hits] != own]
                     d = np.sqrt(((x[hits] - q) ** 2).sum(axis=1))
                     best = np.lexsort((ids[hits], d))[:k]
@@ -177,13 +204,13 @@ def search(vectors: DataFrame, queries: DataFrame, k: int = 10, beam: int = SEAR
     candidates. Empty tables give no rows; other columns are ignored.
     """
     usable = lambda df: df.select("vec_id", "embedding").where(F.col("vec_id").isNotNull() & comparable("embedding")).distinct()
-    shards = index(usable(vectors), shard_rows)
+    shards = index(usable(vectors), k + 1, shard_rows)  # one id may be the query's own
     asked = checkpoint_parquet(usable(queries).withColumn("dim", F.size("embedding")), "graph-queries")
     blocks = asked.count() // QUERY_ROWS + 1
     asked = (asked.groupBy("dim", F.pmod(F.xxhash64("vec_id"), F.lit(blocks)).alias("query_block"))
              .agg(F.collect_list(F.struct("vec_id", "embedding")).alias("queries")))  # about QUERY_ROWS each
     work = asked.join(shards, "dim").repartition("shard", "query_block")  # the stated queries, in blocks, against every shard
-    found = work.select("dim", "start", "ids", "vectors", "edges", "queries").mapInArrow(_search(k, beam), "query_id bigint, vec_id bigint, score double")
+    found = work.select("dim", "start", "ids", "vectors", "offsets", "edges", "queries").mapInArrow(_search(k, beam), "query_id bigint, vec_id bigint, score double")
     rank = F.row_number().over(Window.partitionBy("query_id").orderBy("score", "vec_id"))
     return (found.groupBy("query_id", "vec_id").agg(F.min("score").alias("score")).withColumn("rank", rank).where(F.col("rank") <= k)
             .select("query_id", "rank", "vec_id", "score"))

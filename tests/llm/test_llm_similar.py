@@ -221,3 +221,31 @@ def test_graph_search_recall(spark):
         assert [(r["score"], r["vec_id"]) for r in got] == sorted((r["score"], r["vec_id"]) for r in got)
         hits, queries = hits + len(best & {r["vec_id"] for r in got}), queries + 1
     assert hits / (10 * queries) >= 0.95
+
+
+def test_graph_search_among_equal_vectors(spark):
+    """A third of the rows are one vector, many others are in groups of equal ones."""
+    rng = np.random.default_rng(9)
+    x = rng.normal(size=(2400, 16)).astype(np.float32)
+    x[::3] = x[0]
+    x[1:900:3] = x[rng.integers(0, 20, 300) * 3 + 1]
+    x[3:600:30, 0] += np.float32(0.05)
+    x[6, 2] = -0.0
+    x[9] = x[6]
+    x[9, 2] = 0.0
+    rows = vectors(spark, [(i, v.tolist(), 0, "x") for i, v in enumerate(x)])
+    found = {}
+    for r in ann.search(rows, rows.where("vec_id % 48 < 8"), 10, shard_rows=600).collect():
+        found.setdefault(r["query_id"], []).append((r["rank"], r["score"], r["vec_id"]))
+    y, hits = x.astype(np.float64), 0
+    assert len(found) == 400
+    for q, rows in found.items():
+        d = np.sqrt(((y - y[q]) ** 2).sum(axis=1))
+        d[q] = np.inf
+        best = np.lexsort((np.arange(len(y)), d))[:10]
+        rows.sort()
+        assert [r[0] for r in rows] == list(range(1, 11)) and all(abs(d[i] - s) < 1e-9 for _, s, i in rows)
+        equal = [i for i in best.tolist() if d[i] == 0]
+        assert [i for _, _, i in rows][:len(equal)] == equal
+        hits += len(set(best.tolist()) & {i for _, _, i in rows})
+    assert hits / 4000 >= 0.95
