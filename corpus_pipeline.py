@@ -12,6 +12,9 @@ from sentinela.session import ship_package
 from sentinela.sinks.writers import checkpoint_parquet
 from sentinela.sources.testdata import table
 
+#: Words of a shingle and least percentage of the similarity join; op1 has its own.
+SHINGLE_WORDS, SHINGLE_PERCENT = 5, 80
+
 
 def _own_name(docs: DataFrame, name: str) -> str:
     while name in docs.columns:
@@ -41,9 +44,9 @@ def line_deduplication(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-equal shingle sets."""
+    """One document of each group of near-equal sets of five-word shingles."""
     ship_package(spark)
-    return jaccard_join.keep_one(docs)
+    return jaccard_join.keep_one(docs, width=SHINGLE_WORDS, percent=SHINGLE_PERCENT)
 
 
 def source_mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -1,7 +1,8 @@
 """N-gram Jaccard self-join over signature trees (operator 1).
 
-A document is the set of its 4-word shingles (64-bit hashes). Two documents
-link when 100 * intersection >= 85 * union. The join is exact:
+A document is the set of its shingles (64-bit hashes) of ``width`` words, 4
+unless given. Two documents link when 100 * intersection >= percent * union,
+percent being 85 unless given. The join is exact, here for 85:
 
 1. Equal texts become one node.
 2. Shingles have a global order, frequent ones last (their counts are kept in a
@@ -38,6 +39,7 @@ from sentinela.llm.textops import batches_of, mix, shingle_hashes, word_hashes
 from sentinela.llm.trees import block_pairs, cut, pair_rows, runs, whole_runs
 from sentinela.sinks.writers import checkpoint_parquet
 
+#: Words of a shingle and least percentage, unless given.
 WIDTH, PERCENT = 4, 85
 #: Counters of shingles (a power of two) and parts they are summed in; words of 64 bits in a bitmap.
 COUNTERS, SLICES, WORDS = 1 << 21, 16, 16
@@ -54,11 +56,11 @@ def _sort_within(values: np.ndarray, of: np.ndarray) -> None:
             values[a:b].sort()
 
 
-def sets_of(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+def sets_of(column: pa.Array, width: int) -> tuple[np.ndarray, np.ndarray]:
     """The distinct shingles of each text, ascending, and n + 1 offsets."""
     flat, sizes = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)]
     for i, j in batches_of(column):
-        shingles, of = shingle_hashes(*word_hashes(column.slice(i, j - i)), WIDTH)
+        shingles, of = shingle_hashes(*word_hashes(column.slice(i, j - i)), width)
         _sort_within(shingles, of)
         first = np.ones(len(shingles), dtype=bool)
         first[1:] = shingles[1:] != shingles[:-1]
@@ -72,8 +74,8 @@ def _counter(shingles: np.ndarray) -> np.ndarray:
     return (mix(shingles, 21) & np.uint64(COUNTERS - 1)).astype(np.int64)
 
 
-def shingle_counts(docs: DataFrame) -> np.ndarray:
-    """How many shingles of all ``docs`` (text) fall on each counter: a fixed
+def shingle_counts(docs: DataFrame, words: int) -> np.ndarray:
+    """How many shingles of ``words`` words of all ``docs`` (text) fall on each counter: a fixed
     array per task, summed part by part."""
     width = COUNTERS // SLICES
 
@@ -81,7 +83,7 @@ def shingle_counts(docs: DataFrame) -> np.ndarray:
         total = np.zeros(COUNTERS, np.int64)
         for batch in batches:
             for i, j in batches_of(batch.column(0)):
-                total += np.bincount(_counter(shingle_hashes(*word_hashes(batch.column(0).slice(i, j - i)), WIDTH)[0]), minlength=COUNTERS)
+                total += np.bincount(_counter(shingle_hashes(*word_hashes(batch.column(0).slice(i, j - i)), words)[0]), minlength=COUNTERS)
         yield pa.RecordBatch.from_arrays([pa.array(np.arange(SLICES)), pa.array([zlib.compress(total[i * width:(i + 1) * width].tobytes(), 1) for i in range(SLICES)], pa.binary())], names=["part", "counts"])
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -107,13 +109,13 @@ def ranks(counts: np.ndarray) -> np.ndarray:
     return np.where(above < 1, 0, 1 + np.floor(np.log2(np.maximum(above, 1)))).astype(np.uint8)
 
 
-def _describe(classes):
+def _describe(classes, width: int, percent: int):
     """Per text: size, bitmap, bits, minimum hashes and the prefix."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rank = classes.value
         for batch in batches:
             for i, j in batches_of(batch.column(3)):
-                tokens, of = sets_of(batch.column(3).slice(i, j - i))
+                tokens, of = sets_of(batch.column(3).slice(i, j - i), width)
                 n = np.diff(of)
                 text = np.repeat(np.arange(j - i), n)
                 bit = (mix(tokens, 22) & np.uint64(64 * WORDS - 1)).astype(np.int64)
@@ -130,7 +132,7 @@ def _describe(classes):
                     least.append(first.view(np.int64))
                 place = low | (mix(tokens, 30) >> np.uint64(8))  # in the global order: the class, then a hash
                 _sort_within(place, of)
-                length = np.where(n > 0, n - -(-n * PERCENT // 100) + 1, 0)
+                length = np.where(n > 0, n - -(-n * percent // 100) + 1, 0)
                 prefix_of = np.concatenate([[0], np.cumsum(length)])
                 take = np.repeat(of[:-1] - prefix_of[:-1], length) + np.arange(prefix_of[-1])
                 prefix = pa.ListArray.from_arrays(pa.array(prefix_of.astype(np.int32)), pa.array(place[take].view(np.int64)))
@@ -160,10 +162,12 @@ def _overlaps(tokens: np.ndarray, of: np.ndarray):
 
 
 def _families(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Links that connect the documents of each block, as many as need be."""
+    """Links that connect the documents of each block, as many as need be; the
+    rows bring the width and percent."""
     for _, rows in runs(batches):
+        width, percent = (rows[c][0].as_py() for c in ("width", "percent"))
         ids, first = np.unique(rows["node"].to_numpy(), return_index=True)
-        tokens, of = sets_of(rows["text"].combine_chunks().take(pa.array(first)))
+        tokens, of = sets_of(rows["text"].combine_chunks().take(pa.array(first)), width)
         n, root = np.diff(of), np.arange(len(ids))
         overlap = _overlaps(tokens, of)
         a, b = [], []
@@ -171,7 +175,7 @@ def _families(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             if (root == root[0]).all():
                 break
             common = overlap(i)
-            linked = np.flatnonzero((100 * common >= PERCENT * (n[i] + n - common)) & (n > 0) & (root != root[i]))
+            linked = np.flatnonzero((100 * common >= percent * (n[i] + n - common)) & (n > 0) & (root != root[i]))
             for j in linked:
                 if root[j] != root[i]:
                     a.append(ids[i])
@@ -196,32 +200,38 @@ def _pairs_of_runs(bounds: np.ndarray, side: np.ndarray) -> Iterator[tuple[np.nd
             yield i[ok], j[ok]
 
 
-def _candidates(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _candidates(percent: int):
     """Pairs of documents of two leaves, with their sizes, that their bitmaps do not rule out."""
-    for rows, bounds in whole_runs(batches):
-        ids, n, comp, side = (rows[c].to_numpy() for c in ("node", "n", "component", "side"))
-        bits = np.stack([rows[s].to_numpy().view(np.uint64) for s in _SIGNATURE], axis=1)
-        surplus = n - np.bitwise_count(bits).sum(axis=1).astype(np.int64)
-        for x, y in _pairs_of_runs(bounds, side):
-            apart = (comp[x] != comp[y]) & (100 * n[x] >= PERCENT * n[y]) & (100 * n[y] >= PERCENT * n[x])
-            x, y = x[apart], y[apart]
-            most = np.bitwise_count(bits[x] & bits[y]).sum(axis=1).astype(np.int64) + np.minimum(surplus[x], surplus[y])
-            most = np.minimum(most, np.minimum(n[x], n[y]))
-            good = 100 * most >= PERCENT * (n[x] + n[y] - most)
-            if good.any():
-                a, b, m, k = ids[x[good]], ids[y[good]], n[x[good]], n[y[good]]
-                yield pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b)), pa.array(np.maximum(m, k)), pa.array(m + k)], names=["a", "b", "larger", "both"])
-
-
-def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        (x, x_of), (y, y_of) = sets_of(batch.column(2)), sets_of(batch.column(3))
-        keep = []
-        for i in range(batch.num_rows):
-            s, t = x[x_of[i]:x_of[i + 1]], y[y_of[i]:y_of[i + 1]]
-            common = len(np.intersect1d(s, t, assume_unique=True))
-            keep.append(bool(len(s)) and 100 * common >= PERCENT * (len(s) + len(t) - common))
-        yield pa.RecordBatch.from_arrays([batch.column(k).filter(pa.array(keep, pa.bool_())) for k in (0, 1)], names=["a", "b"])
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows, bounds in whole_runs(batches):
+            ids, n, comp, side = (rows[c].to_numpy() for c in ("node", "n", "component", "side"))
+            bits = np.stack([rows[s].to_numpy().view(np.uint64) for s in _SIGNATURE], axis=1)
+            surplus = n - np.bitwise_count(bits).sum(axis=1).astype(np.int64)
+            for x, y in _pairs_of_runs(bounds, side):
+                apart = (comp[x] != comp[y]) & (100 * n[x] >= percent * n[y]) & (100 * n[y] >= percent * n[x])
+                x, y = x[apart], y[apart]
+                most = np.bitwise_count(bits[x] & bits[y]).sum(axis=1).astype(np.int64) + np.minimum(surplus[x], surplus[y])
+                most = np.minimum(most, np.minimum(n[x], n[y]))
+                good = 100 * most >= percent * (n[x] + n[y] - most)
+                if good.any():
+                    a, b, m, k = ids[x[good]], ids[y[good]], n[x[good]], n[y[good]]
+                    yield pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b)), pa.array(np.maximum(m, k)), pa.array(m + k)], names=["a", "b", "larger", "both"])
+
+    return run
+
+
+def _verify(width: int, percent: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            (x, x_of), (y, y_of) = sets_of(batch.column(2), width), sets_of(batch.column(3), width)
+            keep = []
+            for i in range(batch.num_rows):
+                s, t = x[x_of[i]:x_of[i + 1]], y[y_of[i]:y_of[i + 1]]
+                common = len(np.intersect1d(s, t, assume_unique=True))
+                keep.append(bool(len(s)) and 100 * common >= percent * (len(s) + len(t) - common))
+            yield pa.RecordBatch.from_arrays([batch.column(k).filter(pa.array(keep, pa.bool_())) for k in (0, 1)], names=["a", "b"])
+
+    return run
 
 
 def _texts(nodes: DataFrame, wanted: DataFrame, docs: DataFrame) -> DataFrame:
@@ -230,7 +240,7 @@ def _texts(nodes: DataFrame, wanted: DataFrame, docs: DataFrame) -> DataFrame:
     return checkpoint_parquet(docs.join(small(places), ["doc_id", "h1", "h2"]).select("node", "text").dropDuplicates(["node"]), "jaccard-texts")
 
 
-def links(nodes: DataFrame, docs: DataFrame) -> DataFrame:
+def links(nodes: DataFrame, docs: DataFrame, width: int = WIDTH, percent: int = PERCENT) -> DataFrame:
     """(a, b) pairs of nodes that link, enough of them to connect all that do."""
     nodes = nodes.where("n > 0")
     # families: blocks of documents that agree in a minimum hash
@@ -242,7 +252,7 @@ def links(nodes: DataFrame, docs: DataFrame) -> DataFrame:
     agreed = checkpoint_parquet(agreed.select("node", block.alias("key")), "jaccard-families")
     texts = _texts(nodes, agreed.select("node"), docs)
     found = checkpoint_parquet(agreed.join(texts, "node").repartition("key").sortWithinPartitions("key", "node")
-                               .select("key", "node", "text").mapInArrow(_families, "a bigint, b bigint").distinct(), "jaccard-families")
+                               .select("key", "node", "text", F.lit(width).alias("width"), F.lit(percent).alias("percent")).mapInArrow(_families, "a bigint, b bigint").distinct(), "jaccard-families")
     # the rest: children of the root that hold more than one component
     member = components(found, "jaccard-components")
     placed = nodes.join(member, "node", "left").withColumn("component", F.coalesce("component", "node")).select(
@@ -261,24 +271,24 @@ def links(nodes: DataFrame, docs: DataFrame) -> DataFrame:
     def may_link(a: str, b: str):
         x, y = (lambda c: F.col(f"{a}.{c}")), (lambda c: F.col(f"{b}.{c}"))
         shared = sum((F.bit_count(x(s).bitwiseAND(y(s))) for s in _SIGNATURE[1:]), F.bit_count(x(_SIGNATURE[0]).bitwiseAND(y(_SIGNATURE[0]))))
-        sizes = (x("most") * 100 >= y("least") * PERCENT) & (y("most") * 100 >= x("least") * PERCENT)
-        overlap = (shared + F.least(x("surplus"), y("surplus"))) * 100 >= F.greatest(x("least"), y("least")) * PERCENT
+        sizes = (x("most") * 100 >= y("least") * percent) & (y("most") * 100 >= x("least") * percent)
+        overlap = (shared + F.least(x("surplus"), y("surplus"))) * 100 >= F.greatest(x("least"), y("least")) * percent
         one = (x("from_c") == x("to_c")) & (y("from_c") == y("to_c")) & (x("from_c") == y("from_c"))
         return sizes & overlap & ~one
 
     pairs = block_pairs(leaves, merged, may_link, "jaccard-tree").where("left <= right")
     open_ = pair_rows(pairs.select("left", "right"), rows.select("block", "node", "component", "n", *_SIGNATURE))
     met = (open_.select("key", "side", "node", "component", "n", *_SIGNATURE)
-           .mapInArrow(_candidates, "a bigint, b bigint, larger bigint, both bigint")
+           .mapInArrow(_candidates(percent), "a bigint, b bigint, larger bigint, both bigint")
            .groupBy("a", "b", "larger", "both").agg(F.count(F.lit(1)).alias("children")))
-    # of the overlap that is needed, at most ceil(0.85 n) - 1 shingles lie behind a prefix
-    behind = F.ceil(F.col("larger") * PERCENT / F.lit(100)) - 1
-    needed = F.ceil(F.col("both") * PERCENT / F.lit(100 + PERCENT)) - behind
+    # of the overlap that is needed, at most ceil(n percent / 100) - 1 shingles lie behind a prefix
+    behind = F.ceil(F.col("larger") * percent / F.lit(100)) - 1
+    needed = F.ceil(F.col("both") * percent / F.lit(100 + percent)) - behind
     maybe = checkpoint_parquet(met.where(F.col("children") >= needed).select("a", "b"), "jaccard-candidates")
     texts = _texts(nodes, maybe.select(F.col("a").alias("node")).union(maybe.select("b")), docs)
     both = (maybe.join(texts.select(F.col("node").alias("a"), F.col("text").alias("x")), "a")
             .join(texts.select(F.col("node").alias("b"), F.col("text").alias("y")), "b").select("a", "b", "x", "y"))
-    return found.union(checkpoint_parquet(both.mapInArrow(_verify, "a bigint, b bigint"), "jaccard-links"))
+    return found.union(checkpoint_parquet(both.mapInArrow(_verify(width, percent), "a bigint, b bigint"), "jaccard-links"))
 
 
 def _identity(id_col: str, text_col: str) -> list:
@@ -290,21 +300,21 @@ def _identified(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return docs.select(*[c.alias(n) for n, c in zip(("doc_id", "h1", "h2", "text"), _identity(id_col, text_col))])
 
 
-def _grouped(docs: DataFrame) -> DataFrame:
+def _grouped(docs: DataFrame, width: int, percent: int) -> DataFrame:
     """(h1, h2, n, doc_id, component): the distinct texts of rows with an id, the
     smallest id of each, and the node that stands for its group."""
     known = docs.where("doc_id IS NOT NULL")
-    classes = docs.sparkSession.sparkContext.broadcast(ranks(shingle_counts(known)))  # COUNTERS bytes
+    classes = docs.sparkSession.sparkContext.broadcast(ranks(shingle_counts(known, width)))  # COUNTERS bytes
     schema = f"doc_id bigint, h1 bigint, h2 bigint, {_NODE}, " + ", ".join(f"m{k} bigint" for k in range(HASHES)) + ", prefix array<bigint>"
-    described = known.select("doc_id", "h1", "h2", "text").mapInArrow(_describe(classes), schema)
+    described = known.select("doc_id", "h1", "h2", "text").mapInArrow(_describe(classes, width, percent), schema)
     payload = ["n", "bits", *_SIGNATURE, *(f"m{k}" for k in range(HASHES)), "prefix"]
     nodes = described.groupBy("h1", "h2").agg(F.min("doc_id").alias("doc_id"), F.first(F.struct(*payload)).alias("p"))
     nodes = checkpoint_parquet(nodes.select(F.monotonically_increasing_id().alias("node"), "doc_id", "h1", "h2", "p.*"), "jaccard-nodes")
-    member = components(links(nodes, known), "jaccard-components")
+    member = components(links(nodes, known, width, percent), "jaccard-components")
     return nodes.select("node", "h1", "h2", "n", "doc_id").join(member, "node", "left").withColumn("component", F.coalesce("component", "node"))
 
 
-def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = WIDTH, percent: int = PERCENT) -> DataFrame:
     """(doc_id, n_shingles, component_id) for every row of ``docs``.
 
     The component of a document without words (null, empty or blank text) is
@@ -314,7 +324,7 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     table gives no rows.
     """
     docs = _identified(docs, id_col, text_col)
-    named = _grouped(docs)
+    named = _grouped(docs, width, percent)
     least = named.groupBy("component").agg(F.min("doc_id").alias("component_id"))
     named = named.drop("doc_id").join(least, "component").select("h1", "h2", "n", "component_id")
     found = docs.select("doc_id", "h1", "h2").join(named, ["h1", "h2"], "left")
@@ -322,12 +332,12 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
                         F.when(F.col("n") == 0, F.col("doc_id")).when(F.col("doc_id").isNotNull(), F.col("component_id")).alias("component_id"))
 
 
-def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = WIDTH, percent: int = PERCENT) -> DataFrame:
     """``docs`` with one document of each group: the smallest id, of its texts
     the one of the smallest hash. Documents without words, and rows with a null
     id, all stay; of rows that repeat an id and a text one stays."""
     rows = _identified(docs, id_col, text_col)
-    named = _grouped(rows)
+    named = _grouped(rows, width, percent)
     first = F.min(F.struct("doc_id", "h1", "h2"))
     kept = named.where("n > 0").groupBy("component").agg(first.alias("k")).select("k.*").union(
         rows.where("doc_id IS NOT NULL").join(named.where("n = 0").select("h1", "h2"), ["h1", "h2"], "left_semi").select("doc_id", "h1", "h2").distinct())

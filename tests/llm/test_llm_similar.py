@@ -7,6 +7,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from sentinela.llm import ann, ego, jaccard_join, line_dedup
 from sentinela.llm.graph import components
 from tests.llm.helpers import awkward, documents, empty, words
@@ -249,3 +250,31 @@ def test_graph_search_among_equal_vectors(spark):
         assert [i for _, _, i in rows][:len(equal)] == equal
         hits += len(set(best.tolist()) & {i for _, _, i in rows})
     assert hits / 4000 >= 0.95
+
+
+@pytest.mark.parametrize("width, percent", [(5, 80), (3, 60)])
+def test_jaccard_join_of_another_rule(spark, width, percent):
+    rng = random.Random(width)
+    texts = [mutated(rng, base, n) for base in (words(rng, 120), words(rng, 300)) for n in (0, 1, 2, 3, 4, 6, 8, 10)]
+    texts += [words(rng, rng.randint(1, 60)) for _ in range(20)] + ["one two three four", "one two three  FOUR", ""]
+
+    def own(text):
+        w = text.lower().split()
+        return {tuple(w[k:k + width]) for k in range(max(1, len(w) - width + 1))} if w else set()
+
+    sets, groups = [own(t) for t in texts], Groups(range(len(texts)))
+    for a, b in ((a, b) for b in range(len(texts)) for a in range(b)):
+        if sets[a] and 100 * len(sets[a] & sets[b]) >= percent * len(sets[a] | sets[b]):
+            groups.link(a, b)
+    rows = jaccard_join.jaccard_components(documents(spark, texts), width=width, percent=percent).collect()
+    assert {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in rows} == {i: (len(s), groups.find(i)) for i, s in enumerate(sets)}
+
+
+def test_pipeline_takes_five_words_and_four_fifths(spark):
+    rng = random.Random(6)
+    base = [f"w{i}" for i in range(1000)]
+    near = [f"x{i}" if i % 45 == 20 and i < 990 else w for i, w in enumerate(base)]  # 22 spread edits
+    more = base + [f"y{i}" for i in range(200)]
+    docs = documents(spark, [" ".join(base), " ".join(near), " ".join(more), words(rng, 100)])
+    assert sorted(r["doc_id"] for r in corpus_pipeline.near_duplicates(spark, docs, "").collect()) == [0, 3]
+    assert sorted(r["doc_id"] for r in jaccard_join.keep_one(docs).collect()) == [0, 1, 2, 3]
