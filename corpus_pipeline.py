@@ -4,6 +4,7 @@ reread. All stages but the last return the columns of the documents."""
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -55,10 +56,30 @@ def source_mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     return mixing.mixture(docs)
 
 
+def in_written_order(docs: DataFrame) -> DataFrame:
+    """``docs``, if they are Parquet files as Spark wrote them, in the order in
+    which they were written; Spark reads files by their size. Other tables as
+    they are, those computed from files too: their order is their own."""
+    if docs._jdf.queryExecution().analyzed().children().nonEmpty():
+        return docs
+    try:
+        file = docs.metadataColumn("_metadata")
+        name = file["file_name"]
+        part = F.regexp_extract(name, r"part-(\d+)", 1)
+        keys = [F.when(part != "", part.cast("bigint")), name, file["row_index"]]
+        keyed = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), *[k.alias(f"key{i}") for i, k in enumerate(keys)])
+    except AnalysisException:  # not files, or not Parquet
+        return docs
+    order = ["key0", "key1", "key2"]
+    return keyed.repartitionByRange(*order).sortWithinPartitions(*order).select("row.*")
+
+
 def sequence_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents in sequences of 2048 token ids."""
+    """All documents in sequences of 2048 token ids, which ascend with the mixture
+    by groups of packing.GROUP documents."""
     ship_package(spark)
-    return packing.pack(docs)
+    columns = [F.col(f"`{c}`") for c in docs.columns if c in ("doc_id", "text")]
+    return packing.pack(in_written_order(docs).select(*columns))
 
 
 STAGES = [

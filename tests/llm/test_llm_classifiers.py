@@ -6,6 +6,7 @@ import zlib
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
 import corpus_pipeline
@@ -131,3 +132,30 @@ def test_pipeline_stages_take_awkward_rows(spark):
 def test_queries_are_registered():
     names = set(entry.queries())
     assert {n.split("_")[0] for n in names if n[:2] == "op" and n[2].isdigit()} == {f"op{n}" for n in range(1, 11)} and "pipeline" in names
+
+
+def test_packing_follows_the_mixture_over_many_files(spark, tmp_dir):
+    """Many files of unlike sizes, read in another order than they were written."""
+    rows = spark.range(6000).select(
+        F.col("id").alias("doc_id"), F.concat_ws(" ", F.array_repeat(F.concat(F.lit("w"), F.col("id")), (F.col("id") * 97 % 60 + F.col("id") / 100).cast("int"))).alias("text"),
+        F.when(F.col("id") % 4 == 0, "a").otherwise("b").alias("source"))
+    rows.repartitionByRange(12, "doc_id").sortWithinPartitions("doc_id").write.parquet(f"{tmp_dir}/mixed")
+    files = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "64k")
+    try:
+        docs = spark.read.parquet(f"{tmp_dir}/mixed")
+        first = [r["doc_id"] for r in docs.collect()]
+        found = corpus_pipeline.sequence_packing(spark, docs, "").collect()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", files)
+    assert first != sorted(first)  # Spark reads in another order
+    begins = {}
+    for r in found:
+        begins.setdefault(r["doc_id"], []).append(r["sequence_id"])
+    assert sorted(begins) == list(range(6000))
+    place = [i for _, i in sorted((min(s), i) for i, s in begins.items())]
+    assert max(abs(k - i) for k, i in enumerate(place)) <= 256
+    source = {i: i % 4 == 0 for i in begins}
+    for n in range(1000, 6001, 500):
+        assert abs(sum(source[i] for i in place[:n]) - n / 4) <= 64
+    assert corpus_pipeline.in_written_order(docs.where("doc_id > 5")).collect() == docs.where("doc_id > 5").collect()
