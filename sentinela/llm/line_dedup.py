@@ -1,8 +1,9 @@
 """Fuzzy line deduplication (operator 10, DataFrame functions only).
 
 Lines are normalised (lower case, runs of anything but letters and digits
-become one space). Equal lines are one node each. A node's 64-bit SimHash over
-its distinct words is cut into five blocks; two hashes that differ in at most three bits
+become one space). Equal lines of any length are one node each. A node's 64-bit
+SimHash over its distinct words (runs of characters where it has fewer than
+four; a script without spaces has a word per stretch) is cut into five blocks; two hashes that differ in at most three bits
 agree in two blocks at least, so nodes meet on the ten pairs of blocks. In each
 meeting every node is compared with the first one; meetings of three or more
 that still span several components are then compared across the components, so
@@ -21,7 +22,7 @@ from pyspark.sql import functions as F
 from sentinela.llm.graph import components
 from sentinela.sinks.writers import checkpoint_parquet
 
-#: Lines of fewer words stay as they are. Most differing bits, least edit similarity.
+#: Lines of fewer words are hashed by characters. Most differing bits, least edit similarity.
 MIN_WORDS, BITS, SIMILARITY = 4, 3, 0.85
 #: First bit and width of the blocks: BITS + 2 of them.
 BLOCKS = ((0, 13), (13, 13), (26, 13), (39, 13), (52, 12))
@@ -30,6 +31,8 @@ CHUNK, WIDE_CHUNKS = 120, 250
 #: A side of at most so many short rows is broadcast after it was counted; a longer one is shuffled.
 BROADCAST_ROWS = 1_000_000
 
+#: Characters of a feature of a line without so many words.
+GRAM = 3
 _BYTES, _SHORTS = 0x0101010101010101, 0x00FF00FF00FF00FF
 
 
@@ -37,6 +40,16 @@ def normalised(line: Column) -> Column:
     return F.trim(F.regexp_replace(F.lower(line), r"[^\p{L}\p{N}]+", " "))
 
 
+def features(norm: Column) -> Column:
+    """What the SimHash of a normalised line is taken over: its words, or with
+    fewer than MIN_WORDS its runs of GRAM characters (all of it if shorter)."""
+    words, chars = F.split(norm, " "), F.split(norm, "")
+    # the array comes in as a lambda variable, so that it is made once a line
+    grams = F.flatten(F.transform(F.array(chars), lambda c: F.transform(
+        F.sequence(F.lit(0), F.greatest(F.size(c) - GRAM, F.lit(0))), lambda i: F.array_join(F.slice(c, i + 1, GRAM), ""))))
+    return F.when(F.size(words) >= MIN_WORDS, words).otherwise(grams)
+
+
 def _lanes(hashes: Column) -> Column:
     """Counts of the 64 bits over at most CHUNK hashes: byte j of l{i} counts bit i + 8 j."""
     zero = F.struct(*[F.lit(0).cast("bigint").alias(f"l{i}") for i in range(8)])
@@ -81,11 +94,11 @@ def with_simhash(lines: DataFrame) -> DataFrame:
 
 
 def occurrences(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """One row per line that takes part: document, place, text and hashes."""
+    """One row per line with a letter or digit: document, place, text and hashes."""
     lines = docs.select(F.col(id_col).alias("doc_id"), F.xxhash64(text_col).alias("text_hash"),
                         F.posexplode(F.split(F.col(text_col), "\n")).alias("pos", "line"))
     lines = lines.select("doc_id", "text_hash", "pos", normalised(F.col("line")).alias("norm"))
-    lines = lines.withColumn("words", F.split("norm", " ")).where(F.size("words") >= MIN_WORDS)
+    lines = lines.where("norm <> ''").withColumn("words", features(F.col("norm")))
     return with_simhash(lines).select("doc_id", "text_hash", "pos", "norm", F.xxhash64("norm").alias("h1"), F.xxhash64(F.lit("line"), "norm").alias("h2"),
                                       F.length("norm").alias("len"), "sim")
 
@@ -176,8 +189,8 @@ def drop_duplicate_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str
     before) and ``dropped_col`` (lines removed), which replace columns of those
     names; all other columns and all rows stay.
 
-    Null texts stay null (0 lines); empty texts, blank lines and lines of fewer
-    than MIN_WORDS words stay as they are; lines of any length take part whole.
+    Null texts stay null (0 lines); empty texts and lines without letters or
+    digits stay as they are; all other lines take part whole, short ones too.
     A null id is the smallest. Rows that repeat an id and a text are one
     document, each with the same result. An empty table gives no rows.
     """

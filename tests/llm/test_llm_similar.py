@@ -278,3 +278,14 @@ def test_pipeline_takes_five_words_and_four_fifths(spark):
     docs = documents(spark, [" ".join(base), " ".join(near), " ".join(more), words(rng, 100)])
     assert sorted(r["doc_id"] for r in corpus_pipeline.near_duplicates(spark, docs, "").collect()) == [0, 3]
     assert sorted(r["doc_id"] for r in jaccard_join.keep_one(docs).collect()) == [0, 1, 2, 3]
+
+
+def test_short_lines_and_lines_without_spaces_take_part(spark):
+    han = "".join(chr(0x4E00 + i * 7) for i in range(400))
+    kinds = ["Read more", "read MORE!", han, "--", "", "no", han[:200] + "一" + han[201:]]
+    lines = [r["norm"] for r in line_dedup.occurrences(documents(spark, ["\n".join(kinds)]), "doc_id", "text").orderBy("pos").collect()]
+    assert lines == ["read more", "read more", han, "no", kinds[6]]
+    got = {r["doc_id"]: r["text"] for r in line_dedup.drop_duplicate_lines(documents(spark, ["a\n" + "\n".join(kinds[:6]), "b\n" + "\n".join(kinds[:6]), "Read more"])).collect()}
+    assert got == {0: f"a\nRead more\n{han}\n--\n\nno", 1: "b\n--\n", 2: ""}
+    grams = spark.createDataFrame([(x,) for x in ("no", "read more", "𝒜𝒷日本", "a b c d")], "norm string").select(line_dedup.features(F.col("norm")).alias("f")).collect()
+    assert [r["f"] for r in grams] == [["no"], ["rea", "ead", "ad ", "d m", " mo", "mor", "ore"], ["𝒜𝒷日", "𝒷日本"], ["a", "b", "c", "d"]]
