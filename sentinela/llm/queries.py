@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from sentinela.llm import ann, ego, jaccard_join, line_dedup, mixing, packing, quality, sharding, token_files, toxicity
+from sentinela.llm import (ann, ego, jaccard_join, line_dedup, mixing, packing, quality, secrets, sharding, token_files,
+                           toxicity)
 from sentinela.sources.testdata import table
 
 QUERIES = {}
@@ -77,6 +78,12 @@ def op3_mixing(spark, sf_dir):
     return mixing.mix(docs).drop("text")
 
 
+@_query
+def op11_secret_scan(spark, sf_dir):
+    """Secrets in all documents."""
+    return secrets.digest(table(spark, sf_dir, "documents"))
+
+
 ORACLE["op8_embedding_dedup"] = """
 WITH RECURSIVE v AS (SELECT vec_id, label, list_transform(embedding, lambda x: CAST(x AS DOUBLE)) AS e FROM embeddings),
 ok AS (SELECT * FROM v WHERE vec_id IS NOT NULL AND label IS NOT NULL AND len(e) > 0
