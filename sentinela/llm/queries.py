@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from sentinela.llm import (ann, ego, jaccard_join, line_dedup, mixing, packing, quality, secrets, sharding, token_files,
-                           toxicity)
+from sentinela.llm import (ann, collocations, ego, jaccard_join, line_dedup, mixing, packing, quality, secrets,
+                           sharding, token_files, toxicity)
 from sentinela.sources.testdata import table
 
 QUERIES = {}
@@ -84,6 +84,32 @@ def op11_secret_scan(spark, sf_dir):
     return secrets.digest(table(spark, sf_dir, "documents"))
 
 
+@_query
+def op12_collocations(spark, sf_dir):
+    """The 2000 strongest phrases of every language."""
+    return collocations.collocations(table(spark, sf_dir, "documents"))
+
+
+ORACLE["op12_collocations"] = """
+WITH p AS (SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(
+             translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\\x0A-\\x0D]')) AS piece FROM documents),
+w AS (SELECT lang, regexp_extract_all(piece, '[^\\x20\\x09]+') AS w FROM p),
+n AS (SELECT lang, CAST(sum(len(w)) AS BIGINT) AS n FROM w GROUP BY 1),
+g AS (SELECT lang, k, unnest(list_transform(range(1, len(w) - k + 2), lambda i: array_to_string(w[i:i + k - 1], ' '))) AS phrase
+      FROM w, range(1, 6) t(k)),
+f AS (SELECT lang, k, phrase, count(*) AS f FROM g GROUP BY ALL HAVING count(*) >= 100),
+sub AS (SELECT lang, array_to_string(string_split(phrase, ' ')[i:j], ' ') AS phrase, max(f) AS held
+        FROM f, range(1, 6) x(i), range(1, 6) y(j) WHERE k > 2 AND i <= j AND j <= k AND j - i + 1 < k GROUP BY 1, 2),
+c AS (SELECT f.* FROM f LEFT JOIN sub USING (lang, phrase) WHERE k > 1 AND NOT coalesce(100 * held >= 100 * f, false)),
+cut AS (SELECT lang, phrase, f AS a, i, array_to_string(string_split(phrase, ' ')[1:i], ' ') AS lp, array_to_string(string_split(phrase, ' ')[i + 1:k], ' ') AS rp
+        FROM c, range(1, 5) x(i) WHERE i < k),
+s AS (SELECT cut.lang, cut.phrase, a, i, x.f AS l, y.f AS r, n.n, CAST((CAST(a AS HUGEINT) * n.n * 1000) // (CAST(x.f AS HUGEINT) * y.f) AS BIGINT) AS score
+      FROM cut JOIN f x ON x.lang = cut.lang AND x.phrase = lp JOIN f y ON y.lang = cut.lang AND y.phrase = rp JOIN n ON n.lang = cut.lang),
+b AS (SELECT * FROM s QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, i) = 1)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, n, score
+FROM b QUALIFY row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) <= 2000
+"""
+
 ORACLE["op8_embedding_dedup"] = """
 WITH RECURSIVE v AS (SELECT vec_id, label, list_transform(embedding, lambda x: CAST(x AS DOUBLE)) AS e FROM embeddings),
 ok AS (SELECT * FROM v WHERE vec_id IS NOT NULL AND label IS NOT NULL AND len(e) > 0
