@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from sentinela.llm import (ann, collocations, ego, jaccard_join, line_dedup, mixing, packing, quality, secrets,
+from sentinela.llm import (ann, collocations, conversations, ego, jaccard_join, line_dedup, mixing, packing, quality, secrets,
                            sharding, token_files, toxicity)
 from sentinela.sources.testdata import table
 
@@ -90,6 +90,70 @@ def op12_collocations(spark, sf_dir):
     return collocations.collocations(table(spark, sf_dir, "documents"))
 
 
+@_query
+def op13_conversation_repair(spark, sf_dir):
+    """Damaged conversations, repaired at the least cost."""
+    return conversations.damage_and_repair(table(spark, sf_dir, "conversations"))
+
+
+def _edit(state: str, cost: str, letter: str, lines: str = "''") -> str:
+    """SQL of a state (cost, audit, text) after an edit; null where the state is."""
+    return f"CASE WHEN {state} IS NULL THEN NULL ELSE struct_pack(c := {state}.c + {cost}, a := {state}.a || '{letter}', p := {state}.p || {lines}) END"
+
+
+def _least(*entries: str) -> str:
+    return f"list_min([{', '.join(entries)}])"
+
+
+_I_USER, _I_BOTH = "(chr(10) || 'user:')", "(chr(10) || 'assistant:')"
+_KEPT, _AS_USER, _AS_ASSISTANT = (f"(chr(10) || {role} || ':' || text)" for role in ("role", "'user'", "'assistant'"))
+_MORE = "CASE fault WHEN 't' THEN 3 ELSE 0 END"
+
+
+def _kept_or_changed(state: str, initial: str, changed: str) -> str:
+    return (f"CASE WHEN fault IN ('b', 'd') THEN NULL WHEN initial = '{initial}' THEN {_edit(state, _MORE, 'K', _KEPT)} "
+            f"ELSE {_edit(state, f'({_MORE} + 3)', 'R', changed)} END")
+
+
+# z, s, u, a: the best (cost, audit, text) of the rows so far in each state of the role pattern; u2 and a2 after insertions.
+ORACLE["op13_conversation_repair"] = f"""
+WITH RECURSIVE crc_table AS (SELECT list_transform(range(256), lambda n: list_reduce(list_concat([n], range(8)),
+         lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)) AS t),
+o AS (SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+         list_transform(string_split(coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' '), ''), lambda x: CAST(ascii(x) AS BIGINT)) AS bytes
+      FROM conversations),
+k AS (SELECT o.*, xor(list_reduce(list_concat([4294967295], bytes), lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1])), 4294967295) % 20 AS kind FROM o, crc_table),
+d AS (SELECT conv_id, turn, CASE kind WHEN 4 THEN 'user' ELSE role END AS role,
+         CASE kind WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text,
+         unnest(CASE kind WHEN 3 THEN [1, 2] ELSE [1] END) AS copy FROM k WHERE kind <> 0),
+r AS (SELECT *, left(role, 1) AS initial, row_number() OVER g AS i,
+         CASE WHEN NOT regexp_matches(text, '[^\\x20\\x09-\\x0D]') THEN 'b'
+              WHEN row_number() OVER (PARTITION BY conv_id, role, text ORDER BY turn NULLS FIRST, copy) > 1 THEN 'd'
+              WHEN regexp_matches(text, '[.!?][\\x20\\x09-\\x0D]*\\z') THEN 'k' ELSE 't' END AS fault,
+         lag(left(role, 1)) OVER g || left(role, 1) AS pair
+      FROM d WINDOW g AS (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text, copy)),
+n AS (SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (fault = 'b') AS blank,
+         count(*) FILTER (fault = 'd') AS duplicate, count(*) FILTER (fault = 't') AS truncated,
+         count(*) FILTER (pair NOT IN ('su', 'ua', 'au')) AS illegal, count(*) AS n_rows FROM r GROUP BY 1),
+steps AS (
+  SELECT conv_id, CAST(0 AS BIGINT) AS i, struct_pack(c := 0, a := '', p := '') AS z, CAST(NULL AS STRUCT(c INTEGER, a VARCHAR, p VARCHAR)) AS s,
+         CAST(NULL AS STRUCT(c INTEGER, a VARCHAR, p VARCHAR)) AS u, CAST(NULL AS STRUCT(c INTEGER, a VARCHAR, p VARCHAR)) AS a FROM n
+  UNION ALL
+  SELECT conv_id, i, {_edit("z", "4", "D")},
+         {_least(_edit("s", "4", "D"), f"CASE WHEN initial = 's' AND fault IN ('k', 't') THEN {_edit('z', _MORE, 'K', _KEPT)} END")},
+         {_least(_edit("u2", "4", "D"), *[_kept_or_changed(x, "u", _AS_USER) for x in ("z", "s", "a2")])},
+         {_least(_edit("a2", "4", "D"), _kept_or_changed("u2", "a", _AS_ASSISTANT))}
+  FROM (SELECT r.conv_id, r.i, role, text, initial, fault, z, s,
+               {_least("u", *[_edit(x, "3", "I", _I_USER) for x in ("z", "s", "a")])} AS u2,
+               {_least("a", _edit("u", "3", "I", _I_BOTH), *[_edit(x, "6", "II", f"{_I_USER} || {_I_BOTH}") for x in ("z", "s")])} AS a2
+        FROM steps JOIN r ON r.conv_id IS NOT DISTINCT FROM steps.conv_id AND r.i = steps.i + 1)),
+done AS (SELECT conv_id, {_least("z", "a", _edit("u", "3", "I", _I_BOTH), _edit("s", "6", "II", f"{_I_USER} || {_I_BOTH}"))} AS e
+         FROM steps JOIN n USING (conv_id) WHERE i = n_rows)
+SELECT conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate, coalesce(truncated, 0) AS truncated,
+       coalesce(illegal, 0) AS illegal, CAST(coalesce(e.c, 0) AS BIGINT) AS cost, coalesce(e.a, '') AS audit, sha256(substr(coalesce(e.p, ''), 2)) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) LEFT JOIN n USING (conv_id) LEFT JOIN done USING (conv_id)
+"""
+
 ORACLE["op12_collocations"] = """
 WITH p AS (SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(
              translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\\x0A-\\x0D]')) AS piece FROM documents),
