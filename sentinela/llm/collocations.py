@@ -20,6 +20,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -28,10 +29,10 @@ from sentinela.sinks.writers import checkpoint_parquet
 
 WIDEST, LEAST, PERCENT, FIRST = 5, 100, 100, 2000
 #: Entries of a container before it bursts; entries and words a task holds before it spills.
-BURST, HELD = 4096, 400_000
+BURST, HELD = 4096, 250_000
 FILTER_BITS = 1 << 27
 HEADS = 1024
-BATCH_BYTES = 4 << 20
+BATCH_BYTES = 2 << 20
 #: Parts of a language in the first of the two steps of its top list.
 SALTS = 64
 ENDS_PIECE = np.isin(np.arange(256), np.frombuffer(b".,;:!?\n\v\f\r", np.uint8))
@@ -39,58 +40,71 @@ COUNTS = "lang string, phrase string, n bigint"
 
 
 class Node:
-    """A container (``held``: rest of the ids -> count) or, once burst, a trie node (``next``: id -> node)."""
+    """A container (``held``: the rest of the ids, as bytes -> count) or, once burst, a trie node (``next``: id -> node)."""
     __slots__ = ("held", "next")
 
     def __init__(self):
-        self.held: dict[tuple, int] | None = {}
+        self.held: dict[bytes, int] | None = {}
         self.next: dict[int, Node] | None = None
 
-    def burst(self) -> None:
-        self.next = {}
-        for rest, n in self.held.items():
-            child = self.next.get(rest[0])
-            if child is None:
-                child = self.next[rest[0]] = Node()
-            child.held[rest[1:]] = n
-        self.held = None
-
     def size(self) -> int:
         return len(self.held) if self.next is None else sum(child.size() for child in self.next.values())
 
-    def items(self, path: tuple = ()) -> Iterator[tuple[tuple, int]]:
+    def containers(self, path: tuple = ()) -> Iterator[tuple[tuple, dict]]:
+        """(ids that lead there, container) of all containers below."""
         if self.next is None:
-            for rest, n in self.held.items():
-                yield path + rest, n
+            yield path, self.held
         else:
             for word, child in self.next.items():
-                yield from child.items(path + (word,))
+                yield from child.containers(path + (word,))
 
 
 class HatTrie:
-    """Counts of id sequences of one length, language first."""
-
-    def __init__(self, burst: int = BURST):
-        self.root, self.entries, self._burst = Node(), 0, burst
-
-    def add(self, ids: tuple, n: int) -> None:
-        node, depth = self.root, 0
-        while node.next is not None:
-            child = node.next.get(ids[depth])
+    """Counts of sequences of ``length`` ids, language first."""
+
+    def __init__(self, length: int, burst: int = BURST):
+        self.root, self.entries, self._length, self._burst = Node(), 0, length, burst
+
+    def add(self, rows: np.ndarray, counts: np.ndarray) -> None:
+        """Add distinct rows of ids, in lexicographic order, with their counts."""
+        if len(rows):
+            self._add(self.root, np.ascontiguousarray(rows, dtype="<i4"), counts.tolist(), 0)
+
+    def _add(self, node: Node, rows: np.ndarray, counts: list[int], depth: int) -> None:
+        if node.next is not None:
+            first = rows[:, depth]
+            at = [0, *(np.flatnonzero(first[1:] != first[:-1]) + 1).tolist(), len(rows)]
+            for word, i, j in zip(first[at[:-1]].tolist(), at, at[1:]):
+                child = node.next.get(word)
+                if child is None:
+                    child = node.next[word] = Node()
+                self._add(child, rows[i:j], counts[i:j], depth + 1)
+            return
+        held, before, width = node.held, len(node.held), 4 * (self._length - depth)
+        rest = rows[:, depth:].tobytes()
+        for i, n in zip(range(0, len(rest), width), counts):
+            key = rest[i:i + width]
+            held[key] = held.get(key, 0) + n
+        self.entries += len(held) - before
+        if len(held) > self._burst and depth + 1 < self._length:
+            self._burst_node(node, depth)
+
+    def _burst_node(self, node: Node, depth: int) -> None:
+        node.next = {}
+        for key, n in node.held.items():
+            word = int.from_bytes(key[:4], "little")
+            child = node.next.get(word)
             if child is None:
-                child = node.next[ids[depth]] = Node()
-            node, depth = child, depth + 1
-        held, rest = node.held, ids[depth:]
-        before = held.get(rest)
-        held[rest] = (before or 0) + n
-        if before is None:
-            self.entries += 1
-            if len(held) > self._burst and len(rest) > 1:
-                node.burst()
-
-    def spill(self, most: int) -> Iterator[tuple[tuple, int]]:
+                child = node.next[word] = Node()
+            child.held[key[4:]] = n
+        node.held = None
+        for child in node.next.values():
+            if len(child.held) > self._burst and depth + 2 < self._length:
+                self._burst_node(child, depth + 1)
+
+    def spill(self, most: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         """Take out whole subtrees of a language and first word, largest first, until
-        ``most`` entries are left; (ids, n) of each."""
+        ``most`` entries are left; rows of ids and counts of each container."""
         tops = [((), None, self.root)]
         for _ in range(2):
             tops = [t for path, key, node in tops for t in (
@@ -98,8 +112,10 @@ class HatTrie:
         for path, key, node in sorted(tops, key=lambda t: -t[2].size()):
             if self.entries <= most:
                 return
-            yield from node.items(path)
-            self.entries -= node.size()
+            for way, held in node.containers(path):
+                rest = np.frombuffer(b"".join(held), "<i4").reshape(len(held), self._length - len(way))
+                yield np.hstack([np.tile(np.array(way, "<i4"), (len(held), 1)), rest]), np.fromiter(held.values(), np.int64, len(held))
+                self.entries -= len(held)
             if key is None:
                 self.root = Node()
             else:
@@ -152,7 +168,8 @@ def word_ids(column: pa.Array):
 
 
 def distinct_rows(columns: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-    """First place and count of every distinct row of some columns of codes below 2^31."""
+    """First place and count of every distinct row of some columns of codes below
+    2^31; the rows are in lexicographic order."""
     code = columns[0].astype(np.int64)
     for column in columns[1:]:
         _, code = np.unique(code, return_inverse=True)
@@ -161,24 +178,32 @@ def distinct_rows(columns: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
     return first, n
 
 
+def sorted_run(parts: list[tuple[np.ndarray, np.ndarray]], words: list[str]) -> Iterator[pa.RecordBatch]:
+    """The entries as (lang, phrase, n), sorted word by word."""
+    if not parts:
+        return
+    rows, counts = np.concatenate([r for r, _ in parts]), np.concatenate([n for _, n in parts])
+    known = pa.array(words, pa.string())
+    rank = np.empty(len(words), np.int32)
+    rank[pc.sort_indices(known).to_numpy()] = np.arange(len(words), dtype=np.int32)
+    order = np.lexsort([rank[column] for column in rows.T[::-1]])
+    for i in range(0, len(order), 1 << 16):
+        some = rows[order[i:i + (1 << 16)]]
+        lang, *phrase = (known.take(pa.array(column)) for column in some.T)
+        yield pa.RecordBatch.from_arrays([lang, pc.binary_join_element_wise(*phrase, " "), pa.array(counts[order[i:i + (1 << 16)]])], names=["lang", "phrase", "n"])
+
+
 def counter(width: int, table, held: int = HELD, burst: int = BURST):
     """The task that counts phrases of ``width`` words of (lang, text) batches."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        trie, codes, words = HatTrie(burst), {}, []  # codes: word or (language,) -> id
+        trie, codes = HatTrie(width + 1, burst), {}  # word or (language,) -> id
         known = None if table is None else table.value
 
-        def code(word) -> int:
-            found = codes.get(word)
-            if found is None:
-                found = codes[word] = len(words)
-                words.append(word)
-            return found
+        def runs(most: int) -> Iterator[pa.RecordBatch]:
+            return sorted_run(list(trie.spill(most)), [w if isinstance(w, str) else w[0] for w in codes])
 
-        def runs(most: int):
-            phrases = sorted((words[ids[0]][0], " ".join(words[i] for i in ids[1:]), n) for ids, n in trie.spill(most))
-            for i in range(0, len(phrases), 1 << 16):
-                lang, phrase, n = zip(*phrases[i:i + (1 << 16)])
-                yield pa.RecordBatch.from_arrays([pa.array(lang, pa.string()), pa.array(phrase, pa.string()), pa.array(n, pa.int64())], names=["lang", "phrase", "n"])
+        def own_ids(words: list) -> np.ndarray:
+            return np.array([codes.setdefault(w, len(codes)) for w in words], np.int32)
 
         for batch in batches:
             for i, j in batches_of(batch.column(1), BATCH_BYTES):
@@ -194,25 +219,25 @@ def counter(width: int, table, held: int = HELD, burst: int = BURST):
                     hashes, lang_hashes = text_hashes(vocabulary)[ids], text_hashes(langs.dictionary)[lang]
                     for shift in (0, 1):
                         at = at[has_bits(known, gram_hashes([hashes[at + shift + k] for k in range(width - 1)], lang_hashes[at]))]
-                if len(at):
-                    first, n = distinct_rows([lang[at], *[ids[at + k] for k in range(width)]])
-                    at = at[first]
-                    names = vocabulary.take(pa.array(np.unique(np.concatenate([ids[at + k] for k in range(width)])))).to_pylist()
-                    own = np.zeros(len(vocabulary), np.int64)
-                    own[np.unique(np.concatenate([ids[at + k] for k in range(width)]))] = [code(w) for w in names]
-                    own_lang = np.array([code((x,)) for x in langs.dictionary.to_pylist()])
-                    rows = zip(*[own_lang[lang[at]].tolist(), *[own[ids[at + k]].tolist() for k in range(width)]])
-                    for row, m in zip(rows, n.tolist()):
-                        trie.add(row, m)
-                        if trie.entries > held:
-                            yield from runs(held // 2)
                 if width == 1:  # the root of a language: all its words
                     at_lang, n = np.unique(lang, return_counts=True)
                     yield pa.RecordBatch.from_arrays([langs.dictionary.take(pa.array(at_lang)), pa.array([""] * len(n), pa.string()), pa.array(n.astype(np.int64))], names=["lang", "phrase", "n"])
-                if len(words) > held:
+                used = np.zeros(len(vocabulary), dtype=bool)
+                for k in range(width):
+                    used[ids[at + k]] = True
+                own = np.zeros(len(vocabulary), np.int32)
+                own[used] = own_ids(vocabulary.filter(pa.array(used)).to_pylist())
+                own_lang = own_ids([(x,) for x in langs.dictionary.to_pylist()])
+                columns = [own_lang[lang[at]], *[own[ids[at + k]] for k in range(width)]]
+                first, n = distinct_rows(columns)
+                rows = np.stack([column[first] for column in columns], axis=1)
+                for a in range(0, len(rows), held):  # few rows at a time: what is held stays bounded
+                    trie.add(rows[a:a + held], n[a:a + held])
+                    if trie.entries > held:
+                        yield from runs(held // 2)
+                if len(codes) > held:
                     yield from runs(0)
                     codes.clear()
-                    words.clear()
         yield from runs(0)
 
     return run
