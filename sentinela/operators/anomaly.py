@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from sentinela.operators.ranges import in_ranges, previous, running_total
 from sentinela.operators.scaling import attach, quantile
 from sentinela.sinks.writers import checkpoint_parquet
 
@@ -32,6 +33,8 @@ def dbscan_1d(df: DataFrame, group: list[str], x: str, order: str, eps: float =
     * Core points of one bucket always share an island, so islands are runs
       over the per-group table of core buckets (one row per occupied bucket,
       not per point); islands are numbered by their earliest input position.
+      Both scans are two-level (``ranges``): a group's buckets may lie in
+      any number of ranges and no window is over a whole group.
     * Border points take the lower-numbered of the (at most two) adjacent
       islands, the rest is noise (-1)."""
     g = list(group)
@@ -51,13 +54,12 @@ def dbscan_1d(df: DataFrame, group: list[str], x: str, order: str, eps: float =
 
     core = pts.where("_core")
     cb = core.groupBy(*g, "_b").agg(F.min("_x").alias("_cmin"), F.max("_x").alias("_cmax"))
-    wb = Window.partitionBy(*g).orderBy("_b")
-    new_isl = F.coalesce((F.col("_cmin") - F.lag("_cmax").over(wb)) > e, F.lit(True)).cast("int")
-    cb = cb.withColumn("_new", new_isl).withColumn(
-        "_isl", F.sum("_new").over(wb.rowsBetween(Window.unboundedPreceding, 0)))
-    core_isl = core.join(cb.select(*g, "_b", "_isl"), [*g, "_b"])
-    isl = core_isl.groupBy(*g, "_isl").agg(F.min("_first").alias("_f"))
-    isl = isl.withColumn("_lab", F.row_number().over(Window.partitionBy(*g).orderBy("_f", "_isl")) - 1)
+    cb = previous(in_ranges(cb, g, ["_b"], "core-buckets"), g, ["_b"], "_cmax", "_before")
+    cb = cb.withColumn("_new", F.coalesce((F.col("_cmin") - F.col("_before")) > e, F.lit(True)).cast("int")).drop("_before")
+    cb = running_total(cb, g, ["_b"], "_new", "_started").withColumn("_isl", F.col("_started") + F.col("_new"))
+    core_isl = checkpoint_parquet(core.join(cb.select(*g, "_b", "_isl"), [*g, "_b"]), "core-islands")
+    isl = in_ranges(core_isl.groupBy(*g, "_isl").agg(F.min("_first").alias("_f")), g, ["_f", "_isl"], "islands")
+    isl = running_total(isl, g, ["_f", "_isl"], before="_lab")
     core_lab = core_isl.join(isl.select(*g, "_isl", "_lab"), [*g, "_isl"]).select(*g, "_x", "_lab")
 
     below = F.expr(f"max(CASE WHEN _core THEN _x END) OVER (PARTITION BY {part}, _tb ORDER BY _x "

@@ -1,7 +1,7 @@
 """Clustering and matrix analytics (CLU1-9) on Spark ML.
 
-Fits are distributed (``pyspark.ml``); what reaches the driver is a fitted
-model or a bounded summary (<= ``max_micro`` centroids for Ward)."""
+Fits are distributed; what reaches the driver is a fitted model or a summary
+of k centres."""
 
 from __future__ import annotations
 
@@ -9,14 +9,14 @@ from concurrent.futures import ThreadPoolExecutor
 
 import numpy as np
 import pandas as pd
-from pyspark.ml.clustering import KMeans
 from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.feature import PCA, VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from sentinela.operators.hierarchy import ward_labels, ward_merges
 from sentinela.operators.scaling import median_impute, standardize
 
 
@@ -82,67 +82,10 @@ def pca_2d(df: DataFrame, features: str = "features", k: int = 2):
     return out, pc * signs, list(model.explainedVariance.toArray())
 
 
-def _ward_merges(points: np.ndarray, weights: np.ndarray, k: int) -> np.ndarray:
-    """Ward agglomeration of weighted points until k clusters remain.
-
-    Merge cost of clusters A, B: wA wB / (wA + wB) * ||cA - cB||^2 (the
-    increase of within-cluster sum of squares), identical to Ward linkage on
-    the underlying points when every weight is 1. Returns a label per point."""
-    m = len(points)
-    cent = points.astype(float).copy()
-    w = weights.astype(float).copy()
-    alive = np.ones(m, dtype=bool)
-    label = np.arange(m)
-    while alive.sum() > k:
-        idx = np.flatnonzero(alive)
-        c, ww = cent[idx], w[idx]
-        d2 = ((c[:, None, :] - c[None, :, :]) ** 2).sum(-1)
-        cost = (ww[:, None] * ww[None, :]) / (ww[:, None] + ww[None, :]) * d2
-        np.fill_diagonal(cost, np.inf)
-        a, b = np.unravel_index(np.argmin(cost), cost.shape)
-        ia, ib = idx[a], idx[b]
-        tot = w[ia] + w[ib]
-        cent[ia] = (cent[ia] * w[ia] + cent[ib] * w[ib]) / tot
-        w[ia] = tot
-        alive[ib] = False
-        label[label == ib] = ia
-    roots = {r: i for i, r in enumerate(sorted(set(label.tolist())))}
-    return np.array([roots[r] for r in label])
-
-
-def ward_clusters(df: DataFrame, k: int, features: str = "features", id_col: str = "id", max_micro: int = 256,
-                  seed: int = 42) -> DataFrame:
-    """Ward hierarchy cut at k clusters (CLU6), in two stages.
-
-    When there are at most ``max_micro`` distinct points, Ward runs on them
-    directly (exact). Otherwise K-Means first compresses the data to
-    ``max_micro`` weighted micro-clusters on Spark and Ward merges those.
-    Only the bounded micro table reaches the driver; assignments go back by a
-    broadcast join on the micro id. Clusters are numbered by smallest member id."""
-    spark: SparkSession = df.sparkSession
-    arr = df.select(id_col, vector_to_array(F.col(features)).alias("_v"))
-    distinct = arr.groupBy("_v").agg(F.count(F.lit(1)).alias("_w"))
-    small = distinct.limit(max_micro + 1).collect()
-    if len(small) <= max_micro:
-        pts = np.array([r["_v"] for r in small])
-        wts = np.array([r["_w"] for r in small])
-        lab = _ward_merges(pts, wts, k)
-        keyed = spark.createDataFrame([(list(map(float, p)), int(l)) for p, l in zip(pts, lab)],
-                                      T.StructType([T.StructField("_v", T.ArrayType(T.DoubleType())),
-                                                    T.StructField("_c", T.IntegerType())]))
-        joined = arr.join(F.broadcast(keyed), "_v")
-    else:
-        km = KMeans(k=max_micro, seed=seed, featuresCol=features, predictionCol="_micro", maxIter=50).fit(df)
-        pred = km.transform(df).select(id_col, "_micro")
-        w = {r["_micro"]: r["n"] for r in pred.groupBy("_micro").agg(F.count(F.lit(1)).alias("n")).collect()}
-        cents = np.array([np.asarray(c, dtype=float) for c in km.clusterCenters()])
-        used = sorted(w)
-        lab = _ward_merges(cents[used], np.array([w[i] for i in used]), k)
-        keyed = spark.createDataFrame([(int(u), int(l)) for u, l in zip(used, lab)], "_micro int, _c int")
-        joined = pred.join(F.broadcast(keyed), "_micro")
-    first = joined.groupBy("_c").agg(F.min(id_col).alias("_first"))
-    ren = first.withColumn("cluster_ward", F.row_number().over(Window.orderBy("_first")) - 1)
-    return joined.join(F.broadcast(ren.select("_c", "cluster_ward")), "_c").select(id_col, "cluster_ward")
+def ward_clusters(df: DataFrame, k: int, features: str = "features", id_col: str = "id") -> DataFrame:
+    """(id, ``cluster_ward``): the Ward hierarchy of all rows cut at k clusters
+    (CLU6), numbered by their smallest id (see ``hierarchy``)."""
+    return ward_labels(df, ward_merges(df, features, id_col), k, features, id_col)
 
 
 def adjusted_rand(df: DataFrame, a: str, b: str) -> DataFrame:

@@ -6,9 +6,10 @@ the fact itself is not shuffled on the group."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from sentinela.operators.ranges import in_ranges, running_total
 from sentinela.sinks.writers import checkpoint_parquet
 
 
@@ -21,45 +22,43 @@ def attach(df: DataFrame, stats: DataFrame, group: list[str]) -> DataFrame:
     return df.join(known, same, "left").drop(*keys.values())
 
 
-def quantile(df: DataFrame, col: str, q: float, group: list[str] | None = None, out: str = "_q") -> DataFrame:
-    """The exact interpolated ``q``-quantile (S8) of the values that are not
-    null, per group or of all rows, at any size by the same way: distinct
-    values with their counts are range-partitioned; partition sums give each
-    value its ranks; only the one or two values at the wanted rank are kept.
-    No task holds more than its range of distinct values."""
+def quantiles(df: DataFrame, cols: list[str], qs: list[float], group: list[str] | None = None) -> DataFrame:
+    """(group, ``column``, ``q``, ``value``): exact interpolated quantiles (S8) of the
+    values that are not null, of many columns at once, per group or of all rows.
+
+    Columns are melted to (column, value) and counted by distinct value; one
+    table in ranges of (group, column, value) gives every value its ranks and
+    only the values at the wanted ranks are kept. No task holds more than its
+    range, so one group may have all rows. A column (of a group) without values
+    has no rows."""
     g = list(group or [])
-    counts = checkpoint_parquet(df.where(F.col(col).isNotNull()).groupBy(*g, F.col(col).cast("double").alias("_v")).agg(F.count(F.lit(1)).alias("_m")), "quantile-counts")
-    placed = checkpoint_parquet(counts.repartitionByRange(*g, "_v").withColumn("_p", F.spark_partition_id()), "quantile-ranges")
-    over = Window.partitionBy(*g) if g else Window.partitionBy(F.lit(0))  # one row per partition (and group)
-    sums = placed.groupBy(*g, "_p").agg(F.sum("_m").alias("_s")).select(
-        *[F.col(c).alias(f"_key_{c}") for c in g], F.col("_p").alias("_part"), F.sum("_s").over(over).alias("_n"),
-        F.coalesce(F.sum("_s").over(over.orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_off"))
-    ranked = placed.join(sums, [F.col(c).eqNullSafe(F.col(f"_key_{c}")) for c in g] + [F.col("_p") == F.col("_part")])
-    inside = Window.partitionBy(*g, "_p").orderBy("_v").rowsBetween(Window.unboundedPreceding, -1)
-    first = F.col("_off") + F.coalesce(F.sum("_m").over(inside), F.lit(0))
-    at = F.lit(float(q)) * (F.col("_n") - 1)
-    ranked = ranked.withColumns({"_first": first, "_at": at})
+    keys = [*g, "_column"]
+    melted = df.select(*g, F.explode(F.array(*[F.struct(F.lit(c).alias("_column"), F.col(c).cast("double").alias("_v")) for c in cols])).alias("_m"))
+    counts = melted.select(*g, "_m.*").where(F.col("_v").isNotNull()).groupBy(*keys, "_v").agg(F.count(F.lit(1)).alias("_m"))
+    placed = in_ranges(checkpoint_parquet(counts, "quantile-counts"), keys, ["_v"], "quantile-ranges")
+    ranked = running_total(placed, keys, ["_v"], "_m", "_first", "_n")
     holds = lambda k: (F.col("_first") <= k) & (k < F.col("_first") + F.col("_m"))
-    low, high = F.floor("_at"), F.ceil("_at")
-    found = ranked.where(holds(low) | holds(high)).groupBy(*g).agg(
-        F.max(F.when(holds(low), F.col("_v"))).alias("_lo"), F.max(F.when(holds(high), F.col("_v"))).alias("_hi"), F.max("_at").alias("_at"))
+    places = F.array(*[F.struct(F.lit(float(q)).alias("q"), (F.lit(float(q)) * (F.col("_n") - 1)).alias("at")) for q in qs])
+    found = ranked.select(*keys, "_v", "_first", "_m", F.explode(F.filter(places, lambda p: holds(F.floor(p["at"])) | holds(F.ceil(p["at"])))).alias("_p"))
+    low, high = F.floor("_p.at"), F.ceil("_p.at")
+    ends = found.groupBy(*keys, F.col("_p.q").alias("q")).agg(
+        F.max(F.when(holds(low), F.col("_v"))).alias("_lo"), F.max(F.when(holds(high), F.col("_v"))).alias("_hi"), F.max("_p.at").alias("_at"))
     value = F.when(F.col("_lo") == F.col("_hi"), F.col("_lo")).otherwise((F.ceil("_at") - F.col("_at")) * F.col("_lo") + (F.col("_at") - F.floor("_at")) * F.col("_hi"))
-    return found.select(*g, value.alias(out))
+    return ends.select(*g, F.col("_column").alias("column"), "q", value.alias("value"))
+
+
+def quantile(df: DataFrame, col: str, q: float, group: list[str] | None = None, out: str = "_q") -> DataFrame:
+    """One quantile of one column (see ``quantiles``)."""
+    return quantiles(df, [col], [q], group).select(*(group or []), F.col("value").alias(out))
 
 
 def median_impute(df: DataFrame, cols: list[str], group: list[str] | None = None) -> DataFrame:
     """Fill NULLs with the exact interpolated median (S8) of each column,
-    globally or per group."""
-    out = df
-    for c in cols:
-        med = quantile(df, c, 0.5, group, f"_med_{c}")
-        if group:
-            out = attach(out, med, group)
-        else:  # one row at most; none for a column without values
-            med = med.agg(F.max(f"_med_{c}").alias(f"_med_{c}"))
-            out = out.crossJoin(F.broadcast(med))
-    return out.withColumns({c: F.coalesce(F.col(c), F.col(f"_med_{c}")) for c in cols}).drop(
-        *[f"_med_{c}" for c in cols])
+    globally or per group; all columns share one rank table."""
+    g = list(group or [])
+    medians = quantiles(df, cols, [0.5], g).groupBy(*g).agg(*[F.max(F.when(F.col("column") == c, F.col("value"))).alias(f"_med_{c}") for c in cols])
+    out = attach(df, medians, g) if g else df.crossJoin(F.broadcast(medians))  # one row
+    return out.withColumns({c: F.coalesce(F.col(c), F.col(f"_med_{c}")) for c in cols}).drop(*[f"_med_{c}" for c in cols])
 
 
 def standardize(df: DataFrame, cols: list[str], group: list[str] | None = None, suffix: str = "_z",

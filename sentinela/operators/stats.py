@@ -7,6 +7,8 @@ from itertools import combinations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from sentinela.operators.scaling import quantiles
+
 
 def _col(c: str | Column) -> Column:
     return F.col(c) if isinstance(c, str) else c
@@ -49,13 +51,18 @@ def trend_slope(df: DataFrame, group: list[str], y: str, x: str, min_points: int
 
 
 def percentiles(df: DataFrame, group: list[str], value: str, qs: list[float], exact: bool = True) -> DataFrame:
-    """Exact interpolated percentiles (AGG19, S8); columns p75, p90, ...
-    ``exact=False`` switches to the bounded-memory sketch for groups whose
-    distinct values don't fit one task's buffer."""
-    arr = (F.percentile(F.col(value), [float(q) for q in qs]) if exact
-           else F.percentile_approx(F.col(value), [float(q) for q in qs], 100_000))
-    out = df.groupBy(*group).agg(arr.alias("_p"))
-    return out.select(*group, *[F.col("_p")[i].alias(f"p{round(q * 100):d}") for i, q in enumerate(qs)])
+    """Exact interpolated percentiles (AGG19, S8); columns p75, p90, ... The exact
+    form ranks distinct values over ranges (``scaling.quantiles``), so that a
+    group may hold all rows; ``exact=False`` is the bounded sketch in one aggregate."""
+    names = [f"p{round(q * 100):d}" for q in qs]
+    if not exact:
+        out = df.groupBy(*group).agg(F.percentile_approx(F.col(value), [float(q) for q in qs], 100_000).alias("_p"))
+        return out.select(*group, *[F.col("_p")[i].alias(n) for i, n in enumerate(names)])
+    found = quantiles(df, [value], qs, group)
+    of = {n: F.max(F.when(F.col("q") == float(q), F.col("value"))).alias(n) for q, n in zip(qs, names)}
+    groups = df.select(*group).distinct()  # a group without values has nulls
+    pick = found.groupBy(*group).agg(*of.values())
+    return groups.unionByName(pick, allowMissingColumns=True).groupBy(*group).agg(*[F.max(n).alias(n) for n in names])
 
 
 def correlation_pairs(df: DataFrame, cols: list[str], threshold: float = 0.7) -> DataFrame:

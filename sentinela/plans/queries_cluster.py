@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from sentinela.operators.cluster import (adjusted_rand, elbow, kmeans_best, pca_2d, preprocess, silhouette,
                                          ward_clusters)
+from sentinela.operators.hierarchy import ward_merges
 from sentinela.operators.risk import country_risk
 from sentinela.operators.stats import trend_slope
 from sentinela.plans.registry import query
@@ -68,8 +69,15 @@ def pca_variance(spark, sf_dir):
 
 @query("ward_micro")
 def ward_micro(spark, sf_dir):
-    feats = _embedding_features(spark, sf_dir)
-    return ward_clusters(feats, K, id_col="vec_id", max_micro=256)
+    """Labels of the Ward hierarchy of all embeddings, cut at K (CLU6)."""
+    return ward_clusters(_embedding_features(spark, sf_dir), K, id_col="vec_id")
+
+
+@query("ward_merges")
+def ward_merges_q(spark, sf_dir):
+    """The merge table of that hierarchy, with heights."""
+    merges = ward_merges(_embedding_features(spark, sf_dir), id_col="vec_id")
+    return merges.withColumn("height", F.bround("height", 9))
 
 
 QUADRANT = "CAST(embedding[1] > 0 AS INT) + 2 * CAST(embedding[2] > 0 AS INT)"

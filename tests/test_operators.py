@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from sentinela.operators import bulletin as B
 from sentinela.operators.anomaly import cohen_kappa, combine_labels, dbscan_1d, isolation_forest
-from sentinela.operators.cluster import _ward_merges, adjusted_rand, ward_clusters
+from sentinela.operators.cluster import adjusted_rand, ward_clusters
 from sentinela.operators.joins import dedupe_first, grid_from_values
 from sentinela.operators.lagcorr import best_lag, pearson_pvalue
 from sentinela.operators.risk import seasonal_weights
@@ -204,24 +204,6 @@ def test_ward_on_separated_blobs(spark):
     assert len(set(got.values())) == 3
 
 
-def test_ward_merge_matches_sse_bruteforce():
-    rnd = np.random.default_rng(5)
-    pts = rnd.normal(size=(7, 2))
-
-    def sse(groups):
-        return sum(((pts[list(g)] - pts[list(g)].mean(0)) ** 2).sum() for g in groups)
-    # greedy Ward: each merge is the pair with the smallest SSE increase
-    groups = [{i} for i in range(7)]
-    while len(groups) > 3:
-        best = min(((a, b) for a in range(len(groups)) for b in range(a + 1, len(groups))),
-                   key=lambda ab: sse([groups[ab[0]] | groups[ab[1]]]) - sse([groups[ab[0]], groups[ab[1]]]))
-        a, b = best
-        groups[a] |= groups[b]
-        del groups[b]
-    lab = _ward_merges(pts, np.ones(7), 3)
-    assert sorted(sorted(np.flatnonzero(lab == c).tolist()) for c in set(lab)) == sorted(sorted(g) for g in groups)
-
-
 # ------------------------------------------------------------- supervised
 
 def test_auc_and_cumsum_match_bruteforce(spark):
