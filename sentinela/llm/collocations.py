@@ -29,7 +29,8 @@ from sentinela.sinks.writers import checkpoint_parquet
 
 WIDEST, LEAST, PERCENT, FIRST = 5, 100, 100, 2000
 #: Entries of a container before it bursts; entries and words a task holds before it spills.
-BURST, HELD = 4096, 250_000
+BURST, HELD = 32_768, 250_000
+DIGIT_BITS = 12
 FILTER_BITS = 1 << 27
 HEADS = 1024
 BATCH_BYTES = 2 << 20
@@ -40,7 +41,7 @@ COUNTS = "lang string, phrase string, n bigint"
 
 
 class Node:
-    """A container (``held``: the rest of the ids, as bytes -> count) or, once burst, a trie node (``next``: id -> node)."""
+    """A container (``held``: the rest of the digits, as bytes -> count) or, once burst, a trie node (``next``: digit -> node)."""
     __slots__ = ("held", "next")
 
     def __init__(self):
@@ -51,70 +52,78 @@ class Node:
         return len(self.held) if self.next is None else sum(child.size() for child in self.next.values())
 
     def containers(self, path: tuple = ()) -> Iterator[tuple[tuple, dict]]:
-        """(ids that lead there, container) of all containers below."""
+        """(digits that lead there, container) of all containers below."""
         if self.next is None:
             yield path, self.held
         else:
-            for word, child in self.next.items():
-                yield from child.containers(path + (word,))
+            for digit, child in self.next.items():
+                yield from child.containers(path + (digit,))
 
 
 class HatTrie:
-    """Counts of sequences of ``length`` ids, language first."""
+    """Counts of sequences of ``length`` ids, language first. An id is two digits,
+    its block of 2^DIGIT_BITS ids and its place there: words are numbered as they
+    come, so frequent ones share the first blocks, whose containers burst, and
+    rare ones stay together in containers worth their room."""
 
     def __init__(self, length: int, burst: int = BURST):
-        self.root, self.entries, self._length, self._burst = Node(), 0, length, burst
+        self.root, self.entries, self._digits, self._burst = Node(), 0, 2 * length, burst
 
     def add(self, rows: np.ndarray, counts: np.ndarray) -> None:
         """Add distinct rows of ids, in lexicographic order, with their counts."""
         if len(rows):
-            self._add(self.root, np.ascontiguousarray(rows, dtype="<i4"), counts.tolist(), 0)
+            digits = np.empty((len(rows), self._digits), "<u2")
+            digits[:, ::2], digits[:, 1::2] = rows >> DIGIT_BITS, rows & (2**DIGIT_BITS - 1)
+            self._add(self.root, digits, counts.tolist(), 0)
 
-    def _add(self, node: Node, rows: np.ndarray, counts: list[int], depth: int) -> None:
+    def _add(self, node: Node, digits: np.ndarray, counts: list[int], depth: int) -> None:
         if node.next is not None:
-            first = rows[:, depth]
-            at = [0, *(np.flatnonzero(first[1:] != first[:-1]) + 1).tolist(), len(rows)]
-            for word, i, j in zip(first[at[:-1]].tolist(), at, at[1:]):
-                child = node.next.get(word)
+            first = digits[:, depth]
+            at = [0, *(np.flatnonzero(first[1:] != first[:-1]) + 1).tolist(), len(digits)]
+            for digit, i, j in zip(first[at[:-1]].tolist(), at, at[1:]):
+                child = node.next.get(digit)
                 if child is None:
-                    child = node.next[word] = Node()
-                self._add(child, rows[i:j], counts[i:j], depth + 1)
+                    child = node.next[digit] = Node()
+                self._add(child, digits[i:j], counts[i:j], depth + 1)
             return
-        held, before, width = node.held, len(node.held), 4 * (self._length - depth)
-        rest = rows[:, depth:].tobytes()
+        held, before, width = node.held, len(node.held), 2 * (self._digits - depth)
+        rest = digits[:, depth:].tobytes()
         for i, n in zip(range(0, len(rest), width), counts):
             key = rest[i:i + width]
             held[key] = held.get(key, 0) + n
         self.entries += len(held) - before
-        if len(held) > self._burst and depth + 1 < self._length:
-            self._burst_node(node, depth)
+        self._split(node, depth)
 
-    def _burst_node(self, node: Node, depth: int) -> None:
+    def _split(self, node: Node, depth: int) -> None:
+        if len(node.held) <= self._burst or depth + 1 >= self._digits:
+            return
         node.next = {}
         for key, n in node.held.items():
-            word = int.from_bytes(key[:4], "little")
-            child = node.next.get(word)
+            digit = int.from_bytes(key[:2], "little")
+            child = node.next.get(digit)
             if child is None:
-                child = node.next[word] = Node()
-            child.held[key[4:]] = n
+                child = node.next[digit] = Node()
+            child.held[key[2:]] = n
         node.held = None
         for child in node.next.values():
-            if len(child.held) > self._burst and depth + 2 < self._length:
-                self._burst_node(child, depth + 1)
+            self._split(child, depth + 1)
 
     def spill(self, most: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-        """Take out whole subtrees of a language and first word, largest first, until
-        ``most`` entries are left; rows of ids and counts of each container."""
+        """Take out whole subtrees of a language and first word (or block of words),
+        largest first, until ``most`` entries are left; rows of ids and counts of
+        each container."""
         tops = [((), None, self.root)]
-        for _ in range(2):
+        for _ in range(4):
             tops = [t for path, key, node in tops for t in (
-                [(path, key, node)] if node.next is None else [(path + (w,), (node, w), child) for w, child in node.next.items()])]
+                [(path, key, node)] if node.next is None else [(path + (d,), (node, d), child) for d, child in node.next.items()])]
         for path, key, node in sorted(tops, key=lambda t: -t[2].size()):
             if self.entries <= most:
                 return
             for way, held in node.containers(path):
-                rest = np.frombuffer(b"".join(held), "<i4").reshape(len(held), self._length - len(way))
-                yield np.hstack([np.tile(np.array(way, "<i4"), (len(held), 1)), rest]), np.fromiter(held.values(), np.int64, len(held))
+                digits = np.empty((len(held), self._digits), np.int32)
+                digits[:, :len(way)] = way
+                digits[:, len(way):] = np.frombuffer(b"".join(held), "<u2").reshape(len(held), -1)
+                yield digits[:, ::2] << DIGIT_BITS | digits[:, 1::2], np.fromiter(held.values(), np.int64, len(held))
                 self.entries -= len(held)
             if key is None:
                 self.root = Node()
