@@ -1,19 +1,12 @@
-"""Anomaly labels per group: 1-D DBSCAN (ANO2), isolation forest (ANO1),
-label union / intersection (ANO3), Cohen's kappa (ANO4), label summary (ANO5)."""
+"""Anomaly labels per group: 1-D DBSCAN (ANO2), label union / intersection
+(ANO3), Cohen's kappa (ANO4), label summary (ANO5); ``forest`` has ANO1."""
 
 from __future__ import annotations
 
-import math
-import zlib
-
-import numpy as np
-import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from sentinela.operators.ranges import in_ranges, previous, running_total
-from sentinela.operators.scaling import attach, quantile
 from sentinela.sinks.writers import checkpoint_parquet
 
 
@@ -50,7 +43,7 @@ def dbscan_1d(df: DataFrame, group: list[str], x: str, order: str, eps: float =
     nb = F.expr(f"sum(_m) OVER (PARTITION BY {part}, _tb ORDER BY _x "
                 f"RANGE BETWEEN {e!r}D PRECEDING AND {e!r}D FOLLOWING)")
     counted = halo(pts).withColumn("_n", nb).where(F.col("_tb") == F.col("_b"))
-    pts = counted.select(*g, "_x", "_m", "_first", "_b", (F.col("_n") >= min_samples).alias("_core"))
+    pts = checkpoint_parquet(counted.select(*g, "_x", "_m", "_first", "_b", (F.col("_n") >= min_samples).alias("_core")), "dbscan-points")
 
     core = pts.where("_core")
     cb = core.groupBy(*g, "_b").agg(F.min("_x").alias("_cmin"), F.max("_x").alias("_cmax"))
@@ -111,181 +104,3 @@ def outbreak_months(df: DataFrame, group: list[str], order: str, flag: str = "br
                     keep: list[str] = ()) -> DataFrame:
     """The flagged rows listed per group in time order (ANO5)."""
     return df.where(F.col(flag) == 1).select(*group, order, *keep).orderBy(*group, order)
-
-
-# ------------------------------------------------------- isolation forest
-
-
-def _c_factor(n: float) -> float:
-    """Average path length of an unsuccessful BST search over n points."""
-    if n <= 1:
-        return 0.0
-    if n == 2:
-        return 1.0
-    return 2.0 * (math.log(n - 1.0) + 0.5772156649015329) - 2.0 * (n - 1.0) / n
-
-
-def _build_tree(X: np.ndarray, rng: np.random.Generator, max_depth: int):
-    """Isolation tree as flat arrays: feature (-1 = leaf), threshold, left, right, size."""
-    feat, thr, left, right, size = [], [], [], [], []
-
-    def grow(idx: np.ndarray, depth: int) -> int:
-        node = len(feat)
-        feat.append(-1), thr.append(0.0), left.append(-1), right.append(-1), size.append(len(idx))
-        if depth >= max_depth or len(idx) <= 1:
-            return node
-        sub = X[idx]
-        lo, hi = sub.min(axis=0), sub.max(axis=0)
-        cand = np.flatnonzero(hi > lo)
-        if len(cand) == 0:
-            return node
-        f = int(rng.choice(cand))
-        t = float(rng.uniform(lo[f], hi[f]))
-        mask = sub[:, f] < t
-        feat[node], thr[node] = f, t
-        li = grow(idx[mask], depth + 1)
-        ri = grow(idx[~mask], depth + 1)
-        left[node], right[node] = li, ri
-        return node
-
-    grow(np.arange(len(X)), 0)
-    return feat, thr, left, right, size
-
-
-def _path_lengths(X: np.ndarray, tree) -> np.ndarray:
-    feat, thr, left, right, size = (np.asarray(a) for a in tree)
-    node = np.zeros(len(X), dtype=np.int64)
-    depth = np.zeros(len(X), dtype=np.float64)
-    active = feat[node] >= 0
-    while active.any():
-        ix = np.flatnonzero(active)
-        f = feat[node[ix]]
-        go_left = X[ix, f] < thr[node[ix]]
-        node[ix] = np.where(go_left, left[node[ix]], right[node[ix]])
-        depth[ix] += 1
-        active = feat[node] >= 0
-    leaf_size = size[node]
-    return depth + np.vectorize(_c_factor, otypes=[float])(leaf_size)
-
-
-TREE_SCHEMA = T.StructType([
-    T.StructField("_g", T.StringType()), T.StructField("tree", T.IntegerType()),
-    T.StructField("psi", T.IntegerType()),
-    T.StructField("feat", T.ArrayType(T.IntegerType())), T.StructField("thr", T.ArrayType(T.DoubleType())),
-    T.StructField("left", T.ArrayType(T.IntegerType())), T.StructField("right", T.ArrayType(T.IntegerType())),
-    T.StructField("size", T.ArrayType(T.IntegerType())),
-])
-
-
-def isolation_forest(df: DataFrame, group: list[str], features: list[str], row_id: str, n_trees: int = 100,
-                     max_samples: int = 256, contamination: float = 0.10, seed: int = 42,
-                     broadcast_trees_max_groups: int = 10_000) -> DataFrame:
-    """Isolation forest fitted and applied per group (ANO1).
-
-    1. Each row joins tree t of its group with probability p = min(1, 4 psi / n_g)
-       decided by a seeded hash, so a group of any size sends about 4 psi rows
-       per tree to training (never the whole group).
-    2. ``applyInPandas`` per (group, tree) keeps the psi rows with the smallest
-       hash and grows one tree (NumPy, <= psi rows: bounded memory).
-    3. Trees are gathered per group and attached to rows by a broadcast join
-       when the number of groups is bounded, else by a salted join that spreads
-       a hot group over many tasks; an Arrow-batched UDF averages path lengths.
-    4. score = -2^(-E[h]/c(psi)) (higher = more normal); the threshold is the
-       ``contamination`` quantile of the group's scores; if_score = score -
-       threshold, anomalia_if = if_score < 0. The quantile is exact (linear
-       interpolation, as NumPy) and distributed (``scaling.quantile``).
-    Features are used as given (standardise first, e.g. with ``standardize``).
-    """
-    gcol = F.to_json(F.struct(*group), {"ignoreNullFields": "false"})  # (NULL, a) and (a, NULL) are two groups
-    # fit, size check and scoring all read the input: persist it (it is the
-    # per-group feature table, typically an aggregate) so upstream work runs once
-    base = df.withColumn("_g", gcol).persist()
-    sizes = base.groupBy("_g").agg(F.count(F.lit(1)).alias("_n"))
-    base = attach(base, sizes, ["_g"])
-    psi = F.least(F.col("_n"), F.lit(max_samples))
-    p = F.least(F.lit(1.0), F.lit(4.0) * psi / F.col("_n"))
-    h = lambda t: (F.abs(F.xxhash64(F.lit(seed), t, F.col(row_id))) % 1_000_003) / F.lit(1_000_003.0)
-    trees_of_row = F.filter(F.sequence(F.lit(0), F.lit(n_trees - 1)), lambda t: h(t) < p)
-    train = (base.withColumn("_trees_of_row", trees_of_row)
-             .select("_g", "_n", F.col(row_id).alias("_rid"), *features, F.explode("_trees_of_row").alias("tree"))
-             .withColumn("_h", F.xxhash64(F.lit(seed + 1), F.col("tree"), F.col("_rid"))))
-
-    feats = list(features)
-
-    def fit(pdf: pd.DataFrame) -> pd.DataFrame:
-        n_g = int(pdf["_n"].iloc[0])
-        k = min(max_samples, n_g)
-        pdf = pdf.sort_values(["_h", "_rid"]).head(k)
-        X = pdf[feats].to_numpy(dtype=float)
-        tree_id = int(pdf["tree"].iloc[0])
-        rng = np.random.default_rng([seed, tree_id, zlib.crc32(str(pdf["_g"].iloc[0]).encode())])
-        f, t, lft, rgt, sz = _build_tree(X, rng, int(math.ceil(math.log2(max(k, 2)))))
-        return pd.DataFrame({"_g": [pdf["_g"].iloc[0]], "tree": [tree_id], "psi": [k], "feat": [f], "thr": [t],
-                             "left": [lft], "right": [rgt], "size": [sz]})
-
-    # Training rows are few but each (group, tree) fit is CPU work: an explicit
-    # hash repartition keeps AQE from coalescing them all into one task.
-    par = max(2, base.sparkSession.sparkContext.defaultParallelism * 2)
-    trees = train.repartition(par, "_g", "tree").groupBy("_g", "tree").applyInPandas(fit, TREE_SCHEMA)
-    forest = trees.groupBy("_g").agg(F.collect_list(F.struct("feat", "thr", "left", "right", "size")).alias("_trees"),
-                                     F.max("psi").alias("_psi"))
-
-    score_schema = T.StructType(base.schema.fields + [T.StructField("_s", T.DoubleType())])
-    spark = base.sparkSession
-
-    def score_batches(forests, it):
-        for pdf in it:
-            X = pdf[feats].to_numpy(dtype=float)
-            out = np.full(len(pdf), np.nan)
-            for gkey, idx in pdf.groupby("_g").indices.items():
-                fr = forests.get(gkey)
-                if fr is None:
-                    continue
-                psi_g, tlist = fr
-                depth = np.zeros(len(idx))
-                for tr in tlist:
-                    depth += _path_lengths(X[idx], tr)
-                out[idx] = -np.power(2.0, -(depth / len(tlist)) / _c_factor(float(psi_g)))
-            pdf["_s"] = out
-            yield pdf
-
-    fitted = forest.limit(broadcast_trees_max_groups + 1).collect()
-    if len(fitted) <= broadcast_trees_max_groups:
-        # bounded model: groups x trees x (<= 2 psi nodes); shipped once per executor
-        model = {r["_g"]: (r["_psi"], [(t["feat"], t["thr"], t["left"], t["right"], t["size"]) for t in r["_trees"]])
-                 for r in fitted}
-        bmodel = spark.sparkContext.broadcast(model)
-
-        # scalar Arrow UDF: only the group key and the features travel to
-        # Python; every other column stays in the JVM
-        @F.pandas_udf(T.DoubleType())
-        def score_udf(g: pd.Series, feats: pd.DataFrame) -> pd.Series:
-            pdf = feats.copy()
-            pdf["_g"] = g.to_numpy()
-            return next(score_batches(bmodel.value, iter([pdf])))["_s"]
-
-        scored = base.withColumn("_s", score_udf(F.col("_g"), F.struct(*[F.col(c) for c in feats])))
-    else:
-        # many groups: salt each group into ceil(n_g / chunk) pieces and cogroup with its trees
-        chunk = 200_000
-        nsalt = F.greatest(F.lit(1), F.ceil(F.col("_n") / F.lit(chunk))).cast("long")
-        rows_s = base.withColumn("_salt", F.abs(F.xxhash64(F.col(row_id))) % nsalt)
-        salts = sizes.select("_g", F.explode(F.sequence(F.lit(0).cast("long"),
-                                                        F.greatest(F.lit(1), F.ceil(F.col("_n") / F.lit(chunk))).cast("long") - 1)).alias("_salt"))
-        trees_s = forest.join(salts, "_g")
-
-        def score_group(rows: pd.DataFrame, tr: pd.DataFrame) -> pd.DataFrame:
-            if len(rows) == 0:
-                return rows.drop(columns=["_salt"]).assign(_s=[])
-            fr = {}
-            if len(tr):
-                r = tr.iloc[0]
-                fr[r["_g"]] = (r["_psi"], [(t["feat"], t["thr"], t["left"], t["right"], t["size"]) for t in r["_trees"]])
-            return next(score_batches(fr, iter([rows.drop(columns=["_salt"])])))
-
-        scored = rows_s.groupBy("_g", "_salt").cogroup(trees_s.groupBy("_g", "_salt")).applyInPandas(
-            score_group, score_schema)
-    scored = checkpoint_parquet(scored, "forest-scores")  # scored once, for the threshold and the result
-    thr = quantile(scored, "_s", contamination, ["_g"], "_thr")
-    out = attach(scored, thr, ["_g"]).withColumn("if_score", F.col("_s") - F.col("_thr"))
-    return out.withColumn("anomalia_if", F.col("if_score") < 0).drop("_g", "_n", "_s", "_thr")

@@ -5,19 +5,20 @@ of k centres."""
 
 from __future__ import annotations
 
-from concurrent.futures import ThreadPoolExecutor
+from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.feature import PCA, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from sentinela.operators.hierarchy import ward_labels, ward_merges
+from sentinela.operators.kmeans import as_array, assigned, kmeans_many
 from sentinela.operators.scaling import median_impute, standardize
+from sentinela.sinks.writers import checkpoint_parquet
 
 
 def preprocess(df: DataFrame, cols: list[str], log_cols: list[str] = (), out: str = "features") -> DataFrame:
@@ -35,28 +36,31 @@ def preprocess(df: DataFrame, cols: list[str], log_cols: list[str] = (), out: st
 def kmeans_best(df: DataFrame, k: int, features: str = "features", n_init: int = 30, max_iter: int = 1000,
                 seed: int = 42, order_by: str | None = None):
     """Best of ``n_init`` seeded K-Means restarts by cost (CLU2): all restarts
-    advance in the same pass over the data (``kmeans_multistart``), at any
+    advance in the same pass over the data (``kmeans.kmeans_many``), at any
     size. Cluster ids are renumbered by the mean of ``order_by`` (descending)
     when given, else by the first centroid coordinate. Returns (centres,
     predictions with ``cluster``, cost)."""
-    cen, pred, cost = kmeans_multistart(df, k, features, n_init, max_iter, seed=seed)
+    fit = kmeans_many(df, [k], features, n_init, max_iter, seed=seed)[0]
+    centers = _ordered(fit.centers)
+    pred = assigned(df, centers, features)
     if order_by:
         keyed = pred.groupBy("cluster").agg(F.avg(order_by).alias("_key"))
         remap = keyed.select(F.col("cluster").alias("_raw"),
                              (F.row_number().over(Window.orderBy(F.desc("_key"), "cluster")) - 1).alias("_c"))
         pred = pred.withColumnRenamed("cluster", "_raw").join(F.broadcast(remap), "_raw").drop("_raw") \
             .withColumnRenamed("_c", "cluster")  # k rows
-    return cen, pred, cost
+    return centers, pred, fit.cost
+
+
+def _ordered(centers: np.ndarray) -> np.ndarray:
+    return centers[np.lexsort(centers.T[::-1])]
 
 
 def elbow(df: DataFrame, ks: list[int], features: str = "features", seed: int = 42, n_init: int = 20,
           max_iter: int = 500) -> DataFrame:
-    """Inertia (cost of the best of ``n_init`` restarts) for each k (CLU3)."""
-    def fit(k: int):
-        return int(k), float(kmeans_multistart(df, k, features, n_init, max_iter, seed=seed)[2])
-
-    with ThreadPoolExecutor(max_workers=4) as pool:
-        rows = list(pool.map(fit, ks))
+    """Inertia (cost of the best of ``n_init`` restarts) for each k (CLU3); the
+    restarts of all k share their passes over the data."""
+    rows = [(f.k, f.cost) for f in kmeans_many(df, ks, features, n_init, max_iter, seed=seed)]
     return df.sparkSession.createDataFrame(rows, "k int, inercia double")
 
 
@@ -68,6 +72,54 @@ def silhouette(pred: DataFrame, features: str = "features", label: str = "cluste
     return float(ev.evaluate(pred.withColumn(label, F.col(label).cast("double"))))
 
 
+def silhouette_euclidean(pred: DataFrame, features: str = "features", label: str = "cluster", per_cluster: int = 512, seed: int = 42) -> tuple[float, float]:
+    """Mean Euclidean silhouette (CLU4) and its standard error.
+
+    A stratified estimate: ``per_cluster`` rows of each cluster, those of the lowest
+    seeded hashes, against all rows of every cluster. The sample is of a
+    fixed size and goes to every task, which adds up its rows' distances to each
+    cluster; no pair of rows leaves a task. With clusters of at most
+    ``per_cluster`` rows the value is exact and the error 0. Rows alone in their cluster count
+    0, rows without a label or vector take no part; one cluster has no silhouette (NaN)."""
+    spark = pred.sparkSession
+    rows = checkpoint_parquet(pred.select(F.col(label).alias("c"), as_array(pred, features).alias("v")).where("c IS NOT NULL AND v IS NOT NULL"), "silhouette-rows")
+    sizes = {r["c"]: r["n"] for r in rows.groupBy("c").agg(F.count(F.lit(1)).alias("n")).collect()}  # k rows
+    if len(sizes) < 2:
+        return float("nan"), float("nan")
+    names = sorted(sizes)
+    place = F.row_number().over(Window.partitionBy("c").orderBy(F.xxhash64(F.lit(seed), "v"), "v"))  # cut to per_cluster before the shuffle
+    sample = rows.withColumn("_place", place).where(F.col("_place") <= per_cluster).collect()
+    shared = spark.sparkContext.broadcast(np.array([r["v"] for r in sample]))
+    own = np.array([names.index(r["c"]) for r in sample])
+
+    def add_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        points, total = shared.value, np.zeros((len(shared.value), len(names)))
+        for batch in batches:
+            X, c = np.array(batch.column(1).to_pylist(), dtype=float), batch.column(0).to_pylist()
+            of = np.array([names.index(x) for x in c])
+            for i in range(0, len(X), 256):
+                gaps = np.sqrt(((points[:, None, :] - X[None, i:i + 256]) ** 2).sum(axis=2))
+                for k in range(len(names)):
+                    total[:, k] += gaps[:, of[i:i + 256] == k].sum(axis=1)
+        yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(points))), pa.array(list(total))], names=["i", "s"])
+
+    parts = rows.mapInArrow(add_up, "i bigint, s array<double>").groupBy("i").agg(F.array(*[F.sum(F.col("s")[k]) for k in range(len(names))]).alias("s")).collect()
+    total = np.array([r["s"] for r in sorted(parts, key=lambda r: r["i"])])
+    n = np.array([sizes[c] for c in names], dtype=float)
+    at = np.arange(len(own))
+    inside = total[at, own] / np.maximum(n[own] - 1, 1)
+    other = total / n
+    other[at, own] = np.inf
+    outside = other.min(axis=1)
+    width = np.maximum(inside, outside)
+    s = np.where((n[own] > 1) & (width > 0), (outside - inside) / np.where(width > 0, width, 1), 0.0)
+    taken = np.bincount(own)
+    means = np.array([s[own == k].mean() for k in range(len(names))])
+    spread = np.array([s[own == k].var(ddof=1) if taken[k] > 1 else 0.0 for k in range(len(names))])
+    share = n / n.sum()
+    return float((share * means).sum()), float(np.sqrt((share**2 * spread / taken * (1 - taken / n)).sum()))
+
+
 def pca_2d(df: DataFrame, features: str = "features", k: int = 2):
     """Principal components (CLU5). Input should be standardised (PCA's
     transform does not centre). Signs are fixed so that each component's
@@ -122,112 +174,12 @@ def label_comparison(a: DataFrame, b: DataFrame, key: str, la: str, lb: str) ->
 
 
 def best_k(df: DataFrame, ks: list[int], features: str = "features", n_init: int = 30, seed: int = 42) -> DataFrame:
-    """Silhouette (squared Euclidean) and inertia for each k; the row with the
-    best silhouette is flagged, first k on ties (CLU4, Q8)."""
+    """Euclidean silhouette with its standard error, and inertia, for each k; the
+    row with the best silhouette is flagged, first k on ties (CLU4, Q8)."""
     rows = []
-    for k in ks:
-        _, pred, cost = kmeans_best(df, k, features, n_init=n_init, seed=seed)
-        rows.append((int(k), silhouette(pred, features), float(cost)))
+    for fit in kmeans_many(df, ks, features, n_init, seed=seed):
+        value, error = silhouette_euclidean(assigned(df, _ordered(fit.centers), features), features, seed=seed)
+        rows.append((fit.k, value, error, fit.cost))
     best = max(rows, key=lambda r: (r[1], -r[0]))[0]
-    return df.sparkSession.createDataFrame([(k, s, c, k == best) for k, s, c in rows],
-                                           "k int, silhouette double, inercia double, mejor boolean")
-
-
-# ------------------------------------------------------------------------
-# Multi-start K-Means: all restarts advance in the same pass over the data.
-
-def _kmeanspp(points: np.ndarray, k: int, rng: np.random.Generator) -> np.ndarray:
-    """k-means++ seeding on a bounded candidate sample."""
-    centers = [points[rng.integers(len(points))]]
-    d2 = ((points - centers[0]) ** 2).sum(1)
-    for _ in range(1, k):
-        tot = d2.sum()
-        idx = rng.integers(len(points)) if tot <= 0 else rng.choice(len(points), p=d2 / tot)
-        centers.append(points[idx])
-        d2 = np.minimum(d2, ((points - points[idx]) ** 2).sum(1))
-    return np.array(centers)
-
-
-def kmeans_multistart(df: DataFrame, k: int, features: str = "features", n_init: int = 30, max_iter: int = 300,
-                      tol: float = 1e-4, seed: int = 42, sample_per_center: int = 20):
-    """Best of ``n_init`` K-Means restarts, run together (CLU2).
-
-    Seeding: the ``sample_per_center * k * n_init`` rows of the lowest seeded
-    hashes (bounded; all rows, if fewer) are collected and each restart is
-    seeded by k-means++ on them. Lloyd iterations: the n_init x k centres are broadcast;
-    ``mapInPandas`` assigns every row to its nearest centre for every
-    restart and emits per-partition sums; a ``groupBy`` merges them; the
-    driver updates the (bounded) centre table. One job per iteration serves
-    all restarts, so the data is scanned max_iter times at most, not
-    n_init x max_iter times. A restart stops when no centre moves more than
-    ``tol`` (squared shift). Returns (centres of the best restart,
-    predictions with ``cluster``, cost)."""
-    spark = df.sparkSession
-    data = df.select(vector_to_array(F.col(features)).alias("_v"), "*").persist()
-    draw = F.xxhash64(F.lit(seed), "_v")
-    sample = np.array([r["_v"] for r in data.select("_v").orderBy(draw, "_v").limit(sample_per_center * k * n_init).collect()], dtype=float)
-    rng = np.random.default_rng(seed)
-    centers = np.stack([_kmeanspp(sample, k, rng) for _ in range(n_init)])  # (R, k, d)
-    active = np.ones(n_init, dtype=bool)
-    schema = T.StructType([T.StructField("r", T.IntegerType()), T.StructField("c", T.IntegerType()),
-                           T.StructField("n", T.LongType()), T.StructField("s", T.ArrayType(T.DoubleType())),
-                           T.StructField("cost", T.DoubleType())])
-
-    def step(bc):
-        def fn(it):
-            cen = bc.value
-            R, K, _ = cen.shape
-            for pdf in it:
-                if len(pdf) == 0:
-                    continue
-                X = np.stack(pdf["_v"].to_numpy()).astype(float)
-                rows = []
-                for r in range(R):
-                    d2 = ((X[:, None, :] - cen[r][None, :, :]) ** 2).sum(-1)
-                    a = d2.argmin(1)
-                    best = d2[np.arange(len(X)), a]
-                    for c in range(K):
-                        m = a == c
-                        rows.append((r, c, int(m.sum()), X[m].sum(0).tolist(), float(best[m].sum())))
-                yield pd.DataFrame(rows, columns=["r", "c", "n", "s", "cost"])
-        return fn
-
-    costs = np.full(n_init, np.inf)
-    for _ in range(max_iter):
-        bc = spark.sparkContext.broadcast(centers)
-        parts = data.select("_v").mapInPandas(step(bc), schema)
-        dim = centers.shape[2]
-        agg = parts.groupBy("r", "c").agg(F.sum("n").alias("n"), F.sum("cost").alias("cost"),
-                                          F.array(*[F.sum(F.col("s")[i]) for i in range(dim)]).alias("s")).collect()
-        bc.unpersist()
-        new = centers.copy()
-        cost = np.zeros(n_init)
-        for row in agg:
-            r, c = row["r"], row["c"]
-            cost[r] += row["cost"]
-            if row["n"] > 0 and active[r]:
-                new[r, c] = np.asarray(row["s"], dtype=float) / row["n"]
-        costs = cost
-        shift = ((new - centers) ** 2).sum(-1).max(-1)
-        centers = new
-        active &= shift > tol
-        if not active.any():
-            break
-    best = int(np.argmin(costs))
-    final = centers[best]
-    bfinal = spark.sparkContext.broadcast(final)
-
-    def assign(it):
-        cen = bfinal.value
-        for pdf in it:
-            X = np.stack(pdf["_v"].to_numpy()).astype(float) if len(pdf) else np.zeros((0, cen.shape[1]))
-            lab = ((X[:, None, :] - cen[None, :, :]) ** 2).sum(-1).argmin(1) if len(pdf) else np.zeros(0, int)
-            yield pdf.drop(columns=["_v"]).assign(_raw=lab.astype("int32"))
-
-    out_schema = T.StructType([f for f in data.schema.fields if f.name != "_v"]
-                              + [T.StructField("_raw", T.IntegerType())])
-    pred = data.mapInPandas(assign, out_schema)
-    order = sorted(range(k), key=lambda i: (float(final[i][0]), i))
-    remap = spark.createDataFrame([(r, j) for j, r in enumerate(order)], "_raw int, cluster int")
-    pred = pred.join(F.broadcast(remap), "_raw").drop("_raw")
-    return final[order], pred, float(costs[best])
+    return df.sparkSession.createDataFrame([(k, s, e, c, k == best) for k, s, e, c in rows],
+                                           "k int, silhouette double, error double, inercia double, mejor boolean")

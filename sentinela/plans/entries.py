@@ -12,7 +12,8 @@ from pyspark.sql import functions as F
 
 from sentinela.functions.calendar import in_calendar_window
 from sentinela.operators import bulletin as B
-from sentinela.operators.anomaly import combine_labels, dbscan_1d, isolation_forest
+from sentinela.operators.anomaly import combine_labels, dbscan_1d
+from sentinela.operators.forest import isolation_forest
 from sentinela.operators.cluster import kmeans_best, preprocess
 from sentinela.operators.counts import case_counts
 from sentinela.operators.joins import exclude_values, top_per_group, unpivot_sides

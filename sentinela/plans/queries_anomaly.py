@@ -5,9 +5,11 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from sentinela.operators.anomaly import cohen_kappa, combine_labels, dbscan_1d, isolation_forest, label_summary
+from sentinela.operators.anomaly import cohen_kappa, combine_labels, dbscan_1d, label_summary
+from sentinela.operators.forest import forest_boxes, forest_sql, isolation_forest
 from sentinela.operators.scaling import standardize
 from sentinela.plans.registry import query
+from sentinela.sinks.writers import checkpoint_parquet
 from sentinela.sources.testdata import Tables
 
 EPS, MIN_SAMPLES = 1.2, 2
@@ -99,19 +101,43 @@ def label_distribution(spark, sf_dir):
 
 IF_FEATURES = ["n_eventos", "valor_total", "valor_medio", "usuarios"]
 
+FOREST_SQL = f"""WITH daily AS (
+SELECT event_type, CAST(ts AS DATE) AS dia, count(*) AS n_eventos, round_even(sum(value), 6) AS valor_total, (round_even(sum(value), 6)) / count(*) AS valor_medio,
+       count(DISTINCT user_id) AS usuarios FROM events GROUP BY 1, 2),
+{forest_sql("daily", "event_type", "dia", IF_FEATURES)}
+"""
 
-@query("isolation_forest")
-def isolation_forest_q(spark, sf_dir):
-    """Four daily features per event type, standardised per type, forest per type."""
+
+def daily_features(spark, sf_dir):
+    """Four daily features per event type."""
     ev = Tables(spark, sf_dir).events
-    daily = ev.groupBy("event_type", F.to_date("ts").alias("dia")).agg(
-        F.count(F.lit(1)).alias("n_eventos"), F.sum("value").alias("valor_total"),
-        F.avg("value").alias("valor_medio"), F.count_distinct("user_id").alias("usuarios"))
-    daily = daily.withColumn("_rid", F.xxhash64("event_type", "dia"))
-    z = standardize(daily, IF_FEATURES, ["event_type"])
-    zf = [c + "_z" for c in IF_FEATURES]
-    out = isolation_forest(z, ["event_type"], zf, "_rid", n_trees=100, max_samples=256, contamination=0.10, seed=42)
-    return out.select("event_type", "dia", *IF_FEATURES, "if_score", "anomalia_if")
+    return ev.groupBy("event_type", F.to_date("ts").alias("dia")).agg(
+        F.count(F.lit(1)).alias("n_eventos"), F.bround(F.sum("value"), 6).alias("valor_total"),
+        (F.bround(F.sum("value"), 6) / F.count(F.lit(1))).alias("valor_medio"), F.count_distinct("user_id").alias("usuarios"))
+
+
+@query("isolation_forest", FOREST_SQL + """,
+limits AS (SELECT g, quantile_cont(score, 0.10) AS threshold FROM scored GROUP BY g)
+SELECT event_type, dia, n_eventos, valor_total, valor_medio, usuarios, round_even(score - threshold, 9) AS if_score, score - threshold < 0 AS anomalia_if
+FROM daily JOIN scored ON g = event_type AND rid = CAST(dia AS VARCHAR) JOIN limits USING (g)
+""")
+def isolation_forest_q(spark, sf_dir):
+    """A forest per event type over the daily features (ANO1): boxes, scores,
+    threshold and flag."""
+    daily = checkpoint_parquet(daily_features(spark, sf_dir), "daily-features")
+    out = isolation_forest(daily, ["event_type"], IF_FEATURES, "dia", n_trees=100, max_samples=256, contamination=0.10, seed=42)
+    return out.withColumn("if_score", F.bround("if_score", 9))
+
+
+@query("forest_model", FOREST_SQL + """
+SELECT g AS event_type, CAST(tree AS INTEGER) AS tree, psi, depth, size, round_even(path, 9) AS path,
+       round_even(lo0, 6) AS lo_0, round_even(lo1, 6) AS lo_1, round_even(lo2, 6) AS lo_2, round_even(lo3, 6) AS lo_3,
+       round_even(hi0, 6) AS hi_0, round_even(hi1, 6) AS hi_1, round_even(hi2, 6) AS hi_2, round_even(hi3, 6) AS hi_3 FROM boxes
+""")
+def forest_model(spark, sf_dir):
+    """The boxes of that forest, one row a leaf."""
+    boxes = forest_boxes(daily_features(spark, sf_dir), ["event_type"], IF_FEATURES, "dia", n_trees=100, max_samples=256, seed=42)
+    return boxes.withColumns({c: F.bround(c, 9 if c == "path" else 6) for c in boxes.columns if c == "path" or c[:3] in ("lo_", "hi_")})
 
 
 @query("outbreak_join", LABELS_SQL + """,

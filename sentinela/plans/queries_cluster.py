@@ -11,8 +11,9 @@ from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import functions as F
 
 from sentinela.operators.cluster import (adjusted_rand, elbow, kmeans_best, pca_2d, preprocess, silhouette,
-                                         ward_clusters)
+                                         silhouette_euclidean, ward_clusters)
 from sentinela.operators.hierarchy import ward_merges
+from sentinela.operators.kmeans import lloyd_bounded
 from sentinela.operators.risk import country_risk
 from sentinela.operators.stats import trend_slope
 from sentinela.plans.registry import query
@@ -42,6 +43,48 @@ def kmeans_clusters(spark, sf_dir):
     return pred.select("vec_id", "label", "cluster")
 
 
+LLOYD_STEPS = 3
+
+
+def _lloyd_sql() -> str:
+    """The farthest-first start and LLOYD_STEPS steps, unrolled: ``fit`` has the centres, ``own`` the rows."""
+    ctes = ["v AS (SELECT vec_id, list_transform(embedding, lambda x: CAST(x AS DOUBLE)) AS e FROM embeddings WHERE vec_id IS NOT NULL AND len(embedding) > 0)",
+            "far0 AS (SELECT 0 AS j, e FROM v ORDER BY vec_id LIMIT 1)"]
+    for j in range(1, K):
+        so_far = " UNION ALL ".join(f"SELECT * FROM far{i}" for i in range(j))
+        ctes.append(f"far{j} AS (SELECT {j} AS j, e FROM (SELECT vec_id, v.e, min(list_distance(v.e, c.e)) AS d FROM v, ({so_far}) c GROUP BY ALL) ORDER BY d DESC, vec_id LIMIT 1)")
+    ctes.append("fit0 AS (" + " UNION ALL ".join(f"SELECT * FROM far{i}" for i in range(K)) + ")")
+    for t in range(LLOYD_STEPS + 1):
+        ctes.append(f"own{t} AS (SELECT vec_id, v.e, j, list_distance(v.e, c.e) AS d FROM v, fit{t} c QUALIFY row_number() OVER (PARTITION BY vec_id ORDER BY d, j) = 1)")
+        ctes.append(f"fit{t + 1} AS (SELECT j, coalesce(m.e, c.e) AS e FROM fit{t} c LEFT JOIN (SELECT j, list(x ORDER BY i) AS e FROM "
+                    f"(SELECT j, i, avg(e[i]) AS x FROM own{t}, range(1, 65) r(i) GROUP BY j, i) GROUP BY j) m USING (j))")
+    return "WITH " + ",\n".join(ctes)
+
+
+@query("kmeans_lloyd", _lloyd_sql() + f"""
+SELECT vec_id, CAST(j AS INTEGER) AS cluster, round_even(d, 6) AS distancia FROM own{LLOYD_STEPS}
+""")
+def kmeans_lloyd(spark, sf_dir):
+    """Each embedding's cluster after LLOYD_STEPS bounded Lloyd steps from the
+    farthest-first start (CLU2)."""
+    _, rows, _ = lloyd_bounded(Tables(spark, sf_dir).embeddings, K, "embedding", "vec_id", LLOYD_STEPS)
+    return rows.select(F.col("id").alias("vec_id"), "cluster", F.bround("distance", 6).alias("distancia"))
+
+
+@query("kmeans_lloyd_centres", _lloyd_sql() + f""",
+size AS (SELECT j, count(*) AS n, sum(d * d) AS inercia FROM own{LLOYD_STEPS} GROUP BY j)
+SELECT CAST(c.j AS INTEGER) AS cluster, CAST(i AS INTEGER) AS dim, round_even(e[i], 6) AS centro, coalesce(n, 0) AS n, round_even(coalesce(inercia, 0), 4) AS inercia
+FROM fit{LLOYD_STEPS} c LEFT JOIN size USING (j), range(1, 65) r(i)
+""")
+def kmeans_lloyd_centres(spark, sf_dir):
+    """Centres, sizes and inertia of that fit (CLU2, CLU3)."""
+    centers, rows, _ = lloyd_bounded(Tables(spark, sf_dir).embeddings, K, "embedding", "vec_id", LLOYD_STEPS)
+    own = rows.groupBy("cluster").agg(F.count(F.lit(1)).alias("n"), F.sum(F.col("distance") ** 2).alias("inercia"))
+    fit = spark.createDataFrame([(j, [float(x) for x in c]) for j, c in enumerate(centers)], "cluster int, c array<double>")  # K rows
+    return fit.join(own, "cluster", "left").select("cluster", F.posexplode("c").alias("dim", "centro"), F.coalesce("n", F.lit(0)).alias("n"), F.bround(F.coalesce("inercia", F.lit(0.0)), 4).alias("inercia")) \
+        .withColumns({"dim": F.col("dim") + 1, "centro": F.bround("centro", 6)})
+
+
 @query("elbow")
 def elbow_q(spark, sf_dir):
     return elbow(_embedding_features(spark, sf_dir), list(range(2, 11)))
@@ -55,6 +98,24 @@ def silhouette_q(spark, sf_dir):
     return spark.createDataFrame([(K, s, float(cost))], "k int, silhouette double, inercia double")
 
 
+@query("silhouette_lloyd", _lloyd_sql() + f""",
+n AS (SELECT j, count(*) AS n FROM own{LLOYD_STEPS} GROUP BY j),
+far AS (SELECT a.vec_id, a.j, b.j AS k, sum(list_distance(a.e, b.e)) AS s FROM own{LLOYD_STEPS} a, own{LLOYD_STEPS} b GROUP BY ALL),
+two AS (SELECT vec_id, any_value(m.n) AS own, max(CASE WHEN far.j = far.k THEN s / greatest(m.n - 1, 1) END) AS a, min(CASE WHEN far.j <> far.k THEN s / n.n END) AS b
+        FROM far JOIN n ON n.j = far.k JOIN n m ON m.j = far.j GROUP BY vec_id)
+SELECT {K} AS k, round_even(avg(CASE WHEN own > 1 AND greatest(a, b) > 0 THEN (b - a) / greatest(a, b) ELSE 0 END), 6) AS silhouette,
+       CAST(0 AS DOUBLE) AS error FROM two
+""")
+def silhouette_lloyd(spark, sf_dir):
+    """Euclidean silhouette of the bounded Lloyd labels and its standard error
+    (CLU4); exact, with error 0, where no cluster has more than 512 rows."""
+    e = Tables(spark, sf_dir).embeddings
+    _, rows, _ = lloyd_bounded(e, K, "embedding", "vec_id", LLOYD_STEPS)
+    pred = e.join(rows.withColumnRenamed("id", "vec_id"), "vec_id")
+    value, error = silhouette_euclidean(pred, "embedding")
+    return spark.createDataFrame([(K, value, error)], "k int, silhouette double, error double").withColumns({c: F.bround(c, 6) for c in ("silhouette", "error")})
+
+
 @query("pca_2d")
 def pca_2d_q(spark, sf_dir):
     scores, _, _ = pca_2d(_embedding_features(spark, sf_dir))

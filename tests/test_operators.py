@@ -8,8 +8,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from sentinela.operators import bulletin as B
-from sentinela.operators.anomaly import cohen_kappa, combine_labels, dbscan_1d, isolation_forest
+from sentinela.operators.anomaly import cohen_kappa, combine_labels, dbscan_1d
 from sentinela.operators.cluster import adjusted_rand, ward_clusters
+from sentinela.operators.forest import isolation_forest
 from sentinela.operators.joins import dedupe_first, grid_from_values
 from sentinela.operators.lagcorr import best_lag, pearson_pvalue
 from sentinela.operators.risk import seasonal_weights
