@@ -32,12 +32,24 @@ def draw(*parts: Column) -> Column:
     return (F.conv(F.substring(F.md5(text), 1, 13), 16, 10).cast("double") + 0.5) / F.lit(2.0**52)
 
 
+def _draw_sql(*parts: str) -> str:
+    """``draw`` as an expression string."""
+    text = ", ".join(f"coalesce(CAST({p} AS STRING), '')" for p in parts)
+    return f"((CAST(conv(substring(md5(concat_ws('|', {text})), 1, 13), 16, 10) AS DOUBLE) + 0.5D) / 4503599627370496D)"
+
+
 def mean_path(n: Column) -> Column:
     """Average path of an unsuccessful search among n points."""
     more = 2 * (F.log(n - 1.0) + EULER) - 2 * (n - 1.0) / n
     return F.when(n <= 1, 0.0).when(n == 2, 1.0).otherwise(more)
 
 
+def _joined(df: DataFrame, stats: DataFrame, group: list[str]) -> DataFrame:
+    """``df`` with a written table of its groups; null keys are a group."""
+    keys = _keys(group)
+    return df.join(stats.withColumnsRenamed(keys), [F.col(c).eqNullSafe(F.col(k)) for c, k in keys.items()], "left").drop(*keys.values())
+
+
 def _keys(group: list[str]) -> dict[str, str]:
     return {c: f"_key_{c}" for c in group}
 
@@ -54,7 +66,8 @@ def forest_boxes(df: DataFrame, group: list[str], features: list[str], row_id: s
     d = len(features)
     values = [F.coalesce(F.col(c).cast("double"), F.lit(0.0)).alias(f"_x{i}") for i, c in enumerate(features)]
     rows = df.select(*group, F.col(row_id).cast("string").alias("_rid"), *values)
-    known = attach(rows, rows.groupBy(*group).agg(F.count(F.lit(1)).alias("_n")), group)
+    sizes = checkpoint_parquet(rows.groupBy(*group).agg(F.count(F.lit(1)).alias("_n")), "forest-groups")
+    known = _joined(rows, sizes, group)
     psi = F.least(F.col("_n"), F.lit(max_samples))
     known = known.select("*", psi.alias("_psi"), F.least(F.lit(1.0), OVERSAMPLE * psi / F.col("_n")).alias("_share"),
                          draw(F.lit(seed), F.lit("row"), *[F.col(c) for c in group], F.col("_rid")).alias("_u"))
@@ -68,25 +81,25 @@ def forest_boxes(df: DataFrame, group: list[str], features: list[str], row_id: s
     now = offered.withColumn("_taken", first).where(F.col("_taken") <= F.col("_psi")).drop("_taken", "_place", "_rid")
     bounds = F.array(*[F.lit(None).cast("double")] * d)
     now = now.withColumns({"_node": F.lit(1).cast("bigint"), "_depth": F.lit(0), "_done": F.lit(False), "_lo": bounds, "_hi": bounds})
+    most = min(sizes.agg(F.max("_n")).first()[0] or 0, max_samples)  # one number: no more levels than the largest sample needs
+    every = lambda form: [form.format(i=i) for i in range(d)]
+    node = f"OVER (PARTITION BY {', '.join(f'`{c}`' for c in group)}, _tree, _node)"
+    varies = f"filter(array({', '.join(every('IF(_max{i} > _min{i}, {i}, NULL)'))}), i -> i IS NOT NULL)"
+    one = lambda kind: f"element_at(array({', '.join(every(f'_{kind}{{i}}'))}), _feature + 1)"
+    drawn = lambda what: _draw_sql(f"'{seed}'", f"'{what}'", *[f"`{c}`" for c in group], "_tree", "_node")
+    kept = [*[f"`{c}`" for c in group], "_tree", "_psi", *every("_x{i}")]
     level = 0
-    while 2**level < max(max_samples, 2):
-        node = Window.partitionBy(*group, "_tree", "_node")
-        seen = now.withColumns({"_size": F.count(F.lit(1)).over(node), **{f"_min{i}": F.min(f"_x{i}").over(node) for i in range(d)},
-                                **{f"_max{i}": F.max(f"_x{i}").over(node) for i in range(d)}})
-        varies = F.filter(F.array(*[F.when(F.col(f"_max{i}") > F.col(f"_min{i}"), F.lit(i)) for i in range(d)]), lambda i: i.isNotNull())
-        chance = lambda what: draw(F.lit(seed), F.lit(what), *[F.col(c) for c in group], F.col("_tree"), F.col("_node"))
-        seen = seen.withColumn("_varies", varies)
-        splits = ~F.col("_done") & (F.col("_size") > 1) & (F.size("_varies") > 0) & (F.greatest(F.col("_psi"), F.lit(2)) > 2**level)
-        seen = seen.withColumn("_feature", F.when(splits, F.element_at("_varies", (F.floor(chance("feature") * F.size("_varies")) + 1).cast("int"))))
-        one = lambda kind: F.element_at(F.array(*[F.col(f"_{kind}{i}") for i in range(d)]), F.col("_feature") + 1)
-        seen = seen.withColumn("_cut", one("min") + chance("cut") * (one("max") - one("min")))
-        seen = seen.withColumn("_right", one("x") >= F.col("_cut"))
-        cut, right, feature = F.col("_cut"), F.col("_right"), F.col("_feature")
-        moved = seen.withColumns({"_lo": F.transform("_lo", lambda v, i: F.when(right & (i == feature), cut).otherwise(v)),
-                                  "_hi": F.transform("_hi", lambda v, i: F.when(~right & (i == feature), cut).otherwise(v))})
-        now = moved.withColumns({"_node": F.when(feature.isNull(), F.col("_node")).otherwise(F.col("_node") * 2 + right.cast("int")),
-                                 "_depth": F.col("_depth") + F.when(feature.isNull(), 0).otherwise(1), "_done": feature.isNull()})
-        now = now.drop("_size", "_varies", "_feature", "_cut", "_right", *[f"_{k}{i}" for k in ("min", "max") for i in range(d)])
+    while 2**level < max(most, 2):
+        seen = now.selectExpr("*", f"count(1) {node} AS _size", *every(f"min(_x{{i}}) {node} AS _min{{i}}"), *every(f"max(_x{{i}}) {node} AS _max{{i}}"))
+        seen = seen.selectExpr("*", f"{varies} AS _varies")
+        splits = f"NOT _done AND _size > 1 AND size(_varies) > 0 AND greatest(_psi, 2) > {2**level}"
+        seen = seen.selectExpr("*", f"CASE WHEN {splits} THEN element_at(_varies, CAST(floor({drawn('feature')} * size(_varies)) AS INT) + 1) END AS _feature")
+        seen = seen.selectExpr("*", f"{one('min')} + {drawn('cut')} * ({one('max')} - {one('min')}) AS _cut")
+        seen = seen.selectExpr(*kept, "_node", "_depth", "_lo", "_hi", "_feature", "_cut", f"{one('x')} >= _cut AS _right")
+        now = seen.selectExpr(*kept, "CASE WHEN _feature IS NULL THEN _node ELSE _node * 2 + CAST(_right AS INT) END AS _node",
+                              "_depth + IF(_feature IS NULL, 0, 1) AS _depth", "_feature IS NULL AS _done",
+                              "transform(_lo, (v, i) -> IF(_right AND i = _feature, _cut, v)) AS _lo",
+                              "transform(_hi, (v, i) -> IF(NOT _right AND i = _feature, _cut, v)) AS _hi")
         level += 1
     leaves = now.groupBy(*group, "_tree", "_node").agg(F.max("_psi").alias("psi"), F.max("_depth").alias("depth"), F.count(F.lit(1)).alias("size"),
                                                        F.max("_lo").alias("_lo"), F.max("_hi").alias("_hi"))

@@ -3,7 +3,7 @@ AUC, and a weighted logistic-regression baseline."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -81,3 +81,25 @@ def logistic_baseline(df: DataFrame, features: list[str], label: str, weight: st
     lr = LogisticRegression(featuresCol="_features", labelCol=label, maxIter=max_iter,
                             **({"weightCol": weight} if weight else {}))
     return Pipeline(stages=[asm, lr]).fit(df.withColumn(label, F.col(label).cast("double")))
+
+
+FOLDS = 5
+
+
+def held_out(key: str, folds: int = FOLDS) -> Column:
+    """True for the rows of one fold, by the crc32 of their key: the same rows on every run and engine."""
+    return F.crc32(F.coalesce(F.col(key).cast("string"), F.lit(""))) % folds == 0
+
+
+def baseline_scores(df: DataFrame, features: list[str], label: str, key: str, folds: int = FOLDS, max_iter: int = 100) -> DataFrame:
+    """``df`` with ``held_out``, ``score`` and ``predicted`` (score >= 0.5) of a logistic
+    regression fitted on the other folds with balanced class weights (SUP1,
+    SUP3). Null features count as 0, rows without a label are scored only."""
+    rows = df.withColumn("held_out", held_out(key, folds)).fillna(0.0, subset=features)
+    train = with_weights(rows.where(~F.col("held_out") & F.col(label).isNotNull()), label)
+    fit = logistic_baseline(train, features, label, "peso", max_iter).stages[-1]
+    logit = F.lit(float(fit.intercept))
+    for c, w in zip(features, fit.coefficients):
+        logit = logit + F.lit(float(w)) * F.col(c)
+    out = rows.withColumn("score", 1 / (1 + F.exp(-logit)))
+    return out.select(*df.columns, "held_out", "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))

@@ -1,6 +1,6 @@
 """Registered queries: coverage and completeness, pivot max, rule violations,
-NULL counts, supervised metrics, partition replace (AGG9-10, AGG12, AGG20,
-DQ1-2, SUP1-2, SNK4)."""
+NULL counts, supervised metrics, partition replace, stored sketches (AGG9-10,
+AGG12, AGG20, DQ1-3, SUP1-3, SNK4)."""
 
 from __future__ import annotations
 
@@ -8,13 +8,14 @@ from pyspark.sql import functions as F
 
 from sentinela.operators.pivot import pivot_fill, slug
 from sentinela.operators.quality import violations
-from sentinela.operators.stats import distinct_coverage, null_counts
-from sentinela.operators.supervised import auc, binary_metrics, class_weights
+from sentinela.operators.stats import distinct_coverage, distinct_sketches, merged_distinct, null_counts
+from sentinela.operators.supervised import auc, baseline_scores, binary_metrics, class_weights
 from sentinela.plans.queries_counts import CASE_COUNTS_SQL, monthly_counts
 from sentinela.plans.queries_series import WEEKLY_SQL, weekly_bulletin
 from sentinela.plans.registry import query
-from sentinela.sinks.writers import replace_partitions
 from sentinela.session import scratch_path
+from sentinela.sinks.snapshots import RuleViolation, read_version, replace_version
+from sentinela.sinks.writers import checkpoint_parquet, replace_partitions
 from sentinela.sources.testdata import TABLES, Tables
 
 # The event types of the test stream (spell the oracle's pivot columns).
@@ -180,6 +181,76 @@ def replace_partition(spark, sf_dir):
     return spark.read.parquet(path)
 
 
+@query("replace_version", f"""
+SELECT *, CAST(year(anio_mes_dt) AS INTEGER) AS anio FROM ({CASE_COUNTS_SQL})
+""")
+def replace_version_q(spark, sf_dir):
+    """The same with versions (SNK4): a wrong year is committed, then replaced by
+    one commit; a replacement that breaks a rule is not committed."""
+    counts = monthly_counts(spark, sf_dir).withColumn("anio", F.year("anio_mes_dt"))
+    path = scratch_path(spark, "case_counts_versions")
+    year = F.col("anio") == REPLACED_YEAR
+    replace_version(counts.withColumn("total_registros", F.when(year, F.col("total_registros") + 1).otherwise(F.col("total_registros"))), path, ["anio"])
+    replace_version(counts.where(year), path, ["anio"])
+    try:
+        replace_version(counts.where(year), path, ["anio"], {"muy_pocos": F.col("total_registros") >= 0}, strict=True)
+    except RuleViolation:
+        pass  # the version before stays
+    return read_version(spark, path, ["anio"], counts.schema)
+
+
+@query("observed_rules", f"""
+WITH wk AS ({WEEKLY_SQL}),
+one AS (SELECT count(*) AS n_filas, count_if(NOT anio BETWEEN 1992 AND 2027) AS anio_fuera_rango, count_if(NOT semana BETWEEN 1 AND 53) AS semana_fuera_rango,
+               count_if(sexo NOT IN ('O', 'F')) AS sexo_invalido, count_if(casos_acumulado < 0) AS acumulado_negativo FROM wk)
+SELECT * FROM (UNPIVOT one ON n_filas, anio_fuera_rango, semana_fuera_rango, sexo_invalido, acumulado_negativo INTO NAME regla VALUE n)
+""")
+def observed_rules(spark, sf_dir):
+    """Rule counts of the weekly fact, taken while it is written (DQ1-3)."""
+    path = scratch_path(spark, "weekly-versions")
+    _, found = replace_version(weekly_bulletin(spark, sf_dir), path, ["anio"], _rules()["bulletin"])
+    return spark.createDataFrame([(k, int(n)) for k, n in found.items()], "regla string, n bigint")  # one row a rule
+
+
+#: Allowed error of a stored sketch: four standard errors.
+SKETCH_ERROR = 4 * 0.83 / 2**6
+
+
+@query("distinct_sketches", """
+SELECT CAST(year(o_orderdate) AS INTEGER) AS anio, count(DISTINCT o_custkey) AS n_clientes, true AS dentro_del_error FROM orders GROUP BY 1
+UNION ALL SELECT NULL, count(DISTINCT o_custkey), true FROM orders
+""")
+def distinct_sketches_q(spark, sf_dir):
+    """Distinct customers of every year and of all years: exact, and whether the
+    estimate from stored daily sketches is within its error (AGG9)."""
+    o = Tables(spark, sf_dir).orders
+    daily = checkpoint_parquet(distinct_sketches(o, ["o_orderdate"], "o_custkey"), "customer-sketches")
+    per_year = merged_distinct(daily.withColumn("anio", F.year("o_orderdate")), ["anio"])
+    estimates = per_year.unionByName(merged_distinct(daily).withColumn("anio", F.lit(None).cast("int")))
+    exact = o.groupBy(F.year("o_orderdate").alias("anio")).agg(F.count_distinct("o_custkey").alias("n_clientes"))
+    exact = exact.unionByName(o.agg(F.count_distinct("o_custkey").alias("n_clientes")).withColumn("anio", F.lit(None).cast("int")))
+    both = exact.join(estimates.withColumnRenamed("anio", "_anio"), F.col("anio").eqNullSafe(F.col("_anio")))
+    return both.select("anio", "n_clientes", (F.abs(F.col("n_estimado") - F.col("n_clientes")) <= SKETCH_ERROR * F.col("n_clientes")).alias("dentro_del_error"))
+
+
+BASELINE_FEATURES = ["n_chars", "n_words", "share_upper", "share_blank"]
+
+
+@query("baseline_classifier")
+def baseline_classifier(spark, sf_dir):
+    """Metrics of a fitted baseline on its held-out fold (SUP1-3): text statistics
+    against the quality label; confusion counts, F1 and exact AUC."""
+    t = Tables(spark, sf_dir)
+    text = F.coalesce("text", F.lit(""))
+    n = F.greatest(F.length(text), F.lit(1))
+    rows = t.labels.join(t.documents.select("doc_id", "text"), "doc_id").where(F.col("quality").isNotNull()).select(
+        "doc_id", "quality", F.length(text).cast("double").alias("n_chars"), F.size(F.split(text, r"\s+")).cast("double").alias("n_words"),
+        (F.length(F.regexp_replace(text, "[^A-Z]", "")) / n).alias("share_upper"), (F.length(F.regexp_replace(text, r"[^\s]", "")) / n).alias("share_blank"))
+    scored = checkpoint_parquet(baseline_scores(checkpoint_parquet(rows, "baseline-rows"), BASELINE_FEATURES, "quality", "doc_id"), "baseline-scores")
+    held = scored.where("held_out")
+    return binary_metrics(held, "quality", "predicted").crossJoin(F.broadcast(auc(held, "quality", "score")))  # one row each
+
+
 @query("weeks_with_data", f"""
 WITH wk AS ({WEEKLY_SQL})
 SELECT anio, semana, CAST(sum(casos_acumulado) AS BIGINT) AS total, sum(casos_acumulado) > 0 AS con_datos

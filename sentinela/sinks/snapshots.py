@@ -13,7 +13,7 @@ from __future__ import annotations
 import uuid
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 ENTRIES = "part string, folder string"
@@ -44,25 +44,44 @@ def _commit(path: str, version: int, entries: DataFrame) -> None:
     entries.coalesce(1).write.mode("error").parquet(f"{_manifests(path)}/version={version}")
 
 
-def replace_version(df: DataFrame, path: str, partition_by: list[str]) -> int:
+class RuleViolation(ValueError):
+    """Rows broke rules that must hold; nothing was committed."""
+
+    def __init__(self, counts: dict[str, int]):
+        super().__init__(f"rows that break rules: {counts}")
+        self.counts = counts
+
+
+def replace_version(df: DataFrame, path: str, partition_by: list[str], rules: dict[str, Column] | None = None,
+                    strict: bool = False) -> tuple[int, dict[str, int]]:
     """Replace the partitions present in ``df``, keep the others; returns the new
-    version. The first version makes the table. An empty ``df`` changes nothing but
-    the version. One writer at a time: of two that begin from the same version,
-    the second to commit fails. Partition values are numbers, dates or words that
-    need no escape in a folder name."""
+    version, and for each rule (an expression, true where violated) the rows that
+    break it, with ``n_filas`` for all rows.
+
+    Rules are counted by the job that writes (DQ1-3): ``df`` is read once. With
+    ``strict`` a broken rule raises RuleViolation before the commit, so that the
+    table stays as it was. The first version makes the table; an empty ``df``
+    changes nothing but the version. One writer at a time: of two that begin from
+    the same version, the second to commit fails. Partition values are numbers,
+    dates or words that need no escape in a folder name."""
     spark, root = df.sparkSession, path.rstrip("/")
     before = versions(spark, root)
     version = before[-1] + 1 if before else 0
     folder = f"data/{version}-{uuid.uuid4().hex[:12]}"
-    df.write.mode("error").partitionBy(*partition_by).parquet(f"{root}/{folder}")
+    seen = Observation()
+    counts = [F.count_if(F.coalesce(broken, F.lit(False))).alias(name) for name, broken in (rules or {}).items()]
+    df.observe(seen, F.count(F.lit(1)).alias("n_filas"), *counts).write.mode("error").partitionBy(*partition_by).parquet(f"{root}/{folder}")
+    found = dict(seen.get)
+    if strict and any(n for name, n in found.items() if name != "n_filas"):
+        raise RuleViolation({name: n for name, n in found.items() if name != "n_filas" and n})
     part = F.concat_ws("/", *[F.concat(F.lit(f"{c}="), F.coalesce(F.col(c).cast("string"), F.lit("__HIVE_DEFAULT_PARTITION__"))) for c in partition_by])
     written = spark.read.schema(df.schema).parquet(f"{root}/{folder}")
-    new = written.select(part.alias("part"), F.lit(folder).alias("folder")).distinct()  # one row a partition
+    new = written.select(part.alias("part"), F.lit(folder).alias("folder")).distinct()  # folder names: no row is read
     if before:
         old = _entries(spark, root).where(F.col("version") == before[-1]).drop("version")
         new = old.join(new.select("part"), "part", "left_anti").unionByName(new)
     _commit(root, version, new)
-    return version
+    return version, found
 
 
 def read_version(spark: SparkSession, path: str, partition_by: list[str], schema, version: int | None = None) -> DataFrame:
