@@ -18,6 +18,7 @@ _MODULES = [
     "sentinela.plans.queries_bulletin",
     "sentinela.plans.queries_streaming",
     "sentinela.plans.queries_files",
+    "sentinela.plans.queries_country",
 ]
 
 for _m in _MODULES:

@@ -13,23 +13,33 @@ from pyspark.sql import functions as F
 from sentinela.functions.calendar import in_calendar_window
 from sentinela.operators import bulletin as B
 from sentinela.operators.anomaly import combine_labels, dbscan_1d
-from sentinela.operators.forest import isolation_forest
 from sentinela.operators.cluster import kmeans_best, preprocess
 from sentinela.operators.counts import case_counts
-from sentinela.operators.joins import exclude_values, top_per_group, unpivot_sides
+from sentinela.operators.forest import isolation_forest
+from sentinela.operators.joins import exclude_values, join_via_alias, top_per_group, unpivot_sides
 from sentinela.operators.lagcorr import best_lag
 from sentinela.operators.pivot import pivot_metrics
+from sentinela.operators.quality import assert_unique
 from sentinela.operators.risk import country_risk
 from sentinela.operators.scaling import median_impute, standardize
 from sentinela.operators.stats import coverage_stats, distinct_coverage, incidence_stats, trend_slope
 from sentinela.sinks.writers import checkpoint_parquet
 
+# Column names of the processed tables, as in their dictionary.
 IF_FEATURES = ["casos_confirmados", "casos_sospechosos", "tasa_confirmacion", "total_registros"]
 TARGET_COLUMNS = ["anio_mes", "anio_mes_dt", "ENTIDAD_RES", "sede", "casos_confirmados", "casos_sospechosos",
                   "casos_descartados", "total_registros", "vacunados", "con_complicaciones", "tasa_confirmacion",
                   "anomalia_if", "if_score", "anomalia_db", "db_label", "brote", "brote_estricto"]
 
 
+# Columns of the country table, those filled with medians, those clustered.
+COUNTRY_COLUMNS = ["Country", "Country_who", "ciudad_sede", "partidos_en_mexico", "asistencia_promedio", "partidos_historicos", "clasificado_2026",
+                   "total_cases", "avg_monthly_cases", "months_with_cases", "mcv1_mean", "mcv1_min", "mcv1_tendencia", "cluster", "score_riesgo_norm"]
+IMPUTED = ["total_cases", "avg_monthly_cases", "months_with_cases", "peak_month", "mcv1_mean", "mcv1_min",
+           "mcv1_std", "mcv1_tendencia", "asistencia_promedio", "partidos_historicos", "partidos_en_mexico"]
+CLUSTER_FEATURES = ["total_cases", "months_with_cases", "mcv1_mean", "mcv1_min", "mcv1_tendencia"]
+
+
 # --------------------------------------------------------------- entry A.1
 
 def case_labels(linelist: DataFrame, hosts: DataFrame, eps: float = 1.2, min_samples: int = 2,
@@ -41,7 +51,8 @@ def case_labels(linelist: DataFrame, hosts: DataFrame, eps: float = 1.2, min_sam
     ll = linelist.join(F.broadcast(hosts), "ENTIDAD_RES")  # hosts: a few literal rows
     counts = case_counts(ll.withColumnRenamed("sede", "_sede"), "ENTIDAD_RES", "anio_mes_dt", "DIAGNOSTICO",
                          "VACUNACION", "COMPLICACIONES", entity_label=F.col("_sede"))
-    counts = counts.withColumn("_rid", F.xxhash64("ENTIDAD_RES", "anio_mes_dt")).persist()  # scanned once
+    counts = counts.withColumn("_rid", F.xxhash64("ENTIDAD_RES", "anio_mes_dt"))
+    counts = checkpoint_parquet(counts, "case-counts")  # scanned once
     z = standardize(counts, IF_FEATURES, ["ENTIDAD_RES"])
     forest = isolation_forest(z, ["ENTIDAD_RES"], [c + "_z" for c in IF_FEATURES], "_rid", n_trees=n_trees,
                               contamination=contamination, seed=seed)
@@ -62,58 +73,59 @@ def team_matches(fixtures: DataFrame, placeholders: list[str]) -> tuple[DataFram
     return per_city, main.select("Country", F.col("ciudad").alias("ciudad_sede")).join(totals, "Country")
 
 
-def country_risk_table(measles: DataFrame, vax: DataFrame, attendance: DataFrame, history: DataFrame,
-                       fixtures: DataFrame, alias: DataFrame, placeholders: list[str], k: int = 4,
-                       n_init: int = 30, compat: bool = True) -> DataFrame:
-    """Country feature table, K-Means cluster and 0-10 risk score (FTR1-4).
+def country_features(measles: DataFrame, vax: DataFrame, attendance: DataFrame, history: DataFrame, fixtures: DataFrame, alias: DataFrame,
+                     placeholders, case_years: tuple[int, int] = (2018, 2024), vaccine_years: tuple[int, int] = (2018, 2023),
+                     compat: bool = False) -> DataFrame:
+    """One row per team of ``alias`` (Country, Country_who): matches, attendance,
+    history, cases, coverage, gaps filled with the column's median, and the
+    0-10 risk score (FTR1-4, JN2, CLN9, RSK1-2).
 
-    ``compat=True`` filters attendance and history on team names but joins
-    them on surveillance names, as the reference does (Q2); ``False`` maps
-    both sides through the alias table."""
+    Attendance and history may use either name of a country: both are mapped through
+    the alias table. ``compat=True`` filters them on team names and joins them
+    on surveillance names, as the reference does (Q2). The alias table must
+    hold a team once; every other side is grouped on the key it is joined by, so no join fans out."""
     teams = alias.select("Country", "Country_who")
+    assert_unique(teams, ["Country"])  # S5
     _, city = team_matches(fixtures, placeholders)
-    att_long = unpivot_sides(attendance.select("Home", "Away", "Attendance"), ["Attendance"], ["Home", "Away"],
-                             "lado", "Country")
-    hist_long = unpivot_sides(history.select("home_team", "away_team"), [], ["home_team", "away_team"],
-                              "lado", "Country")
+    att_long = unpivot_sides(attendance.select("Home", "Away", "Attendance"), ["Attendance"], ["Home", "Away"], "lado", "Country")
+    hist_long = unpivot_sides(history.select("home_team", "away_team"), [], ["home_team", "away_team"], "lado", "Country")
+
+    def by_who(long: DataFrame) -> DataFrame:
+        if compat:
+            return long.join(teams.select("Country"), "Country", "left_semi").withColumnRenamed("Country", "Country_who")
+        return join_via_alias(long, teams, "Country", "Country_who")
+
     # AGG7 mean per group; AGG6 count per group
-    att = att_long.groupBy("Country").agg(F.avg("Attendance").alias("asistencia_promedio"))
-    hist = hist_long.groupBy("Country").agg(F.count(F.lit(1)).cast("int").alias("partidos_historicos"))
-    if compat:
-        att = att.join(teams.select("Country"), "Country", "left_semi").withColumnRenamed("Country", "Country_who")
-        hist = hist.join(teams.select("Country"), "Country", "left_semi").withColumnRenamed("Country", "Country_who")
-    else:
-        att = att.join(teams, "Country").drop("Country")
-        hist = hist.join(teams, "Country").drop("Country")
+    att = by_who(att_long).groupBy("Country_who").agg(F.avg("Attendance").alias("asistencia_promedio"))
+    hist = by_who(hist_long).groupBy("Country_who").agg(F.count(F.lit(1)).cast("int").alias("partidos_historicos"))
     # FLT3 inclusive ranges on plain columns (pushed to the scan)
-    meas = incidence_stats(measles.where(F.col("Year").between(2018, 2024)), ["Country"], "measles_total")
-    meas = meas.withColumnRenamed("Country", "Country_who")
-    v = vax.where(F.col("Year").between(2018, 2023))
-    vstats = coverage_stats(v, ["Country"], "mcv1", "mcv1").join(
-        trend_slope(v, ["Country"], "mcv1", "Year", out="mcv1_tendencia"), "Country", "left")
+    meas = incidence_stats(measles.where(F.col("Year").between(*case_years)), ["Country"], "measles_total").withColumnRenamed("Country", "Country_who")
+    v = vax.where(F.col("Year").between(*vaccine_years))
+    vstats = coverage_stats(v, ["Country"], "mcv1", "mcv1").join(trend_slope(v, ["Country"], "mcv1", "Year", out="mcv1_tendencia"), "Country", "left")
     vstats = vstats.withColumnRenamed("Country", "Country_who")
-    base = teams.withColumn("clasificado_2026", F.lit(1))
-    t = (base.join(city, "Country", "left").join(att, "Country_who", "left").join(hist, "Country_who", "left")
+    t = (teams.withColumn("clasificado_2026", F.lit(1)).join(city, "Country", "left").join(att, "Country_who", "left").join(hist, "Country_who", "left")
          .join(meas, "Country_who", "left").join(vstats, "Country_who", "left"))
-    fill = ["total_cases", "avg_monthly_cases", "months_with_cases", "peak_month", "mcv1_mean", "mcv1_min",
-            "mcv1_std", "mcv1_tendencia", "asistencia_promedio", "partidos_historicos", "partidos_en_mexico"]
-    t = median_impute(t.withColumns({c: F.col(c).cast("double") for c in fill}), fill)
-    t = t.withColumns({"partidos_historicos": F.col("partidos_historicos").cast("int"),
-                       "partidos_en_mexico": F.col("partidos_en_mexico").cast("int")})
-    feats = ["total_cases", "months_with_cases", "mcv1_mean", "mcv1_min", "mcv1_tendencia"]
-    x = preprocess(t.select("Country", *[F.col(c).alias(f"_f_{c}") for c in feats]), [f"_f_{c}" for c in feats],
+    # written once: the medians and the result read it
+    t = checkpoint_parquet(t.withColumns({c: F.col(c).cast("double") for c in IMPUTED}), "country-features")
+    t = median_impute(t, IMPUTED).withColumns({c: F.col(c).cast("int") for c in ("partidos_historicos", "partidos_en_mexico")})
+    return country_risk(t, "total_cases", "mcv1_mean").select(*[c for c in COUNTRY_COLUMNS if c != "cluster"])
+
+
+def country_risk_table(measles: DataFrame, vax: DataFrame, attendance: DataFrame, history: DataFrame,
+                       fixtures: DataFrame, alias: DataFrame, placeholders, k: int = 4,
+                       n_init: int = 30, compat: bool = False) -> DataFrame:
+    """``country_features`` with a K-Means cluster, numbered from the highest mean
+    risk score down (FTR4, CLU1-2)."""
+    t = checkpoint_parquet(country_features(measles, vax, attendance, history, fixtures, alias, placeholders, compat=compat), "country-table")
+    x = preprocess(t.select("Country", "score_riesgo_norm", *[F.col(c).alias(f"_f_{c}") for c in CLUSTER_FEATURES]), [f"_f_{c}" for c in CLUSTER_FEATURES],
                    log_cols=["_f_total_cases", "_f_months_with_cases"])
-    _, pred, _ = kmeans_best(x.select("Country", "features"), k, n_init=n_init, seed=42)
-    t = t.join(pred.select("Country", "cluster"), "Country", "left")
-    scored = country_risk(t, "total_cases", "mcv1_mean")
-    return scored.select("Country", "Country_who", "ciudad_sede", "partidos_en_mexico", "asistencia_promedio",
-                         "partidos_historicos", "clasificado_2026", "total_cases", "avg_monthly_cases",
-                         "months_with_cases", "mcv1_mean", "mcv1_min", "mcv1_tendencia", "cluster",
-                         "score_riesgo_norm")
+    _, pred, _ = kmeans_best(x.select("Country", "score_riesgo_norm", "features"), k, n_init=n_init, seed=42, order_by="score_riesgo_norm")
+    return t.join(pred.select("Country", "cluster"), "Country", "left").select(*COUNTRY_COLUMNS)
 
 
 # --------------------------------------------------------------- entry A.3
 
+# The metrics spread over the host columns.
 PANEL_METRICS = ["casos_confirmados", "casos_sospechosos", "total_registros", "tasa_confirmacion", "brote",
                  "brote_estricto"]
 
@@ -131,7 +143,9 @@ def monthly_panel(target: DataFrame, risk: DataFrame, series: list[DataFrame], p
     on the long (sede, fecha) form, partitioned by sede. Its result has one
     row per sede (bounded) and names the lag columns. The lag columns shift
     over the panel's month rows, one row per month (bounded by the calendar)."""
-    target = target.persist()  # read by the sede list, the pivot and the lag search
+    for table in (passengers, flights, *series):
+        assert_unique(table, ["fecha"])  # S5: a repeated month would fan out
+    target = checkpoint_parquet(target, "panel-target")  # read by the sede list, the pivot and the lag search
     sedes = sorted(r["sede"] for r in target.select("sede").distinct().collect())
     wide = pivot_metrics(target.withColumnRenamed("anio_mes_dt", "fecha"), ["fecha"], "sede", PANEL_METRICS, sedes,
                          name=lambda m, v: f"{m}_{v}")
