@@ -52,7 +52,6 @@ class Encoder:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
         self._library = Tokenizer.from_file(path)
-        self._library.encode_special_tokens = True  # such strings in a text are ordinary text
         self._break, = self._library.encode("\n", add_special_tokens=False).ids
         self._forget()
 
