@@ -158,6 +158,25 @@ def test_shards_are_near_equal_and_keep_equal_texts(spark):
     assert len(where[texts[1]]) == 1 and max(len(w) for t, w in where.items() if t != texts[0]) == 1
 
 
+def test_only_a_text_beyond_a_shard_is_spread(spark):
+    """Groups of copies of many sizes, some far over a range, one over a shard's share."""
+    rng = random.Random(5)
+    texts = [words(rng, rng.randint(1, 40)) for _ in range(1500)]
+    groups = {i: n for i, n in enumerate([700, 60, 45, 30, 30, 20, 12, 12, 9, 7, 5, 4, 3, 2, 2])}
+    texts += [texts[i] for i, n in groups.items() for _ in range(n)]
+    rows = sharding.shard(documents(spark, texts).repartition(5)).collect()
+    check_shards(rows, 24)
+    load, where, own = Counter(), defaultdict(set), Counter()
+    for r in rows:
+        load[r["shard"]] += r["size"]
+        own[texts[r["doc_id"]]] += r["size"]
+        where[texts[r["doc_id"]]].add(r["shard"])
+    share = sum(load.values()) / 24
+    assert own[texts[0]] > share and any(share / 32 * 1.5 < own[texts[i]] < share for i in list(groups)[1:])
+    assert {t for t, w in where.items() if len(w) > 1} <= {t for t, n in own.items() if n > share}
+    assert max(load.values()) < 1.05 * min(load.values())
+
+
 def test_sharding_awkward(spark):
     docs = awkward(spark)
     rows = sharding.shard(docs).collect()
