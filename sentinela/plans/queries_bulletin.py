@@ -19,8 +19,11 @@ from pyspark.sql import functions as F
 from sentinela.operators.bulletin import OUTPUT_COLUMNS, extract
 from sentinela.operators.joins import bounded_distinct
 from sentinela.plans.registry import query
-from sentinela.sources.literal import disease_config
+from sentinela.session import scratch_path
+from sentinela.sinks.writers import checkpoint_parquet
+from sentinela.sources.literal import DISEASES, disease_config
 from sentinela.sources.testdata import Tables
+from sentinela.streaming.bulletins import read_table, run_available
 
 NNBSP = "\u202f"
 
@@ -118,3 +121,42 @@ def block_parse(spark, sf_dir):
     pages = bulletin_pages_from_tables(spark, sf_dir)
     states = bounded_distinct(Tables(spark, sf_dir).nation, "n_name", 10_000)
     return extract(pages, disease_config(spark), states).select(*OUTPUT_COLUMNS)
+
+
+def _streamed(spark, sf_dir, name):
+    """The bulletins land in two runs, one of them twice; one of the tables the runs wrote."""
+    pages = checkpoint_parquet(bulletin_pages_from_tables(spark, sf_dir), "landed-pages")
+    states = bounded_distinct(Tables(spark, sf_dir).nation, "n_name", 10_000)
+    root = scratch_path(spark, "bulletin-stream")
+    early = F.regexp_extract("file", r"_sem(\d+)", 1).cast("int") < 13
+    for landed in (pages.where(early), pages):  # the second folder of files repeats the first bulletins
+        landed.coalesce(1).write.mode("append").parquet(f"{root}/landing")
+        run_available(spark, f"{root}/landing", f"{root}/out", disease_config(spark), states)
+    return read_table(spark, f"{root}/out", name)
+
+
+@query("stream_bulletins", BLOCK_SQL)
+def stream_bulletins(spark, sf_dir):
+    """The raw rows of the incremental runs: those of one run over all pages (SRC8, EXT1-6)."""
+    return _streamed(spark, sf_dir, "rows").select(*OUTPUT_COLUMNS)
+
+
+_CONFIG_SQL = ", ".join(f"('{name}', {str(optional).lower()})" for name, _, _, _, optional in DISEASES)
+
+
+@query("stream_missing", f"""
+SELECT 'boletin_' || replace(r_name, ' ', '_') || '_sem' || CAST(r_regionkey + 10 AS VARCHAR) || '.pdf' AS file, enfermedad, optional
+FROM region, (VALUES {_CONFIG_SQL}) d(enfermedad, optional) WHERE enfermedad NOT IN ('Varicela', 'Escarlatina')
+""")
+def stream_missing(spark, sf_dir):
+    """Configured diseases that a bulletin has no row of (EXT7)."""
+    return _streamed(spark, sf_dir, "missing").select("file", "enfermedad", "optional")
+
+
+@query("stream_quarantine", """
+SELECT 'boletin_' || replace(r_name, ' ', '_') || '_sem' || CAST(r_regionkey + 10 AS VARCHAR) || '.pdf' AS file, 1 AS page, unnest(['Varicela', 'Escarlatina']) AS enfermedad
+FROM region WHERE r_regionkey % 2 = 1
+""")
+def stream_quarantine(spark, sf_dir):
+    """Pages that match a disease and give no row: the cover pages (EXT8)."""
+    return _streamed(spark, sf_dir, "quarantine").select("file", "page", "enfermedad")

@@ -196,7 +196,7 @@ def replace_version_q(spark, sf_dir):
         replace_version(counts.where(year), path, ["anio"], {"muy_pocos": F.col("total_registros") >= 0}, strict=True)
     except RuleViolation:
         pass  # the version before stays
-    return read_version(spark, path, ["anio"], counts.schema)
+    return read_version(spark, path, counts.schema)
 
 
 @query("observed_rules", f"""

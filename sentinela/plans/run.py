@@ -2,11 +2,15 @@
 
     python -m sentinela.plans.run make-data --raw RAW_DIR --out OUT_DIR
     python -m sentinela.plans.run bulletin --pages PAGES_PATH --out OUT_DIR
+    python -m sentinela.plans.run bulletin-stream --pages LANDING_DIR --out OUT_DIR
+    python -m sentinela.plans.run replace-year --pages PAGES_PATH --out OUT_DIR --year YEAR
 
 ``make-data`` reads the raw surveillance files and writes the three
 processed tables (entity x month labels, country risk, monthly panel) as
 Parquet and CSV. ``bulletin`` turns decoded bulletin pages into the weekly
-fact table. Paths may be on any Hadoop-compatible file system; on a cluster
+fact table. ``bulletin-stream`` reads the pages that have landed since its last run
+into raw rows, missing diseases and quarantined pages. ``replace-year`` extracts
+one year anew, corrects its new cases and commits it to the versioned fact table. Paths may be on any Hadoop-compatible file system; on a cluster
 ``spark.checkpoint.dir`` must name a shared folder.
 """
 
@@ -19,9 +23,11 @@ from pyspark.sql import functions as F
 
 from sentinela.operators.risk import seasonal_split, seasonal_weights
 from sentinela.plans import entries as P
+from sentinela.sinks.snapshots import replace_version
 from sentinela.sinks.writers import save_table
 from sentinela.sources import literal as L
 from sentinela.sources import surveillance as S
+from sentinela.streaming.bulletins import run_available
 
 # Raw file names of the surveillance inputs (spreadsheets are
 # expected as CSV exports with the same stem).
@@ -95,6 +101,21 @@ def bulletin(spark: SparkSession, pages_path: str, out: str, fmt: str = "parquet
             "boletin_fact": save_table(fact, "boletin_fact", out, partition_by=["anio"])}
 
 
+#: What a year must fulfil to be committed.
+FACT_RULES = {"semana_fuera_rango": "NOT semana BETWEEN 1 AND 53", "acumulado_negativo": "casos_acumulado < 0", "sexo_invalido": "sexo NOT IN ('H', 'M')"}
+
+
+def replace_year(spark: SparkSession, pages_path: str, out: str, year: int, fmt: str = "parquet") -> tuple[int, dict[str, int]]:
+    """Extract a year's pages again, correct its new cases and replace it in the
+    versioned fact table by one commit (SNK4, TRF6, DQ1): (version, rule counts).
+    A year that breaks a rule is not committed."""
+    pages = S.read_bulletin_pages(spark, pages_path, fmt)
+    _, fact = P.bulletin_etl(pages, L.disease_config(spark), L.ENTITIES)
+    corrected = P.correction_pass(fact.where(F.col("anio") == year))
+    return replace_version(corrected, f"{out.rstrip('/')}/boletin_fact_versions", ["anio"],
+                           {name: F.expr(rule) for name, rule in FACT_RULES.items()}, strict=True)
+
+
 def main(argv: list[str] | None = None) -> None:
     from sentinela.session import get_session
 
@@ -107,8 +128,21 @@ def main(argv: list[str] | None = None) -> None:
     b.add_argument("--pages", required=True)
     b.add_argument("--out", required=True)
     b.add_argument("--format", default="parquet", choices=["parquet", "json"])
+    for name in ("bulletin-stream", "replace-year"):
+        c = sub.add_parser(name)
+        c.add_argument("--pages", required=True)
+        c.add_argument("--out", required=True)
+        if name == "replace-year":
+            c.add_argument("--year", required=True, type=int)
+            c.add_argument("--format", default="parquet", choices=["parquet", "json"])
     args = ap.parse_args(argv)
     spark = get_session()
+    if args.cmd == "bulletin-stream":
+        run_available(spark, args.pages, args.out, L.disease_config(spark), L.ENTITIES)
+        return
+    if args.cmd == "replace-year":
+        print(*replace_year(spark, args.pages, args.out, args.year, args.format))
+        return
     res = make_data(spark, args.raw, args.out) if args.cmd == "make-data" else bulletin(
         spark, args.pages, args.out, args.format)
     for name, paths in res.items():

@@ -84,14 +84,16 @@ def replace_version(df: DataFrame, path: str, partition_by: list[str], rules: di
     return version, found
 
 
-def read_version(spark: SparkSession, path: str, partition_by: list[str], schema, version: int | None = None) -> DataFrame:
-    """The table as of a version, by default the newest. ``schema`` is that of the
-    table; partition columns are read from their folders' names."""
+def read_version(spark: SparkSession, path: str, schema=None, version: int | None = None) -> DataFrame:
+    """The table as of a version, by default the newest; partition columns are read
+    from their folders' names. Without a ``schema`` it is that of the files."""
     root, known = path.rstrip("/"), versions(spark, path)
     if not known:
         raise FileNotFoundError(f"no version of a table at {path}")
     version = known[-1] if version is None else version
     entries = [(r["part"], r["folder"]) for r in _entries(spark, root).where(F.col("version") == version).collect()]  # one row a partition
+    if schema is None:
+        schema = spark.read.parquet(f"{root}/{max(f for _, f in entries)}").schema
     out = spark.createDataFrame([], schema)
     for folder in sorted({f for _, f in entries}):
         own = spark.read.schema(schema).option("basePath", f"{root}/{folder}").parquet(*[f"{root}/{folder}/{p}" for p, f in entries if f == folder])

@@ -19,16 +19,16 @@ def test_versions_replace_and_read(spark, tmp_dir):
     first = spark.createDataFrame([(2020, "a", 1), (2020, "b", 2), (2021, "a", 3), (None, "z", 9)], "anio int, k string, n int")
     assert versions(spark, path) == []
     with pytest.raises(FileNotFoundError):
-        read_version(spark, path, ["anio"], first.schema)
+        read_version(spark, path, first.schema)
     assert replace_version(first, path, ["anio"]) == (0, {"n_filas": 4})
-    assert rows_of(read_version(spark, path, ["anio"], first.schema)) == rows_of(first)
+    assert rows_of(read_version(spark, path, first.schema)) == rows_of(first)
     redo = spark.createDataFrame([(2020, "c", 7), (2022, "d", 8)], "anio int, k string, n int")
     assert replace_version(redo, path, ["anio"])[0] == 1
     now = [(2020, "c", 7), (2021, "a", 3), (2022, "d", 8), (None, "z", 9)]
-    assert rows_of(read_version(spark, path, ["anio"], first.schema)) == sorted(now, key=str)
-    assert rows_of(read_version(spark, path, ["anio"], first.schema, version=0)) == rows_of(first)  # the old one is undisturbed
+    assert rows_of(read_version(spark, path, first.schema)) == sorted(now, key=str)
+    assert rows_of(read_version(spark, path, first.schema, version=0)) == rows_of(first)  # the old one is undisturbed
     assert replace_version(first.where("false"), path, ["anio"])[0] == 2
-    assert rows_of(read_version(spark, path, ["anio"], first.schema)) == sorted(now, key=str)
+    assert rows_of(read_version(spark, path, first.schema)) == sorted(now, key=str)
 
 
 def test_a_write_that_fails_leaves_the_old_table(spark, tmp_dir):
@@ -38,7 +38,7 @@ def test_a_write_that_fails_leaves_the_old_table(spark, tmp_dir):
     broken = spark.range(100).select(F.lit(2020).alias("anio"), F.when(F.col("id") < 99, F.col("id")).otherwise(F.raise_error(F.lit("mid-write"))).cast("int").alias("n")).repartition(5)
     with pytest.raises(Exception, match="mid-write"):
         replace_version(broken, path, ["anio"])
-    assert versions(spark, path) == [0] and rows_of(read_version(spark, path, ["anio"], first.schema)) == rows_of(first)
+    assert versions(spark, path) == [0] and rows_of(read_version(spark, path, first.schema)) == rows_of(first)
     assert replace_version(first.where("anio = 2020").withColumn("n", F.lit(5)), path, ["anio"])[0] == 1
 
 
@@ -50,7 +50,7 @@ def test_rules_are_counted_by_the_write(spark, tmp_dir):
     with pytest.raises(RuleViolation) as e:
         replace_version(df.withColumn("n", F.lit(-1)), path, ["anio"], rules, strict=True)
     assert e.value.counts == {"negativo": 3}
-    assert versions(spark, path) == [0] and rows_of(read_version(spark, path, ["anio"], df.schema)) == rows_of(df)
+    assert versions(spark, path) == [0] and rows_of(read_version(spark, path, df.schema)) == rows_of(df)
     assert replace_version(df.where("n > 0"), path, ["anio"], rules, strict=True)[0] == 1
 
 
