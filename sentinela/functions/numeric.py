@@ -33,11 +33,6 @@ def tcast(c: str | Column, to: str) -> Column:
     return x.try_cast(to)
 
 
-def safe_number(c: str | Column, to: str = "double") -> Column:
-    """Coerce-to-null cast (CLN1): bad text becomes NULL, never an error."""
-    return tcast(F.trim(_col(c).cast("string")), to) if to != "string" else _col(c).cast("string")
-
-
 def sentinel_date(c: str | Column, fmt: str = "yyyy-MM-dd") -> Column:
     """Date parse where sentinels and impossible dates become NULL (CLN2)."""
     s = F.trim(_col(c).cast("string"))

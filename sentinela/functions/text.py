@@ -56,10 +56,6 @@ def nonblank_lines(c: str | Column) -> Column:
     return F.filter(F.transform(F.split(_col(c), "\n"), lambda x: py_strip(x)), lambda x: x != F.lit(""))
 
 
-def whitespace_tokens(c: str | Column) -> Column:
-    return F.split(F.trim(_col(c)), r"\s+")
-
-
 def longest_first_alternation(names: list[str]) -> str:
     """Anchored regex alternation over a catalogue, longest names first so that
     'Baja California Sur' wins over 'Baja California' (JN8)."""

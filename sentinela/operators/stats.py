@@ -97,14 +97,6 @@ def distinct_coverage(df: DataFrame, group: list[str], item: str, required: int
     return out
 
 
-def calendar_mean(df: DataFrame, date: str, value: str, months: list[int], years: tuple[int, int],
-                  group: list[str] | None = None) -> DataFrame:
-    """Mean over a calendar subset: month in ``months`` and year between ``years`` (AGG16)."""
-    d = F.col(date)
-    f = df.filter(F.month(d).isin(months) & F.year(d).between(*years))
-    return f.groupBy(*(group or [])).agg(F.avg(value).alias("media"))
-
-
 # Twelve bits: a sketch of at most 4 KB, relative standard error about 0.83 / sqrt(2^12) = 1.3 %.
 SKETCH_BITS = 12
 

@@ -25,10 +25,6 @@ LOCAL_CONF = {
     "spark.driver.memory": "16g",
 }
 
-# Broadcast threshold used by ``sentinela.operators.joins.checked_broadcast``;
-# a side is broadcast only when its estimated size is known to be below it.
-DEFAULT_BROADCAST_BYTES = 64 * 1024 * 1024
-
 
 def get_session(master: str | None = None, app: str = "sentinela", **conf: str) -> SparkSession:
     """Return the active session, or build one (local[*] unless told otherwise)."""
