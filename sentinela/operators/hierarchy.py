@@ -1,17 +1,20 @@
 """Ward hierarchy by reciprocal nearest neighbours (CLU6).
 
-The state is a table of clusters (id, weight, centroid, nearest cluster and its
-cost); the cost of a merge is the rise of the within-cluster sum of squares. Each
-round finds the nearest cluster of those that have lost theirs, merges all pairs
-that are each other's nearest and appends them to the merge table. A merge never
-comes nearer to a third cluster than both its parts were, so the rounds make the
-hierarchy of one merge at a time, and a cluster keeps its nearest one until that
-is merged.
-
-Clusters are searched in blocks: a block is one row with the centroids and their
-bounding box, a pair of blocks is compared unless their boxes are too far apart
-for any better neighbour. When one block holds all clusters, its task makes the
-remaining merges by the same rule. Nothing but counts reaches the driver.
+The state is a table of clusters (id, weight, centroid); the cost of a merge is
+the rise of the within-cluster sum of squares. A merge never comes nearer to a
+third cluster than the nearer of its parts was, so any merges of clusters that
+are each other's nearest make the hierarchy of one merge at a time.
+
+Each round deals the clusters into blocks of near ones (a tree of median cuts,
+fitted on a bounded sample; it decides the speed, not the result). All pairs of
+blocks are compared, unless their boxes are too far apart for any better
+neighbour, which gives each cluster its nearest one outside its block. Each block
+then merges inside as long as pairs are cheaper than what its clusters have
+outside, and pairs across blocks that are each other's nearest are merged by a
+join. When one block holds all clusters, nothing is outside and its task makes
+the remaining merges by the same rule. Costs come from matrix products; those
+that could be the least within the rounding are computed again from differences.
+Nothing but counts and the sample reaches the driver.
 """
 
 from __future__ import annotations
@@ -20,160 +23,293 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute  # noqa: F401  (pa.compute)
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from sentinela.sinks.writers import checkpoint_parquet
 
-#: Clusters of a block.
-BLOCK = 1024
+#: Most clusters of a block; clusters that the cuts into blocks are fitted on.
+BLOCK, SAMPLE = 8192, 4096
+#: Costs in one step of a comparison.
+_STEP = 1 << 19
 
-CLUSTERS = "id bigint, w double, c array<double>, near bigint, cost double"
-_FOUND = "id bigint, near bigint, cost double"
-_BLOCKS = ("block bigint, ids array<bigint>, ws array<double>, cs array<double>, open array<boolean>, costs array<double>, "
-           "low array<double>, high array<double>, least double, most double, bound double")
+_PACKS = "part int, first bigint, n bigint, ids binary, ws binary, cs binary"
+_BLOCKS = "block bigint, ids binary, ws binary, cs binary, ats binary, costs binary, low array<double>, high array<double>, least double, bound double"
+_FOUND = "block bigint, nears binary, costs binary"
+_AFTER = "merge boolean, id bigint, w double, c array<double>, near bigint, cost double"
 MERGES = "left bigint, right bigint, height double, size bigint"
 
 
 def merge_cost(wa: np.ndarray, ca: np.ndarray, wb: np.ndarray, cb: np.ndarray) -> np.ndarray:
-    """Costs of merging clusters of a with clusters of b, the same both ways to the last bit."""
-    out = np.empty((len(wa), len(wb)))
-    step = max(1, (1 << 22) // max(cb.size, 1))
+    """Costs of merging each cluster of a with that of b beside it, the same both ways to the last bit."""
+    out, step = np.empty(len(wa)), max(1, _STEP // max(ca.shape[1], 1))
     for i in range(0, len(wa), step):
-        square = ((ca[i:i + step, None, :] - cb[None, :, :]) ** 2).sum(axis=2)
-        out[i:i + step] = (wa[i:i + step, None] * wb) / (wa[i:i + step, None] + wb) * square
+        at = slice(i, i + step)
+        out[at] = (wa[at] * wb[at]) / (wa[at] + wb[at]) * ((ca[at] - cb[at]) ** 2).sum(axis=1)
     return out
 
 
-def _nearest(cost: np.ndarray, ids: np.ndarray, others: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """For each row of ``cost`` the least (cost, smaller id, larger id): place and cost."""
-    best = cost.min(axis=1)
-    low = np.where(cost == best[:, None], np.minimum(ids[:, None], others), np.iinfo(np.int64).max)
-    same = low == low.min(axis=1)[:, None]
-    high = np.where(same, np.maximum(ids[:, None], others), np.iinfo(np.int64).max)
-    return high.argmin(axis=1), best
-
-
-def _block(rows: list) -> tuple:
-    """A block as one row; clusters without a nearest one get the best of the block first."""
-    ids, near = np.array([r[0] for r in rows], np.int64), [r[3] for r in rows]
-    ws, cs = np.array([r[1] for r in rows]), np.array([r[2] for r in rows], dtype=float)
-    is_open = np.array([n is None for n in near])
-    costs = np.full(len(rows), np.inf)
-    if is_open.any() and len(rows) > 1:
-        cost = merge_cost(ws[is_open], cs[is_open], ws, cs)
-        cost[np.arange(len(cost)), np.flatnonzero(is_open)] = np.inf
-        costs[is_open] = cost.min(axis=1)
-    bound = float(costs[is_open].max()) if is_open.any() else -1.0
-    return ids, ws, cs, is_open, costs, bound
-
-
-def _blocks(size: int):
-    """Rows of (id, w, c, near) in any order -> one row per ``size`` of them."""
+class _Best:
+    """The least (cost, smaller id, larger id) seen so far of each of ``ids``."""
+
+    def __init__(self, ids: np.ndarray):
+        self.ids, self.cost, self.near = ids, np.full(len(ids), np.inf), np.full(len(ids), -1, np.int64)
+        self.at = np.full(len(ids), -1, np.int64)
+
+    def take(self, i: np.ndarray, others: np.ndarray, at: np.ndarray, cost: np.ndarray) -> None:
+        key = lambda a, b: (np.maximum(a, b), np.minimum(a, b))
+        order = np.lexsort((*key(self.ids[i], others), cost, i))
+        order = order[np.r_[True, i[order][1:] != i[order][:-1]]] if len(order) else order
+        i, others, at, cost = i[order], others[order], at[order], cost[order]
+        (high, low), (old_high, old_low) = key(self.ids[i], others), key(self.ids[i], self.near[i])
+        better = (cost < self.cost[i]) | ((cost == self.cost[i]) & (self.at[i] >= 0) & ((low < old_low) | ((low == old_low) & (high < old_high))))
+        i = i[better]
+        self.cost[i], self.near[i], self.at[i] = cost[better], others[better], at[better]
+
+
+def _compare(a: tuple, b: tuple, rows: _Best | None, columns: _Best | None, own: np.ndarray | None = None) -> None:
+    """All clusters (ids, w, c) of a with all of b: the best ones of a into
+    ``rows``, of b into ``columns``. ``own``: the place in b of each of a."""
+    (ids, w, c), (others, v, e) = a, b
+    if not len(ids) or not len(others):
+        return
+    with np.errstate(all="ignore"):
+        mid = e.mean(axis=0)
+        x, y = c - mid, e - mid
+        xx, yy = (x * x).sum(axis=1), (y * y).sum(axis=1)
+        left, right = np.column_stack([-2 * x, xx, np.ones(len(x))]), np.column_stack([y, np.ones(len(y)), yy]).T.copy()
+        hair = 16 * (c.shape[1] + 8) * np.finfo(float).eps  # more than the products' rounding
+        slack, slack_b = hair * (xx + yy.max()) * np.minimum(w, v.max()), hair * (yy + xx.max()) * np.minimum(v, w.max())
+        alike = w.min() == w.max() and v.min() == v.max()
+        part, part_b = 1 / w, 1 / v
+        least_b = np.full(len(others), np.inf)
+        step = max(1, _STEP // len(others))
+        for i in range(0, len(ids), step):
+            cost = left[i:i + step] @ right
+            if alike:
+                cost *= 1 / (part[0] + part_b[0])
+            else:
+                cost /= part[i:i + step, None] + part_b
+            if own is not None:
+                cost[np.arange(len(cost)), own[i:i + step]] = np.inf
+            for best, side in ((rows, 0), (columns, 1)):
+                if best is None:
+                    continue
+                if side == 0:
+                    most = cost.min(axis=1) + slack[i:i + step]
+                    maybe = ~(cost > most[:, None])
+                else:
+                    least_b = np.minimum(least_b, cost.min(axis=0))
+                    maybe = ~(cost > least_b + slack_b)
+                p, q = np.nonzero(maybe)
+                p += i
+                if own is not None:
+                    p, q = p[own[p] != q], q[own[p] != q]
+                for k in range(0, len(p), _STEP):
+                    r, s = p[k:k + _STEP], q[k:k + _STEP]
+                    exact = merge_cost(w[r], c[r], v[s], e[s])
+                    best.take(*((r, others[s], s, exact) if side == 0 else (s, ids[r], r, exact)))
+
+
+def agglomerate(ids: np.ndarray, w: np.ndarray, c: np.ndarray, out: np.ndarray, start: tuple | None = None) -> tuple:
+    """Merges of a block's clusters (ids ascending) that are each other's nearest
+    and cheaper than ``out``, a bound of each cluster's cost with any other
+    outside; ``start``: place and cost of the nearest in the block, where known.
+    Gives the clusters left, which of them are new, their nearest in the block
+    and its cost, and the merges."""
+    w, c, out = w.copy(), c.copy(), out * (1 - 1e-12)
+    at, cost = (x.copy() for x in start) if start else (np.full(len(ids), -1), np.full(len(ids), np.inf))
+    new = np.zeros(len(ids), bool)
+    merges = []
+    while len(ids) > 1:
+        lost = np.flatnonzero(at < 0)
+        best = _Best(ids[lost])
+        _compare((ids[lost], w[lost], c[lost]), (ids, w, c), best, None, own=lost)
+        at[lost], cost[lost] = best.at, best.cost
+        a = np.flatnonzero((at >= 0) & (at[at] == np.arange(len(ids))) & (np.arange(len(ids)) < at) & (cost < np.minimum(out, out[at])))
+        if not len(a):
+            break
+        b = at[a]
+        total = w[a] + w[b]
+        merges.append((ids[a], ids[b], np.sqrt(2 * cost[a]), np.rint(total).astype(np.int64)))
+        c[a], w[a], out[a], new[a] = (c[a] * w[a, None] + c[b] * w[b, None]) / total[:, None], total, np.minimum(out[a], out[b]), True
+        gone = np.zeros(len(ids), bool)
+        gone[a], gone[b] = True, True
+        keep = np.ones(len(ids), bool)
+        keep[b] = False
+        place = np.cumsum(keep) - 1
+        at = np.where((at < 0) | gone[at] | gone, -1, place[at])[keep]
+        ids, w, c, out, new, cost = ids[keep], w[keep], c[keep], out[keep], new[keep], cost[keep]
+    near = np.where(at >= 0, ids[at], -1)
+    return ids, w, c, new, near, np.where(at >= 0, cost, np.inf), merges
+
+
+def _cuts(sample: np.ndarray, depth: int) -> list:
+    """A tree of median cuts along the widest direction: (direction, cut) a node, level by level."""
+    scale = np.abs(sample).max() or 1.0
+    nodes, groups, rng = [], [sample / scale], np.random.default_rng(0)
+    start = rng.normal(size=sample.shape[1])
+    for _ in range(depth):
+        parts = []
+        for g in groups:
+            v = start
+            if len(g) > 1:
+                x = g - g.mean(axis=0)
+                for _ in range(12):
+                    u = x.T @ (x @ v)
+                    v = u / np.linalg.norm(u) if np.linalg.norm(u) > 0 else v
+            t = g @ v
+            m = float(np.median(t)) if len(g) else 0.0
+            nodes.append((v / scale, m))
+            parts += [g[t < m], g[t >= m]]
+        groups = parts
+    return nodes
+
+
+def _leaves(c: np.ndarray, nodes: list, depth: int) -> np.ndarray:
+    leaf, first = np.zeros(len(c), np.int64), 0
+    for level in range(depth):
+        here = nodes[first:first + (1 << level)]
+        right = (c * np.array([v for v, _ in here])[leaf]).sum(axis=1) >= np.array([m for _, m in here])[leaf]
+        leaf, first = 2 * leaf + right, first + (1 << level)
+    return leaf
+
+
+def _packed(nodes: list, depth: int, most: int):
+    """Rows of (id, w, c) -> rows of at most ``most`` clusters of one leaf."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, done = [], 0
-
-        def out(rows):
-            nonlocal done
-            ids, ws, cs, is_open, costs, bound = _block(rows)
-            from pyspark import TaskContext
-            number = TaskContext.get().partitionId() * (1 << 32) + done
-            done += 1
-            columns = [[number], [ids], [ws], [cs.ravel()], [is_open], [costs], [cs.min(axis=0)], [cs.max(axis=0)], [float(ws.min())], [float(ws.max())], [bound]]
-            types = [pa.int64(), pa.list_(pa.int64()), *[pa.list_(pa.float64())] * 2, pa.list_(pa.bool_()), *[pa.list_(pa.float64())] * 3, *[pa.float64()] * 3]
-            names = [part.split()[0] for part in _BLOCKS.split(", ")]
-            return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], names=names)
-
         for batch in batches:
-            held += zip(*[column.to_pylist() for column in batch.columns])
-            while len(held) >= size:
-                yield out(held[:size])
-                held = held[size:]
-        if held:
-            yield out(held)
+            ids, w = (batch.column(i).to_numpy(zero_copy_only=False) for i in (0, 1))
+            if not len(ids):
+                continue
+            c = batch.column(2).flatten().to_numpy(zero_copy_only=False).reshape(len(ids), -1)
+            leaf = _leaves(c, nodes, depth)
+            for part in np.unique(leaf):
+                at = np.flatnonzero(leaf == part)
+                for i in range(0, len(at), most):
+                    some = at[i:i + most]
+                    columns = [[int(part)], [int(ids[some[0]])], [len(some)], [ids[some].tobytes()], [w[some].tobytes()], [c[some].tobytes()]]
+                    types = [pa.int32(), pa.int64(), pa.int64(), *[pa.binary()] * 3]
+                    yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(columns, types)], names=[x.split()[0] for x in _PACKS.split(", ")])
 
     return run
 
 
-def _search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows of two blocks, the second maybe the same: the nearest cluster in the
-    second of every open cluster of the first."""
-    for batch in batches:
-        for row in batch.to_pylist():
-            q, o = row["q"], row["o"]
-            is_open = np.array(q["open"])
-            ids, others = np.array(q["ids"])[is_open], np.array(o["ids"])
-            cost = merge_cost(np.array(q["ws"])[is_open], np.array(q["cs"]).reshape(len(is_open), -1)[is_open], np.array(o["ws"]), np.array(o["cs"]).reshape(len(others), -1))
-            cost[ids[:, None] == others] = np.inf
-            place, best = _nearest(cost, ids, others)
-            ok = np.isfinite(best)
-            yield pa.RecordBatch.from_arrays([pa.array(ids[ok]), pa.array(others[place][ok]), pa.array(best[ok])], names=["id", "near", "cost"])
-
-
-def _finish(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The remaining merges of the clusters of one block, cheapest first."""
-    for batch in batches:
-        for row in batch.to_pylist():
-            ids, w = np.array(row["ids"]), np.array(row["ws"])
-            c = np.array(row["cs"]).reshape(len(ids), -1)
-            cost = merge_cost(w, c, w, c)
-            np.fill_diagonal(cost, np.inf)
-            alive = np.ones(len(ids), dtype=bool)
-            best, near = cost.min(axis=1), cost.argmin(axis=1)
-            merges = []
-            for _ in range(len(ids) - 1):
-                least = best[alive].min()
-                at = min((min(ids[i], ids[near[i]]), max(ids[i], ids[near[i]]), i) for i in np.flatnonzero(alive & (best == least)))[2]
-                a, b = sorted((at, near[at]), key=lambda i: ids[i])
-                total = w[a] + w[b]
-                merges.append((int(ids[a]), int(ids[b]), float(np.sqrt(2 * least)), int(round(total))))
-                c[a], w[a] = (c[a] * w[a] + c[b] * w[b]) / total, total
-                alive[b] = False
-                cost[b], cost[:, b] = np.inf, np.inf
-                own = np.where(alive, merge_cost(w[a:a + 1], c[a:a + 1], w, c)[0], np.inf)
-                own[a] = np.inf
-                cost[a], cost[:, a] = own, own
-                lost = np.flatnonzero(alive & ((near == a) | (near == b)))
-                for i in {a, *lost}:
-                    near[i], best[i] = cost[i].argmin(), cost[i].min()
-                best[b] = np.inf
-            if merges:
-                yield pa.RecordBatch.from_arrays([pa.array(column) for column in zip(*merges)], names=["left", "right", "height", "size"])
-
-
-def _nearest_found(blocks: DataFrame) -> DataFrame:
-    """(id, near, cost) of every open cluster: its block's own pairs, and pairs of
-    blocks whose boxes are near enough for a lower cost than the block has."""
-    side = lambda p, cols: blocks.select(*[F.col(c).alias(f"{p}_{c}") for c in cols])
-    q = side("q", ["block", "low", "high", "least", "bound"]).where("q_bound >= 0")
-    o = side("o", ["block", "low", "high", "least"])
-    gaps = F.zip_with(F.arrays_zip("q_low", "q_high"), F.arrays_zip("o_low", "o_high"),
-                      lambda x, y: F.greatest(x["q_low"] - y["o_high"], y["o_low"] - x["q_high"], F.lit(0.0)))
-    apart = F.aggregate(gaps, F.lit(0.0), lambda total, g: total + g * g) * F.col("q_least") * F.col("o_least") / (F.col("q_least") + F.col("o_least"))
+def _joined(column: pa.ChunkedArray, kind=np.float64) -> np.ndarray:
+    return np.frombuffer(b"".join(column.to_pylist()), kind)
+
+
+def _clusters(packs: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The clusters of some packs in the order of their ids."""
+    ids, w = _joined(packs["ids"], np.int64), _joined(packs["ws"])
+    order = np.argsort(ids, kind="stable")
+    return ids[order], w[order], _joined(packs["cs"]).reshape(len(ids), -1)[order]
+
+
+def _block(packs: pa.Table) -> pa.Table:
+    """One row of the packs of a block, with each cluster's nearest in it."""
+    ids, w, c = _clusters(packs)
+    best = _Best(ids)
+    _compare((ids, w, c), (ids, w, c), best, None, own=np.arange(len(ids)))
+    columns = [[packs["block"][0].as_py()], [ids.tobytes()], [w.tobytes()], [c.tobytes()], [best.at.tobytes()], [best.cost.tobytes()],
+               [c.min(axis=0)], [c.max(axis=0)], [float(w.min())], [float(best.cost.max())]]
+    types = [pa.int64(), *[pa.binary()] * 5, *[pa.list_(pa.float64())] * 2, *[pa.float64()] * 2]
+    return pa.table([pa.array(x, t) for x, t in zip(columns, types)], names=[x.split()[0] for x in _BLOCKS.split(", ")])
+
+
+def _search(pair: pa.Table) -> pa.Table:
+    """Two blocks: for the clusters of each the nearest of the other and its cost."""
+    sides = [_clusters(pair.slice(i, 1)) for i in (0, 1)]
+    best = [_Best(side[0]) for side in sides]
+    _compare(*sides, *best)
+    columns = [pair["block"].to_pylist(), [b.near.tobytes() for b in best], [b.cost.tobytes() for b in best]]
+    return pa.table([pa.array(x, t) for x, t in zip(columns, (pa.int64(), pa.binary(), pa.binary()))], names=["block", "nears", "costs"])
+
+
+def _merge(rows: pa.Table) -> pa.Table:
+    """A block's row, what was found for it outside and the least cost with the
+    blocks not searched: its merges, then the clusters left; those that are not
+    new have their nearest of all and its cost."""
+    block = rows.filter(pa.compute.is_valid(rows["ids"]))
+    ids, w, c = _clusters(block)
+    outside = _Best(ids)
+    for row in rows.filter(pa.compute.is_valid(rows["nears"])).to_pylist():
+        near, cost = np.frombuffer(row["nears"], np.int64), np.frombuffer(row["costs"])
+        at = np.flatnonzero(np.isfinite(cost))
+        outside.take(at, near[at], at, cost[at])
+    floor = min((x for x in rows["floor"].to_pylist() if x is not None), default=np.inf)
+    start = _joined(block["ats"], np.int64), _joined(block["costs"])
+    left, w, c, new, near, cost, merges = agglomerate(ids, w, c, np.minimum(outside.cost, floor * (1 - 1e-9)), start)
+    best, at = _Best(left), np.flatnonzero(near >= 0)
+    best.take(at, near[at], at, cost[at])
+    of, at = np.searchsorted(ids, left), np.flatnonzero(outside.at[np.searchsorted(ids, left)] >= 0)
+    best.take(at, outside.near[of[at]], at, outside.cost[of[at]])
+    gone = [np.concatenate(x) for x in zip(*merges)] if merges else [np.empty(0, t) for t in (np.int64, np.int64, float, np.int64)]
+    known = ~new & (best.at >= 0)
+    n, m, d = len(left), len(gone[0]), c.shape[1]
+    lists = pa.ListArray.from_arrays(pa.array(np.r_[np.arange(n + 1) * d, np.full(m, n * d)], pa.int32()), pa.array(c.ravel(), pa.float64()))
+    columns = [pa.array(np.r_[np.zeros(n, bool), np.ones(m, bool)]), pa.array(np.r_[left, gone[0]]), pa.array(np.r_[w, gone[3].astype(float)]), lists,
+               pa.array(np.r_[best.near, gone[1]], mask=np.r_[~known, np.zeros(m, bool)]), pa.array(np.r_[best.cost, gone[2]], mask=np.r_[~known, np.zeros(m, bool)])]
+    return pa.table(columns, names=[x.split()[0] for x in _AFTER.split(", ")])
+
+
+def _finish(packs: pa.Table) -> pa.Table:
+    """The remaining merges of the clusters of one block."""
+    ids, w, c = _clusters(packs)
+    merges = agglomerate(ids, w, c, np.full(len(ids), np.inf))[-1]
+    parts = list(zip(*merges)) if merges else [[np.empty(0, t)] for t in (np.int64, np.int64, float, np.int64)]
+    return pa.table([pa.array(np.concatenate(x)) for x in parts], names=["left", "right", "height", "size"])
+
+
+def _blocks(clusters: DataFrame, n: int, block: int) -> DataFrame:
+    """The clusters in blocks of near ones, one row a block; a leaf that the sample
+    made too small is dealt over several."""
+    depth = int(np.ceil(np.log2(n / (0.8 * block))))
+    sample = clusters.orderBy(F.xxhash64("id")).limit(SAMPLE).select("c").toArrow()["c"].combine_chunks()
+    nodes = _cuts(sample.flatten().to_numpy().reshape(len(sample), -1), depth)
+    packs = checkpoint_parquet(clusters.select("id", "w", "c").mapInArrow(_packed(nodes, depth, max(1, block // 8)), _PACKS), "ward-packs")
+    parts = packs.groupBy("part").agg(F.ceil(F.sum("n") / block).alias("k"))  # one row a leaf
+    block_of = F.col("part") * F.lit(1 << 32) + F.pmod(F.xxhash64("first"), "k")
+    dealt = packs.join(F.broadcast(parts), "part").select(block_of.alias("block"), "ids", "ws", "cs")
+    return checkpoint_parquet(dealt.groupBy("block").applyInArrow(_block, _BLOCKS), "ward-blocks")
+
+
+def _compared(blocks: DataFrame) -> DataFrame:
+    """(a, b, apart, near) of all pairs of blocks: a bound of the costs between
+    them and whether one could have a cheaper pair there than inside."""
+    side = lambda p: blocks.select(*[F.col(c).alias(f"{p}_{c}") for c in ("block", "low", "high", "least", "bound")])
+    gaps = F.zip_with(F.arrays_zip("a_low", "a_high"), F.arrays_zip("b_low", "b_high"),
+                      lambda x, y: F.greatest(x["a_low"] - y["b_high"], y["b_low"] - x["a_high"], F.lit(0.0)))
+    apart = F.aggregate(gaps, F.lit(0.0), lambda total, g: total + g * g) * F.col("a_least") * F.col("b_least") / (F.col("a_least") + F.col("b_least"))
     # summaries only, one row a block; a hair of slack for the rounding of the costs
-    pairs = q.join(o, apart * (1 - 1e-9) <= F.col("q_bound")).select("q_block", "o_block")
-    whole = ["block", "ids", "ws", "cs", "open"]
-    row = lambda p: blocks.select(F.col("block").alias(f"{p}_block"), F.struct(*whole).alias(p))
-    found = pairs.join(row("q"), "q_block").join(row("o"), "o_block").select("q", "o").mapInArrow(_search, _FOUND)
-    key = F.struct("cost", F.least("id", "near").alias("low"), F.greatest("id", "near").alias("high"), "near")
-    return found.groupBy("id").agg(F.min(key).alias("best")).select("id", "best.near", "best.cost")
-
-
-def _round(clusters: DataFrame, found: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """The clusters after all reciprocal merges, and the merges."""
-    known = clusters.join(found.select("id", F.col("near").alias("n"), F.col("cost").alias("k")), "id", "left")
-    known = checkpoint_parquet(known.select("id", "w", "c", F.coalesce("near", "n").alias("near"), F.coalesce("cost", "k").alias("cost")), "ward-nearest")
-    other = known.select(F.col("id").alias("near"), F.col("near").alias("id"), F.col("w").alias("w2"), F.col("c").alias("c2"))
-    pairs = checkpoint_parquet(known.where(F.col("id") < F.col("near")).withColumnsRenamed({"w": "w1", "c": "c1"}).join(other, ["id", "near"]), "ward-merges")  # on both ids: no hub
-    total = F.col("w1") + F.col("w2")
-    merged = pairs.select("id", total.alias("w"), F.zip_with("c1", "c2", lambda x, y: (x * F.col("w1") + y * F.col("w2")) / total).alias("c"),
-                          F.lit(None).cast("bigint").alias("near"), F.lit(None).cast("double").alias("cost"))
-    merges = pairs.select(F.col("id").alias("left"), F.col("near").alias("right"), F.sqrt(2 * F.col("cost")).alias("height"), F.round(total).cast("bigint").alias("size"))
-    gone = pairs.select(F.explode(F.array("id", "near")).alias("id"))
-    lost = gone.select(F.col("id").alias("near"), F.lit(True).alias("lost"))
-    rest = known.join(gone, "id", "left_anti").join(lost, "near", "left")
-    rest = rest.select("id", "w", "c", F.when(F.col("lost").isNull(), F.col("near")).alias("near"), F.when(F.col("lost").isNull(), F.col("cost")).alias("cost"))
-    return checkpoint_parquet(rest.unionByName(merged), "ward-clusters"), merges
+    pairs = side("a").join(side("b"), F.col("a_block") < F.col("b_block")).withColumn("apart", apart)
+    return checkpoint_parquet(pairs.select(F.col("a_block").alias("a"), F.col("b_block").alias("b"), "apart",
+                                           (F.col("apart") * (1 - 1e-9) <= F.greatest("a_bound", "b_bound")).alias("near")), "ward-pairs")
+
+
+def _round(clusters: DataFrame, n: int, block: int) -> tuple[DataFrame, DataFrame]:
+    """The clusters after a round, and its merges."""
+    blocks = _blocks(clusters, n, block)
+    pairs = _compared(blocks)
+    searched = pairs.where("near").select("a", "b", F.explode(F.array("a", "b")).alias("block"))
+    found = searched.join(blocks.select("block", "ids", "ws", "cs"), "block").groupBy("a", "b").applyInArrow(_search, _FOUND)
+    floors = pairs.where(~F.col("near")).select(F.explode(F.array("a", "b")).alias("block"), "apart").groupBy("block").agg(F.min("apart").alias("floor"))
+    own = blocks.select("block", "ids", "ws", "cs", "ats", "costs")
+    rows = own.unionByName(found, allowMissingColumns=True).unionByName(floors, allowMissingColumns=True)
+    after = checkpoint_parquet(rows.groupBy("block").applyInArrow(_merge, _AFTER), "ward-merged")
+    inside = after.where("merge").select(F.col("id").alias("left"), F.col("near").alias("right"), F.col("cost").alias("height"), F.col("w").cast("bigint").alias("size"))
+    now = after.where(~F.col("merge")).drop("merge")
+    other = now.where("near IS NOT NULL").select(F.col("near").alias("id"), F.col("id").alias("near"), F.col("w").alias("v"), F.col("c").alias("e"))
+    both = now.join(other, ["id", "near"], "left").where("v IS NULL OR id < near")  # on both ids: no hub
+    both = both.withColumnsRenamed({"w": "u", "c": "d"})  # a name of the result would stand for its new value in the lambda
+    total, met = F.col("u") + F.col("v"), F.col("v").isNotNull()
+    mean = F.zip_with("d", "e", lambda x, y: (x * F.col("u") + y * F.col("v")) / total)
+    both = both.select("id", F.when(met, total).otherwise(F.col("u")).alias("w"), F.when(met, mean).otherwise(F.col("d")).alias("c"),
+                       F.when(met, F.col("near")).alias("right"), F.when(met, F.sqrt(2 * F.col("cost"))).alias("height"))
+    clusters = checkpoint_parquet(both, "ward-clusters")
+    across = clusters.where("right IS NOT NULL").select(F.col("id").alias("left"), "right", "height", F.round("w").cast("bigint").alias("size"))
+    return clusters.select("id", "w", "c"), inside.unionByName(across)
 
 
 def distinct_points(df: DataFrame, features: str, id_col: str) -> DataFrame:
@@ -195,24 +331,21 @@ def ward_merges(df: DataFrame, features: str = "features", id_col: str = "id", b
     Equal rows are one point of their number; equal costs go by ids. No point or
     one gives no merges. The result does not depend on ``block``."""
     spark = df.sparkSession
-    start = distinct_points(df, features, id_col).select("*", F.lit(None).cast("bigint").alias("near"), F.lit(None).cast("double").alias("cost"))
-    clusters = checkpoint_parquet(start, "ward-clusters")
-    wide = clusters.agg(F.max(F.size("c"))).first()[0] or 0
-    if not wide:
+    clusters = checkpoint_parquet(distinct_points(df, features, id_col), "ward-clusters")
+    n, least, most = clusters.agg(F.count(F.lit(1)), F.min(F.size("c")), F.max(F.size("c"))).first()
+    if not n:
         return spark.createDataFrame([], MERGES)
-    spread = clusters.agg(*[F.var_pop(F.col("c")[i]) for i in range(wide)]).first()
-    axis = int(np.argmax([s or 0.0 for s in spread]))  # blocks along the widest coordinate have small boxes
-    n, rounds = clusters.count(), []
+    if least != most:
+        raise ValueError("vectors of different lengths")
+    rounds = []
     while n > block:
-        ranged = clusters.repartitionByRange(max(1, -(-n // block)), F.col("c")[axis], "id") if n > block else clusters
-        blocks = checkpoint_parquet(ranged.select("id", "w", "c", "near").mapInArrow(_blocks(block), _BLOCKS), "ward-blocks")
-        clusters, merges = _round(clusters, _nearest_found(blocks))
+        clusters, merges = _round(clusters, n, block)
         rounds.append(merges)
         left = clusters.count()
         if left == n:
-            raise ValueError("no two clusters are each other's nearest: vectors of different lengths")
+            raise ValueError("no two clusters are each other's nearest")
         n = left
-    last = clusters.select("id", "w", "c", "near").coalesce(1).mapInArrow(_blocks(block), _BLOCKS).mapInArrow(_finish, MERGES)
+    last = clusters.mapInArrow(_packed([], 0, max(1, block)), _PACKS).groupBy("part").applyInArrow(_finish, MERGES)
     out = last
     for merges in rounds:
         out = out.unionByName(merges)

@@ -75,3 +75,26 @@ def test_equal_null_and_odd_vectors(spark):
     assert ward_merges(df.where("false")).collect() == [] and ward_merges(df.where("id = 3")).collect() == []
     one = ward_labels(df.where("id = 3"), ward_merges(df.where("id = 3")), 4).collect()
     assert [(r.id, r.cluster_ward) for r in one] == [(3, 0)]
+
+
+def test_rounds_over_blocks_cover_far_offsets_heavy_points_and_ties(spark):
+    rng = np.random.default_rng(6)
+    grid = np.array([(x, y) for x in range(8) for y in range(8)], float)
+    points = np.vstack([1e6 + rng.normal(size=(120, 5)), 1e6 + 40 * rng.normal(size=(40, 5)), 1e6 + np.pad(grid, ((0, 0), (0, 3)))])
+    points = points + rng.uniform(0, 1e-4, size=points.shape)  # nearly tied, far from zero
+    weights = rng.integers(1, 6, len(points))
+    ids = np.repeat(np.arange(len(points)), weights)
+    rows = [(int(i) * 10 + int(k), [float(x) for x in points[i]]) for i, k in zip(ids, np.concatenate([np.arange(w) for w in weights]))]
+    got = ward_merges(spark.createDataFrame(rows, "id bigint, features array<double>").repartition(7), block=30)
+    assert [(a // 10, b // 10, n) for a, b, _, n in merged(got)] == [(a, b, n) for a, b, _, n in sorted(greedy(points, weights))]
+
+
+def test_a_block_of_thousands_merges_in_seconds():
+    import time
+
+    from sentinela.operators.hierarchy import agglomerate
+
+    points = np.random.default_rng(7).normal(size=(4000, 64))
+    begun = time.process_time()
+    merges = agglomerate(np.arange(4000), np.ones(4000), points, np.full(4000, np.inf))[-1]
+    assert sum(len(m[0]) for m in merges) == 3999 and time.process_time() - begun < 60
