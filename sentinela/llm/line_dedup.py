@@ -33,7 +33,7 @@ BROADCAST_ROWS = 1_000_000
 
 #: Characters of a feature of a line without so many words.
 GRAM = 3
-_BYTES, _SHORTS = 0x0101010101010101, 0x00FF00FF00FF00FF
+_BYTES, _SHORTS, _TOPS = 0x0101010101010101, 0x00FF00FF00FF00FF, 0x8080808080808080
 
 
 def normalised(line: Column) -> Column:
@@ -71,26 +71,45 @@ def _wide(chunks: Column) -> Column:
     return F.aggregate(chunks, zero, add)
 
 
+def _majority(lanes: Column, n_words: Column) -> Column:
+    """The bits that more than half of at most CHUNK hashes have, eight at a time:
+    a count reaches the threshold if 128 - threshold more set its byte's top bit.
+    The lowest byte goes apart, so that no sum passes 63 bits."""
+    more = (F.lit(127) - F.floor(n_words / 2)).cast("bigint")
+    out = F.lit(0).cast("bigint")
+    for i in range(8):
+        upper = (F.shiftrightunsigned(lanes[f"l{i}"], 8) + more * F.lit(_BYTES >> 8)).bitwiseAND(F.lit(_TOPS >> 8))
+        lowest = (lanes[f"l{i}"].bitwiseAND(F.lit(0xFF)) + more).bitwiseAND(F.lit(0x80))
+        out = out.bitwiseOR(F.shiftleft(F.shiftleft(upper, 1).bitwiseOR(F.shiftrightunsigned(lowest, 7)), i))
+    return out
+
+
+def _long_majority(chunks: Column, wide: Column, n_words: Column) -> Column:
+    """The same bits of more hashes, from their chunks, bit by bit in a loop."""
+    def count(bit: Column) -> Column:
+        i, byte = bit % 8, F.floor(bit / 8).cast("int")
+        shifted = lambda x, by: F.call_function("shiftrightunsigned", x, by.cast("int"))
+        few = shifted(F.get(F.array(*[wide[f"w{k}"] for k in range(16)]), i + 8 * (byte % 2)), 16 * F.floor(byte / 2)).bitwiseAND(F.lit(0xFFFF))
+        many = F.aggregate(chunks, F.lit(0).cast("bigint"), lambda a, c: a + shifted(F.get(F.array(*[c[f"l{k}"] for k in range(8)]), i), 8 * byte).bitwiseAND(F.lit(0xFF)))
+        return F.when(F.size(chunks) <= WIDE_CHUNKS, few).otherwise(many)
+
+    one = lambda bit: F.call_function("shiftleft", F.lit(1).cast("bigint"), bit)
+    return F.aggregate(F.sequence(F.lit(0), F.lit(63)), F.lit(0).cast("bigint"),
+                       lambda sim, bit: sim.bitwiseOR(F.when(count(bit) * 2 > n_words, one(bit)).otherwise(F.lit(0).cast("bigint"))))
+
+
 def with_simhash(lines: DataFrame) -> DataFrame:
     """``lines`` (words array<string> not empty) with ``n_words``, the number of
     distinct words, and ``sim``."""
     lines = lines.withColumn("_hashes", F.transform(F.array_distinct("words"), lambda w: F.xxhash64(w)))
     lines = lines.withColumn("n_words", F.size("_hashes"))
     parts = F.sequence(F.lit(0), F.floor((F.col("n_words") - 1) / CHUNK).cast("int"))
-    lines = lines.withColumn("_chunks", F.transform(parts, lambda c: _lanes(F.slice(F.col("_hashes"), c * CHUNK + 1, CHUNK))))
-    short = F.size("_chunks") <= WIDE_CHUNKS
-    lines = lines.withColumn("_wide", F.when(short, _wide(F.col("_chunks"))))
-
-    def count(bit: int) -> Column:
-        i, byte = bit % 8, bit // 8
-        few = F.shiftrightunsigned(F.col("_wide")[f"w{i + 8 * (byte % 2)}"], 16 * (byte // 2)).bitwiseAND(F.lit(0xFFFF))
-        many = F.aggregate("_chunks", F.lit(0).cast("bigint"), lambda a, c: a + F.shiftrightunsigned(c[f"l{i}"], 8 * byte).bitwiseAND(F.lit(0xFF)))
-        return F.when(short, few).otherwise(many)
-
-    sim = F.lit(0).cast("bigint")
-    for bit in range(64):
-        sim = sim.bitwiseOR(F.when(count(bit) * 2 > F.col("n_words"), F.lit(1 << bit if bit < 63 else -(1 << 63)).cast("bigint")).otherwise(F.lit(0).cast("bigint")))
-    return lines.withColumn("sim", sim).drop("_chunks", "_wide", "_hashes")
+    is_short = F.col("n_words") <= CHUNK
+    lines = lines.withColumns({"_lanes": F.when(is_short, _lanes(F.col("_hashes"))),
+                               "_chunks": F.when(~is_short, F.transform(parts, lambda c: _lanes(F.slice(F.col("_hashes"), c * CHUNK + 1, CHUNK))))})
+    lines = lines.withColumn("_wide", F.when(F.size("_chunks") <= WIDE_CHUNKS, _wide(F.col("_chunks"))))
+    sim = F.when(is_short, _majority(F.col("_lanes"), F.col("n_words"))).otherwise(_long_majority(F.col("_chunks"), F.col("_wide"), F.col("n_words")))
+    return lines.withColumn("sim", sim).drop("_lanes", "_chunks", "_wide", "_hashes")
 
 
 def occurrences(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -175,8 +194,11 @@ def duplicate_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     across = (left.alias("p").join(left.alias("q"), "key").where((F.col("p.component") < F.col("q.component")) & _close("p", "q"))
               .select(F.least("p.node", "q.node").alias("a"), F.greatest("p.node", "q.node").alias("b")).distinct()
               .join(star.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")), ["a", "b"], "left_anti"))
-    more = verified(checkpoint_parquet(across, "line-across"), nodes, lines)
-    member = components(links.union(more), "line-components")
+    across = checkpoint_parquet(across, "line-across")
+    if not across.isEmpty():
+        more = verified(across, nodes, lines)
+        if not more.isEmpty():
+            member = components(links.union(more), "line-components")
     named = nodes.join(member, "node", "left").withColumn("component", F.coalesce("component", "node"))
     kept = named.groupBy("component").agg(first.alias("kept"))
     kept = named.join(kept, "component").select("h1", "h2", "kept")
@@ -199,7 +221,9 @@ def drop_duplicate_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str
     lines = F.split(F.col(f"d.{text_col}"), "\n")
     n = F.coalesce(F.size(lines), F.lit(0))
     keep = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), F.col("x.drops"))
-    text = F.when(F.col("x.drops").isNull(), F.col(f"d.{text_col}")).otherwise(F.array_join(F.transform(keep, lambda i: F.get(lines, i)), "\n"))
+    # the lines come in as a lambda variable, so that a text is split once and not for each of its lines
+    kept = F.flatten(F.transform(F.array(lines), lambda own: F.transform(keep, lambda i: F.get(own, i))))
+    text = F.when(F.col("x.drops").isNull(), F.col(f"d.{text_col}")).otherwise(F.array_join(kept, "\n"))
     joined = docs.alias("d").join(drops, F.col(f"d.{id_col}").eqNullSafe(F.col("x.doc_id")) & (F.xxhash64(F.col(f"d.{text_col}")) == F.col("x.text_hash")), "left")
     others = [F.col(f"d.`{c}`") if c != text_col else text.alias(text_col) for c in docs.columns if c not in (lines_col, dropped_col)]
     return joined.select(*others, F.when(F.col(f"d.{text_col}").isNull(), 0).otherwise(n).alias(lines_col),

@@ -289,3 +289,15 @@ def test_short_lines_and_lines_without_spaces_take_part(spark):
     assert got == {0: f"a\nRead more\n{han}\n--\n\nno", 1: "b\n--\n", 2: ""}
     grams = spark.createDataFrame([(x,) for x in ("no", "read more", "𝒜𝒷日本", "a b c d")], "norm string").select(line_dedup.features(F.col("norm")).alias("f")).collect()
     assert [r["f"] for r in grams] == [["no"], ["rea", "ead", "ad ", "d m", " mo", "mor", "ore"], ["𝒜𝒷日", "𝒷日本"], ["a", "b", "c", "d"]]
+
+
+def test_line_dedup_splits_a_text_once_and_counts_bits_without_a_case_a_bit(spark):
+    plan = lambda df: df._jdf.queryExecution().optimizedPlan().toString()
+    rows = spark.createDataFrame([(["a", "b"],)], "words array<string>")
+    assert plan(line_dedup.with_simhash(rows)).count("CASE WHEN") < 64
+    lines = [f"line number {i % 40} of the long text" + " x" * (i % 40) for i in range(400)]
+    found = line_dedup.drop_duplicate_lines(documents(spark, ["\n".join(lines), "", "a\n" + lines[3]]))
+    got = {r["doc_id"]: (r["text"].split("\n"), r["n_lines"], r["n_dropped"]) for r in found.collect()}
+    assert all(len(kept) == n - dropped or (kept == [""] and n - dropped <= 1) for kept, n, dropped in got.values())
+    assert got[0][0] == [x for i, x in enumerate(lines[:40]) if x in got[0][0]] and got[2][0] == ["a"]
+    assert "get(split(" not in plan(found)
