@@ -15,7 +15,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from sentinela.operators.hierarchy import ward_labels, ward_merges
+from sentinela.operators.hierarchy import distinct_points, merges_of, ward_labels
 from sentinela.operators.kmeans import as_array, assigned, kmeans_many
 from sentinela.operators.scaling import median_impute, standardize
 from sentinela.sinks.writers import checkpoint_parquet
@@ -137,7 +137,8 @@ def pca_2d(df: DataFrame, features: str = "features", k: int = 2):
 def ward_clusters(df: DataFrame, k: int, features: str = "features", id_col: str = "id") -> DataFrame:
     """(id, ``cluster_ward``): the Ward hierarchy of all rows cut at k clusters
     (CLU6), numbered by their smallest id (see ``hierarchy``)."""
-    return ward_labels(df, ward_merges(df, features, id_col), k, features, id_col)
+    points = checkpoint_parquet(distinct_points(df, features, id_col), "ward-clusters")
+    return ward_labels(df, merges_of(points), k, features, id_col, points=points)
 
 
 def adjusted_rand(df: DataFrame, a: str, b: str) -> DataFrame:

@@ -11,9 +11,10 @@ blocks are compared, unless their boxes are too far apart for any better
 neighbour, which gives each cluster its nearest one outside its block. Each block
 then merges inside as long as pairs are cheaper than what its clusters have
 outside, and pairs across blocks that are each other's nearest are merged by a
-join. When one block holds all clusters, nothing is outside and its task makes
-the remaining merges by the same rule. Costs come from matrix products; those
-that could be the least within the rounding are computed again from differences.
+join. When two blocks' size holds all clusters, nothing is outside and one task makes
+the remaining merges by the same rule. Costs come from matrix products in single
+precision (double where it tells too little); those that could be the least
+within the rounding are computed again in double from differences.
 Nothing but counts and the sample reaches the driver.
 """
 
@@ -29,10 +30,12 @@ from pyspark.sql import functions as F
 
 from sentinela.sinks.writers import checkpoint_parquet
 
-#: Most clusters of a block; clusters that the cuts into blocks are fitted on.
+#: Most clusters of a block (one task finishes twice as many); clusters that the cuts into blocks are fitted on.
 BLOCK, SAMPLE = 8192, 4096
 #: Costs in one step of a comparison.
 _STEP = 1 << 19
+#: Candidates a cluster above which single precision tells too little.
+ALIKE = 16
 
 _PACKS = "part int, first bigint, n bigint, ids binary, ws binary, cs binary"
 _BLOCKS = "block bigint, ids binary, ws binary, cs binary, ats binary, costs binary, low array<double>, high array<double>, least double, bound double"
@@ -68,24 +71,42 @@ class _Best:
         self.cost[i], self.near[i], self.at[i] = cost[better], others[better], at[better]
 
 
+def _products(a: tuple, b: tuple, kind: type) -> tuple:
+    """Two matrices whose product has the squares of the distances, and what the
+    rounding in ``kind`` can add to the costs of each of a and b."""
+    (_, w, c), (_, v, e) = a, b
+    mid = e.mean(axis=0)
+    x, y = c - mid, e - mid
+    xx, yy = (x * x).sum(axis=1), (y * y).sum(axis=1)
+    hair = (4 if kind is np.float32 else 16) * (c.shape[1] + 8) * np.finfo(kind).eps  # more than the products' rounding
+    slack, slack_b = hair * (xx + yy.max()) * np.minimum(w, v.max()), hair * (yy + xx.max()) * np.minimum(v, w.max())
+    left, right = np.column_stack([-2 * x, xx, np.ones(len(x))]), np.column_stack([y, np.ones(len(y)), yy]).T
+    return tuple(np.ascontiguousarray(z, kind) for z in (left, right, slack, slack_b, 1 / w, 1 / v))
+
+
+def _single(a: tuple, b: tuple) -> bool:
+    """Whether no cost and no slack of a and b can leave the range of single precision."""
+    (_, w, c), (_, v, e) = a, b
+    mid = e.mean(axis=0)
+    most = [float(np.abs(z - mid).max()) for z in (c, e)]
+    return max(most) < 1e12 and min(most) > 1e-12 and max(w.max(), v.max()) < 1e6 and min(w.min(), v.min()) > 1e-3
+
+
 def _compare(a: tuple, b: tuple, rows: _Best | None, columns: _Best | None, own: np.ndarray | None = None) -> None:
     """All clusters (ids, w, c) of a with all of b: the best ones of a into
-    ``rows``, of b into ``columns``. ``own``: the place in b of each of a."""
+    ``rows``, of b into ``columns``. ``own``: the place in b of each of a. The
+    products are in single precision unless too many costs come out alike."""
     (ids, w, c), (others, v, e) = a, b
     if not len(ids) or not len(others):
         return
     with np.errstate(all="ignore"):
-        mid = e.mean(axis=0)
-        x, y = c - mid, e - mid
-        xx, yy = (x * x).sum(axis=1), (y * y).sum(axis=1)
-        left, right = np.column_stack([-2 * x, xx, np.ones(len(x))]), np.column_stack([y, np.ones(len(y)), yy]).T.copy()
-        hair = 16 * (c.shape[1] + 8) * np.finfo(float).eps  # more than the products' rounding
-        slack, slack_b = hair * (xx + yy.max()) * np.minimum(w, v.max()), hair * (yy + xx.max()) * np.minimum(v, w.max())
+        kind = np.float32 if _single(a, b) else np.float64
+        left, right, slack, slack_b, part, part_b = _products(a, b, kind)
         alike = w.min() == w.max() and v.min() == v.max()
-        part, part_b = 1 / w, 1 / v
         least_b = np.full(len(others), np.inf)
         step = max(1, _STEP // len(others))
-        for i in range(0, len(ids), step):
+        i = 0
+        while i < len(ids):
             cost = left[i:i + step] @ right
             if alike:
                 cost *= 1 / (part[0] + part_b[0])
@@ -93,23 +114,26 @@ def _compare(a: tuple, b: tuple, rows: _Best | None, columns: _Best | None, own:
                 cost /= part[i:i + step, None] + part_b
             if own is not None:
                 cost[np.arange(len(cost)), own[i:i + step]] = np.inf
-            for best, side in ((rows, 0), (columns, 1)):
-                if best is None:
-                    continue
-                if side == 0:
-                    most = cost.min(axis=1) + slack[i:i + step]
-                    maybe = ~(cost > most[:, None])
-                else:
-                    least_b = np.minimum(least_b, cost.min(axis=0))
-                    maybe = ~(cost > least_b + slack_b)
-                p, q = np.nonzero(maybe)
+            found = []
+            if rows is not None:
+                found.append(np.flatnonzero(~(cost > (cost.min(axis=1) + slack[i:i + step])[:, None])))
+            if columns is not None:
+                least_b = np.minimum(least_b, cost.min(axis=0))
+                found.append(np.flatnonzero(~(cost > (least_b + slack_b).astype(kind))))
+            if kind is np.float32 and sum(map(len, found)) > ALIKE * sum(cost.shape):
+                kind, least_b = np.float64, np.full(len(others), np.inf)
+                left, right, slack, slack_b, part, part_b = _products(a, b, kind)
+                continue
+            for best, at in zip([x for x in (rows, columns) if x is not None], found):
+                p, q = np.divmod(at, len(others))
                 p += i
                 if own is not None:
                     p, q = p[own[p] != q], q[own[p] != q]
                 for k in range(0, len(p), _STEP):
                     r, s = p[k:k + _STEP], q[k:k + _STEP]
                     exact = merge_cost(w[r], c[r], v[s], e[s])
-                    best.take(*((r, others[s], s, exact) if side == 0 else (s, ids[r], r, exact)))
+                    best.take(*((r, others[s], s, exact) if best is rows else (s, ids[r], r, exact)))
+            i += step
 
 
 def agglomerate(ids: np.ndarray, w: np.ndarray, c: np.ndarray, out: np.ndarray, start: tuple | None = None) -> tuple:
@@ -262,12 +286,19 @@ def _finish(packs: pa.Table) -> pa.Table:
     return pa.table([pa.array(np.concatenate(x)) for x in parts], names=["left", "right", "height", "size"])
 
 
-def _blocks(clusters: DataFrame, n: int, block: int) -> DataFrame:
+def _depth(n: int, block: int) -> int:
+    return int(np.ceil(np.log2(n / (0.8 * block))))
+
+
+def _fitted(clusters: DataFrame, depth: int) -> list:
+    sample = clusters.orderBy(F.xxhash64("id")).limit(SAMPLE).select("c").toArrow()["c"].combine_chunks()
+    return _cuts(sample.flatten().to_numpy().reshape(len(sample), -1), depth)
+
+
+def _blocks(clusters: DataFrame, n: int, block: int, nodes: list) -> DataFrame:
     """The clusters in blocks of near ones, one row a block; a leaf that the sample
     made too small is dealt over several."""
-    depth = int(np.ceil(np.log2(n / (0.8 * block))))
-    sample = clusters.orderBy(F.xxhash64("id")).limit(SAMPLE).select("c").toArrow()["c"].combine_chunks()
-    nodes = _cuts(sample.flatten().to_numpy().reshape(len(sample), -1), depth)
+    depth = _depth(n, block)
     packs = checkpoint_parquet(clusters.select("id", "w", "c").mapInArrow(_packed(nodes, depth, max(1, block // 8)), _PACKS), "ward-packs")
     parts = packs.groupBy("part").agg(F.ceil(F.sum("n") / block).alias("k"))  # one row a leaf
     block_of = F.col("part") * F.lit(1 << 32) + F.pmod(F.xxhash64("first"), "k")
@@ -288,9 +319,9 @@ def _compared(blocks: DataFrame) -> DataFrame:
                                            (F.col("apart") * (1 - 1e-9) <= F.greatest("a_bound", "b_bound")).alias("near")), "ward-pairs")
 
 
-def _round(clusters: DataFrame, n: int, block: int) -> tuple[DataFrame, DataFrame]:
+def _round(clusters: DataFrame, n: int, block: int, nodes: list) -> tuple[DataFrame, DataFrame]:
     """The clusters after a round, and its merges."""
-    blocks = _blocks(clusters, n, block)
+    blocks = _blocks(clusters, n, block, nodes)
     pairs = _compared(blocks)
     searched = pairs.where("near").select("a", "b", F.explode(F.array("a", "b")).alias("block"))
     found = searched.join(blocks.select("block", "ids", "ws", "cs"), "block").groupBy("a", "b").applyInArrow(_search, _FOUND)
@@ -330,16 +361,22 @@ def ward_merges(df: DataFrame, features: str = "features", id_col: str = "id", b
     ``left``; height as in a Ward linkage (the distance of two single points).
     Equal rows are one point of their number; equal costs go by ids. No point or
     one gives no merges. The result does not depend on ``block``."""
-    spark = df.sparkSession
-    clusters = checkpoint_parquet(distinct_points(df, features, id_col), "ward-clusters")
+    return merges_of(checkpoint_parquet(distinct_points(df, features, id_col), "ward-clusters"), block)
+
+
+def merges_of(points: DataFrame, block: int = BLOCK) -> DataFrame:
+    """The same of the written table of ``distinct_points``."""
+    spark, clusters = points.sparkSession, points
     n, least, most = clusters.agg(F.count(F.lit(1)), F.min(F.size("c")), F.max(F.size("c"))).first()
     if not n:
         return spark.createDataFrame([], MERGES)
     if least != most:
         raise ValueError("vectors of different lengths")
-    rounds = []
-    while n > block:
-        clusters, merges = _round(clusters, n, block)
+    rounds, fitted, nodes = [], np.inf, []
+    while n > 2 * block:
+        if 2 * n < fitted:  # until half are merged, the cuts (or the upper of them) serve on
+            fitted, nodes = n, _fitted(clusters, _depth(n, block))
+        clusters, merges = _round(clusters, n, block, nodes)
         rounds.append(merges)
         left = clusters.count()
         if left == n:
@@ -367,11 +404,12 @@ def cut(merges: DataFrame, points: DataFrame, k: int) -> DataFrame:
         now = after.select("id", "root")
 
 
-def ward_labels(df: DataFrame, merges: DataFrame, k: int, features: str = "features", id_col: str = "id", out: str = "cluster_ward") -> DataFrame:
+def ward_labels(df: DataFrame, merges: DataFrame, k: int, features: str = "features", id_col: str = "id", out: str = "cluster_ward", points: DataFrame | None = None) -> DataFrame:
     """(id, label) of every row: its cluster after the cut, numbered from 0 by the
     smallest id; rows that take no part have none. Each distinct vector is
-    looked up once, by the hash of its row's vector."""
-    points = distinct_points(df, features, id_col)
+    looked up once, by the hash of its row's vector; ``points``: the table of them
+    where it is written already."""
+    points = distinct_points(df, features, id_col) if points is None else points
     roots = cut(merges, points, k)
     number = roots.select("root").distinct().withColumn(out, (F.row_number().over(Window.orderBy("root")) - 1).cast("int"))  # k rows
     of_vector = points.join(roots, "id").join(F.broadcast(number), "root").select("c", out)

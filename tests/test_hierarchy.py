@@ -98,3 +98,49 @@ def test_a_block_of_thousands_merges_in_seconds():
     begun = time.process_time()
     merges = agglomerate(np.arange(4000), np.ones(4000), points, np.full(4000, np.inf))[-1]
     assert sum(len(m[0]) for m in merges) == 3999 and time.process_time() - begun < 60
+
+
+def test_single_precision_finds_the_nearest_of_double():
+    """Candidates from single precision, double where groups are far apart: the least costs are those of all pairs."""
+    from sentinela.operators import hierarchy as h
+
+    rng = np.random.default_rng(8)
+    near = rng.normal(size=(700, 12))
+    far = rng.normal(size=(700, 12)) + 1e5 * rng.integers(0, 2, size=(700, 1))  # single precision tells nothing inside a group
+    huge = 1e200 * rng.normal(size=(300, 4))
+    for points, kind in ((near, [np.float32]), (far, [np.float32, np.float64]), (huge, [np.float64]), (np.zeros((50, 3)), [np.float64])):
+        ids, w, used = np.arange(len(points)), rng.integers(1, 4, len(points)).astype(float), []
+        products = h._products
+
+        def watched(a, b, kind, used=used, products=products):
+            used.append(kind)
+            return products(a, b, kind)
+
+        a, b = slice(0, len(points) // 2), slice(len(points) // 2, None)
+        rows, columns = h._Best(ids[a]), h._Best(ids[b])
+        h._products = watched
+        try:
+            h._compare((ids[a], w[a], points[a]), (ids[b], w[b], points[b]), rows, columns)
+        finally:
+            h._products = products
+        with np.errstate(all="ignore"):
+            cost = w[a][:, None] * w[b] / (w[a][:, None] + w[b]) * ((points[a][:, None] - points[b]) ** 2).sum(-1)
+        assert used == kind
+        if np.isfinite(cost).all():
+            assert np.allclose(rows.cost, cost.min(axis=1), rtol=1e-12) and np.allclose(columns.cost, cost.min(axis=0), rtol=1e-12)
+            assert (rows.near == ids[b][cost.argmin(axis=1)]).all() and (columns.near == ids[a][cost.argmin(axis=0)]).all()
+
+
+def test_ward_clusters_reads_the_points_once_and_finishes_at_two_blocks(spark, monkeypatch):
+    from sentinela.operators import cluster, hierarchy as h
+
+    points = np.random.default_rng(9).normal(size=(300, 6))
+    calls, rounds = [], []
+    distinct, one = h.distinct_points, h._round
+    for module in (h, cluster):
+        monkeypatch.setattr(module, "distinct_points", lambda *a: calls.append(1) or distinct(*a), raising=False)
+    monkeypatch.setattr(h, "_round", lambda *a: rounds.append(1) or one(*a))
+    got = {r.id: r.cluster_ward for r in cluster.ward_clusters(table(spark, points), 4).collect()}
+    assert len(calls) == 1 and not rounds and set(got.values()) == {0, 1, 2, 3}
+    assert len(merged(ward_merges(table(spark, points), block=150))) == 299 and not rounds  # two blocks' size
+    assert len(merged(ward_merges(table(spark, points), block=100))) == 299 and rounds
