@@ -5,9 +5,9 @@ become one space). Equal lines of any length are one node each. A node's 64-bit
 SimHash over its distinct words (runs of characters where it has fewer than
 four; a script without spaces has a word per stretch) is cut into five blocks; two hashes that differ in at most three bits
 agree in two blocks at least, so nodes meet on the ten pairs of blocks. In each
-meeting every node is compared with the first one; meetings of three or more
-that still span several components are then compared across the components, so
-no link is lost and a large family costs its size, not its square. Candidates
+meeting every node is compared with the first one, and in one of up to four with
+all others; larger meetings that still span several components are then compared
+across the components, so no link is lost and a large family costs its size, not its square. Candidates
 within three bits are linked when their edit similarity is high enough. Of each
 connected group the first occurrence in the corpus stays.
 """
@@ -26,14 +26,17 @@ from sentinela.sinks.writers import checkpoint_parquet
 MIN_WORDS, BITS, SIMILARITY = 4, 3, 0.85
 #: First bit and width of the blocks: BITS + 2 of them.
 BLOCKS = ((0, 13), (13, 13), (26, 13), (39, 13), (52, 12))
-#: Words whose bits are counted in lanes of 8 bits; counts of so many words fit lanes of 16.
-CHUNK, WIDE_CHUNKS = 120, 250
+#: Words whose bits are counted by adders of columns; those of longer lines in lanes of 8 bits, CHUNK
+#: words at a time; counts of so many chunks fit lanes of 16.
+FLAT, CHUNK, WIDE_CHUNKS = 255, 120, 250
+#: Nodes of a meeting in which all are compared at once (first, last and last but one reach no more).
+FEW = 4
 #: A side of at most so many short rows is broadcast after it was counted; a longer one is shuffled.
 BROADCAST_ROWS = 1_000_000
 
 #: Characters of a feature of a line without so many words.
 GRAM = 3
-_BYTES, _SHORTS, _TOPS = 0x0101010101010101, 0x00FF00FF00FF00FF, 0x8080808080808080
+_BYTES, _SHORTS = 0x0101010101010101, 0x00FF00FF00FF00FF
 
 
 def normalised(line: Column) -> Column:
@@ -47,7 +50,8 @@ def features(norm: Column) -> Column:
     # the array comes in as a lambda variable, so that it is made once a line
     grams = F.flatten(F.transform(F.array(chars), lambda c: F.transform(
         F.sequence(F.lit(0), F.greatest(F.size(c) - GRAM, F.lit(0))), lambda i: F.array_join(F.slice(c, i + 1, GRAM), ""))))
-    return F.when(F.size(words) >= MIN_WORDS, words).otherwise(grams)
+    # the words are counted by their spaces, so that only one of the two is split
+    return F.when(F.substring_index(norm, " ", MIN_WORDS - 1) != norm, words).otherwise(grams)
 
 
 def _lanes(hashes: Column) -> Column:
@@ -71,17 +75,34 @@ def _wide(chunks: Column) -> Column:
     return F.aggregate(chunks, zero, add)
 
 
-def _majority(lanes: Column, n_words: Column) -> Column:
-    """The bits that more than half of at most CHUNK hashes have, eight at a time:
-    a count reaches the threshold if 128 - threshold more set its byte's top bit.
-    The lowest byte goes apart, so that no sum passes 63 bits."""
-    more = (F.lit(127) - F.floor(n_words / 2)).cast("bigint")
-    out = F.lit(0).cast("bigint")
-    for i in range(8):
-        upper = (F.shiftrightunsigned(lanes[f"l{i}"], 8) + more * F.lit(_BYTES >> 8)).bitwiseAND(F.lit(_TOPS >> 8))
-        lowest = (lanes[f"l{i}"].bitwiseAND(F.lit(0xFF)) + more).bitwiseAND(F.lit(0x80))
-        out = out.bitwiseOR(F.shiftleft(F.shiftleft(upper, 1).bitwiseOR(F.shiftrightunsigned(lowest, 7)), i))
-    return out
+def _flat_majority(lines: DataFrame) -> DataFrame:
+    """``lines`` with ``_flat``, the bits that more than half of the first FLAT of
+    ``_hashes`` have. The 64 counts are kept bit by bit: a column of level w holds
+    their bits of weight 2^w. Full adders make one column of three of a level and
+    carry into the next, until each level has one. Plain operations on columns,
+    which Spark compiles."""
+    own, n = [f"`{c}`" for c in lines.columns], FLAT
+    level = {0: [f"_b{i}" for i in range(FLAT)]}
+    lines = lines.selectExpr(*own, *[f"coalesce(get(_hashes, {i}), 0L) AS _b{i}" for i in range(FLAT)])
+    while any(len(x) > 1 for x in level.values()):
+        after, kept = {w: [] for w in range(FLAT.bit_length())}, []
+        for weight, left in level.items():
+            while len(left) > 1:
+                (x, y, *z), left = left[:3], left[3:]
+                after[weight].append(f"_b{n}")
+                kept.append(" ^ ".join([x, y, *z]) + f" AS _b{n}")
+                if weight + 1 in after:  # no count passes FLAT
+                    after[weight + 1].append(f"_b{n + 1}")
+                    kept.append((f"({x} & {y}) | ({x} & {z[0]}) | ({y} & {z[0]})" if z else f"{x} & {y}") + f" AS _b{n + 1}")
+                n += 2
+            after[weight] += left
+            kept += left
+        lines, level = lines.selectExpr(*own, *kept), {w: x for w, x in after.items() if x}
+    greater = "0L"
+    for weight, (count,) in sorted(level.items()):  # a count is greater if it is so in its highest bit that differs
+        bit = f"-(shiftrightunsigned(n_words, {weight + 1}) & 1)"
+        greater = f"(({count} & ~({bit})) | (~({count} ^ ({bit})) & {greater}))"
+    return lines.selectExpr(*own, f"{greater} AS _flat")
 
 
 def _long_majority(chunks: Column, wide: Column, n_words: Column) -> Column:
@@ -102,22 +123,22 @@ def with_simhash(lines: DataFrame) -> DataFrame:
     """``lines`` (words array<string> not empty) with ``n_words``, the number of
     distinct words, and ``sim``."""
     lines = lines.withColumn("_hashes", F.transform(F.array_distinct("words"), lambda w: F.xxhash64(w)))
-    lines = lines.withColumn("n_words", F.size("_hashes"))
+    lines = _flat_majority(lines.withColumn("n_words", F.size("_hashes")))
     parts = F.sequence(F.lit(0), F.floor((F.col("n_words") - 1) / CHUNK).cast("int"))
-    is_short = F.col("n_words") <= CHUNK
-    lines = lines.withColumns({"_lanes": F.when(is_short, _lanes(F.col("_hashes"))),
-                               "_chunks": F.when(~is_short, F.transform(parts, lambda c: _lanes(F.slice(F.col("_hashes"), c * CHUNK + 1, CHUNK))))})
+    is_long = F.col("n_words") > FLAT
+    lines = lines.withColumn("_chunks", F.when(is_long, F.transform(parts, lambda c: _lanes(F.slice(F.col("_hashes"), c * CHUNK + 1, CHUNK)))))
     lines = lines.withColumn("_wide", F.when(F.size("_chunks") <= WIDE_CHUNKS, _wide(F.col("_chunks"))))
-    sim = F.when(is_short, _majority(F.col("_lanes"), F.col("n_words"))).otherwise(_long_majority(F.col("_chunks"), F.col("_wide"), F.col("n_words")))
-    return lines.withColumn("sim", sim).drop("_lanes", "_chunks", "_wide", "_hashes")
+    sim = F.when(is_long, _long_majority(F.col("_chunks"), F.col("_wide"), F.col("n_words"))).otherwise(F.col("_flat"))
+    return lines.withColumn("sim", sim).drop("_flat", "_chunks", "_wide", "_hashes")
 
 
 def occurrences(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """One row per line with a letter or digit: document, place, text and hashes."""
-    lines = docs.select(F.col(id_col).alias("doc_id"), F.xxhash64(text_col).alias("text_hash"),
-                        F.posexplode(F.split(F.col(text_col), "\n")).alias("pos", "line"))
-    lines = lines.select("doc_id", "text_hash", "pos", normalised(F.col("line")).alias("norm"))
-    lines = lines.where("norm <> ''").withColumn("words", features(F.col("norm")))
+    lines = docs.select(F.col(id_col).alias("doc_id"), F.xxhash64(text_col).alias("text_hash"), F.split(F.col(text_col), "\n").alias("own"))
+    lines = lines.select("doc_id", "text_hash", F.posexplode("own").alias("pos", "line"))
+    # a condition on the normalised line would be pushed below it and normalise twice; lower case makes no letters
+    lines = lines.where(F.col("line").rlike(r"[\p{L}\p{N}]")).select("doc_id", "text_hash", "pos", normalised(F.col("line")).alias("norm"))
+    lines = lines.withColumn("words", features(F.col("norm")))
     return with_simhash(lines).select("doc_id", "text_hash", "pos", "norm", F.xxhash64("norm").alias("h1"), F.xxhash64(F.lit("line"), "norm").alias("h2"),
                                       F.length("norm").alias("len"), "sim")
 
@@ -140,9 +161,11 @@ def small(df: DataFrame) -> DataFrame:
     return F.broadcast(df) if df.count() <= BROADCAST_ROWS else df
 
 
-def _agreeing(x: str, y: str) -> str:
-    """SQL for the number of words that two arrays begin with alike."""
-    return f"(array_position(zip_with({x}, {y}, (v, w) -> v <=> w), false) - 1 + if(array_position(zip_with({x}, {y}, (v, w) -> v <=> w), false) = 0, 1 + least(size({x}), size({y})), 0))"
+def _without_common_start(both: DataFrame) -> DataFrame:
+    """``both`` without the words that its arrays x and y begin with alike, where they are open."""
+    both = both.withColumn("differ", F.expr("if(open, array_position(zip_with(x, y, (v, w) -> v <=> w), false), 0)"))
+    both = both.withColumn("alike", F.expr("if(differ = 0, least(size(x), size(y)), int(differ - 1))"))
+    return both.withColumns({c: F.expr(f"if(open, slice({c}, alike + 1, size({c})), {c})") for c in ("x", "y")}).drop("differ", "alike")
 
 
 def verified(pairs: DataFrame, nodes: DataFrame, lines: DataFrame) -> DataFrame:
@@ -157,16 +180,18 @@ def verified(pairs: DataFrame, nodes: DataFrame, lines: DataFrame) -> DataFrame:
     x, y = texts.select(F.col("node").alias("a"), F.col("norm").alias("x")), texts.select(F.col("node").alias("b"), F.col("norm").alias("y"))
     most = F.floor(F.greatest(F.length("x"), F.length("y")) * F.lit(1 - SIMILARITY)).cast("int")
     both = pairs.join(x, "a").join(y, "b").withColumns({"most": most, "x": F.split("x", " "), "y": F.split("y", " ")})
+    # word put for word at the same places is one way of edits, so pairs within it need no more
+    in_place = F.expr("size(x) = size(y) AND aggregate(zip_with(x, y, (v, w) -> if(v <=> w, 0, greatest(length(v), length(w)))), 0, (a, n) -> a + n) <= most")
+    both = both.withColumn("open", ~in_place)
     # words that both begin or end with don't count: the edits are those of what is between
-    first = _agreeing("x", "y")
-    both = both.withColumns({"x": F.expr(f"slice(x, {first} + 1, size(x))"), "y": F.expr(f"slice(y, {first} + 1, size(y))")})
-    both = both.withColumns({"x": F.reverse("x"), "y": F.reverse("y")})
-    last = _agreeing("x", "y")
-    both = both.withColumns({"x": F.expr(f"array_join(reverse(slice(x, {last} + 1, size(x))), ' ')"), "y": F.expr(f"array_join(reverse(slice(y, {last} + 1, size(y))), ' ')")})
+    both = _without_common_start(both).withColumns({c: F.expr(f"if(open, reverse({c}), {c})") for c in ("x", "y")})
+    both = _without_common_start(both).withColumns({c: F.expr(f"if(open, array_join(reverse({c}), ' '), '')") for c in ("x", "y")})
     longer = F.greatest(F.length("x"), F.length("y"))
     one_empty = (F.col("x") == "") != (F.col("y") == "")  # then a space goes as well
     near = F.when(one_empty, longer + 1 <= F.col("most")).otherwise((longer <= F.col("most")) | F.expr("levenshtein(x, y, most) >= 0"))
-    return checkpoint_parquet(both.where(near).select("a", "b"), "line-links")
+    # written before it is a condition: that would be pushed below the steps and hold all of them again and again
+    both = both.select("a", "b", F.when(~F.col("open"), True).otherwise(near).alias("near"))
+    return checkpoint_parquet(both, "line-links").where("near").select("a", "b")
 
 
 def duplicate_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -179,15 +204,19 @@ def duplicate_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     keyed = nodes.select("node", "sim", "len", F.explode(_keys(F.col("sim"))).alias("key"))
     meet = Window.partitionBy("key").orderBy("node")
     whole = meet.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    met = (keyed.withColumn("n", F.count(F.lit(1)).over(whole)).withColumn("f", F.first(F.struct("node", "sim", "len")).over(whole))
-           .where("n > 1").withColumn("m", F.struct("node", "sim", "len")))
-    met = checkpoint_parquet(met.where(((F.col("node") != F.col("f.node")) & _close("m", "f")) | (F.col("n") > 2)), "line-meetings")
-    star = checkpoint_parquet(met.where((F.col("node") != F.col("f.node")) & _close("m", "f"))
-                              .select(F.col("f.node").alias("a"), F.col("node").alias("b")).distinct(), "line-star")
+    # in a meeting of up to FEW, the first, the last and the last but one are all that a node must be compared with
+    own = F.struct("node", "sim", "len")
+    met = (keyed.withColumn("n", F.count(F.lit(1)).over(whole))
+           .withColumns({"f": F.first(own).over(whole), "l1": F.lag(own, 1).over(meet), "l2": F.lag(own, 2).over(meet)}).where("n > 1").withColumn("m", own))
+    other = {"f": F.col("node") != F.col("f.node"), **{x: (F.col("n") <= FEW) & (F.col(f"{x}.node") != F.col("f.node")) for x in ("l1", "l2")}}
+    met = met.select("key", "node", "sim", "len", "n", *[F.when(apart & _close("m", x), F.col(f"{x}.node")).alias(x) for x, apart in other.items()])
+    met = checkpoint_parquet(met.where(F.coalesce("f", "l1", "l2").isNotNull() | (F.col("n") > FEW)), "line-meetings")
+    star = met.select(F.explode(F.array("f", "l1", "l2")).alias("a"), F.col("node").alias("b"))
+    star = checkpoint_parquet(star.where("a IS NOT NULL").distinct(), "line-star")
     links = verified(star, nodes, lines)
     member = components(links, "line-components")
-    # what the first comparison left apart: meetings of three and more with several components
-    left = met.where("n > 2").select("key", "node", "sim", "len").join(member, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    # what the first comparison left apart: larger meetings with several components
+    left = met.where(F.col("n") > FEW).select("key", "node", "sim", "len").join(member, "node", "left").withColumn("component", F.coalesce("component", "node"))
     meeting = Window.partitionBy("key")
     left = left.withColumns({"lo": F.min("component").over(meeting), "hi": F.max("component").over(meeting)})
     left = checkpoint_parquet(left.where("lo < hi").drop("lo", "hi"), "line-left")

@@ -301,3 +301,37 @@ def test_line_dedup_splits_a_text_once_and_counts_bits_without_a_case_a_bit(spar
     assert all(len(kept) == n - dropped or (kept == [""] and n - dropped <= 1) for kept, n, dropped in got.values())
     assert got[0][0] == [x for i, x in enumerate(lines[:40]) if x in got[0][0]] and got[2][0] == ["a"]
     assert "get(split(" not in plan(found)
+
+
+def test_simhash_by_adders_at_their_limits(spark, monkeypatch):
+    rng = random.Random(11)
+    sizes = (1, 2, 3, 4, 31, 120, 121, 254, 255, 256, 300)
+    rows = spark.createDataFrame([(i, [f"w{rng.random()}" for _ in range(n)]) for i, n in enumerate(sizes)], "i int, words array<string>")
+    hashes = {r["i"]: np.array(r["h"], dtype=np.int64).view(np.uint64) for r in rows.select("i", F.transform("words", lambda w: F.xxhash64(w)).alias("h")).collect()}
+    want = {i: sum(1 << b for b in range(64) if 2 * int(((h >> np.uint64(b)) & np.uint64(1)).sum()) > len(h)) for i, h in hashes.items()}
+    for flat in (255, 7, 1):  # the longer lines go by lanes
+        monkeypatch.setattr(line_dedup, "FLAT", flat)
+        assert {r["i"]: r["sim"] & (2**64 - 1) for r in line_dedup.with_simhash(rows).collect()} == want
+
+
+def test_lines_are_normalised_once_and_links_decided_once(spark, monkeypatch):
+    docs = documents(spark, ["One two three four five six\n--\n\nÀ 1", "one two three four five seven"])
+    lines = line_dedup.occurrences(docs, "doc_id", "text")
+    assert lines._jdf.queryExecution().optimizedPlan().toString().count("regexp_replace") == 1
+    assert [r["norm"] for r in lines.orderBy("doc_id", "pos").collect()] == ["one two three four five six", "à 1", "one two three four five seven"]
+    plans, write = [], line_dedup.checkpoint_parquet
+    monkeypatch.setattr(line_dedup, "checkpoint_parquet", lambda df, name: plans.append((name, df._jdf.queryExecution().optimizedPlan().toString())) or write(df, name))
+    line_dedup.drop_duplicate_lines(docs).collect()
+    assert all(plan.count("levenshtein") == 1 for name, plan in plans if name == "line-links")
+
+
+def test_small_meetings_are_compared_whole_and_large_ones_lose_no_link(spark, monkeypatch):
+    rng = random.Random(12)
+    base = [words(rng, 40).split() for _ in range(6)]
+    texts = ["\n".join(" ".join(b[:k] + [f"x{k}"] + b[k + 1:]) for b in base) for k in range(0, 36, 3)] + [" ".join(base[0][5:9] + base[0]), " ".join(base[1][:37])]
+    docs = documents(spark, texts)
+    results = []
+    for few in (4, 2, 1):
+        monkeypatch.setattr(line_dedup, "FEW", few)
+        results.append(sorted((r["doc_id"], r["text"], r["n_dropped"]) for r in line_dedup.drop_duplicate_lines(docs).collect()))
+    assert results[0] == results[1] == results[2] and sum(r[2] for r in results[0]) > 0
