@@ -199,8 +199,8 @@ def duplicate_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     or similar lines all occurrences but the first by (doc_id, text_hash, pos)."""
     lines = checkpoint_parquet(occurrences(docs, id_col, text_col), "line-occurrences")
     first = F.min(F.struct("doc_id", "text_hash", "pos"))
-    nodes = lines.groupBy("h1", "h2").agg(first.alias("at"), F.first("sim").alias("sim"), F.first("len").alias("len"))
-    nodes = checkpoint_parquet(nodes.select(F.monotonically_increasing_id().alias("node"), "h1", "h2", "sim", "len", "at.*"), "line-nodes")
+    nodes = lines.groupBy("h1", "h2").agg(first.alias("at"), F.first("sim").alias("sim"), F.first("len").alias("len"), F.count(F.lit(1)).alias("times"))
+    nodes = checkpoint_parquet(nodes.select(F.monotonically_increasing_id().alias("node"), "h1", "h2", "sim", "len", "times", "at.*"), "line-nodes")
     keyed = nodes.select("node", "sim", "len", F.explode(_keys(F.col("sim"))).alias("key"))
     meet = Window.partitionBy("key").orderBy("node")
     whole = meet.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
@@ -228,9 +228,12 @@ def duplicate_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         more = verified(across, nodes, lines)
         if not more.isEmpty():
             member = components(links.union(more), "line-components")
-    named = nodes.join(member, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    kept = named.groupBy("component").agg(first.alias("kept"))
-    kept = named.join(kept, "component").select("h1", "h2", "kept")
+    # a line without links goes only where it is repeated, and its node has the first place; most nodes move no more
+    linked = nodes.join(small(member), "node")
+    kept = linked.groupBy("component").agg(first.alias("kept"))
+    kept = linked.join(kept, "component").select("h1", "h2", "kept")
+    alone = nodes.where("times > 1").join(small(member.select("node")), "node", "left_anti")
+    kept = small(checkpoint_parquet(kept.unionByName(alone.select("h1", "h2", F.struct("doc_id", "text_hash", "pos").alias("kept"))), "line-kept"))
     same = (F.col("doc_id").eqNullSafe(F.col("kept.doc_id"))) & (F.col("text_hash") == F.col("kept.text_hash")) & (F.col("pos") == F.col("kept.pos"))
     return lines.select("doc_id", "text_hash", "pos", "h1", "h2").join(kept, ["h1", "h2"]).where(~same).select("doc_id", "text_hash", "pos")
 
