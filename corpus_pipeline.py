@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sentinela.llm import jaccard_join, line_dedup, mixing, packing, quality
-from sentinela.session import ship_package
+from sentinela.session import ship_package, small_batches
 from sentinela.sinks.writers import checkpoint_parquet
 from sentinela.sources.testdata import table
 
@@ -17,6 +17,11 @@ from sentinela.sources.testdata import table
 SHINGLE_WORDS, SHINGLE_PERCENT = 5, 80
 
 
+def _prepare(spark: SparkSession) -> None:
+    ship_package(spark)
+    small_batches(spark)
+
+
 def _own_name(docs: DataFrame, name: str) -> str:
     while name in docs.columns:
         name = f"_{name}"
@@ -25,7 +30,7 @@ def _own_name(docs: DataFrame, name: str) -> str:
 
 def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier, fitted on ``labels``, takes for good ones."""
-    ship_package(spark)
+    _prepare(spark)
     model = quality.train(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
     score = _own_name(docs, "quality_score")
     return docs.withColumn(score, quality.quality_score(docs, model)).where(F.col(score) >= quality.THRESHOLD).drop(score)
@@ -34,7 +39,7 @@ def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 def line_deduplication(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts without lines that occur elsewhere, or nearly; a document all of
     whose words stay elsewhere goes. ``n_chars`` is counted anew."""
-    ship_package(spark)
+    _prepare(spark)
     lines, dropped = _own_name(docs, "n_lines"), _own_name(docs, "n_dropped")
     found = line_dedup.drop_duplicate_lines(docs, lines_col=lines, dropped_col=dropped)
     found = found.where((F.col(dropped) == 0) | (F.trim(F.regexp_replace("text", r"\s+", " ")) != ""))
@@ -46,13 +51,13 @@ def line_deduplication(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near-equal sets of five-word shingles."""
-    ship_package(spark)
+    _prepare(spark)
     return jaccard_join.keep_one(docs, width=SHINGLE_WORDS, percent=SHINGLE_PERCENT)
 
 
 def source_mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, in the order of the mixture of their sources."""
-    ship_package(spark)
+    _prepare(spark)
     return mixing.mixture(docs)
 
 
@@ -77,7 +82,8 @@ def in_written_order(docs: DataFrame) -> DataFrame:
 def sequence_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents in sequences of 2048 token ids, which ascend with the mixture
     by groups of packing.GROUP documents."""
-    ship_package(spark)
+    _prepare(spark)
+    _prepare(spark)
     columns = [F.col(f"`{c}`") for c in docs.columns if c in ("doc_id", "text")]
     return packing.pack(in_written_order(docs).select(*columns))
 

@@ -69,6 +69,21 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{checkpoint_root(spark)}/sentinela/{name}-{uuid.uuid4().hex[:12]}"
 
 
+#: Rows of an Arrow batch where rows hold whole texts.
+TEXT_ROWS = 2000
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Send at most TEXT_ROWS rows at once to Python from now on, fewer if the session
+    says so. Spark's 10,000 whole texts are tens of MB a batch, which each task holds
+    several times outside the heap: as vectors, as their serialised form, and what the
+    allocator keeps while both grow by doubling."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    rows = int(spark.conf.get(key))
+    if rows <= 0 or rows > TEXT_ROWS:
+        spark.conf.set(key, str(TEXT_ROWS))
+
+
 _SHIPPED: set[str] = set()
 
 

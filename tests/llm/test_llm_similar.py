@@ -4,10 +4,12 @@ import random
 import re
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
+from sentinela import session
 from sentinela.llm import ann, ego, jaccard_join, line_dedup
 from sentinela.llm.graph import components
 from tests.llm.helpers import awkward, documents, empty, words
@@ -335,3 +337,21 @@ def test_small_meetings_are_compared_whole_and_large_ones_lose_no_link(spark, mo
         monkeypatch.setattr(line_dedup, "FEW", few)
         results.append(sorted((r["doc_id"], r["text"], r["n_dropped"]) for r in line_dedup.drop_duplicate_lines(docs).collect()))
     assert results[0] == results[1] == results[2] and sum(r[2] for r in results[0]) > 0
+
+
+def test_pipeline_sends_small_batches_of_texts_to_python(spark):
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key)
+
+    def sizes(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([batch.num_rows])], names=["n"])
+
+    try:
+        for own, most in ((10_000, session.TEXT_ROWS), (0, session.TEXT_ROWS), (300, 300)):  # 0: no limit
+            spark.conf.set(key, own)
+            corpus_pipeline.near_duplicates(spark, documents(spark, ["a b c d e f"]), "")
+            rows = [r["n"] for r in spark.range(0, 5000, 1, 1).mapInArrow(sizes, "n bigint").collect()]
+            assert max(rows) == most and sum(rows) == 5000
+    finally:
+        spark.conf.set(key, before)
