@@ -78,25 +78,39 @@ def _wide(chunks: Column) -> Column:
 def _flat_majority(lines: DataFrame) -> DataFrame:
     """``lines`` with ``_flat``, the bits that more than half of the first FLAT of
     ``_hashes`` have. The 64 counts are kept bit by bit: a column of level w holds
-    their bits of weight 2^w. Full adders make one column of three of a level and
-    carry into the next, until each level has one. Plain operations on columns,
-    which Spark compiles."""
-    own, n = [f"`{c}`" for c in lines.columns], FLAT
-    level = {0: [f"_b{i}" for i in range(FLAT)]}
-    lines = lines.selectExpr(*own, *[f"coalesce(get(_hashes, {i}), 0L) AS _b{i}" for i in range(FLAT)])
+    their bits of weight 2^w. Four full adders make one column of seven of a level
+    and carry one into each of the next two; a single one does so for the last three
+    or two, until each level has one column. Plain operations on columns, which Spark
+    compiles; what four adders share is computed once."""
+    def total(x: str, y: str, z: str) -> str:
+        return f"({x} ^ {y} ^ {z})"
+
+    def carry(x: str, y: str, z: str) -> str:
+        return f"(({x} & {y}) | ({z} & ({x} | {y})))"
+
+    own, n = [f"`{c}`" for c in lines.columns], 0
+    level = {0: [f"coalesce(get(_hashes, {i}), 0L)" for i in range(FLAT)]}
     while any(len(x) > 1 for x in level.values()):
         after, kept = {w: [] for w in range(FLAT.bit_length())}, []
         for weight, left in level.items():
             while len(left) > 1:
-                (x, y, *z), left = left[:3], left[3:]
+                if len(left) >= 7:
+                    (a, b, c, d, e, f, g), left = left[:7], left[7:]
+                    low, high = total(a, b, c), total(d, e, f)
+                    carries = carry(a, b, c), carry(d, e, f), carry(low, high, g)
+                    made = [total(low, high, g), total(*carries), carry(*carries)]
+                else:
+                    (x, y, *z), left = left[:3], left[3:]
+                    made = [total(x, y, z[0]), carry(x, y, z[0])] if z else [f"({x} ^ {y})", f"({x} & {y})"]
+                for up, bits in enumerate(made):
+                    if weight + up in after:  # no count passes FLAT
+                        after[weight + up].append(f"_b{n}")
+                        kept.append(f"{bits} AS _b{n}")
+                        n += 1
+            for bits in left:
                 after[weight].append(f"_b{n}")
-                kept.append(" ^ ".join([x, y, *z]) + f" AS _b{n}")
-                if weight + 1 in after:  # no count passes FLAT
-                    after[weight + 1].append(f"_b{n + 1}")
-                    kept.append((f"({x} & {y}) | ({x} & {z[0]}) | ({y} & {z[0]})" if z else f"{x} & {y}") + f" AS _b{n + 1}")
-                n += 2
-            after[weight] += left
-            kept += left
+                kept.append(f"{bits} AS _b{n}")
+                n += 1
         lines, level = lines.selectExpr(*own, *kept), {w: x for w, x in after.items() if x}
     greater = "0L"
     for weight, (count,) in sorted(level.items()):  # a count is greater if it is so in its highest bit that differs
@@ -170,8 +184,8 @@ def _without_common_start(both: DataFrame) -> DataFrame:
 
 def verified(pairs: DataFrame, nodes: DataFrame, lines: DataFrame) -> DataFrame:
     """The pairs (a, b) of nodes whose lines are similar in edits."""
-    wanted = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct().join(nodes, "node").select("node", "h1", "h2", "doc_id", "text_hash", "pos")
-    wanted = checkpoint_parquet(wanted, "line-wanted")
+    ids = checkpoint_parquet(pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct(), "line-ids")
+    wanted = checkpoint_parquet(nodes.join(small(ids), "node").select("node", "h1", "h2", "doc_id", "text_hash", "pos"), "line-wanted")
     # the first occurrence of a node has its text; the texts of all others are not moved
     place = ["h1", "h2", "text_hash", "pos"]
     texts = lines.select("doc_id", "text_hash", "pos", "h1", "h2", "norm").alias("l").join(

@@ -355,3 +355,15 @@ def test_pipeline_sends_small_batches_of_texts_to_python(spark):
             assert max(rows) == most and sum(rows) == 5000
     finally:
         spark.conf.set(key, before)
+
+
+def test_verified_lines_are_found_by_broadcast_ids_and_bits_by_few_columns(spark, monkeypatch):
+    rows = spark.createDataFrame([(["a", "b"],)], "words array<string>")
+    assert line_dedup.with_simhash(rows)._jdf.queryExecution().analyzed().toString().count("Project") < 20
+    rng = random.Random(13)
+    base = words(rng, 40).split()
+    docs = documents(spark, [" ".join(base[:k] + [f"x{k}"] + base[k + 1:]) for k in range(0, 36, 3)])
+    seen, count = [], line_dedup.small
+    monkeypatch.setattr(line_dedup, "small", lambda df: seen.append(df.columns) or count(df))
+    found = sum(r["n_dropped"] for r in line_dedup.drop_duplicate_lines(docs).collect())
+    assert found > 0 and ["node"] in seen[:1]
