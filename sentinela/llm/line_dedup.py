@@ -88,8 +88,10 @@ def _flat_majority(lines: DataFrame) -> DataFrame:
     def carry(x: str, y: str, z: str) -> str:
         return f"(({x} & {y}) | ({z} & ({x} | {y})))"
 
-    own, n = [f"`{c}`" for c in lines.columns], 0
-    level = {0: [f"coalesce(get(_hashes, {i}), 0L)" for i in range(FLAT)]}
+    own, n = [f"`{c}`" for c in lines.columns], FLAT
+    level = {0: [f"_b{i}" for i in range(FLAT)]}
+    # named first: the adders repeat their inputs, and the driver plans every repeat
+    lines = lines.selectExpr(*own, *[f"coalesce(get(_hashes, {i}), 0L) AS _b{i}" for i in range(FLAT)])
     while any(len(x) > 1 for x in level.values()):
         after, kept = {w: [] for w in range(FLAT.bit_length())}, []
         for weight, left in level.items():
