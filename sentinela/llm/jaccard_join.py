@@ -18,8 +18,10 @@ percent being 85 unless given. The join is exact, here for 85:
    form a tree: a node holds the OR of its documents' token bitmaps, its size
    range and its largest bit surplus. Both sides descend together; a pair of
    nodes is dropped when its size ranges, or the most tokens that the common
-   bits can hold, rule out a link, or when both are in one component. Pairs of
-   documents that remain are compared shingle by shingle.
+   bits can hold, rule out a link, or when both are in one component. A pair of
+   documents is taken under its first common child: it is passed over where the
+   shingles before are equal too, or where too few come after. Of each pair that
+   remains the prefixes are compared, then the documents shingle by shingle.
 """
 
 from __future__ import annotations
@@ -201,17 +203,22 @@ def _pairs_of_runs(bounds: np.ndarray, side: np.ndarray) -> Iterator[tuple[np.nd
 
 
 def _candidates(percent: int):
-    """Pairs of documents of two leaves, with their sizes, that their bitmaps do not rule out."""
+    """Pairs of documents of two leaves, with their sizes, that their bitmaps and the places of
+    the child in their prefixes do not rule out. A pair under many children comes once for each
+    stretch of its common shingles at most: where the shingles before the child are equal, it
+    is found under those."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows, bounds in whole_runs(batches):
-            ids, n, comp, side = (rows[c].to_numpy() for c in ("node", "n", "component", "side"))
+            ids, n, comp, side, pos, before = (rows[c].to_numpy() for c in ("node", "n", "component", "side", "pos", "before"))
             bits = np.stack([rows[s].to_numpy().view(np.uint64) for s in _SIGNATURE], axis=1)
             surplus = n - np.bitwise_count(bits).sum(axis=1).astype(np.int64)
             for x, y in _pairs_of_runs(bounds, side):
                 apart = (comp[x] != comp[y]) & (100 * n[x] >= percent * n[y]) & (100 * n[y] >= percent * n[x])
+                apart &= (before[x] != before[y]) | (pos[x] == 0) | (pos[y] == 0)
                 x, y = x[apart], y[apart]
                 most = np.bitwise_count(bits[x] & bits[y]).sum(axis=1).astype(np.int64) + np.minimum(surplus[x], surplus[y])
-                most = np.minimum(most, np.minimum(n[x], n[y]))
+                # under the first common child, nothing before it is common
+                most = np.minimum(most, np.minimum(n[x] - pos[x], n[y] - pos[y]))
                 good = 100 * most >= percent * (n[x] + n[y] - most)
                 if good.any():
                     a, b, m, k = ids[x[good]], ids[y[good]], n[x[good]], n[y[good]]
@@ -258,11 +265,12 @@ def links(nodes: DataFrame, docs: DataFrame, width: int = WIDTH, percent: int =
     placed = nodes.join(member, "node", "left").withColumn("component", F.coalesce("component", "node")).select(
         "node", "component", "n", "bits", *_SIGNATURE, "prefix")
     placed = checkpoint_parquet(placed, "jaccard-placed")
-    under = placed.select(F.explode("prefix").alias("bucket"), "component", "node")
+    under = placed.select(F.posexplode("prefix").alias("pos", "bucket"), "component", "node", "prefix")
+    under = under.select("bucket", "pos", F.coalesce(F.get("prefix", F.col("pos") - 1), F.lit(0)).alias("before"), "component", "node")
     mixed = under.groupBy("bucket").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo < hi").select("bucket")
     mixed = small(checkpoint_parquet(mixed, "jaccard-mixed"))
-    rows = under.select("bucket", "node").join(mixed, "bucket").join(placed.drop("prefix"), "node")
-    rows = checkpoint_parquet(cut(rows.select("bucket", "component", "n", "node", "bits", *_SIGNATURE), ["component", "n", "node"], BLOCK), "jaccard-leaves")
+    rows = under.drop("component").join(mixed, "bucket").join(placed.drop("prefix"), "node")
+    rows = checkpoint_parquet(cut(rows.select("bucket", "component", "n", "node", "pos", "before", "bits", *_SIGNATURE), ["component", "n", "node"], BLOCK), "jaccard-leaves")
     merged = {"least": F.min, "most": F.max, "surplus": F.max, "from_c": F.min, "to_c": F.max} | {s: F.bit_or for s in _SIGNATURE}
     leaves = rows.groupBy("bucket", "block").agg(
         F.min("n").alias("least"), F.max("n").alias("most"), F.max(F.col("n") - F.col("bits")).alias("surplus"),
@@ -277,14 +285,18 @@ def links(nodes: DataFrame, docs: DataFrame, width: int = WIDTH, percent: int =
         return sizes & overlap & ~one
 
     pairs = block_pairs(leaves, merged, may_link, "jaccard-tree").where("left <= right")
-    open_ = pair_rows(pairs.select("left", "right"), rows.select("block", "node", "component", "n", *_SIGNATURE))
-    met = (open_.select("key", "side", "node", "component", "n", *_SIGNATURE)
-           .mapInArrow(_candidates(percent), "a bigint, b bigint, larger bigint, both bigint")
-           .groupBy("a", "b", "larger", "both").agg(F.count(F.lit(1)).alias("children")))
+    open_ = pair_rows(pairs.select("left", "right"), rows.select("block", "node", "component", "n", "pos", "before", *_SIGNATURE))
+    met = (open_.select("key", "side", "node", "component", "n", "pos", "before", *_SIGNATURE)
+           .mapInArrow(_candidates(percent), "a bigint, b bigint, larger bigint, both bigint").distinct())
+    met = checkpoint_parquet(met, "jaccard-met")
+    wanted = small(checkpoint_parquet(met.select(F.col("a").alias("node")).union(met.select("b")).distinct(), "jaccard-wanted"))
+    prefixes = checkpoint_parquet(placed.select("node", "prefix").join(wanted, "node"), "jaccard-prefixes")
+    met = (met.join(prefixes.select(F.col("node").alias("a"), F.col("prefix").alias("x")), "a")
+           .join(prefixes.select(F.col("node").alias("b"), F.col("prefix").alias("y")), "b"))
     # of the overlap that is needed, at most ceil(n percent / 100) - 1 shingles lie behind a prefix
     behind = F.ceil(F.col("larger") * percent / F.lit(100)) - 1
     needed = F.ceil(F.col("both") * percent / F.lit(100 + percent)) - behind
-    maybe = checkpoint_parquet(met.where(F.col("children") >= needed).select("a", "b"), "jaccard-candidates")
+    maybe = checkpoint_parquet(met.where(F.size(F.array_intersect("x", "y")) >= needed).select("a", "b"), "jaccard-candidates")
     texts = _texts(nodes, maybe.select(F.col("a").alias("node")).union(maybe.select("b")), docs)
     both = (maybe.join(texts.select(F.col("node").alias("a"), F.col("text").alias("x")), "a")
             .join(texts.select(F.col("node").alias("b"), F.col("text").alias("y")), "b").select("a", "b", "x", "y"))

@@ -367,3 +367,17 @@ def test_verified_lines_are_found_by_broadcast_ids_and_bits_by_few_columns(spark
     monkeypatch.setattr(line_dedup, "small", lambda df: seen.append(df.columns) or count(df))
     found = sum(r["n_dropped"] for r in line_dedup.drop_duplicate_lines(docs).collect())
     assert found > 0 and ["node"] in seen[:1]
+
+
+def test_pair_of_documents_is_met_once_a_stretch_and_not_once_a_shingle(spark, monkeypatch):
+    monkeypatch.setattr(jaccard_join, "_families", lambda batches: iter(()))
+    met, own = [], jaccard_join.pair_rows
+    monkeypatch.setattr(jaccard_join, "pair_rows", lambda *a: met.append(own(*a)) or met[-1])
+    rng = random.Random(8)
+    texts = [mutated(rng, base, rng.randint(0, 8)) for base in (words(rng, 400), words(rng, 900)) for _ in range(12)]
+    texts += [words(rng, 60 + 10 * i) + " " + texts[0] for i in range(8)]
+    got = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in jaccard_join.jaccard_components(documents(spark, texts)).collect()}
+    assert got == brute_force(dict(enumerate(texts)))
+    rows = met[0].mapInArrow(jaccard_join._candidates(85), "a bigint, b bigint, larger bigint, both bigint")
+    n, distinct = rows.count(), rows.distinct().count()
+    assert distinct and n <= 8 * distinct  # a row for each of some 40 common shingles of the prefixes before
