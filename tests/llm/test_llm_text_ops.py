@@ -229,3 +229,14 @@ def test_mixing_awkward(spark):
     key = [F.col(c) for c in docs.columns]
     assert sorted(map(str, mixing.mixture(docs).select(key).collect())) == sorted(map(str, docs.collect()))
     assert mixing.mix(empty(docs)).collect() == [] and mixing.mixture(empty(docs)).columns == docs.columns
+
+
+def test_pieces_end_with_their_letters_digits_and_marks():
+    own = ["Anties", "schätzung", "qué", "über", "THLY", "and", "of", "x"]
+    text = " ".join(w + after for after in ["$$$", "!!", "123", ".\nNext", ",", "?)", "/1", "'s"] for w in own)
+    odd = ["it's###a1b2", "x'2y 'tis", "é×2ß÷÷a", "ß…a", "a\n\nb", "a\r\nb", "a\n b", "a.\n", "\nb", "é\né", "Ã\n'll", "!'s ''s 1's", "a<|endoftext|>1"]
+    encoder = tokens.Encoder(tokens.default_tokenizer())
+    got = [ids[a:b].tolist() for _, _, ids, of in encoder.column(pa.array([text])) for a, b in zip(of[:-1], of[1:])]
+    assert got == [library_ids(text)]
+    assert len(encoder._keys) < 32  # 59 when a piece went from space to space
+    assert encoded(odd) == [library_ids(t) for t in odd]
