@@ -80,7 +80,7 @@ def iso_week_start(spark, sf_dir):
 
 def _weeks(spark, sf_dir):
     o = Tables(spark, sf_dir).orders
-    return o.select(F.year("o_orderdate").alias("anio"), F.weekofyear("o_orderdate").alias("semana")).distinct()
+    return o.select(F.extract(F.lit("YEAROFWEEK"), "o_orderdate").alias("anio"), F.weekofyear("o_orderdate").alias("semana")).distinct()
 
 
 @query("cyclic_week", f"""
