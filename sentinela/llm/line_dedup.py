@@ -138,7 +138,8 @@ def _long_majority(chunks: Column, wide: Column, n_words: Column) -> Column:
 def with_simhash(lines: DataFrame) -> DataFrame:
     """``lines`` (words array<string> not empty) with ``n_words``, the number of
     distinct words, and ``sim``."""
-    lines = lines.withColumn("_hashes", F.transform(F.array_distinct("words"), lambda w: F.xxhash64(w)))
+    # the distinct ones of longs cost less than those of strings
+    lines = lines.withColumn("_hashes", F.array_distinct(F.transform("words", lambda w: F.xxhash64(w))))
     lines = _flat_majority(lines.withColumn("n_words", F.size("_hashes")))
     parts = F.sequence(F.lit(0), F.floor((F.col("n_words") - 1) / CHUNK).cast("int"))
     is_long = F.col("n_words") > FLAT
@@ -150,10 +151,10 @@ def with_simhash(lines: DataFrame) -> DataFrame:
 
 def occurrences(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """One row per line with a letter or digit: document, place, text and hashes."""
-    lines = docs.select(F.col(id_col).alias("doc_id"), F.xxhash64(text_col).alias("text_hash"), F.split(F.col(text_col), "\n").alias("own"))
-    lines = lines.select("doc_id", "text_hash", F.posexplode("own").alias("pos", "line"))
-    # a condition on the normalised line would be pushed below it and normalise twice; lower case makes no letters
-    lines = lines.where(F.col("line").rlike(r"[\p{L}\p{N}]")).select("doc_id", "text_hash", "pos", normalised(F.col("line")).alias("norm"))
+    own = F.transform(F.split(F.col(text_col), "\n"), normalised)
+    # the outer form, as the other one also puts a condition on the array below, which makes it twice
+    lines = docs.select(F.col(id_col).alias("doc_id"), F.xxhash64(text_col).alias("text_hash"), F.posexplode_outer(own).alias("pos", "norm"))
+    lines = lines.where("norm != ''")
     lines = lines.withColumn("words", features(F.col("norm")))
     return with_simhash(lines).select("doc_id", "text_hash", "pos", "norm", F.xxhash64("norm").alias("h1"), F.xxhash64(F.lit("line"), "norm").alias("h2"),
                                       F.length("norm").alias("len"), "sim")

@@ -381,3 +381,12 @@ def test_pair_of_documents_is_met_once_a_stretch_and_not_once_a_shingle(spark, m
     rows = met[0].mapInArrow(jaccard_join._candidates(85), "a bigint, b bigint, larger bigint, both bigint")
     n, distinct = rows.count(), rows.distinct().count()
     assert distinct and n <= 8 * distinct  # a row for each of some 40 common shingles of the prefixes before
+
+
+def test_lines_are_split_and_normalised_once(spark):
+    texts = ["One  TWO\n--\nthree, four five six\n", None, "", "\n \n", "ÜN-ï 日本"]
+    lines = line_dedup.occurrences(documents(spark, [t or "" for t in texts]).withColumn("text", F.expr("if(doc_id = 1, null, text)")), "doc_id", "text")
+    assert sorted((r["doc_id"], r["pos"], r["norm"], r["len"]) for r in lines.collect()) == [
+        (0, 0, "one two", 7), (0, 2, "three four five six", 19), (4, 0, "ün ï 日本", 7)]
+    plan = lines._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("regexp_replace(") == 1 and plan.count(", \n, -1)") == 1 and "RLIKE" not in plan
