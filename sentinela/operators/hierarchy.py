@@ -5,17 +5,22 @@ the rise of the within-cluster sum of squares. A merge never comes nearer to a
 third cluster than the nearer of its parts was, so any merges of clusters that
 are each other's nearest make the hierarchy of one merge at a time.
 
-Each round deals the clusters into blocks of near ones (a tree of median cuts,
-fitted on a bounded sample; it decides the speed, not the result). All pairs of
-blocks are compared, unless their boxes are too far apart for any better
-neighbour, which gives each cluster its nearest one outside its block. Each block
-then merges inside as long as pairs are cheaper than what its clusters have
-outside, and pairs across blocks that are each other's nearest are merged by a
-join. When two blocks' size holds all clusters, nothing is outside and one task makes
+The clusters are dealt once into blocks of near ones (a tree of median cuts,
+fitted on a bounded sample; it decides the speed, not the result). A block is one row, and
+keeps for each cluster and each block the nearest there with its cost, or a bound of the cost
+where it is not known: first the distance from the block's box, later what the
+parts of a merge had, which grows with the merge. In a round only those clusters are searched in a
+block whose nearest of all could be there and is not known; clusters grown across blocks are
+compared with the others both ways. Blocks are held in groups, so that a block is
+copied for each group and not for each block. Each block then merges inside as long as
+pairs are cheaper than what its clusters have outside, and proposes the rest
+to the blocks of their nearest; those that propose to each other are merged. Neighbouring blocks
+are joined as they empty. When two blocks' size holds all clusters, nothing is outside and one task makes
 the remaining merges by the same rule. Costs come from matrix products in single
-precision (double where it tells too little); those that could be the least
+precision (double where it tells too little), of which only the least of each run
+of clusters is kept; those that could be the least
 within the rounding are computed again in double from differences.
-Nothing but counts and the sample reaches the driver.
+Nothing but counts, the sample and a few numbers a block reaches the driver.
 """
 
 from __future__ import annotations
@@ -30,17 +35,23 @@ from pyspark.sql import functions as F
 
 from sentinela.sinks.writers import checkpoint_parquet
 
-#: Most clusters of a block (one task finishes twice as many); clusters that the cuts into blocks are fitted on.
-BLOCK, SAMPLE = 8192, 4096
-#: Costs in one step of a comparison.
-_STEP = 1 << 19
+#: Most clusters of a block (one task finishes twice as many), and its most numbers; clusters that the cuts into blocks are fitted on.
+BLOCK, _WIDE, SAMPLE = 32768, 1 << 21, 4096
+#: Groups of blocks at least; numbers of a group; rounds without a merge before all is searched afresh.
+_GROUPS, _HELD, _IDLE = 6, 1 << 22, 3
+#: Costs computed exactly in one step; clusters that stand for each other in a comparison; queries of one product.
+_STEP, _RUN, _TILE = 1 << 19, 64, 512
 #: Candidates a cluster above which single precision tells too little.
 ALIKE = 16
 
 _PACKS = "part int, first bigint, n bigint, ids binary, ws binary, cs binary"
-_BLOCKS = "block bigint, ids binary, ws binary, cs binary, ats binary, costs binary, low array<double>, high array<double>, least double, bound double"
-_FOUND = "block bigint, nears binary, costs binary"
-_AFTER = "merge boolean, id bigint, w double, c array<double>, near bigint, cost double"
+_BLOCKS = "block bigint, ids binary, ws binary, cs binary, low array<double>, high array<double>, least double"
+#: The rows of a round: a block; for one block in another what was found, what is nearest of its clusters that grew, a bound of those
+#: that were not compared; proposals to a block from clusters with the smaller and the larger id.
+_STATE, _FOUND, _GREW, _FLOOR, _SMALLER, _LARGER = range(6)
+_SEARCH, _VERIFY = 2, 1
+_ROUND = ("kind int, block bigint, n bigint, ids binary, ws binary, cs binary, nears binary, costs binary, needs binary, grew binary, "
+          "bnears binary, bcosts binary, wants array<int>, floors array<double>, floor double, left array<bigint>, right array<bigint>, height array<double>, size array<bigint>")
 MERGES = "left bigint, right bigint, height double, size bigint"
 
 
@@ -92,81 +103,133 @@ def _single(a: tuple, b: tuple) -> bool:
     return max(most) < 1e12 and min(most) > 1e-12 and max(w.max(), v.max()) < 1e6 and min(w.min(), v.min()) > 1e-3
 
 
+def _pick(best: _Best, q: tuple, base: tuple, minima: np.ndarray, places: np.ndarray, order: np.ndarray, clusters: tuple, others: tuple, own: np.ndarray | None) -> bool:
+    """The best ones of some queries (``places``) into ``best``, from the least products
+    with each run of base clusters; False where single precision tells too little."""
+    (x, slack, part), (y, part_b) = q, base
+    low = np.maximum(minima, 0)
+    runs = part_b.reshape(-1, _RUN)
+    most = np.nanmax(runs, axis=1)[:, None] + part, np.nanmin(runs, axis=1)[:, None] + part
+    least = (low / most[1]).min(axis=0)
+    run, at = np.nonzero(~(low / most[0] > least + slack))
+    single = x.dtype == np.float32
+    if single and len(run) > ALIKE * len(places):
+        return False
+    y, step = y.reshape(len(runs), _RUN, -1), max(1, (_STEP << 3) // (_RUN * y.shape[1]))
+    costs, least = [], np.full(len(places), np.inf, x.dtype)
+    for k in range(0, len(run), step):
+        r, i = run[k:k + step], at[k:k + step]
+        cost = np.matmul(y[r], x[i][:, :, None])[:, :, 0] / (part[i][:, None] + runs[r])
+        cost[np.isnan(runs[r])] = np.inf
+        if own is not None:
+            cost[r[:, None] * _RUN + np.arange(_RUN) == own[i][:, None]] = np.inf
+        np.minimum.at(least, i, cost.min(axis=1))
+        costs.append(cost)
+    pairs = []
+    for k, cost in zip(range(0, len(run), step), costs):
+        j, r = np.nonzero(~(cost > (least + slack)[at[k:k + step]][:, None]))
+        pairs.append((at[k + j], run[k + j] * _RUN + r))
+    i, j = (np.concatenate(z) for z in zip(*pairs))
+    real = (j < len(order)) if own is None else (j < len(order)) & (own[i] != j)
+    i, j = i[real], j[real]
+    if single and len(i) > ALIKE * len(places):
+        return False
+    (_, w, c), (names, v, e) = clusters, others
+    for k in range(0, len(i), _STEP):
+        r, t = places[i[k:k + _STEP]], order[j[k:k + _STEP]]
+        best.take(r, names[t], t, merge_cost(w[r], c[r], v[t], e[t]))
+    return True
+
+
+def _scan(a: tuple, b: tuple, rows: _Best | None, columns: _Best | None, own: np.ndarray | None, kind: type) -> bool:
+    orders = [np.argsort(z[1], kind="stable") for z in (a, b)]  # runs of near weights
+    left, right, slack, slack_b, part, part_b = _products(*(tuple(x[o] for x in z) for z, o in zip((a, b), orders)), kind)
+    n, m = len(left), right.shape[1]
+    padded = lambda z, fill: np.concatenate([z, np.full((-len(z) % _RUN, *z.shape[1:]), fill, kind)])
+    x, y, part, part_b = padded(left, 0), padded(np.ascontiguousarray(right.T), 0), padded(part, np.nan), padded(part_b, np.nan)
+    if own is not None:
+        place = np.empty(m, np.int64)
+        place[orders[1]] = np.arange(m)
+        own = place[own[orders[0]]]
+    below = None if columns is None else np.empty((len(x) // _RUN, len(y)), kind)
+    for i in range(0, n, _TILE):
+        some = slice(i, min(i + _TILE, n))
+        wide = min(i + _TILE, len(x)) - i
+        beside = None if rows is None else np.empty((len(y) // _RUN, wide), kind)
+        for j in range(0, len(y), 2 * _TILE):
+            cost = y[j:j + 2 * _TILE] @ x[i:i + wide].T
+            cost[max(0, m - j):], cost[:, n - i:] = np.inf, np.inf
+            if own is not None:
+                at = np.flatnonzero((own[some] >= j) & (own[some] < j + len(cost)))
+                cost[own[some][at] - j, at] = np.inf
+            if rows is not None:
+                beside[j // _RUN:(j + len(cost)) // _RUN] = cost.reshape(-1, _RUN, wide).min(axis=1)
+            if columns is not None:
+                below[i // _RUN:(i + wide) // _RUN, j:j + len(cost)] = cost.reshape(len(cost), -1, _RUN).min(axis=2).T
+        if rows is not None:
+            q = x[some], slack[some], part[some]
+            if not _pick(rows, q, (y, part_b), beside[:, :q[0].shape[0]], orders[0][some], orders[1], a, b, None if own is None else own[some]):
+                return False
+    for j in range(0, m if columns is not None else 0, _TILE):
+        some = slice(j, min(j + _TILE, m))
+        if not _pick(columns, (y[some], slack_b[some], part_b[some]), (x, part), below[:, some], orders[1][some], orders[0], b, a, None):
+            return False
+    return True
+
+
 def _compare(a: tuple, b: tuple, rows: _Best | None, columns: _Best | None, own: np.ndarray | None = None) -> None:
     """All clusters (ids, w, c) of a with all of b: the best ones of a into
-    ``rows``, of b into ``columns``. ``own``: the place in b of each of a. The
-    products are in single precision unless too many costs come out alike."""
-    (ids, w, c), (others, v, e) = a, b
-    if not len(ids) or not len(others):
+    ``rows``, of b into ``columns``. ``own``: the place in b of each of a. Of each
+    run of clusters with near weights only the least product is kept; runs that could have the
+    least cost are looked at again. The products are in single precision unless too many costs come out alike."""
+    if not len(a[0]) or not len(b[0]):
         return
     with np.errstate(all="ignore"):
-        kind = np.float32 if _single(a, b) else np.float64
-        left, right, slack, slack_b, part, part_b = _products(a, b, kind)
-        alike = w.min() == w.max() and v.min() == v.max()
-        least_b = np.full(len(others), np.inf)
-        step = max(1, _STEP // len(others))
-        i = 0
-        while i < len(ids):
-            cost = left[i:i + step] @ right
-            if alike:
-                cost *= 1 / (part[0] + part_b[0])
-            else:
-                cost /= part[i:i + step, None] + part_b
-            if own is not None:
-                cost[np.arange(len(cost)), own[i:i + step]] = np.inf
-            found = []
-            if rows is not None:
-                found.append(np.flatnonzero(~(cost > (cost.min(axis=1) + slack[i:i + step])[:, None])))
-            if columns is not None:
-                least_b = np.minimum(least_b, cost.min(axis=0))
-                found.append(np.flatnonzero(~(cost > (least_b + slack_b).astype(kind))))
-            if kind is np.float32 and sum(map(len, found)) > ALIKE * sum(cost.shape):
-                kind, least_b = np.float64, np.full(len(others), np.inf)
-                left, right, slack, slack_b, part, part_b = _products(a, b, kind)
-                continue
-            for best, at in zip([x for x in (rows, columns) if x is not None], found):
-                p, q = np.divmod(at, len(others))
-                p += i
-                if own is not None:
-                    p, q = p[own[p] != q], q[own[p] != q]
-                for k in range(0, len(p), _STEP):
-                    r, s = p[k:k + _STEP], q[k:k + _STEP]
-                    exact = merge_cost(w[r], c[r], v[s], e[s])
-                    best.take(*((r, others[s], s, exact) if best is rows else (s, ids[r], r, exact)))
-            i += step
+        if not _single(a, b) or not _scan(a, b, rows, columns, own, np.float32):
+            _scan(a, b, rows, columns, own, np.float64)
+
+
+def _grown(a: np.ndarray, b: np.ndarray, wa: np.ndarray, wb: np.ndarray, cost: np.ndarray, scale: float) -> np.ndarray:
+    """Bounds of the costs of merged clusters with those outside, from the bounds
+    (a row a cluster) of the parts: the cost with a third one of weight 1, the least that there is."""
+    total, least = wa + wb, np.minimum(a, b)
+    grown = ((wa + 1)[:, None] * a + (wb + 1)[:, None] * b - cost[:, None]) / (total + 1)[:, None]
+    return np.maximum(least, grown * (1 - 1e-12) - 8 * np.finfo(float).eps * scale * np.sqrt(np.where(np.isfinite(grown), grown, 0) * total[:, None]))
 
 
 def agglomerate(ids: np.ndarray, w: np.ndarray, c: np.ndarray, out: np.ndarray, start: tuple | None = None) -> tuple:
     """Merges of a block's clusters (ids ascending) that are each other's nearest
-    and cheaper than ``out``, a bound of each cluster's cost with any other
-    outside; ``start``: place and cost of the nearest in the block, where known.
-    Gives the clusters left, which of them are new, their nearest in the block
+    and cheaper than ``out``, bounds of each cluster's cost with those
+    outside (one for all or a row of them); ``start``: place and cost of the nearest in the block, where known.
+    Gives the places of the clusters left, their weights and centroids, which of them are new, their bounds, their nearest in the block
     and its cost, and the merges."""
-    w, c, out = w.copy(), c.copy(), out * (1 - 1e-12)
+    w, c, out = w.copy(), c.copy(), (out[:, None] if out.ndim == 1 else out).copy()
     at, cost = (x.copy() for x in start) if start else (np.full(len(ids), -1), np.full(len(ids), np.inf))
-    new = np.zeros(len(ids), bool)
+    places, new, scale = np.arange(len(ids)), np.zeros(len(ids), bool), float(np.sqrt((c * c).sum(axis=1).max())) if len(ids) else 0.0
     merges = []
     while len(ids) > 1:
         lost = np.flatnonzero(at < 0)
         best = _Best(ids[lost])
         _compare((ids[lost], w[lost], c[lost]), (ids, w, c), best, None, own=lost)
         at[lost], cost[lost] = best.at, best.cost
-        a = np.flatnonzero((at >= 0) & (at[at] == np.arange(len(ids))) & (np.arange(len(ids)) < at) & (cost < np.minimum(out, out[at])))
+        bound = out.min(axis=1, initial=np.inf) * (1 - 1e-9)
+        a = np.flatnonzero((at >= 0) & (at[at] == np.arange(len(ids))) & (np.arange(len(ids)) < at) & (cost < np.minimum(bound, bound[at])))
         if not len(a):
             break
         b = at[a]
         total = w[a] + w[b]
         merges.append((ids[a], ids[b], np.sqrt(2 * cost[a]), np.rint(total).astype(np.int64)))
-        c[a], w[a], out[a], new[a] = (c[a] * w[a, None] + c[b] * w[b, None]) / total[:, None], total, np.minimum(out[a], out[b]), True
+        out[a] = _grown(out[a], out[b], w[a], w[b], cost[a], scale)
+        c[a], w[a], new[a] = (c[a] * w[a, None] + c[b] * w[b, None]) / total[:, None], total, True
         gone = np.zeros(len(ids), bool)
         gone[a], gone[b] = True, True
         keep = np.ones(len(ids), bool)
         keep[b] = False
         place = np.cumsum(keep) - 1
         at = np.where((at < 0) | gone[at] | gone, -1, place[at])[keep]
-        ids, w, c, out, new, cost = ids[keep], w[keep], c[keep], out[keep], new[keep], cost[keep]
-    near = np.where(at >= 0, ids[at], -1)
-    return ids, w, c, new, near, np.where(at >= 0, cost, np.inf), merges
+        places, ids, w, c, out, new, cost = places[keep], ids[keep], w[keep], c[keep], out[keep], new[keep], cost[keep]
+    near = np.where(at >= 0, ids[at], -1) if len(ids) else at
+    return places, w, c, new, out, near, np.where(at >= 0, cost, np.inf), merges
 
 
 def _cuts(sample: np.ndarray, depth: int) -> list:
@@ -228,60 +291,260 @@ def _clusters(packs: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """The clusters of some packs in the order of their ids."""
     ids, w = _joined(packs["ids"], np.int64), _joined(packs["ws"])
     order = np.argsort(ids, kind="stable")
-    return ids[order], w[order], _joined(packs["cs"]).reshape(len(ids), -1)[order]
+    return ids[order], w[order], _joined(packs["cs"]).reshape(len(ids), -1)[order] if len(ids) else np.empty((0, 0))
 
 
 def _block(packs: pa.Table) -> pa.Table:
-    """One row of the packs of a block, with each cluster's nearest in it."""
+    """One row of the packs of a block, with its box and least weight."""
     ids, w, c = _clusters(packs)
-    best = _Best(ids)
-    _compare((ids, w, c), (ids, w, c), best, None, own=np.arange(len(ids)))
-    columns = [[packs["block"][0].as_py()], [ids.tobytes()], [w.tobytes()], [c.tobytes()], [best.at.tobytes()], [best.cost.tobytes()],
-               [c.min(axis=0)], [c.max(axis=0)], [float(w.min())], [float(best.cost.max())]]
-    types = [pa.int64(), *[pa.binary()] * 5, *[pa.list_(pa.float64())] * 2, *[pa.float64()] * 2]
+    columns = [[packs["block"][0].as_py()], [ids.tobytes()], [w.tobytes()], [c.tobytes()], [c.min(axis=0)], [c.max(axis=0)], [float(w.min())]]
+    types = [pa.int64(), *[pa.binary()] * 3, *[pa.list_(pa.float64())] * 2, pa.float64()]
     return pa.table([pa.array(x, t) for x, t in zip(columns, types)], names=[x.split()[0] for x in _BLOCKS.split(", ")])
 
 
-def _search(pair: pa.Table) -> pa.Table:
-    """Two blocks: for the clusters of each the nearest of the other and its cost."""
-    sides = [_clusters(pair.slice(i, 1)) for i in (0, 1)]
-    best = [_Best(side[0]) for side in sides]
-    _compare(*sides, *best)
-    columns = [pair["block"].to_pylist(), [b.near.tobytes() for b in best], [b.cost.tobytes() for b in best]]
-    return pa.table([pa.array(x, t) for x, t in zip(columns, (pa.int64(), pa.binary(), pa.binary()))], names=["block", "nears", "costs"])
-
-
-def _merge(rows: pa.Table) -> pa.Table:
-    """A block's row, what was found for it outside and the least cost with the
-    blocks not searched: its merges, then the clusters left; those that are not
-    new have their nearest of all and its cost."""
-    block = rows.filter(pa.compute.is_valid(rows["ids"]))
-    ids, w, c = _clusters(block)
-    outside = _Best(ids)
-    for row in rows.filter(pa.compute.is_valid(rows["nears"])).to_pylist():
-        near, cost = np.frombuffer(row["nears"], np.int64), np.frombuffer(row["costs"])
-        at = np.flatnonzero(np.isfinite(cost))
-        outside.take(at, near[at], at, cost[at])
-    floor = min((x for x in rows["floor"].to_pylist() if x is not None), default=np.inf)
-    start = _joined(block["ats"], np.int64), _joined(block["costs"])
-    left, w, c, new, near, cost, merges = agglomerate(ids, w, c, np.minimum(outside.cost, floor * (1 - 1e-9)), start)
-    best, at = _Best(left), np.flatnonzero(near >= 0)
-    best.take(at, near[at], at, cost[at])
-    of, at = np.searchsorted(ids, left), np.flatnonzero(outside.at[np.searchsorted(ids, left)] >= 0)
-    best.take(at, outside.near[of[at]], at, outside.cost[of[at]])
-    gone = [np.concatenate(x) for x in zip(*merges)] if merges else [np.empty(0, t) for t in (np.int64, np.int64, float, np.int64)]
-    known = ~new & (best.at >= 0)
-    n, m, d = len(left), len(gone[0]), c.shape[1]
-    lists = pa.ListArray.from_arrays(pa.array(np.r_[np.arange(n + 1) * d, np.full(m, n * d)], pa.int32()), pa.array(c.ravel(), pa.float64()))
-    columns = [pa.array(np.r_[np.zeros(n, bool), np.ones(m, bool)]), pa.array(np.r_[left, gone[0]]), pa.array(np.r_[w, gone[3].astype(float)]), lists,
-               pa.array(np.r_[best.near, gone[1]], mask=np.r_[~known, np.zeros(m, bool)]), pa.array(np.r_[best.cost, gone[2]], mask=np.r_[~known, np.zeros(m, bool)])]
-    return pa.table(columns, names=[x.split()[0] for x in _AFTER.split(", ")])
+_TYPES = {"int": pa.int32(), "bigint": pa.int64(), "binary": pa.binary(), "double": pa.float64(), "array<int>": pa.list_(pa.int32()), "array<bigint>": pa.list_(pa.int64()), "array<double>": pa.list_(pa.float64())}
+
+
+def _rows(rows: list[dict]) -> pa.Table:
+    """Rows of a round; arrays are bytes in binary columns."""
+    fields = [x.split() for x in _ROUND.split(", ")]
+    value = lambda x, kind: x.tobytes() if kind == "binary" and x is not None else x
+    return pa.table([pa.array([value(r.get(name), kind) for r in rows], _TYPES[kind]) for name, kind in fields], names=[name for name, _ in fields])
+
+
+def _array(row: dict, name: str, kind=np.float64, wide: int = 0) -> np.ndarray:
+    flat = np.frombuffer(row[name], kind) if row[name] else np.empty(0, kind)
+    return flat.reshape(wide, -1).copy() if wide else flat
+
+
+def _held(row: dict) -> tuple:
+    """ids, weights, centroids of a block's or a proposal's row."""
+    ids = _array(row, "ids", np.int64)
+    return ids, _array(row, "ws"), _array(row, "cs").reshape(len(ids), -1) if len(ids) else np.empty((0, 0))
+
+
+def _state(row: dict, blocks: int) -> tuple:
+    """ids, weights, centroids of a block, then a row a block: the nearest there (-1:
+    not known) and its cost (not known: a bound)."""
+    return *_held(row), _array(row, "nears", np.int64, blocks), _array(row, "costs", wide=blocks)
+
+
+def _nearest(ids: np.ndarray, nears: np.ndarray, costs: np.ndarray) -> tuple:
+    """Block, id and cost of each cluster's nearest of those known, and whether
+    blocks where it is not known could have a nearer one, a row a block."""
+    known = nears >= 0
+    least = np.where(known, costs, np.inf).min(axis=0, initial=np.inf)
+    tie = known & (costs == least)
+    for part in (np.minimum(nears, ids), np.maximum(nears, ids)):
+        part = np.where(tie, part, np.iinfo(np.int64).max)
+        tie &= part == part.min(axis=0, initial=np.iinfo(np.int64).max)
+    block = tie.argmax(axis=0)
+    near = np.where(tie.any(axis=0), nears[block, np.arange(len(ids))], -1)
+    return block, near, least, ~known & np.isfinite(costs) & (costs * (1 - 1e-9) <= least)
+
+
+def _merges_row(merges: list) -> dict:
+    parts = [np.concatenate(x) for x in zip(*merges)] if merges else [np.empty(0)] * 4
+    return dict(zip(("left", "right", "height", "size"), parts))
+
+
+def _learn(row: dict, ids: np.ndarray, nears: np.ndarray, costs: np.ndarray) -> None:
+    """What a row says about the nearest of a block's clusters in another block."""
+    if row["kind"] == _FLOOR:
+        at = np.flatnonzero(costs > row["floor"])
+        nears[at], costs[at] = -1, row["floor"]
+        return
+    near, cost = _array(row, "nears", np.int64), _array(row, "costs")
+    if row["kind"] == _FOUND:
+        at = _array(row, "bnears", np.int64)
+        nears[at], costs[at] = near, cost
+    else:
+        _take(ids, nears, costs, near, cost)
+
+
+def _take(ids: np.ndarray, nears: np.ndarray, costs: np.ndarray, near: np.ndarray, cost: np.ndarray) -> None:
+    """Others that are nearer than the nearest so far, or than its bound."""
+    low, high = np.minimum(ids, near), np.maximum(ids, near)
+    old_low, old_high = np.minimum(ids, nears), np.maximum(ids, nears)
+    sooner = (nears < 0) | (low < old_low) | ((low == old_low) & (high < old_high))
+    at = np.flatnonzero((near >= 0) & ((cost < costs) | ((cost == costs) & sooner)))
+    nears[at], costs[at] = near[at], cost[at]
+
+
+def _merge(rows: pa.Table, blocks: int, joined: int) -> pa.Table:
+    """The blocks that become one (``joined`` of them) and what was found for them in
+    others: the merges inside, the clusters left and those that propose to merge
+    with their nearest in another block (larger ids with all that is theirs)."""
+    parts = sorted((r for r in rows.to_pylist() if r["kind"] == _STATE), key=lambda r: r["block"])
+    found = sorted((r for r in rows.to_pylist() if r["kind"] in (_FOUND, _GREW, _FLOOR)), key=lambda r: -r["kind"])
+    states, wide = [], -(-blocks // joined)
+    for row in parts:
+        state = _state(row, blocks)
+        for f in found:
+            if f["block"] == row["block"]:
+                _learn(f, state[0], state[3][f["n"]], state[4][f["n"]])
+        states.append(state)
+    dim = max(s[2].shape[1] for s in states)
+    ids, w = (np.concatenate([s[i] for s in states]) for i in (0, 1))
+    c = np.concatenate([s[2].reshape(-1, dim) for s in states])
+    nears, costs = (np.concatenate([s[i] for s in states], axis=1) for i in (3, 4))
+    block = parts[0]["block"] // joined
+    if joined > 1:
+        order = np.argsort(ids, kind="stable")
+        ids, w, c, nears, costs = ids[order], w[order], c[order], nears[:, order], costs[:, order]
+        groups = [slice(i * joined, (i + 1) * joined) for i in range(wide)]
+        some = [_joined_columns(ids, nears[g], costs[g]) for g in groups]
+        nears, costs = (np.array([x[i] for x in some]).reshape(wide, len(ids)) for i in (0, 1))
+        at = np.flatnonzero(nears[block] >= 0)  # the others' nearest may have changed meanwhile
+        place = np.minimum(np.searchsorted(ids, nears[block, at]), len(ids) - 1)
+        wrong = (ids[place] != nears[block, at]) | (merge_cost(w[at], c[at], w[place], c[place]) != costs[block, at])
+        nears[block, at[wrong]] = -1
+    near = nears[block]
+    start = np.where(near >= 0, np.searchsorted(ids, near), -1), np.where(near >= 0, costs[block], np.inf)
+    others = np.arange(wide) != block
+    places, w, c, new, out, near, cost, merges = agglomerate(ids, w, c, costs[others].T, start)
+    ids, nears, costs = ids[places], nears[:, places], np.empty((wide, len(places)))
+    nears[:, new] = -1
+    costs[others], costs[block], nears[block] = out.T, cost, near
+    of, near, cost, open_ = _nearest(ids, nears, costs)
+    state = {"kind": _STATE, "block": block, "n": len(ids), "ids": ids, "ws": w, "cs": c, "nears": nears, "costs": costs,
+             "floor": float(cost[near >= 0].max(initial=0))}
+    tell = []
+    sure = (near >= 0) & ~open_.any(axis=0)
+    for other in range(wide):
+        for larger in (False, True):
+            at = np.flatnonzero(sure & (of == other) & ((ids > near) == larger))
+            if len(at):
+                own = {"ws": w[at], "cs": c[at], "costs": costs[:, at]} if larger else {}
+                tell.append({"kind": _LARGER if larger else _SMALLER, "block": other, "n": len(at), "ids": ids[at], "bnears": near[at], "bcosts": cost[at], **own})
+    return _rows([state | _merges_row(merges), *tell])
+
+
+def _joined_columns(ids: np.ndarray, nears: np.ndarray, costs: np.ndarray) -> tuple:
+    """The rows of some blocks as one: not known where one that is not known could have a nearer one."""
+    _, near, cost, open_ = _nearest(ids, nears, costs)
+    bound = np.where(nears >= 0, np.inf, costs).min(axis=0, initial=np.inf)
+    lost = (near < 0) | open_.any(axis=0)
+    return np.where(lost, -1, near), np.where(lost, np.minimum(bound, cost), cost)
+
+
+def _cross(rows: pa.Table, blocks: int, boxes: dict | None, most: dict | None, afresh: bool) -> pa.Table:
+    """A block and the proposals to it: merges with clusters of other blocks that are each
+    other's nearest, and what has to be searched where. ``boxes``: those of all blocks, at first;
+    ``most``: the highest cost of a nearest one in each. Those that grew are compared with a block unless all there have nearer ones."""
+    rows = rows.to_pylist()
+    row = next(r for r in rows if r["kind"] in (None, _STATE))
+    block = row["block"]
+    if boxes is not None:
+        ids, w, c = _held(row)
+        nears, costs = np.full((blocks, len(ids)), -1), np.full((blocks, len(ids)), np.inf)
+        for other, (low, high, least) in boxes.items():
+            gap = np.maximum(np.maximum(low - c, c - high), 0)
+            costs[other] = (gap * gap).sum(axis=1) * (w * least / (w + least)) * (1 - 1e-9)
+    else:
+        ids, w, c, nears, costs = _state(row, blocks)
+    merges, grew = [], np.zeros(len(ids), bool)
+    if len(ids):
+        _, near, cost, open_ = _nearest(ids, nears, costs)
+        near = np.where(open_.any(axis=0), -1, near)  # those did not propose
+        w, c, scale = w.copy(), c.copy(), float(np.sqrt((c * c).sum(axis=1).max()))
+        gone = np.zeros(len(ids), bool)
+        for r in rows:
+            if r["kind"] not in (_SMALLER, _LARGER):
+                continue
+            (other, v, e), wish, price = _held(r) if r["kind"] == _LARGER else (_array(r, "ids", np.int64), None, None), _array(r, "bnears", np.int64), _array(r, "bcosts")
+            a = np.minimum(np.searchsorted(ids, wish), len(ids) - 1)
+            b = np.flatnonzero((ids[a] == wish) & (near[a] == other) & (cost[a] == price))
+            a = a[b]
+            if r["kind"] == _SMALLER:
+                gone[a] = True
+                continue
+            v, e, theirs = v[b], e[b], _array(r, "costs", wide=blocks)[:, b]
+            total = w[a] + v
+            merges.append((ids[a], other[b], np.sqrt(2 * price[b]), np.rint(total).astype(np.int64)))
+            costs[:, a] = _grown(costs[:, a].T, theirs.T, w[a], v, price[b], max(scale, float(np.sqrt((e * e).sum(axis=1).max(initial=0))))).T
+            c[a], w[a], grew[a] = (c[a] * w[a, None] + e * v[:, None]) / total[:, None], total, True
+        changed = ids[gone | grew]
+        nears[:, grew | afresh] = -1
+        nears[block, np.isin(nears[block], changed)] = -1
+        ids, w, c, nears, costs, grew = ids[~gone], w[~gone], c[~gone], nears[:, ~gone], costs[:, ~gone], grew[~gone]
+        lost = np.flatnonzero(nears[block] < 0)
+        best = _Best(ids[lost])
+        _compare((ids[lost], w[lost], c[lost]), (ids, w, c), best, None, own=lost)
+        nears[block, lost], costs[block, lost] = best.near, best.cost
+        rest = ~grew
+        best, near, cost = _Best(ids[rest]), nears[block, rest], costs[block, rest]
+        _compare((ids[grew], w[grew], c[grew]), (ids[rest], w[rest], c[rest]), None, best)
+        _take(best.ids, near, cost, best.near, best.cost)
+        nears[block, rest], costs[block, rest] = near, cost
+    of, near, cost, open_ = _nearest(ids, nears, costs)
+    if most is not None:
+        open_[:, grew] |= np.isfinite(costs[:, grew]) & (costs[:, grew] * (1 - 1e-9) <= np.array([[most.get(i, 0.0)] for i in range(blocks)]))
+    needs = open_.astype(np.uint8) * _SEARCH
+    at = np.flatnonzero((near >= 0) & (of != block))
+    needs[of[at], at] = _VERIFY
+    needs[block] = 0
+    floors = np.where(grew & (needs == 0), costs, np.inf).min(axis=1, initial=np.inf)  # of merges across blocks the others' bounds know nothing
+    floors[block] = np.inf
+    return _rows([{"kind": _STATE, "block": block, "n": len(ids), "ids": ids, "ws": w, "cs": c, "nears": nears, "costs": costs, "needs": needs, "grew": grew,
+                   "bnears": near, "bcosts": cost, "wants": np.flatnonzero(needs.any(axis=1)), "floors": floors} | _merges_row(merges)])
+
+
+def _search(rows: pa.Table, blocks: int, groups: int) -> pa.Table:
+    """Blocks of two groups: for the clusters of each that need it the nearest in the
+    others. One whose nearest is as it was needs no search."""
+    a, b = rows["a"][0].as_py(), rows["b"][0].as_py()
+    held, found = {}, []
+    for r in rows.to_pylist():
+        held[r["block"]] = *_held(r), _array(r, "needs", np.uint8, blocks), _array(r, "bnears", np.int64), _array(r, "bcosts"), _array(r, "grew", bool)
+
+    def asked(one: int, other: int) -> np.ndarray:
+        (_, w, c, needs, near, cost, _), (names, v, e, *_) = held[one], held[other]
+        ask = needs[other] == _SEARCH
+        at = np.flatnonzero(needs[other] == _VERIFY)
+        if len(at) and len(names):
+            place = np.minimum(np.searchsorted(names, near[at]), len(names) - 1)
+            ask[at] = (names[place] != near[at]) | (merge_cost(w[at], c[at], v[place], e[place]) != cost[at])
+        else:
+            ask[at] = True
+        return ask
+
+    for one in sorted(held):
+        for other in sorted(held):
+            if one >= other or sorted((one % groups, other % groups)) != [a, b]:
+                continue
+            sides, asks, grew = [held[x][:3] for x in (one, other)], [asked(one, other), asked(other, one)], [held[x][-1] for x in (one, other)]
+            some = lambda i, m: tuple(x[m] for x in sides[i])
+            best, fresh = [_Best(side[0]) for side in sides], [_Best(side[0]) for side in sides]
+            for i in (0, 1):  # both ways: the others learn of those that grew
+                m = asks[i] & grew[i]
+                own = _Best(sides[i][0][m])
+                _compare(some(i, m), sides[1 - i], own, fresh[1 - i])
+                best[i].near[m], best[i].cost[m] = own.near, own.cost
+            rest = [ask & ~g for ask, g in zip(asks, grew)]
+            pair = [_Best(side[0][m]) for side, m in zip(sides, rest)]
+            _compare(some(0, rest[0]), some(1, rest[1]), *pair)
+            for i in (0, 1):
+                _compare(some(i, rest[i]), some(1 - i, ~rest[1 - i]), pair[i], None)
+                best[i].near[rest[i]], best[i].cost[rest[i]] = pair[i].near, pair[i].cost
+            for i, (block, beside) in enumerate(((one, other), (other, one))):
+                at = np.flatnonzero(asks[i])
+                if len(at):
+                    found.append({"kind": _FOUND, "block": block, "n": beside, "bnears": at, "nears": best[i].near[at], "costs": best[i].cost[at]})
+                if (asks[1 - i] & grew[1 - i]).any():
+                    found.append({"kind": _GREW, "block": block, "n": beside, "nears": fresh[i].near, "costs": fresh[i].cost})
+    return _rows(found)
 
 
 def _finish(packs: pa.Table) -> pa.Table:
     """The remaining merges of the clusters of one block."""
     ids, w, c = _clusters(packs)
-    merges = agglomerate(ids, w, c, np.full(len(ids), np.inf))[-1]
+    merges = []
+    while True:  # again where equal costs went in a circle
+        places, w, c, *_, more = agglomerate(ids, w, c, np.full(len(ids), np.inf))
+        merges, ids = merges + more, ids[places]
+        if len(ids) < 2 or not more:
+            break
     parts = list(zip(*merges)) if merges else [[np.empty(0, t)] for t in (np.int64, np.int64, float, np.int64)]
     return pa.table([pa.array(np.concatenate(x)) for x in parts], names=["left", "right", "height", "size"])
 
@@ -295,52 +558,80 @@ def _fitted(clusters: DataFrame, depth: int) -> list:
     return _cuts(sample.flatten().to_numpy().reshape(len(sample), -1), depth)
 
 
-def _blocks(clusters: DataFrame, n: int, block: int, nodes: list) -> DataFrame:
-    """The clusters in blocks of near ones, one row a block; a leaf that the sample
-    made too small is dealt over several."""
-    depth = _depth(n, block)
+def _dealt(clusters: DataFrame, n: int, block: int) -> tuple[DataFrame, dict]:
+    """The clusters in blocks of near ones, one row a block, numbered along the tree; a leaf
+    that the sample made too small is dealt over several. With the box and least weight of each."""
+    depth = max(1, _depth(n, block))
+    nodes = _fitted(clusters, depth)
     packs = checkpoint_parquet(clusters.select("id", "w", "c").mapInArrow(_packed(nodes, depth, max(1, block // 8)), _PACKS), "ward-packs")
-    parts = packs.groupBy("part").agg(F.ceil(F.sum("n") / block).alias("k"))  # one row a leaf
-    block_of = F.col("part") * F.lit(1 << 32) + F.pmod(F.xxhash64("first"), "k")
-    dealt = packs.join(F.broadcast(parts), "part").select(block_of.alias("block"), "ids", "ws", "cs")
-    return checkpoint_parquet(dealt.groupBy("block").applyInArrow(_block, _BLOCKS), "ward-blocks")
-
-
-def _compared(blocks: DataFrame) -> DataFrame:
-    """(a, b, apart, near) of all pairs of blocks: a bound of the costs between
-    them and whether one could have a cheaper pair there than inside."""
-    side = lambda p: blocks.select(*[F.col(c).alias(f"{p}_{c}") for c in ("block", "low", "high", "least", "bound")])
-    gaps = F.zip_with(F.arrays_zip("a_low", "a_high"), F.arrays_zip("b_low", "b_high"),
-                      lambda x, y: F.greatest(x["a_low"] - y["b_high"], y["b_low"] - x["a_high"], F.lit(0.0)))
-    apart = F.aggregate(gaps, F.lit(0.0), lambda total, g: total + g * g) * F.col("a_least") * F.col("b_least") / (F.col("a_least") + F.col("b_least"))
-    # summaries only, one row a block; a hair of slack for the rounding of the costs
-    pairs = side("a").join(side("b"), F.col("a_block") < F.col("b_block")).withColumn("apart", apart)
-    return checkpoint_parquet(pairs.select(F.col("a_block").alias("a"), F.col("b_block").alias("b"), "apart",
-                                           (F.col("apart") * (1 - 1e-9) <= F.greatest("a_bound", "b_bound")).alias("near")), "ward-pairs")
-
-
-def _round(clusters: DataFrame, n: int, block: int, nodes: list) -> tuple[DataFrame, DataFrame]:
-    """The clusters after a round, and its merges."""
-    blocks = _blocks(clusters, n, block, nodes)
-    pairs = _compared(blocks)
-    searched = pairs.where("near").select("a", "b", F.explode(F.array("a", "b")).alias("block"))
-    found = searched.join(blocks.select("block", "ids", "ws", "cs"), "block").groupBy("a", "b").applyInArrow(_search, _FOUND)
-    floors = pairs.where(~F.col("near")).select(F.explode(F.array("a", "b")).alias("block"), "apart").groupBy("block").agg(F.min("apart").alias("floor"))
-    own = blocks.select("block", "ids", "ws", "cs", "ats", "costs")
-    rows = own.unionByName(found, allowMissingColumns=True).unionByName(floors, allowMissingColumns=True)
-    after = checkpoint_parquet(rows.groupBy("block").applyInArrow(_merge, _AFTER), "ward-merged")
-    inside = after.where("merge").select(F.col("id").alias("left"), F.col("near").alias("right"), F.col("cost").alias("height"), F.col("w").cast("bigint").alias("size"))
-    now = after.where(~F.col("merge")).drop("merge")
-    other = now.where("near IS NOT NULL").select(F.col("near").alias("id"), F.col("id").alias("near"), F.col("w").alias("v"), F.col("c").alias("e"))
-    both = now.join(other, ["id", "near"], "left").where("v IS NULL OR id < near")  # on both ids: no hub
-    both = both.withColumnsRenamed({"w": "u", "c": "d"})  # a name of the result would stand for its new value in the lambda
-    total, met = F.col("u") + F.col("v"), F.col("v").isNotNull()
-    mean = F.zip_with("d", "e", lambda x, y: (x * F.col("u") + y * F.col("v")) / total)
-    both = both.select("id", F.when(met, total).otherwise(F.col("u")).alias("w"), F.when(met, mean).otherwise(F.col("d")).alias("c"),
-                       F.when(met, F.col("near")).alias("right"), F.when(met, F.sqrt(2 * F.col("cost"))).alias("height"))
-    clusters = checkpoint_parquet(both, "ward-clusters")
-    across = clusters.where("right IS NOT NULL").select(F.col("id").alias("left"), "right", "height", F.round("w").cast("bigint").alias("size"))
-    return clusters.select("id", "w", "c"), inside.unionByName(across)
+    parts = packs.groupBy("part").agg(F.ceil(F.sum("n") / block).alias("k")).orderBy("part").collect()  # one row a leaf
+    firsts = np.cumsum([0, *[int(r.k) for r in parts]])
+    numbers = packs.sparkSession.createDataFrame([(r.part, int(first), int(r.k)) for r, first in zip(parts, firsts)], "part int, before bigint, k bigint")
+    block_of = F.col("before") + F.pmod(F.xxhash64("first"), "k")
+    dealt = packs.join(F.broadcast(numbers), "part").select(block_of.alias("block"), "ids", "ws", "cs")
+    blocks = checkpoint_parquet(dealt.groupBy("block").applyInArrow(_block, _BLOCKS), "ward-blocks")
+    boxes = {r.block: (np.array(r.low), np.array(r.high), r.least) for r in blocks.select("block", "low", "high", "least").collect()}  # one row a block
+    return blocks, boxes
+
+
+def _crossed(rows: DataFrame, blocks: int, boxes: dict | None = None, most: dict | None = None, afresh: bool = False) -> DataFrame:
+    """The blocks after the merges across them, with what has to be searched."""
+    return checkpoint_parquet(rows.groupBy("block").applyInArrow(lambda t: _cross(t, blocks, boxes, most, afresh), _ROUND), "ward-crossed")
+
+
+def _round(state: DataFrame, blocks: int, groups: int, joined: int) -> DataFrame:
+    """What the blocks need is searched in the others, by pairs of groups of blocks
+    that are held at once; then merges inside. ``joined`` blocks become one."""
+    of = lambda block: F.col(block) % groups
+    ends = state.select("block", F.explode("wants").alias("other")).withColumn("other", F.col("other").cast("bigint"))
+    ends = ends.select(F.least(of("block"), of("other")).alias("a"), F.greatest(of("block"), of("other")).alias("b"), F.explode(F.array("block", "other")).alias("block")).distinct()
+    held = state.join(F.broadcast(ends), "block").select("a", "b", "block", "ids", "ws", "cs", "needs", "grew", "bnears", "bcosts")  # names of blocks only are broadcast
+    found = held.repartition(4 * groups * groups, "a", "b").groupBy("a", "b").applyInArrow(lambda t: _search(t, blocks, groups), _ROUND)
+    own = state.select(*[c if c in ("kind", "block", "n", "ids", "ws", "cs", "nears", "costs") else F.lit(None).cast(kind).alias(c) for c, kind in _columns(_ROUND)])
+    floors = state.select(F.col("block").alias("n"), F.posexplode("floors").alias("block", "floor")).where(F.col("floor") < float("inf"))
+    floors = floors.select(F.lit(_FLOOR).alias("kind"), F.col("block").cast("bigint").alias("block"), "n", "floor")
+    rows = own.unionByName(found).unionByName(floors, allowMissingColumns=True).withColumn("into", F.floor(F.col("block") / joined))
+    return checkpoint_parquet(rows.groupBy("into").applyInArrow(lambda t: _merge(t.drop_columns(["into"]), blocks, joined), _ROUND), "ward-merged")
+
+
+def _columns(schema: str) -> list:
+    return [x.split() for x in schema.split(", ")]
+
+
+def _told(rows: DataFrame) -> DataFrame:
+    """The merges that the rows of a round tell."""
+    one = rows.where(F.size("left") > 0).select(F.explode(F.arrays_zip("left", "right", "height", "size")).alias("m"))
+    return one.select("m.left", "m.right", "m.height", "m.size")
+
+
+def _left(rows: DataFrame) -> tuple[int, dict]:
+    """The number of clusters left and the highest cost of a nearest one of each block, where told."""
+    of = rows.where(F.col("kind") == _STATE).select("block", "n", "floor").collect()  # one row a block
+    return sum(r.n for r in of), {r.block: r.floor for r in of if r.floor is not None}
+
+
+def _rounds(clusters: DataFrame, n: int, block: int, d: int) -> tuple[DataFrame, list]:
+    """Rounds until two blocks' size holds all clusters; the blocks then and the merges."""
+    rows, boxes = _dealt(clusters, n, block)
+    blocks, merges, idle = max(boxes) + 1, [], 0
+    rows = _crossed(rows.select(*[c if c in rows.columns else F.lit(None).cast(kind).alias(c) for c, kind in _columns(_ROUND)]), blocks, boxes)
+    while True:
+        joined = 2 if blocks > 2 and n < 0.4 * blocks * block else 1
+        groups = min(blocks, max(_GROUPS, -(-n * max(d, 1) // _HELD)))
+        rows = _round(rows, blocks, groups, joined)
+        blocks = -(-blocks // joined)
+        merges.append(_told(rows))
+        left, most = _left(rows)
+        if left > 2 * block:
+            rows = _crossed(rows, blocks, None, most, idle == _IDLE)
+            merges.append(_told(rows))
+            left, _ = _left(rows)
+        if left <= 2 * block:
+            return rows.where(F.col("kind") == _STATE), merges
+        idle = idle + 1 if left == n else 0
+        if idle > _IDLE + 2:
+            raise ValueError("no two clusters are each other's nearest")
+        n = left
 
 
 def distinct_points(df: DataFrame, features: str, id_col: str) -> DataFrame:
@@ -372,18 +663,11 @@ def merges_of(points: DataFrame, block: int = BLOCK) -> DataFrame:
         return spark.createDataFrame([], MERGES)
     if least != most:
         raise ValueError("vectors of different lengths")
-    rounds, fitted, nodes = [], np.inf, []
-    while n > 2 * block:
-        if 2 * n < fitted:  # until half are merged, the cuts (or the upper of them) serve on
-            fitted, nodes = n, _fitted(clusters, _depth(n, block))
-        clusters, merges = _round(clusters, n, block, nodes)
-        rounds.append(merges)
-        left = clusters.count()
-        if left == n:
-            raise ValueError("no two clusters are each other's nearest")
-        n = left
-    last = clusters.mapInArrow(_packed([], 0, max(1, block)), _PACKS).groupBy("part").applyInArrow(_finish, MERGES)
-    out = last
+    block, rounds = max(1, min(block, _WIDE // most)), []
+    packs = clusters.mapInArrow(_packed([], 0, max(1, block)), _PACKS)
+    if n > 2 * block:
+        packs, rounds = _rounds(clusters, n, block, most)
+    out = packs.select(F.lit(0).alias("part"), "ids", "ws", "cs").groupBy("part").applyInArrow(_finish, MERGES)
     for merges in rounds:
         out = out.unionByName(merges)
     return checkpoint_parquet(out, "ward-hierarchy")

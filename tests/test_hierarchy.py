@@ -144,3 +144,70 @@ def test_ward_clusters_reads_the_points_once_and_finishes_at_two_blocks(spark, m
     assert len(calls) == 1 and not rounds and set(got.values()) == {0, 1, 2, 3}
     assert len(merged(ward_merges(table(spark, points), block=150))) == 299 and not rounds  # two blocks' size
     assert len(merged(ward_merges(table(spark, points), block=100))) == 299 and rounds
+
+
+def test_bounds_outside_grow_with_a_merge():
+    """Two clusters with outside costs of 1 make one whose outside costs are 7/6 at least."""
+    from sentinela.operators.hierarchy import agglomerate
+
+    points = np.array([[0.0, 0.0], [1.0, 0.0], [0.5, np.sqrt(1.1 * 1.5)]])  # the third costs 1.1 with the pair
+    merges = agglomerate(np.arange(3), np.ones(3), points, np.array([1.0, 1.0, 10.0]))[-1]
+    assert [(m[0][0], m[1][0], m[3][0]) for m in merges] == [(0, 1, 2), (0, 2, 3)]
+
+
+def test_rounds_search_only_what_the_last_merges_left_open(spark, monkeypatch):
+    from sentinela.operators import hierarchy as h
+
+    points = np.random.default_rng(11).normal(size=(900, 8))
+    asked, one = [], h._crossed
+
+    def watched(*a):
+        rows = one(*a)
+        for r in rows.select("ids", "needs").collect():
+            asked.append((len(r.ids) // 8, int((np.frombuffer(r.needs, np.uint8) == h._SEARCH).sum())))
+        asked.append(None)
+        return rows
+
+    monkeypatch.setattr(h, "_crossed", watched)
+    got = merged(ward_merges(table(spark, points), block=100))
+    assert [(a, b, n) for a, b, _, n in got] == [(a, b, n) for a, b, _, n in sorted(greedy(points))]
+    rounds, last = [], []
+    for x in asked:
+        if x is None:
+            rounds.append((sum(n for n, _ in last), sum(k for _, k in last) / max(len(last), 1)))
+            last = []
+        else:
+            last.append(x)
+    assert len(rounds) > 2 and rounds[0][1] > 0
+    first, later = rounds[0], rounds[1:]
+    per = lambda r: r[1] / max(r[0], 1)  # noqa: E731  (searches a cluster and block)
+    assert sum(map(per, later)) / len(later) < 0.6 * per(first)
+
+
+def test_a_cluster_grown_across_blocks_is_known_to_all():
+    """A merge across blocks can come nearer to a third cluster than its old block was: the others' bounds follow."""
+    from sentinela.operators import hierarchy as h
+
+    rng = np.random.default_rng(12)
+    points = rng.normal(size=(240, 6))
+    block_of = np.arange(240) % 4
+    boxes = {b: (points[block_of == b].min(axis=0), points[block_of == b].max(axis=0), 1.0) for b in range(4)}
+    plain = lambda r: {k: np.frombuffer(v, np.uint8) if isinstance(v, bytes) else v for k, v in r.items()}
+    tables = lambda rows: [h._rows([plain(r) for r in rows if r["block"] == b]) for b in range(4)]
+    rows = [{"block": b, "n": 60, "ids": np.flatnonzero(block_of == b), "ws": np.ones(60), "cs": points[block_of == b]} for b in range(4)]
+    rows, most = [r for t in tables(rows) for r in h._cross(t, 4, boxes, None, False).to_pylist()], None
+    for _ in range(4):
+        pair = h._rows([plain(r) for r in rows])
+        pair = pair.append_column("a", [[0] * 4]).append_column("b", [[0] * 4])
+        found = h._search(pair, 4, 1).to_pylist()
+        found += [{"kind": h._FLOOR, "block": t, "n": r["block"], "floor": f} for r in rows for t, f in enumerate(r["floors"]) if np.isfinite(f)]
+        after = [r for t in tables(rows + found) for r in h._merge(t, 4, 1).to_pylist()]
+        states = [h._state(r, 4) for r in sorted((r for r in after if r["kind"] == h._STATE), key=lambda r: r["block"])]
+        for ids, w, c, nears, costs in states:
+            for b, (others, v, e, *_) in enumerate(states):
+                cost = w[:, None] * v / (w[:, None] + v) * ((c[:, None] - e) ** 2).sum(-1)
+                cost[ids[:, None] == others] = np.inf
+                assert (costs[b] * (1 - 1e-9) <= cost.min(axis=1)).all()
+        most = {r["block"]: r["floor"] for r in after if r["kind"] == h._STATE}
+        rows = [r for t in tables(after) for r in h._cross(t, 4, None, most, False).to_pylist()]
+    assert sum(r["n"] for r in rows) < 160 and any(r["left"] for r in rows)
