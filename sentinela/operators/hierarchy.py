@@ -26,6 +26,7 @@ Nothing but counts, the sample and a few numbers a block reaches the driver.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import partial
 
 import numpy as np
 import pyarrow as pa
@@ -40,7 +41,9 @@ BLOCK, _WIDE, SAMPLE = 32768, 1 << 21, 4096
 #: Groups of blocks at least; numbers of a group; rounds without a merge before all is searched afresh.
 _GROUPS, _HELD, _IDLE = 6, 1 << 22, 3
 #: Costs computed exactly in one step; clusters that stand for each other in a comparison; queries of one product.
-_STEP, _RUN, _TILE = 1 << 19, 64, 512
+_STEP, _RUN, _TILE = 1 << 19, 32, 512
+#: Nearest ones kept for each cluster while a block merges, in blocks of so many at least.
+LISTED, _LONG = 8, 4096
 #: Candidates a cluster above which single precision tells too little.
 ALIKE = 16
 
@@ -141,6 +144,38 @@ def _pick(best: _Best, q: tuple, base: tuple, minima: np.ndarray, places: np.nda
     return True
 
 
+class _Lists:
+    """Some of the nearest of each of ``ids`` with their costs, and a bound of the costs of all others (-1: not known)."""
+
+    def __init__(self, ids: np.ndarray):
+        self.at, self.cost, self.reach = np.full((len(ids), LISTED), -1), np.full((len(ids), LISTED), np.inf), np.full(len(ids), -1.0)
+
+    def pick(self, q: tuple, base: tuple, minima: np.ndarray, places: np.ndarray, order: np.ndarray, clusters: tuple, others: tuple, own: np.ndarray) -> bool:
+        """From the runs with the least products; as ``_pick``."""
+        (x, slack, part), (y, part_b) = q, base
+        runs, n, k = part_b.reshape(-1, _RUN), len(places), LISTED
+        least = np.ascontiguousarray((np.maximum(minima, 0) / (np.nanmax(runs, axis=1)[:, None] + part)).T)
+        first = np.argpartition(least, k, axis=1)[:, :k + 1]
+        reach = least[np.arange(n), first[:, k]]
+        run, at = first[:, :k].ravel(), np.repeat(np.arange(n), k)
+        y, step, costs = y.reshape(len(runs), _RUN, -1), max(1, (_STEP << 3) // (_RUN * y.shape[1])), []
+        for i in range(0, len(run), step):
+            r, t = run[i:i + step], at[i:i + step]
+            costs.append(np.matmul(y[r], x[t][:, :, None])[:, :, 0] / (part[t][:, None] + runs[r]))
+        place = run[:, None] * _RUN + np.arange(_RUN)
+        cost = np.where(np.isnan(runs[run]) | (place == own[at][:, None]), np.inf, np.concatenate(costs)).reshape(n, -1)
+        some = np.argpartition(cost, k, axis=1)[:, :k + 1]
+        last = cost[np.arange(n), some[:, k]]
+        place = np.take_along_axis(place.reshape(n, -1), some[:, :k], 1)
+        real = np.isfinite(np.take_along_axis(cost, some[:, :k], 1))
+        (_, w, c), (_, v, e) = clusters, others
+        i, j = np.nonzero(real)
+        r, t = places[i], order[place[i, j]]
+        self.at[r, j], self.cost[r, j] = t, merge_cost(w[r], c[r], v[t], e[t])
+        self.reach[places] = (np.minimum(reach, last).astype(float) - slack) * (1 - 1e-9)
+        return True
+
+
 def _scan(a: tuple, b: tuple, rows: _Best | None, columns: _Best | None, own: np.ndarray | None, kind: type) -> bool:
     orders = [np.argsort(z[1], kind="stable") for z in (a, b)]  # runs of near weights
     left, right, slack, slack_b, part, part_b = _products(*(tuple(x[o] for x in z) for z, o in zip((a, b), orders)), kind)
@@ -168,7 +203,7 @@ def _scan(a: tuple, b: tuple, rows: _Best | None, columns: _Best | None, own: np
                 below[i // _RUN:(i + wide) // _RUN, j:j + len(cost)] = cost.reshape(len(cost), -1, _RUN).min(axis=2).T
         if rows is not None:
             q = x[some], slack[some], part[some]
-            if not _pick(rows, q, (y, part_b), beside[:, :q[0].shape[0]], orders[0][some], orders[1], a, b, None if own is None else own[some]):
+            if not (rows.pick if isinstance(rows, _Lists) else partial(_pick, rows))(q, (y, part_b), beside[:, :q[0].shape[0]], orders[0][some], orders[1], a, b, None if own is None else own[some]):
                 return False
     for j in range(0, m if columns is not None else 0, _TILE):
         some = slice(j, min(j + _TILE, m))
@@ -204,14 +239,15 @@ def agglomerate(ids: np.ndarray, w: np.ndarray, c: np.ndarray, out: np.ndarray,
     Gives the places of the clusters left, their weights and centroids, which of them are new, their bounds, their nearest in the block
     and its cost, and the merges."""
     w, c, out = w.copy(), c.copy(), (out[:, None] if out.ndim == 1 else out).copy()
-    at, cost = (x.copy() for x in start) if start else (np.full(len(ids), -1), np.full(len(ids), np.inf))
+    near, price, reach = np.full((len(ids), LISTED), -1), np.full((len(ids), LISTED), np.inf), np.full(len(ids), -1.0)
+    if start:
+        near[:, 0], price[:, 0], reach = start[0], start[1], np.where(start[0] >= 0, start[1], -1.0)
+    at, cost = np.full(len(ids), -1), np.full(len(ids), np.inf)
     places, new, scale = np.arange(len(ids)), np.zeros(len(ids), bool), float(np.sqrt((c * c).sum(axis=1).max())) if len(ids) else 0.0
     merges = []
     while len(ids) > 1:
-        lost = np.flatnonzero(at < 0)
-        best = _Best(ids[lost])
-        _compare((ids[lost], w[lost], c[lost]), (ids, w, c), best, None, own=lost)
-        at[lost], cost[lost] = best.at, best.cost
+        _relist(ids, w, c, near, price, reach)
+        at, cost = _first(near, price)
         bound = out.min(axis=1, initial=np.inf) * (1 - 1e-9)
         a = np.flatnonzero((at >= 0) & (at[at] == np.arange(len(ids))) & (np.arange(len(ids)) < at) & (cost < np.minimum(bound, bound[at])))
         if not len(a):
@@ -220,16 +256,77 @@ def agglomerate(ids: np.ndarray, w: np.ndarray, c: np.ndarray, out: np.ndarray,
         total = w[a] + w[b]
         merges.append((ids[a], ids[b], np.sqrt(2 * cost[a]), np.rint(total).astype(np.int64)))
         out[a] = _grown(out[a], out[b], w[a], w[b], cost[a], scale)
+        reach[a] = _grown(reach[a, None], reach[b, None], w[a], w[b], cost[a], scale)[:, 0]
         c[a], w[a], new[a] = (c[a] * w[a, None] + c[b] * w[b, None]) / total[:, None], total, True
-        gone = np.zeros(len(ids), bool)
-        gone[a], gone[b] = True, True
+        _remap(a, b, w, c, near, price, reach)
         keep = np.ones(len(ids), bool)
         keep[b] = False
         place = np.cumsum(keep) - 1
-        at = np.where((at < 0) | gone[at] | gone, -1, place[at])[keep]
-        places, ids, w, c, out, new, cost = places[keep], ids[keep], w[keep], c[keep], out[keep], new[keep], cost[keep]
-    near = np.where(at >= 0, ids[at], -1) if len(ids) else at
-    return places, w, c, new, out, near, np.where(at >= 0, cost, np.inf), merges
+        near = np.where(near >= 0, place[near], -1)[keep]
+        places, ids, w, c, out, new, price, reach = (x[keep] for x in (places, ids, w, c, out, new, price, reach))
+        at, cost = np.full(len(ids), -1), np.full(len(ids), np.inf)
+    return places, w, c, new, out, np.where(at >= 0, ids[at], -1) if len(ids) else at, np.where(at >= 0, cost, np.inf), merges
+
+
+def _first(near: np.ndarray, price: np.ndarray) -> tuple:
+    """The nearest of each list by (cost, smaller place, larger place)."""
+    cost, at = price.min(axis=1), near[np.arange(len(near)), price.argmin(axis=1)]
+    tied = np.flatnonzero(((price == cost[:, None]) & (near >= 0)).sum(axis=1) > 1)
+    if len(tied):
+        tie = (price[tied] == cost[tied, None]) & (near[tied] >= 0)
+        for part in (np.minimum(near[tied], tied[:, None]), np.maximum(near[tied], tied[:, None])):
+            part = np.where(tie, part, np.iinfo(np.int64).max)
+            tie &= part == part.min(axis=1)[:, None]
+        at[tied] = near[tied, tie.argmax(axis=1)]
+    return at, cost
+
+
+def _relist(ids: np.ndarray, w: np.ndarray, c: np.ndarray, near: np.ndarray, price: np.ndarray, reach: np.ndarray) -> None:
+    """Searches the clusters whose list does not tell their nearest."""
+    lost = np.flatnonzero(~((price.min(axis=1) <= reach) & (near >= 0).any(axis=1)))
+    sides = lambda: ((ids[lost], w[lost], c[lost]), (ids, w, c))
+    if len(lost) and len(ids) >= _LONG:
+        with np.errstate(all="ignore"):
+            lists = _Lists(lost)
+            if _single(*sides()):
+                _scan(*sides(), lists, None, lost, np.float32)
+        near[lost], price[lost], reach[lost] = lists.at, lists.cost, lists.reach
+        _within(near, price, reach)
+        lost = lost[~((price[lost].min(axis=1) <= reach[lost]) & (near[lost] >= 0).any(axis=1))]
+    if len(lost):  # one, as the rest is too alike or too little
+        best = _Best(ids[lost])
+        _compare(*sides(), best, None, own=lost)
+        near[lost], price[lost] = -1, np.inf
+        near[lost, 0], price[lost, 0], reach[lost] = best.at, best.cost, best.cost
+
+
+def _within(near: np.ndarray, price: np.ndarray, reach: np.ndarray) -> None:
+    """Nothing is listed that is beyond the bound of those not listed."""
+    beyond = price > reach[:, None]
+    near[beyond], price[beyond] = -1, np.inf
+
+
+def _remap(a: np.ndarray, b: np.ndarray, w: np.ndarray, c: np.ndarray, near: np.ndarray, price: np.ndarray, reach: np.ndarray) -> None:
+    """The lists after the merges of b into a: those of a have what both had, others the costs of what they became."""
+    into, gone = np.arange(len(w)), np.zeros(len(w), bool)
+    into[b], gone[a], gone[b] = a, True, True
+    both = np.concatenate([near[a], near[b]], axis=1)
+    both = np.where(both >= 0, into[both], -1)
+    both[both == a[:, None]] = -1
+    both.sort(axis=1)
+    both[:, 1:][both[:, 1:] == both[:, :-1]] = -1
+    cost = np.full(both.shape, np.inf)
+    i, j = np.nonzero(both >= 0)
+    cost[i, j] = merge_cost(w[a[i]], c[a[i]], w[both[i, j]], c[both[i, j]])
+    order = np.argsort(cost, axis=1, kind="stable")
+    both, cost = np.take_along_axis(both, order, 1), np.take_along_axis(cost, order, 1)
+    reach[a] = np.minimum(reach[a], cost[:, LISTED] * (1 - 1e-9))
+    i, j = np.nonzero((near >= 0) & gone[near] & ~gone[:, None])
+    near[i, j] = into[near[i, j]]
+    price[i, j] = merge_cost(w[i], c[i], w[near[i, j]], c[near[i, j]])
+    reach[i] *= 1 - 1e-9
+    near[a], price[a] = both[:, :LISTED], cost[:, :LISTED]
+    _within(near, price, reach)
 
 
 def _cuts(sample: np.ndarray, depth: int) -> list:

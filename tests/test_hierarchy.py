@@ -211,3 +211,21 @@ def test_a_cluster_grown_across_blocks_is_known_to_all():
         most = {r["block"]: r["floor"] for r in after if r["kind"] == h._STATE}
         rows = [r for t in tables(after) for r in h._cross(t, 4, None, most, False).to_pylist()]
     assert sum(r["n"] for r in rows) < 160 and any(r["left"] for r in rows)
+
+
+def test_lists_of_nearest_ones_save_searches(monkeypatch):
+    """A block keeps some of the nearest of each cluster: the same merges from fewer costs."""
+    from sentinela.operators import hierarchy as h
+
+    points = np.random.default_rng(13).normal(size=(5000, 16))
+    costs, one = [], h._scan
+    monkeypatch.setattr(h, "_scan", lambda a, b, *rest: costs.append(len(a[0]) * len(b[0])) or one(a, b, *rest))
+
+    def run():
+        costs.clear()
+        merges = h.agglomerate(np.arange(5000), np.ones(5000), points, np.full(5000, np.inf))[-1]
+        return sorted(zip(*(np.concatenate([m[i] for m in merges]).tolist() for i in range(4)))), sum(costs)
+
+    got, few = run()
+    monkeypatch.setattr(h, "_LONG", 1 << 40)
+    assert (got, len(got)) == (run()[0], 4999) and few < 0.8 * sum(costs)
